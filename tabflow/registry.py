@@ -67,3 +67,279 @@ def q_harmonize_union(spark, sf_dir):
     return (df.groupBy("source", "segment")
             .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                  F.round(F.avg("acctbal"), 4).alias("avg_bal")))
+
+
+@register("combine_three_sources", """
+SELECT source, CAST(count(*) AS BIGINT) AS n, CAST(count(DISTINCT segment) AS BIGINT) AS n_segments,
+       round(sum(acctbal), 2) AS sum_bal
+FROM (SELECT c_acctbal AS acctbal, c_mktsegment AS segment, 'customer' AS source FROM customer
+      UNION ALL SELECT s_acctbal, 'missing', 'supplier' FROM supplier
+      UNION ALL SELECT 0.0, 'NATION', 'nation' FROM nation)
+GROUP BY source
+""")
+def q_combine_three(spark, sf_dir):
+    """N-way fold of three sources through one harmonise + union."""
+    df = accounts(spark, sf_dir, with_nation=True)
+    return (df.groupBy("source")
+            .agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                 F.countDistinct("segment").cast("bigint").alias("n_segments"),
+                 F.round(F.sum("acctbal"), 2).alias("sum_bal")))
+
+
+@register("harmonize_rows", """
+SELECT id, source, nationkey, round(acctbal, 2) AS acctbal, segment FROM (
+  SELECT c_custkey AS id, 'customer' AS source, CAST(c_nationkey AS VARCHAR) AS nationkey,
+         c_acctbal AS acctbal, c_mktsegment AS segment FROM customer
+  UNION ALL
+  SELECT s_suppkey, 'supplier', CAST(s_nationkey AS VARCHAR), s_acctbal, 'missing' FROM supplier)
+""")
+def q_harmonize_rows(spark, sf_dir):
+    """P1-P5, P7, U1 row by row: every harmonised row, aligned columns in spec order."""
+    df = accounts(spark, sf_dir)
+    return df.select("id", "source", "nationkey", F.round("acctbal", 2).alias("acctbal"), "segment")
+
+
+@register("recode_lookup", """
+SELECT CASE WHEN TRY_CAST(n_regionkey AS DOUBLE) = 0 THEN 'AFR' WHEN n_regionkey = 1 THEN 'AME'
+            WHEN n_regionkey = 2 THEN 'ASI' ELSE NULL END AS region_code,
+       CAST(count(*) AS BIGINT) AS n
+FROM nation GROUP BY 1
+""")
+def q_recode_lookup(spark, sf_dir):
+    """Recode by dictionary; unmapped values become NULL."""
+    df = H.recode(table(spark, sf_dir, "nation").withColumnRenamed("n_regionkey", "region_code"),
+                  "region_code", {0: "AFR", 1: "AME", 2: "ASI"})
+    return df.groupBy("region_code").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+# Fixed for the large-dictionary path: part keys map to a size class by a rule over 2,000 keys.
+def _size_class_mapping(n_keys: int = 2000) -> dict:
+    return {k: f"class{k % 13}" for k in range(1, n_keys + 1)}
+
+
+@register("recode_join", """
+SELECT CASE WHEN p_partkey BETWEEN 1 AND 2000 THEN 'class' || CAST(p_partkey % 13 AS VARCHAR) END
+         AS size_class,
+       CAST(count(*) AS BIGINT) AS n, round(sum(p_retailprice), 2) AS sum_price
+FROM part GROUP BY 1
+""")
+def q_recode_join(spark, sf_dir):
+    """A dictionary above the CASE limit becomes a left lookup join."""
+    df = table(spark, sf_dir, "part").withColumn("size_class", F.col("p_partkey"))
+    df = H.recode(df, "size_class", _size_class_mapping())
+    return df.groupBy("size_class").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
+                                        F.round(F.sum("p_retailprice"), 2).alias("sum_price"))
+
+
+_NUM_GUARD = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
+
+
+@register("coerce_numeric", f"""
+WITH raw AS (SELECT p_partkey,
+  CASE WHEN p_partkey % 7 = 0 THEN p_name ELSE CAST(p_size AS VARCHAR) END AS size_text FROM part)
+SELECT p_partkey,
+  CASE WHEN regexp_matches(trim(size_text), {_NUM_GUARD}) THEN TRY_CAST(trim(size_text) AS DOUBLE) END
+    AS size_num
+FROM raw
+""")
+def q_coerce_numeric(spark, sf_dir):
+    """Text in a numeric column → NULL, numbers → double."""
+    p = table(spark, sf_dir, "part")
+    raw = p.select("p_partkey", F.when(F.col("p_partkey") % 7 == 0, F.col("p_name"))
+                   .otherwise(F.col("p_size").cast("string")).alias("size_num"))
+    return C.coerce_numeric(raw, ["size_num"])
+
+
+def documents_labelled(spark, sf_dir) -> DataFrame:
+    """documents left join labels: unlabelled documents carry a NULL target."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    lab = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    return d.join(lab, "doc_id", "left")
+
+
+@register("clean_target", """
+SELECT doc_id, lang,
+       CAST(CAST(trunc(quality * 0.5 + toxic * 1.5) AS BIGINT) > 0 AS INTEGER) AS target
+FROM documents JOIN labels USING (doc_id)
+""")
+def q_clean_target(spark, sf_dir):
+    """F1 + P10: drop rows with no target, binarise (truncate, then > 0: 0.5 → 0, 1.5 → 1)."""
+    df = documents_labelled(spark, sf_dir).withColumn(
+        "target", F.col("quality") * 0.5 + F.col("toxic") * 1.5)
+    out = C.binarize(C.drop_null_target(df, "target"), "target")
+    return out.select("doc_id", "lang", "target")
+
+
+@register("dropped_counts", """
+SELECT source, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(quality) AS BIGINT) AS n_kept,
+       CAST(count(*) - count(quality) AS BIGINT) AS n_dropped
+FROM documents LEFT JOIN labels USING (doc_id) GROUP BY source
+""")
+def q_dropped_counts(spark, sf_dir):
+    """rows dropped for a missing target, per source, in one aggregate."""
+    return C.dropped_counts(documents_labelled(spark, sf_dir), "quality", by="source")
+
+
+@register("clean_categorical", """
+SELECT doc_id, CASE WHEN quality IS NULL THEN 'missing' ELSE CAST(quality AS VARCHAR) END AS quality,
+       coalesce(CASE WHEN toxic = 1 THEN lang END, 'missing') AS lang
+FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def q_clean_categorical(spark, sf_dir):
+    """P7/FE3: categories to canonical text, missing → 'missing'."""
+    df = documents_labelled(spark, sf_dir).select(
+        "doc_id", "quality", F.when(F.col("toxic") == 1, F.col("lang")).alias("lang"))
+    return C.clean_categorical(df, ["quality", "lang"])
+
+
+@register("fill_const", """
+SELECT doc_id, CAST(coalesce(quality, 0) AS DOUBLE) AS quality, CAST(coalesce(toxic, 0) AS DOUBLE) AS toxic
+FROM documents LEFT JOIN labels USING (doc_id)
+""")
+def q_fill_const(spark, sf_dir):
+    """P9 (binary role): parse to number, missing → 0."""
+    df = C.coerce_numeric(documents_labelled(spark, sf_dir), ["quality", "toxic"])
+    return C.fill_const(df, {"quality": 0.0, "toxic": 0.0}).select("doc_id", "quality", "toxic")
+
+
+# ---------------------------------------------------------------------------------------------
+# Profiling (A1-A11, F3) over lineitem numerics with holes made by expression.
+
+from tabflow.operators import profile as P  # noqa: E402
+
+LINE_NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "linenumber")
+_LINE_SQL = """(SELECT l_quantity, l_extendedprice, l_discount, l_tax,
+        CAST(nullif(l_linenumber, 7) AS DOUBLE) AS linenumber,
+        nullif(l_returnflag, 'R') AS returnflag, l_linestatus FROM lineitem)"""
+_LINE_LONG = f"""(UNPIVOT {_LINE_SQL} ON l_quantity, l_extendedprice, l_discount, l_tax, linenumber
+        INTO NAME column_name VALUE value)"""
+
+
+def lineitem_holes(spark, sf_dir) -> DataFrame:
+    li = table(spark, sf_dir, "lineitem")
+    return li.select("l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                     F.nullif(F.col("l_linenumber"), F.lit(7)).cast("double").alias("linenumber"),
+                     F.nullif(F.col("l_returnflag"), F.lit("R")).alias("returnflag"), "l_linestatus")
+
+
+def _r6(df, cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+@register("describe_exact", f"""
+SELECT column_name, CAST(count(value) AS BIGINT) AS count, round(avg(value), 6) AS mean,
+       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
+       round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
+       round(quantile_cont(value, 0.75), 6) AS p75, round(max(value), 6) AS max
+FROM {_LINE_LONG} GROUP BY column_name
+""")
+def q_describe_exact(spark, sf_dir):
+    """A1: exact describe of five numeric columns (one with holes)."""
+    d = P.describe_exact(lineitem_holes(spark, sf_dir), LINE_NUMERIC)
+    return _r6(d, ["mean", "std", "min", "p25", "p50", "p75", "max"])
+
+
+@register("describe_approx")
+def q_describe_approx(spark, sf_dir):
+    """A2: sketch describe (rank error ≤ n/accuracy); rows-only, checked by a unit test."""
+    return P.describe_approx(lineitem_holes(spark, sf_dir), LINE_NUMERIC)
+
+
+@register("null_counts", f"""
+SELECT column_name, CAST(n_null AS BIGINT) AS n_null FROM (
+  UNPIVOT (SELECT count_if(l_quantity IS NULL) AS l_quantity, count_if(linenumber IS NULL) AS linenumber,
+                  count_if(returnflag IS NULL) AS returnflag, count_if(l_linestatus IS NULL) AS l_linestatus
+           FROM {_LINE_SQL})
+  ON l_quantity, linenumber, returnflag, l_linestatus INTO NAME column_name VALUE n_null)
+""")
+def q_null_counts(spark, sf_dir):
+    """A3: missing count per column, one aggregate."""
+    return P.null_counts(lineitem_holes(spark, sf_dir),
+                         ["l_quantity", "linenumber", "returnflag", "l_linestatus"]) \
+        .withColumn("n_null", F.col("n_null").cast("bigint"))
+
+
+@register("columns_with_nulls", f"""
+SELECT column_name, CAST(n_null AS BIGINT) AS n_null FROM (
+  UNPIVOT (SELECT count_if(l_quantity IS NULL) AS l_quantity, count_if(linenumber IS NULL) AS linenumber,
+                  count_if(returnflag IS NULL) AS returnflag, count_if(l_linestatus IS NULL) AS l_linestatus
+           FROM {_LINE_SQL})
+  ON l_quantity, linenumber, returnflag, l_linestatus INTO NAME column_name VALUE n_null)
+WHERE n_null > 0
+""")
+def q_columns_with_nulls(spark, sf_dir):
+    """the null report filtered to columns that have missing values."""
+    return P.columns_with_nulls(lineitem_holes(spark, sf_dir),
+                                ["l_quantity", "linenumber", "returnflag", "l_linestatus"]) \
+        .withColumn("n_null", F.col("n_null").cast("bigint"))
+
+
+@register("total_nulls", f"""
+SELECT CAST(count_if(linenumber IS NULL) + count_if(returnflag IS NULL) + count_if(l_tax IS NULL)
+       AS BIGINT) AS n_null_total FROM {_LINE_SQL}
+""")
+def q_total_nulls(spark, sf_dir):
+    """A4: total missing cells before preprocessing."""
+    return P.total_nulls(lineitem_holes(spark, sf_dir), ["linenumber", "returnflag", "l_tax"])
+
+
+@register("value_counts", """
+SELECT quality, CAST(count(*) AS BIGINT) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS ratio
+FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NOT NULL GROUP BY quality
+""")
+def q_value_counts(spark, sf_dir):
+    """A5: target distribution, counts and shares."""
+    v = P.value_counts(documents_labelled(spark, sf_dir), "quality")
+    return v.select("quality", F.col("n").cast("bigint").alias("n"), F.round("ratio", 6).alias("ratio"))
+
+
+@register("category_counts", """
+SELECT column_name, value, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT 'lang' AS column_name, lang AS value FROM documents
+  UNION ALL SELECT 'source', source FROM documents)
+GROUP BY column_name, value
+""")
+def q_category_counts(spark, sf_dir):
+    """Counts of every category of every categorical column, one aggregate."""
+    d = table(spark, sf_dir, "documents")
+    return P.category_counts(d, ["lang", "source"]).withColumn("n", F.col("n").cast("bigint"))
+
+
+@register("histogram", f"""
+WITH l AS {_LINE_LONG},
+r AS (SELECT column_name, CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
+             CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
+      FROM l GROUP BY column_name)
+SELECT column_name, CAST(bin AS INTEGER) AS bin, round(lo + (bin - 1) * ((hi - lo) / 15), 6) AS lo,
+       round(lo + bin * ((hi - lo) / 15), 6) AS hi, CAST(count(*) AS BIGINT) AS n
+FROM (SELECT column_name, lo, hi, least(floor((value - lo) / (hi - lo) * 15) + 1, 15) AS bin
+      FROM l JOIN r USING (column_name))
+GROUP BY column_name, bin, lo, hi
+""")
+def q_histogram(spark, sf_dir):
+    """15 equal-width bins per numeric column, last bin closed."""
+    h = P.histogram(lineitem_holes(spark, sf_dir), LINE_NUMERIC, bins=15)
+    return _r6(h, ["lo", "hi"]).withColumn("n", F.col("n").cast("bigint"))
+
+
+@register("schema_info")
+def q_schema_info(spark, sf_dir):
+    """Column, type, non-missing count."""
+    return P.schema_info(lineitem_holes(spark, sf_dir))
+
+
+@register("row_count", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM lineitem")
+def q_row_count(spark, sf_dir):
+    """A9."""
+    return P.row_count(table(spark, sf_dir, "lineitem")).withColumn("n_rows", F.col("n_rows").cast("bigint"))
+
+
+@register("head_n", """
+SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 2) AS o_totalprice
+FROM orders ORDER BY o_orderkey LIMIT 10
+""")
+def q_head_n(spark, sf_dir):
+    """A10: the first rows by key (a top-k: the limit is the feature)."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
+    return P.head_n(o, 10, "o_orderkey")

@@ -343,3 +343,264 @@ def q_head_n(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", F.round("o_totalprice", 2).alias("o_totalprice"))
     return P.head_n(o, 10, "o_orderkey")
+
+
+# ---------------------------------------------------------------------------------------------
+# Splits, folds, samples (SP1-SP3, T3). Oracle: a plain per-class window over the same hash.
+
+from tabflow.operators import split as SP  # noqa: E402
+
+
+def _hash_sql(key: str, seed: int) -> str:
+    return f"('0x' || substr(md5(concat(CAST({key} AS VARCHAR), ':', '{seed}')), 1, 8))::BIGINT"
+
+
+@register("stratified_split", f"""
+SELECT doc_id, quality, CASE WHEN rn <= floor(0.2 * n_class + 0.5) THEN 'test' ELSE 'train' END AS split
+FROM (SELECT doc_id, quality,
+             row_number() OVER (PARTITION BY quality ORDER BY {_hash_sql('doc_id', 42)}, doc_id) AS rn,
+             count(*) OVER (PARTITION BY quality) AS n_class
+      FROM labels JOIN documents USING (doc_id))
+""")
+def q_stratified_split(spark, sf_dir):
+    """SP1: stratified 80/20 split of the labelled documents, seed 42."""
+    df = documents_labelled(spark, sf_dir).filter(F.col("quality").isNotNull())
+    return SP.stratified_split(df, "quality", 0.2, 42, "doc_id").select("doc_id", "quality", "split")
+
+
+@register("stratified_folds", f"""
+SELECT o_orderkey, o_orderstatus,
+       CAST((row_number() OVER (PARTITION BY o_orderstatus
+              ORDER BY {_hash_sql('o_orderkey', 42)}, o_orderkey) - 1) % 5 AS INTEGER) AS fold
+FROM orders
+""")
+def q_stratified_folds(spark, sf_dir):
+    """SP2/SP3: 5 stratified, hash-shuffled folds over all orders (3 classes, one dominant)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return SP.stratified_folds(o, "o_orderstatus", 5, 42, "o_orderkey")
+
+
+@register("fold_balance", f"""
+SELECT o_orderstatus, fold, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT o_orderstatus, (row_number() OVER (PARTITION BY o_orderstatus
+              ORDER BY {_hash_sql('o_orderkey', 7)}, o_orderkey) - 1) % 10 AS fold FROM orders)
+GROUP BY ALL
+""")
+def q_fold_balance(spark, sf_dir):
+    """SP3 with 10 folds and another seed: per fold and class sizes (differ by at most one)."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    f = SP.stratified_folds(o, "o_orderstatus", 10, 7, "o_orderkey")
+    return f.groupBy("o_orderstatus", F.col("fold").cast("bigint").alias("fold")) \
+        .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
+@register("sample_n", f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
+       round(l_extendedprice, 2) AS l_extendedprice FROM lineitem
+ORDER BY ('0x' || substr(md5(concat_ws(':', l_orderkey, l_partkey, l_suppkey, l_linenumber,
+          CAST(l_quantity AS BIGINT), '42')), 1, 8))::BIGINT, l_orderkey, l_partkey, l_suppkey,
+         l_linenumber, l_quantity
+LIMIT 1000
+""")
+def q_sample_n(spark, sf_dir):
+    """Repeatable 1000-row sample by key hash (the limit is the operator)."""
+    li = table(spark, sf_dir, "lineitem").select(
+        *LINE_KEY, F.round("l_extendedprice", 2).alias("l_extendedprice"))
+    keyed = li.withColumn("_qty", F.col("l_quantity").cast("bigint"))
+    key = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "_qty"]
+    return SP.sample_n(keyed, 1000, 42, key).drop("_qty")
+
+
+# ---------------------------------------------------------------------------------------------
+# Evaluation (E1-E7, J2, J3, A11, T1, T2) over deterministic scores with many ties.
+
+from tabflow.plans import metrics as M  # noqa: E402
+
+SCORE_MODELS = ("disc", "tax", "qty")
+_LINE_KEY_SQL = ("concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, "
+                 "CAST(l_quantity AS BIGINT))")
+_SCORES_SQL = f"""(SELECT row_id, label, model, score, CAST(score >= 0.5 AS INTEGER) AS prediction FROM (
+  SELECT {_LINE_KEY_SQL} AS row_id, CAST(l_returnflag = 'R' AS INTEGER) AS label,
+         'disc' AS model, l_discount * 10 AS score FROM lineitem
+  UNION ALL SELECT {_LINE_KEY_SQL}, CAST(l_returnflag = 'R' AS INTEGER), 'tax',
+         l_tax * 12.5 FROM lineitem
+  UNION ALL SELECT {_LINE_KEY_SQL}, CAST(l_returnflag = 'R' AS INTEGER), 'qty',
+         l_quantity / 50 FROM lineitem))"""
+
+
+# lineitem has no single-column key; these five columns are unique at every scale factor.
+LINE_KEY = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
+
+
+def line_key():
+    return F.concat_ws("-", *[F.col(c).cast("bigint").cast("string") for c in LINE_KEY])
+
+
+def lineitem_scores(spark, sf_dir) -> DataFrame:
+    """Long score table from one scan: three score expressions unpivoted."""
+    li = table(spark, sf_dir, "lineitem").select(
+        line_key().alias("row_id"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        (F.col("l_discount") * 10).alias("disc"), (F.col("l_tax") * 12.5).alias("tax"),
+        (F.col("l_quantity") / 50).alias("qty"))
+    long = li.unpivot(["row_id", "label"], list(SCORE_MODELS), "model", "score")
+    return long.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+@register("confusion_matrix", f"""
+SELECT model, label, prediction, CAST(count(*) AS BIGINT) AS n FROM {_SCORES_SQL}
+GROUP BY ALL
+""")
+def q_confusion_matrix(spark, sf_dir):
+    """The full 2×2 grid per model."""
+    cm = M.confusion_matrix(lineitem_scores(spark, sf_dir))
+    return cm.filter(F.col("n") > 0).withColumn("n", F.col("n").cast("bigint"))
+
+
+_CC_SQL = f"""(SELECT model, count_if(label=0 AND prediction=0) AS tn, count_if(label=0 AND prediction=1) AS fp,
+        count_if(label=1 AND prediction=0) AS fn, count_if(label=1 AND prediction=1) AS tp
+      FROM {_SCORES_SQL} GROUP BY model)"""
+
+
+def _sdiv(a, b):
+    return f"(CASE WHEN ({b}) = 0 THEN 0.0 ELSE ({a}) / ({b}) END)"
+
+
+_P1, _R1 = _sdiv("tp", "tp + fp"), _sdiv("tp", "tp + fn")
+_P0, _R0 = _sdiv("tn", "tn + fn"), _sdiv("tn", "tn + fp")
+_F1, _F0 = _sdiv(f"2 * {_P1} * {_R1}", f"{_P1} + {_R1}"), _sdiv(f"2 * {_P0} * {_R0}", f"{_P0} + {_R0}")
+
+
+@register("binary_metrics", f"""
+SELECT model, round({_sdiv('tp + tn', 'tp + tn + fp + fn')}, 6) AS accuracy, round({_P1}, 6) AS precision,
+       round({_R1}, 6) AS recall, round({_F1}, 6) AS f1
+FROM {_CC_SQL}
+""")
+def q_binary_metrics(spark, sf_dir):
+    """Accuracy, precision, recall, F1 per model."""
+    b = M.binary_metrics(lineitem_scores(spark, sf_dir))
+    return _r6(b, ["accuracy", "precision", "recall", "f1"])
+
+
+_AUC_SQL = """WITH d AS (SELECT {g}, score, count_if(label = 1) AS pos, count_if(label = 0) AS neg
+                FROM {src} GROUP BY {g}, score),
+c AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {g} ORDER BY score
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nb FROM d)
+SELECT {g}, CASE WHEN sum(pos) > 0 AND sum(neg) > 0
+                 THEN sum(pos * (nb + neg / 2.0)) / (sum(pos) * sum(neg)) END AS roc_auc
+FROM c GROUP BY {g}"""
+
+
+@register("roc_auc", f"""
+SELECT model, round(roc_auc, 6) AS roc_auc FROM ({_AUC_SQL.format(g='model', src=_SCORES_SQL)})
+""")
+def q_roc_auc(spark, sf_dir):
+    """Exact AUC with heavy ties (scores take few distinct values)."""
+    return _r6(M.roc_auc(lineitem_scores(spark, sf_dir)), ["roc_auc"])
+
+
+@register("roc_auc_fine_buckets", f"""
+SELECT model, round(roc_auc, 6) AS roc_auc FROM ({_AUC_SQL.format(g='model', src=_SCORES_SQL)})
+""")
+def q_roc_auc_fine(spark, sf_dir):
+    """E3 with only 4 range buckets, so every bucket holds many scores: the two-level prefix sum
+    must still equal the single-window oracle."""
+    return _r6(M.roc_auc(lineitem_scores(spark, sf_dir), n_buckets=4), ["roc_auc"])
+
+
+_REPORT_SQL = f"""(SELECT model, 'class0' AS cls, {_P0} AS precision, {_R0} AS recall, {_F0} AS f1, tn + fp AS support FROM {_CC_SQL}
+  UNION ALL SELECT model, 'class1', {_P1}, {_R1}, {_F1}, tp + fn FROM {_CC_SQL}
+  UNION ALL SELECT model, 'macro_avg', ({_P0} + {_P1}) / 2, ({_R0} + {_R1}) / 2, ({_F0} + {_F1}) / 2,
+                   tn + fp + tp + fn FROM {_CC_SQL}
+  UNION ALL SELECT model, 'weighted_avg', {_sdiv(f'{_P0} * (tn + fp) + {_P1} * (tp + fn)', 'tn + fp + tp + fn')},
+                   {_sdiv(f'{_R0} * (tn + fp) + {_R1} * (tp + fn)', 'tn + fp + tp + fn')},
+                   {_sdiv(f'{_F0} * (tn + fp) + {_F1} * (tp + fn)', 'tn + fp + tp + fn')},
+                   tn + fp + tp + fn FROM {_CC_SQL})"""
+
+
+@register("class_report", f"""
+SELECT model, cls, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1,
+       CAST(support AS BIGINT) AS support FROM {_REPORT_SQL}
+""")
+def q_class_report(spark, sf_dir):
+    """E5: per-class report with macro and weighted averages."""
+    return _r6(M.class_report(lineitem_scores(spark, sf_dir)), ["precision", "recall", "f1"])
+
+
+_FLAT_COLS = [f"{mo}_{me}_{c}" for mo in SCORE_MODELS for me in M.REPORT_METRICS for c in M.REPORT_CLASSES]
+
+
+@register("flatten_report", "SELECT " + ", ".join(
+    f"round(max(CASE WHEN model = '{c.split('_')[0]}' AND cls = '{c.split('_', 2)[2]}' THEN "
+    f"{c.split('_')[1]} END), 6) AS {c}" for c in _FLAT_COLS) + f" FROM {_REPORT_SQL}")
+def q_flatten_report(spark, sf_dir):
+    """The report flattened to `{model}_{metric}_{class}` columns, one row."""
+    flat = M.flatten_report(M.class_report(lineitem_scores(spark, sf_dir)), models=SCORE_MODELS)
+    return _r6(flat, _FLAT_COLS)
+
+
+@register("evaluate_models", f"""
+SELECT m.model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(a.roc_auc, 6) AS roc_auc
+FROM (SELECT model, {_sdiv('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {_P1} AS precision, {_R1} AS recall,
+             {_F1} AS f1 FROM {_CC_SQL}) m
+LEFT JOIN ({_AUC_SQL.format(g='model', src=_SCORES_SQL)}) a USING (model)
+""")
+def q_evaluate_models(spark, sf_dir):
+    """Several models compared in the same aggregates."""
+    e = M.evaluate(lineitem_scores(spark, sf_dir))
+    return _r6(e, ["accuracy", "precision", "recall", "f1", "roc_auc"])
+
+
+@register("score_columns", """
+SELECT o_orderkey AS row_id, CAST(o_orderstatus = 'F' AS INTEGER) AS label,
+       round(o_totalprice / 611953, 6) AS price, round((o_custkey % 100) / 100.0, 6) AS cust
+FROM orders
+""")
+def q_score_columns(spark, sf_dir):
+    """Per-model score rows pivoted to one column per model, label carried along."""
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"), (F.col("o_orderstatus") == "F").cast("int").alias("label"),
+        F.round(F.col("o_totalprice") / 611953, 6).alias("price"),
+        F.round((F.col("o_custkey") % 100) / 100.0, 6).alias("cust"))
+    long = o.unpivot(["row_id", "label"], ["price", "cust"], "model", "score")
+    return M.score_columns(long, ["price", "cust"])
+
+
+_FOLD_SCORES_SQL = f"""(SELECT row_id, label, score, (row_number() OVER (PARTITION BY label
+        ORDER BY {_hash_sql('row_id', 42)}, row_id) - 1) % 5 AS fold
+      FROM {_SCORES_SQL} WHERE model = 'disc')"""
+
+
+@register("cv_mean_std", f"""
+SELECT round(avg(roc_auc), 6) AS mean, round(stddev_pop(roc_auc), 6) AS std
+FROM ({_AUC_SQL.format(g='fold', src=_FOLD_SCORES_SQL)})
+""")
+def q_cv_mean_std(spark, sf_dir):
+    """A11 (+SP2, E3): AUC per stratified fold, then mean and population std over folds."""
+    s = lineitem_scores(spark, sf_dir).filter(F.col("model") == "disc")
+    f = SP.stratified_folds(s, "label", 5, 42, "row_id")
+    per_fold = M.roc_auc(f, model="fold")
+    return _r6(P.mean_std(per_fold, "roc_auc"), ["mean", "std"])
+
+
+@register("top_k", """
+SELECT l_partkey, round(sum(l_extendedprice), 2) AS revenue FROM lineitem
+GROUP BY l_partkey ORDER BY revenue DESC, l_partkey LIMIT 10
+""")
+def q_top_k(spark, sf_dir):
+    """Top 10 by value, ties by name (a TakeOrdered over the grouped table)."""
+    g = table(spark, sf_dir, "lineitem").groupBy("l_partkey") \
+        .agg(F.round(F.sum("l_extendedprice"), 2).alias("revenue"))
+    return M.top_k(g, "revenue", 10, "l_partkey")
+
+
+@register("top_k_abs", """
+SELECT l_suppkey, round(sum(l_quantity * (l_discount - 0.05)), 6) AS effect FROM lineitem
+GROUP BY l_suppkey ORDER BY abs(effect) DESC, l_suppkey LIMIT 15
+""")
+def q_top_k_abs(spark, sf_dir):
+    """Top 15 by absolute value."""
+    g = table(spark, sf_dir, "lineitem").groupBy("l_suppkey") \
+        .agg(F.round(F.sum(F.col("l_quantity") * (F.col("l_discount") - 0.05)), 6).alias("effect"))
+    return M.top_k(g, "effect", 15, "l_suppkey", by_abs=True)

@@ -604,3 +604,53 @@ def q_top_k_abs(spark, sf_dir):
     g = table(spark, sf_dir, "lineitem").groupBy("l_suppkey") \
         .agg(F.round(F.sum(F.col("l_quantity") * (F.col("l_discount") - 0.05)), 6).alias("effect"))
     return M.top_k(g, "effect", 15, "l_suppkey", by_abs=True)
+
+
+# ---------------------------------------------------------------------------------------------
+# Features (FE1-FE6, FE8): fit on the train split of the labelled documents, apply to all.
+
+from tabflow.plans import features as FE  # noqa: E402
+
+DOC_SPEC = FeatureSpec(numeric=("n_chars",), categorical=("lang", "source"), binary=("toxic",),
+                       target="quality", lineage=None, key=("doc_id",))
+
+
+def documents_features_input(spark, sf_dir) -> DataFrame:
+    """Documents with holes in the numeric column (German documents) and a NULL binary for
+    unlabelled ones."""
+    d = documents_labelled(spark, sf_dir)
+    return d.withColumn("n_chars", F.when(F.col("lang") != "de", F.col("n_chars")))
+
+
+_DOC_SQL = """(SELECT doc_id, lang, source, CASE WHEN lang <> 'de' THEN n_chars END AS n_chars, toxic, quality
+   FROM documents LEFT JOIN labels USING (doc_id))"""
+_DOC_TRAIN_SQL = f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY quality
+       ORDER BY {_hash_sql('doc_id', 42)}, doc_id) AS rn, count(*) OVER (PARTITION BY quality) AS n_class
+     FROM {_DOC_SQL} WHERE quality IS NOT NULL) WHERE rn > floor(0.2 * n_class + 0.5))"""
+
+
+@register("features_onehot", f"""
+WITH d AS {_DOC_SQL}, tr AS {_DOC_TRAIN_SQL},
+st AS (SELECT avg(n_chars) AS m, stddev_pop(n_chars) * sqrt(count(n_chars) / count(*)) AS s FROM tr),
+cats AS (SELECT DISTINCT 'lang' AS col, coalesce(lang, 'missing') AS v FROM tr
+         UNION SELECT DISTINCT 'source', coalesce(source, 'missing') FROM tr),
+slots AS (
+  SELECT doc_id, 'n_chars' AS slot,
+         coalesce((n_chars - m) / CASE WHEN s > 0 THEN s ELSE 1 END, 0) AS value FROM d JOIN st ON TRUE
+  UNION ALL SELECT doc_id, 'lang_' || coalesce(lang, 'missing'), 1.0 FROM d
+            WHERE coalesce(lang, 'missing') IN (SELECT v FROM cats WHERE col = 'lang')
+  UNION ALL SELECT doc_id, 'source_' || coalesce(source, 'missing'), 1.0 FROM d
+            WHERE coalesce(source, 'missing') IN (SELECT v FROM cats WHERE col = 'source')
+  UNION ALL SELECT doc_id, 'toxic', CAST(coalesce(toxic, 0) AS DOUBLE) FROM d)
+SELECT doc_id, slot, round(value, 6) AS value FROM slots WHERE value <> 0
+""")
+def q_features_onehot(spark, sf_dir):
+    """FE1-FE6, FE8: imputed + population-standardised numeric, alphabetical one-hot with unseen →
+    zeros, binary pass-through; fitted on train rows only, applied to every document."""
+    d = documents_features_input(spark, sf_dir)
+    train = SP.stratified_split(d.filter(F.col("quality").isNotNull()), "quality", 0.2, 42, "doc_id") \
+        .filter(F.col("split") == "train")
+    model = FE.fit_preprocessor(DOC_SPEC, train)
+    names = FE.slot_names(model, DOC_SPEC)
+    long = FE.features_long(model.transform(d), names, "doc_id")
+    return long.select("doc_id", "slot", F.round("value", 6).alias("value"))

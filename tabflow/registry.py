@@ -654,3 +654,122 @@ def q_features_onehot(spark, sf_dir):
     names = FE.slot_names(model, DOC_SPEC)
     long = FE.features_long(model.transform(d), names, "doc_id")
     return long.select("doc_id", "slot", F.round("value", 6).alias("value"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Models, search, stacking, explanations (M1-M10, ST1-ST5, X1, X2, X4, X5). Model fits are
+# iterative optimisations, not SQL: these queries are rows-only for the driver and covered by
+# unit tests (Newton solve, additivity, reload). Grids stay tiny here; bench.py runs bigger.
+
+from tabflow.plans import ensemble as EN  # noqa: E402
+from tabflow.plans import explain as X  # noqa: E402
+from tabflow.plans import train as TR  # noqa: E402
+
+MODEL_FOLDS = 3
+
+
+def doc_model_frames(spark, sf_dir):
+    """Labelled documents → train/test split → features fitted on train → folds on train."""
+    d = documents_features_input(spark, sf_dir).filter(F.col("quality").isNotNull()) \
+        .withColumn("label", F.col("quality").cast("double")).withColumnRenamed("doc_id", "row_id")
+    spec = FeatureSpec(numeric=DOC_SPEC.numeric, categorical=DOC_SPEC.categorical,
+                       binary=DOC_SPEC.binary, target="label", lineage=None, key=("row_id",))
+    s = SP.stratified_split(d, "label", 0.2, 42, "row_id")
+    train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
+    pre = FE.fit_preprocessor(spec, train)
+    train_x = SP.stratified_folds(pre.transform(train), "label", MODEL_FOLDS, 42, "row_id") \
+        .select("row_id", "label", "features", "fold")
+    test_x = pre.transform(test).select("row_id", "label", "features")
+    return train_x, test_x, FE.slot_names(pre, spec)
+
+
+@register("model_lr_coefficients")
+def q_model_lr(spark, sf_dir):
+    """Penalised logistic regression (C=1), coefficients by |value|."""
+    train, _, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("lr", {"C": 1.0}).fit(train)
+    return X.coefficients(m, names)
+
+
+@register("model_rf_importances")
+def q_model_rf(spark, sf_dir):
+    """Random forest, top 10 importances."""
+    train, _, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("rf", {"n_estimators": 20, "max_depth": 5}).fit(train)
+    return X.importances(m, names, k=10)
+
+
+@register("model_gbt_evaluate")
+def q_model_gbt(spark, sf_dir):
+    """Boosted trees scored on test and train, evaluated together."""
+    train, test, _ = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("gbt", {"n_estimators": 10, "learning_rate": 0.1}).fit(train)
+    scores = TR.predict(m, test, ["row_id"], name="gbt_test").unionByName(
+        TR.predict(m, train.drop("fold"), ["row_id"], name="gbt_train"))
+    return M.evaluate(scores)
+
+
+@register("model_search")
+def q_model_search(spark, sf_dir):
+    """Cross-validated grid search over fixed stratified folds, best refitted."""
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    train = train.persist()
+    _, results = TR.search("lr", train, {"C": [0.1, 1.0]}, k=MODEL_FOLDS, n_iter=20)
+    return results
+
+
+@register("model_cv_score")
+def q_model_cv(spark, sf_dir):
+    """M7: mean and population std of fold AUCs for a fixed model."""
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    mean, std = TR.cv_score(TR.make_estimator("lr", {"C": 1.0}), train, MODEL_FOLDS)
+    return spark.createDataFrame([("lr", mean, std)], "model string, cv_mean_auc double, cv_std_auc double")
+
+
+@register("stack_evaluate")
+def q_stack(spark, sf_dir):
+    """ST1-ST5: out-of-fold base scores → meta logistic model → stacked test metrics."""
+    train, test, _ = doc_model_frames(spark, sf_dir)
+    train = train.persist()
+    est = {"lr": TR.make_estimator("lr", {"C": 1.0}),
+           "rf": TR.make_estimator("rf", {"n_estimators": 10, "max_depth": 4})}
+    _, _, stacked = EN.run_stack(est, train, test, MODEL_FOLDS)
+    return M.evaluate(stacked).join(M.class_report(stacked).filter(F.col("cls") == "weighted_avg")
+                                    .select("model", F.col("f1").alias("weighted_f1")), "model")
+
+
+LINEAR_COEFS = {"l_quantity": 0.02, "l_extendedprice": 0.00001, "l_discount": 3.0, "l_tax": -2.0}
+_CONTRIB_SQL = f"""(WITH m AS (SELECT avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d,
+                         avg(l_tax) AS t FROM lineitem)
+  SELECT {_LINE_KEY_SQL} AS row_id, 'l_quantity' AS feature, 0.02 * (l_quantity - q) AS contribution
+    FROM lineitem JOIN m ON TRUE
+  UNION ALL SELECT {_LINE_KEY_SQL}, 'l_extendedprice', 0.00001 * (l_extendedprice - e) FROM lineitem JOIN m ON TRUE
+  UNION ALL SELECT {_LINE_KEY_SQL}, 'l_discount', 3.0 * (l_discount - d) FROM lineitem JOIN m ON TRUE
+  UNION ALL SELECT {_LINE_KEY_SQL}, 'l_tax', -2.0 * (l_tax - t) FROM lineitem JOIN m ON TRUE)"""
+
+
+def _line_contributions(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").withColumn("row_id", line_key())
+    names = list(LINEAR_COEFS)
+    means = li.agg(*[F.avg(c) for c in names]).first()
+    return X.linear_contributions(li, list(LINEAR_COEFS.values()), list(means), names, "row_id",
+                                  features=None)
+
+
+@register("linear_contributions", f"""
+SELECT row_id, feature, round(contribution, 6) AS contribution FROM {_CONTRIB_SQL}
+""")
+def q_linear_contributions(spark, sf_dir):
+    """Per-row additive attributions of a declared linear model over every lineitem row."""
+    c = _line_contributions(spark, sf_dir)
+    return c.select("row_id", "feature", F.round("contribution", 6).alias("contribution"))
+
+
+@register("mean_abs_attribution", f"""
+SELECT feature, round(avg(abs(contribution)), 6) AS mean_abs FROM {_CONTRIB_SQL}
+GROUP BY feature ORDER BY mean_abs DESC, feature LIMIT 3
+""")
+def q_mean_abs_attribution(spark, sf_dir):
+    """Global ranking by mean |attribution|, top 3."""
+    g = X.mean_abs_attribution(_line_contributions(spark, sf_dir))
+    return M.top_k(g.withColumn("mean_abs", F.round("mean_abs", 6)), "mean_abs", 3, "feature")

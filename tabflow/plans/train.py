@@ -166,7 +166,8 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
     is refitted on all of ``df``. With ``preprocessor``, it is refitted inside every fold (no
     leakage into the validation fold); without, ``df`` carries a ready ``features`` column.
 
-    Returns (best model, results DataFrame ``(model, params, mean_auc, std_auc, is_best)``).
+    Returns (best model, results DataFrame ``(model, params, mean_auc, std_auc, is_best)``,
+    best unfitted estimator: the family's estimator with the winning parameters, for refits).
     """
     est = make_estimator(name, {}, seed, label, features)
     maps = sample_grid(param_maps(name, est, grid), n_iter, seed)
@@ -180,7 +181,7 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
             for i, pm in enumerate(maps)]
     results = df.sparkSession.createDataFrame(
         rows, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
-    return cvm.bestModel, results
+    return cvm.bestModel, results, target.copy(maps[best])
 
 
 def cv_score(estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label"):

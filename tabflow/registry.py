@@ -714,7 +714,7 @@ def q_model_search(spark, sf_dir):
     """Cross-validated grid search over fixed stratified folds, best refitted."""
     train, _, _ = doc_model_frames(spark, sf_dir)
     train = train.persist()
-    _, results = TR.search("lr", train, {"C": [0.1, 1.0]}, k=MODEL_FOLDS, n_iter=20)
+    _, results, _ = TR.search("lr", train, {"C": [0.1, 1.0]}, k=MODEL_FOLDS, n_iter=20)
     return results
 
 

@@ -35,8 +35,10 @@ def class_ranks(df: DataFrame, label: str, key, seed: int = 42,
     """Adds ``_h`` (hash), ``_rank`` (1-based rank inside the class) and ``_n_class``."""
     keys = _keys(key)
     shift = 32 - bucket_bits
+    # The bucket is declared non-null (coalesce with a literal), so the optimizer infers no
+    # IsNotNull(join key) filter, which it would push below projections and so hash every row twice.
     hashed = df.withColumn("_h", portable_hash(keys, seed)) \
-               .withColumn("_bucket", F.shiftright(F.col("_h"), shift))
+               .withColumn("_bucket", F.coalesce(F.shiftright(F.col("_h"), shift), F.lit(-1)))
     counts = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     before = Window.partitionBy(label).orderBy("_bucket") \
                    .rowsBetween(Window.unboundedPreceding, -1)

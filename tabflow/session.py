@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size post-shuffle partitions by bytes (advisory 64 MB), not by a minimum task count: small
+    # intermediate tables (bucket totals, fitted-model inputs) collapse to few tasks, big ones
+    # still split into many.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

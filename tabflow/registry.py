@@ -774,3 +774,16 @@ def q_mean_abs_attribution(spark, sf_dir):
     """Global ranking by mean |attribution|, top 3."""
     g = X.mean_abs_attribution(_line_contributions(spark, sf_dir))
     return M.top_k(g.withColumn("mean_abs", F.round("mean_abs", 6)), "mean_abs", 3, "feature")
+
+
+from tabflow.plans import treeshap as TS  # noqa: E402
+
+
+@register("tree_contributions")
+def q_tree_contributions(spark, sf_dir):
+    """Exact per-row attributions of a random forest for every labelled document (train and
+    test), then X5's global mean-|attribution| ranking of them."""
+    train, test, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("rf", {"n_estimators": 20, "max_depth": 5}).fit(train)
+    rows = train.select("row_id", "features").unionByName(test.select("row_id", "features"))
+    return TS.tree_contributions(m, rows, names)

@@ -787,3 +787,24 @@ def q_tree_contributions(spark, sf_dir):
     m = TR.make_estimator("rf", {"n_estimators": 20, "max_depth": 5}).fit(train)
     rows = train.select("row_id", "features").unionByName(test.select("row_id", "features"))
     return TS.tree_contributions(m, rows, names)
+
+
+from tabflow.plans import workflow as WF  # noqa: E402
+from tabflow.spec import GridSpec, StackSpec  # noqa: E402
+
+DOC_SOURCE = SourceSpec(name="documents", rename={"quality": "label"}, overwrite_tag=True)
+WORKFLOW_SPEC = FeatureSpec(numeric=("n_chars",), categorical=("lang", "source_name"), binary=("toxic",),
+                            target="label", lineage="source", key=("doc_id",))
+WORKFLOW_GRIDS = (GridSpec("lr", {"C": [0.1, 1.0]}), GridSpec("rf", {"n_estimators": [10], "max_depth": [4]}),
+                  GridSpec("gbt", {"n_estimators": [5], "learning_rate": [0.1]}))
+
+
+@register("workflow_run")
+def q_workflow_run(spark, sf_dir):
+    """The whole analysis end to end (harmonise → clean → profile → split → features → search →
+    evaluate → stack → CV → explain → record) on the labelled documents; returns the run's long
+    metrics (the record's content)."""
+    docs = documents_features_input(spark, sf_dir).withColumnRenamed("source", "source_name")
+    res = WF.run(spark, [(docs, DOC_SOURCE)], WORKFLOW_SPEC, grids=WORKFLOW_GRIDS, k=3,
+                 stack=StackSpec(base=("lr", "rf", "gbt"), folds=3), profile=False)
+    return res.metrics

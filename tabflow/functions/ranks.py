@@ -23,6 +23,18 @@ from pyspark.sql import functions as F
 
 INF = float("inf")
 DEFAULT_BUCKETS = 1024
+MAX_BUCKETS = 65536
+# Above this many rows per bucket the sketch is redone with more buckets, so that the exact
+# per-bucket work (a sort inside one task) stays small whatever the table size.
+MAX_ROWS_PER_BUCKET = 2_000_000
+
+
+def buckets_for(n_rows: int, n_buckets: int = DEFAULT_BUCKETS) -> int:
+    """The bucket count that keeps ``n_rows / buckets`` under ``MAX_ROWS_PER_BUCKET``."""
+    b = n_buckets
+    while n_rows / b > MAX_ROWS_PER_BUCKET and b < MAX_BUCKETS:
+        b *= 2
+    return b
 
 
 def bucket_probs(n_buckets: int) -> list[float]:
@@ -38,12 +50,20 @@ def splits_from_bounds(bounds) -> list[float]:
 
 def approx_splits(long_df: DataFrame, group_col: str, value_col: str,
                   n_buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None) -> dict:
-    """One pass: per group, the sketch split points. Returns {group: splits}."""
-    acc = accuracy or max(10000, 10 * n_buckets)
-    rows = (long_df.groupBy(group_col)
-            .agg(F.percentile_approx(value_col, bucket_probs(n_buckets), acc).alias("b"))
-            .collect())
-    return {r[0]: splits_from_bounds(r[1]) for r in rows}
+    """One pass: per group, the sketch split points (and row count). Returns {group: splits}.
+
+    If the largest group has more than ``MAX_ROWS_PER_BUCKET`` rows per bucket, the sketch is
+    taken again with enough buckets (only at large scale; one pass otherwise)."""
+    while True:
+        acc = accuracy or max(10000, 10 * n_buckets)
+        rows = (long_df.groupBy(group_col)
+                .agg(F.percentile_approx(value_col, bucket_probs(n_buckets), acc).alias("b"),
+                     F.count(value_col).alias("n"))
+                .collect())
+        need = buckets_for(max([r["n"] for r in rows] or [0]), n_buckets)
+        if need <= n_buckets:
+            return {r[0]: splits_from_bounds(r["b"]) for r in rows}
+        n_buckets = need
 
 
 def with_bucket(long_df: DataFrame, group_col: str, value_col: str, splits: dict,

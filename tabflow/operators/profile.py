@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions.exprs import finite_or_null, to_double
-from tabflow.functions.ranks import (DEFAULT_BUCKETS, bucket_probs, prefix_before,
+from tabflow.functions.ranks import (DEFAULT_BUCKETS, bucket_probs, buckets_for, prefix_before,
                                      splits_from_bounds, with_bucket)
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
@@ -43,6 +43,16 @@ def to_long(df: DataFrame, cols, name_col: str = "column_name", value_col: str =
 
 
 def _stats_pass(num: DataFrame, cols, n_buckets: int, accuracy: int):
+    """Moments and sketches of every column in one aggregate. If a column has more than
+    ``MAX_ROWS_PER_BUCKET`` rows per bucket, the pass is repeated with more buckets."""
+    row = _stats_once(num, cols, n_buckets, accuracy)
+    need = buckets_for(max([row[f"n{i}"] or 0 for i in range(len(cols))] or [0]), n_buckets)
+    if need > n_buckets:
+        row = _stats_once(num, cols, need, max(accuracy, 10 * need))
+    return row
+
+
+def _stats_once(num: DataFrame, cols, n_buckets: int, accuracy: int):
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
@@ -195,12 +205,13 @@ def columns_with_nulls(df: DataFrame, cols=None) -> DataFrame:
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """A5: count and share of each non-null value.
 
-    The share divides by a total taken over the *grouped* result (one row per distinct value,
-    e.g. per class), never over row-level data.
+    The total is one scalar (a count, pruned to the one column) used as a literal: no window
+    without partitioning and no cross join, whatever the number of distinct values.
     """
-    grouped = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
-    return grouped.withColumn("ratio", F.col("n") / total)
+    present = df.select(col).filter(F.col(col).isNotNull())
+    total = present.count()
+    grouped = present.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    return grouped.withColumn("ratio", F.col("n") / F.lit(float(total)) if total else F.lit(None).cast("double"))
 
 
 def category_counts(df: DataFrame, cols) -> DataFrame:

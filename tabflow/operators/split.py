@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 
 from tabflow.functions.exprs import portable_hash
 
-DEFAULT_BUCKET_BITS = 12
+# 2^16 buckets per class: a class of 10^12 rows gives window partitions of ~1.5·10^7 rows, and
+# the offsets table stays at most classes × 65,536 rows (AQE measures it before broadcasting).
+DEFAULT_BUCKET_BITS = 16
 
 
 def _keys(key) -> list[str]:

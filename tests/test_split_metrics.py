@@ -98,3 +98,11 @@ def test_flatten_report_names(spark):
     flat = M.flatten_report(M.class_report(df), models=["lr"])
     assert "lr_precision_class1" in flat.columns and "lr_f1_weighted_avg" in flat.columns
     assert flat.collect()[0]["lr_precision_class1"] == 0.5
+
+
+def test_bucket_count_grows_with_rows():
+    from tabflow.functions.ranks import MAX_BUCKETS, MAX_ROWS_PER_BUCKET, buckets_for
+    assert buckets_for(10_000) == 1024
+    b = buckets_for(10**10)
+    assert 10**10 / b <= MAX_ROWS_PER_BUCKET and b <= MAX_BUCKETS
+    assert buckets_for(10**15) == MAX_BUCKETS

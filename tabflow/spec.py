@@ -90,25 +90,25 @@ class StackSpec:
     mode: str = "full"  # "full": base models refitted on all of train; "last_fold" on request
 
 
-# Column roles of the heart-disease tables the original workflow harmonises.
-HEART_TARGET = "heart_disease"
-HEART_NUMERIC = ("age", "trestbps", "chol", "thalach", "oldpeak", "ca", "bmi")
-HEART_CATEGORICAL = ("sex", "cp", "restecg", "slope", "thal")
-HEART_BINARY = ("fbs", "exang", "smoking", "diabetes")
+# Column roles of the clinical risk tables the original workflow harmonises.
+RISK_TARGET = "heart_disease"
+RISK_NUMERIC = ("age", "trestbps", "chol", "thalach", "oldpeak", "ca", "bmi")
+RISK_CATEGORICAL = ("sex", "cp", "restecg", "slope", "thal")
+RISK_BINARY = ("fbs", "exang", "smoking", "diabetes")
 # The right-hand (UCI layout) source's renames, thal recoding and absent features.
-HEART_UCI_RENAME = {"thalch": "thalach", "num": "heart_disease", "target": "heart_disease"}
-HEART_THAL_RECODE = {0: 3, 1: 6, 2: 7}
-HEART_UCI_ADD = {"smoking": 0, "diabetes": 0, "bmi": 0}
+RISK_UCI_RENAME = {"thalch": "thalach", "num": "heart_disease", "target": "heart_disease"}
+RISK_THAL_RECODE = {0: 3, 1: 6, 2: 7}
+RISK_UCI_ADD = {"smoking": 0, "diabetes": 0, "bmi": 0}
 
 
-def heart_spec(key: tuple[str, ...] = ()) -> FeatureSpec:
-    return FeatureSpec(numeric=HEART_NUMERIC, categorical=HEART_CATEGORICAL, binary=HEART_BINARY,
-                       target=HEART_TARGET, lineage="source", key=key)
+def risk_spec(key: tuple[str, ...] = ()) -> FeatureSpec:
+    return FeatureSpec(numeric=RISK_NUMERIC, categorical=RISK_CATEGORICAL, binary=RISK_BINARY,
+                       target=RISK_TARGET, lineage="source", key=key)
 
 
-def heart_sources() -> tuple[SourceSpec, SourceSpec]:
+def risk_sources() -> tuple[SourceSpec, SourceSpec]:
     """The two sources of the original workflow: synthetic (kept tag) and UCI layout."""
     left = SourceSpec(name="Synthetic", rename={"target": "heart_disease"}, overwrite_tag=False)
-    right = SourceSpec(name="UCI", rename=HEART_UCI_RENAME, recode={"thal": HEART_THAL_RECODE},
-                       add=HEART_UCI_ADD, overwrite_tag=True)
+    right = SourceSpec(name="UCI", rename=RISK_UCI_RENAME, recode={"thal": RISK_THAL_RECODE},
+                       add=RISK_UCI_ADD, overwrite_tag=True)
     return left, right

@@ -14,7 +14,7 @@ from tabflow.plans import features as FE
 from tabflow.plans import runlog as RL
 from tabflow.plans import train as TR
 from tabflow.sources import io
-from tabflow.spec import FeatureSpec, heart_spec
+from tabflow.spec import FeatureSpec, risk_spec
 
 
 def test_scaler_population_std_and_constant(spark):
@@ -44,7 +44,7 @@ def test_unseen_category_is_all_zeros(spark):
     assert got == [[1, 0, 0], [0, 0, 0], [0, 0, 0]]
 
 
-def _heart_frame(spark, n=100, seed=7):
+def _risk_frame(spark, n=100, seed=7):
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
@@ -60,8 +60,8 @@ def _heart_frame(spark, n=100, seed=7):
 
 
 def test_model_schema_widths(spark):
-    spec = heart_spec(key=("id",))
-    df = _heart_frame(spark)
+    spec = risk_spec(key=("id",))
+    df = _risk_frame(spark)
     s = SP.stratified_split(df, "heart_disease", 0.2, 42, "id")
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     pre = FE.fit_preprocessor(spec, train)

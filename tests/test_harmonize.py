@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.sources.io import read_raw
-from tabflow.spec import heart_sources, heart_spec
+from tabflow.spec import risk_sources, risk_spec
 
 SYN_COLS = ("age sex cp trestbps chol fbs restecg thalach exang oldpeak slope ca thal smoking "
             "diabetes bmi heart_disease").split()
@@ -52,8 +52,8 @@ def test_read_raw_na_tokens(spark, tmp_dir):
 def test_harmonize_two_sources(spark, tmp_dir):
     syn = read_raw(spark, _csv(tmp_dir, "syn.csv", SYN_COLS, SYN_ROWS))
     uci = read_raw(spark, _csv(tmp_dir, "uci.csv", UCI_COLS, UCI_ROWS))
-    spec = heart_spec()
-    left, right = heart_sources()
+    spec = risk_spec()
+    left, right = risk_sources()
     hl, hr = H.harmonize(syn, left, spec), H.harmonize(uci, right, spec)
     assert hl.columns == hr.columns == list(spec.columns)
     r = {row.age: row for row in hr.collect()}
@@ -76,8 +76,8 @@ def test_combine_with_text_in_numeric(spark, tmp_dir):
     right_df = spark.createDataFrame(
         [(50, 120, 200, 150, 1.0, 0, 25, 1, 0, 0, 0, 3, 0, 0, 0, 0, 1, "Synthetic")],
         ", ".join(f"{c} {'double' if c == 'oldpeak' else 'string' if c == 'source' else 'int'}" for c in cols))
-    spec = heart_spec()
-    left, right = heart_sources()
+    spec = risk_spec()
+    left, right = risk_sources()
     out = C.clean(H.combine([(left_df, left), (right_df, right)], spec), spec)
     got = out.collect()
     assert len(got) == 5
@@ -113,8 +113,8 @@ def test_recode_large_dictionary_uses_join(spark):
 
 
 def test_union_filter_on_source_prunes_branch(spark):
-    spec = heart_spec()
-    left, right = heart_sources()
+    spec = risk_spec()
+    left, right = risk_sources()
     a = spark.createDataFrame([("60", "1")], "age string, heart_disease string")
     b = spark.createDataFrame([("50", "0")], "age string, num string")
     u = H.combine([(a, left), (b, right)], spec).filter(F.col("source") == "UCI")

@@ -5,7 +5,7 @@ import os
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.sources.io import read_raw
-from tabflow.spec import heart_sources, heart_spec
+from tabflow.spec import risk_sources, risk_spec
 from tabflow.streaming import ingest as S
 
 from test_harmonize import SYN_COLS, SYN_ROWS, UCI_COLS, UCI_ROWS
@@ -22,8 +22,8 @@ def test_stream_ingest_matches_batch(spark, tmp_dir):
     _write(syn_dir, SYN_COLS, SYN_ROWS[:2], "a.csv")
     _write(syn_dir, SYN_COLS, SYN_ROWS[2:], "b.csv")
     _write(uci_dir, UCI_COLS, UCI_ROWS, "a.csv")
-    spec = heart_spec()
-    left, right = heart_sources()
+    spec = risk_spec()
+    left, right = risk_sources()
     stream = S.combined_stream([(S.read_raw_stream(spark, syn_dir, SYN_COLS, 1), left),
                                 (S.read_raw_stream(spark, uci_dir, UCI_COLS, 1), right)], spec)
     q = S.start_ingest(stream, out, name="test_ingest", checkpoint=f"{tmp_dir}/ckpt")

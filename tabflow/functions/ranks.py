@@ -49,21 +49,23 @@ def splits_from_bounds(bounds) -> list[float]:
 
 
 def approx_splits(long_df: DataFrame, group_col: str, value_col: str,
-                  n_buckets: int = DEFAULT_BUCKETS, accuracy: int | None = None) -> dict:
-    """One pass: per group, the sketch split points (and row count). Returns {group: splits}.
-
-    If the largest group has more than ``MAX_ROWS_PER_BUCKET`` rows per bucket, the sketch is
-    taken again with enough buckets (only at large scale; one pass otherwise)."""
-    while True:
-        acc = accuracy or max(10000, 10 * n_buckets)
-        rows = (long_df.groupBy(group_col)
-                .agg(F.percentile_approx(value_col, bucket_probs(n_buckets), acc).alias("b"),
-                     F.count(value_col).alias("n"))
-                .collect())
-        need = buckets_for(max([r["n"] for r in rows] or [0]), n_buckets)
-        if need <= n_buckets:
-            return {r[0]: splits_from_bounds(r["b"]) for r in rows}
-        n_buckets = need
+                  n_buckets: int | None = None, accuracy: int | None = None) -> dict:
+    """Per group, range split points. Returns {group: splits}.
+
+    The bucket count follows the data: a count per group comes first, and only groups too big
+    for one bucket (more than ``MAX_ROWS_PER_BUCKET`` rows) pay for a sketch pass, with enough
+    buckets to bring every bucket under that bound. ``n_buckets`` forces a bucket count.
+    """
+    if n_buckets is None:
+        counts = long_df.groupBy(group_col).agg(F.count(value_col).alias("n")).collect()
+        n_buckets = buckets_for(max([r["n"] for r in counts] or [0]), 1)
+        if n_buckets == 1:
+            return {r[0]: [-INF, INF] for r in counts}
+    acc = accuracy or max(10000, 10 * n_buckets)
+    rows = (long_df.groupBy(group_col)
+            .agg(F.percentile_approx(value_col, bucket_probs(n_buckets), acc).alias("b"))
+            .collect())
+    return {r[0]: splits_from_bounds(r["b"]) for r in rows}
 
 
 def with_bucket(long_df: DataFrame, group_col: str, value_col: str, splits: dict,
@@ -74,8 +76,11 @@ def with_bucket(long_df: DataFrame, group_col: str, value_col: str, splits: dict
     apply a different split array per group.
     """
     groups = list(splits)
-    if not groups:
-        return long_df.withColumn(out_col, F.lit(None).cast("int"))
+    if not groups or all(len(splits[g]) < 3 for g in groups):
+        # one bucket per group: no lookup at all
+        return long_df.withColumn(out_col, F.when(F.col(value_col).isNotNull(), F.lit(0)))
+    # Bucketizer needs two buckets or more; an extra split point only makes buckets finer
+    splits = {g: (sp if len(sp) >= 3 else [-INF, 0.0, INF]) for g, sp in splits.items()}
     ins = [f"_bv{i}" for i in range(len(groups))]
     outs = [f"_bb{i}" for i in range(len(groups))]
     staged = long_df.withColumns({

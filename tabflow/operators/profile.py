@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions.exprs import finite_or_null, to_double
-from tabflow.functions.ranks import (DEFAULT_BUCKETS, bucket_probs, buckets_for, prefix_before,
+from tabflow.functions.ranks import (bucket_probs, buckets_for, prefix_before,
                                      splits_from_bounds, with_bucket)
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
@@ -42,14 +42,17 @@ def to_long(df: DataFrame, cols, name_col: str = "column_name", value_col: str =
     return df.unpivot([], list(cols), name_col, value_col)
 
 
-def _stats_pass(num: DataFrame, cols, n_buckets: int, accuracy: int):
-    """Moments and sketches of every column in one aggregate. If a column has more than
-    ``MAX_ROWS_PER_BUCKET`` rows per bucket, the pass is repeated with more buckets."""
-    row = _stats_once(num, cols, n_buckets, accuracy)
-    need = buckets_for(max([row[f"n{i}"] or 0 for i in range(len(cols))] or [0]), n_buckets)
-    if need > n_buckets:
-        row = _stats_once(num, cols, need, max(accuracy, 10 * need))
-    return row
+def _stats_pass(num: DataFrame, cols, n_buckets: int | None, accuracy: int | None):
+    """Moments of every column in one aggregate; the range sketch is added only when some
+    column has more rows than one bucket may hold (then in the same aggregate, rerun), or when
+    ``n_buckets`` forces it. Returns (row, n_buckets)."""
+    if n_buckets is None:
+        row = _stats_once(num, cols, 1, 0)
+        n_buckets = buckets_for(max([row[f"n{i}"] or 0 for i in range(len(cols))] or [0]), 1)
+        if n_buckets == 1:
+            return row, 1
+    acc = accuracy or max(10000, 10 * n_buckets)
+    return _stats_once(num, cols, n_buckets, acc), n_buckets
 
 
 def _stats_once(num: DataFrame, cols, n_buckets: int, accuracy: int):
@@ -91,26 +94,35 @@ def _values_at_ranks(long_b: DataFrame, wanted: dict) -> dict:
     return out
 
 
-def exact_quantiles(df: DataFrame, cols, probs=DESCRIBE_PROBS, n_buckets: int = DEFAULT_BUCKETS,
+def exact_quantiles(df: DataFrame, cols, probs=DESCRIBE_PROBS, n_buckets: int | None = None,
                     accuracy: int | None = None, stats=None) -> tuple[dict, object]:
     """Exact linear-interpolated quantiles (``quantile_cont``) of each column.
 
-    Three scans whatever the size: sketch + moments, counts per range bucket, and one window
-    over only the buckets that hold a wanted rank. Returns ({column: [q...]}, stats row).
+    Small columns (≤ ``MAX_ROWS_PER_BUCKET`` values): moments, then one window over each
+    column's distinct values. Larger ones: moments + sketch, counts per range bucket, and one
+    window over only the buckets that hold a wanted rank. Returns ({column: [q...]}, stats row).
     """
     cols = list(cols)
-    acc = accuracy or max(10000, 10 * n_buckets)
     num = numeric_view(df, cols)
-    row = stats if stats is not None else _stats_pass(num, cols, n_buckets, acc)
-    splits = {c: splits_from_bounds(row[f"b{i}"]) for i, c in enumerate(cols)}
-    long_b = with_bucket(to_long(num, cols).filter(F.col("value").isNotNull()),
-                         "column_name", "value", splits)
-    counts = (long_b.groupBy("column_name", "_bucket")
-              .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("lo"),
-                   F.max("value").alias("hi")).collect())
+    if stats is not None:
+        row, n_buckets = stats
+    else:
+        row, n_buckets = _stats_pass(num, cols, n_buckets, accuracy)
+    long = to_long(num, cols).filter(F.col("value").isNotNull())
     per_col: dict[str, list] = {c: [] for c in cols}
-    for r in counts:
-        per_col[r["column_name"]].append((r["_bucket"], r["cnt"], r["lo"], r["hi"]))
+    if n_buckets == 1:
+        long_b = long.withColumn("_bucket", F.lit(0))
+        for i, c in enumerate(cols):
+            if row[f"n{i}"]:
+                per_col[c].append((0, row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]))
+    else:
+        splits = {c: splits_from_bounds(row[f"b{i}"]) for i, c in enumerate(cols)}
+        long_b = with_bucket(long, "column_name", "value", splits)
+        counts = (long_b.groupBy("column_name", "_bucket")
+                  .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("lo"),
+                       F.max("value").alias("hi")).collect())
+        for r in counts:
+            per_col[r["column_name"]].append((r["_bucket"], r["cnt"], r["lo"], r["hi"]))
     targets: dict[str, list] = {}
     wanted: dict = {}
     known: dict = {}
@@ -154,13 +166,12 @@ def exact_quantiles(df: DataFrame, cols, probs=DESCRIBE_PROBS, n_buckets: int =
     return result, row
 
 
-def describe_exact(df: DataFrame, cols, n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def describe_exact(df: DataFrame, cols, n_buckets: int | None = None) -> DataFrame:
     """A1: count, mean, sample std, min, exact 25/50/75 %, max per column, one row per column."""
     cols = list(cols)
-    acc = max(10000, 10 * n_buckets)
     num = numeric_view(df, cols)
-    row = _stats_pass(num, cols, n_buckets, acc)
-    qs, _ = exact_quantiles(df, cols, DESCRIBE_PROBS, n_buckets, acc, stats=row)
+    row, b = _stats_pass(num, cols, n_buckets, None)
+    qs, _ = exact_quantiles(df, cols, DESCRIBE_PROBS, b, stats=(row, b))
     rows = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *qs[c], row[f"hi{i}"])
             for i, c in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.functions.ranks import DEFAULT_BUCKETS, approx_splits, prefix_before, with_bucket
+from tabflow.functions.ranks import approx_splits, prefix_before, with_bucket
 
 # Flattened report names, as the run record spells them.
 REPORT_CLASSES = ("class0", "class1", "macro_avg", "weighted_avg")
@@ -53,13 +53,14 @@ def binary_metrics(scores: DataFrame, model: str = "model", label: str = "label"
 
 
 def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score: str = "score",
-            n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC per model, ties counted half (Mann-Whitney); one class only → NULL.
 
     ``AUC = Σ_s pos(s)·(neg_below(s) + neg(s)/2) / (P·N)`` over distinct scores. Scores collapse
     to distinct values first (ties and hot values become one row); ``neg_below`` is a two-level
-    prefix sum: bucket totals (``models × B`` rows) plus a window inside each bucket.
-    Persist ``scores`` first when it is expensive: it is read twice (sketch, then sums).
+    prefix sum: bucket totals (``models × B`` rows) plus a window inside each bucket, with ``B``
+    chosen from the number of distinct scores (see ``ranks.approx_splits``).
+    Persist ``scores`` first when it is expensive: it is read twice (bucket choice, then sums).
     """
     y = F.col(label)
     d = scores.groupBy(model, score).agg(F.count_if(y == 1).alias("_pos"),

@@ -47,9 +47,10 @@ class PenalizedLogit(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol, H
     @keyword_only
     def __init__(self, C=1.0, featuresCol="features", labelCol="label", predictionCol="prediction",
                  probabilityCol="probability", rawPredictionCol="rawPrediction", maxIter=1000,
-                 tol=1e-6, penalizeIntercept=False):
+                 tol=1e-4, penalizeIntercept=False):
         super().__init__()
-        self._setDefault(C=1.0, maxIter=1000, tol=1e-6, penalizeIntercept=False)
+        # tol 1e-4 and maxIter 1000: the original solver's defaults as it was configured
+        self._setDefault(C=1.0, maxIter=1000, tol=1e-4, penalizeIntercept=False)
         self._set(**self._input_kwargs)
 
     def setC(self, v):

@@ -79,12 +79,15 @@ def _values_at_ranks(long_b: DataFrame, wanted: dict) -> dict:
                 .agg(F.count(F.lit(1)).alias("cnt")))
     ranked = prefix_before(distinct, ["column_name", "_bucket"], "value", "cnt", "start")
     ranked = ranked.withColumn("end", F.col("start") + F.col("cnt"))
+    # plain comparisons (at most a few ranks per column) stay in whole-stage codegen
     pick = None
     for (c, b), ranks in wanted.items():
-        arr = F.array(*[F.lit(int(r)) for r in sorted(ranks)])
         here = (F.col("column_name") == F.lit(c)) & (F.col("_bucket") == F.lit(b))
-        hit = F.exists(arr, lambda r: (r >= F.col("start")) & (r < F.col("end")))
-        pick = F.when(here, hit) if pick is None else pick.when(here, hit)
+        hit = None
+        for r in sorted(ranks):
+            t = (F.col("start") <= F.lit(int(r))) & (F.col("end") > F.lit(int(r)))
+            hit = t if hit is None else hit | t
+        pick = (here & hit) if pick is None else pick | (here & hit)
     rows = ranked.filter(pick).select("column_name", "_bucket", "value", "start", "end").collect()
     out = {}
     for r in rows:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.functions.ranks import approx_splits, prefix_before, with_bucket
+from tabflow.sources.io import materialize
 
 # Flattened report names, as the run record spells them.
 REPORT_CLASSES = ("class0", "class1", "macro_avg", "weighted_avg")
@@ -60,11 +61,12 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
     to distinct values first (ties and hot values become one row); ``neg_below`` is a two-level
     prefix sum: bucket totals (``models × B`` rows) plus a window inside each bucket, with ``B``
     chosen from the number of distinct scores (see ``ranks.approx_splits``).
-    Persist ``scores`` first when it is expensive: it is read twice (bucket choice, then sums).
+    The distinct-score table is written once to the shared checkpoint folder, so ``scores`` (often
+    a model's ``transform``) is computed once although the table is read twice.
     """
     y = F.col(label)
-    d = scores.groupBy(model, score).agg(F.count_if(y == 1).alias("_pos"),
-                                         F.count_if(y == 0).alias("_neg"))
+    d = materialize(scores.groupBy(model, score).agg(F.count_if(y == 1).alias("_pos"),
+                                                     F.count_if(y == 0).alias("_neg")), "auc-scores")
     splits = approx_splits(d, model, score, n_buckets)
     db = with_bucket(d, model, score, splits)
     tot = db.groupBy(model, "_bucket").agg(F.sum("_neg").alias("_bneg"))

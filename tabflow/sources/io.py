@@ -126,6 +126,18 @@ def checkpointed(df: DataFrame, base_path: str, key: str | None = None) -> DataF
     return spark.read.parquet(path)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result once under the shared checkpoint folder (a run-scoped path)
+    and read it back: later passes read it instead of recomputing its lineage, and a lost
+    executor costs a re-read, not a recomputation from the sources."""
+    import uuid
+
+    from tabflow.session import checkpoint_dir
+    path = f"{checkpoint_dir(df.sparkSession)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_model(model: PipelineModel, df: DataFrame, path: str, n_example: int = 5) -> None:
     """Store a fitted pipeline with a small input example and its schema."""
     model.write().overwrite().save(f"{path}/model")

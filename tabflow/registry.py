@@ -323,7 +323,14 @@ def q_histogram(spark, sf_dir):
     return _r6(h, ["lo", "hi"]).withColumn("n", F.col("n").cast("bigint"))
 
 
-@register("schema_info")
+@register("schema_info", f"""
+SELECT column_name, CASE dt WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string'
+                    WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint' END AS type,
+       CAST(non_null AS BIGINT) AS non_null
+FROM (UNPIVOT (SELECT any_value(typeof(l_quantity)) AS l_quantity, any_value(typeof(l_extendedprice)) AS l_extendedprice, any_value(typeof(l_discount)) AS l_discount, any_value(typeof(l_tax)) AS l_tax, any_value(typeof(linenumber)) AS linenumber, any_value(typeof(returnflag)) AS returnflag, any_value(typeof(l_linestatus)) AS l_linestatus FROM {_LINE_SQL}) ON COLUMNS(*) INTO NAME column_name VALUE dt)
+JOIN (UNPIVOT (SELECT count(l_quantity) AS l_quantity, count(l_extendedprice) AS l_extendedprice, count(l_discount) AS l_discount, count(l_tax) AS l_tax, count(linenumber) AS linenumber, count(returnflag) AS returnflag, count(l_linestatus) AS l_linestatus FROM {_LINE_SQL}) ON COLUMNS(*) INTO NAME column_name VALUE non_null)
+USING (column_name)
+""")
 def q_schema_info(spark, sf_dir):
     """Column, type, non-missing count."""
     return P.schema_info(lineitem_holes(spark, sf_dir))

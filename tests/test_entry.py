@@ -2,7 +2,7 @@
 
 import __spark_entry__ as E
 
-ROWS_ONLY = {"describe_approx", "schema_info", "model_lr_coefficients", "model_rf_importances",
+ROWS_ONLY = {"describe_approx", "model_lr_coefficients", "model_rf_importances",
              "model_gbt_evaluate", "model_search", "model_cv_score", "stack_evaluate",
              "tree_contributions", "workflow_run"}
 

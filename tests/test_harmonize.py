@@ -120,3 +120,25 @@ def test_union_filter_on_source_prunes_branch(spark):
     u = H.combine([(a, left), (b, right)], spec).filter(F.col("source") == "UCI")
     plan = u._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1  # the other source was removed by the optimizer
+
+
+def test_write_table_partitioned_by_source(spark, tmp_dir):
+    from tabflow.sources.io import write_table
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "x int, source string")
+    write_table(df, f"{tmp_dir}/t")
+    assert sorted(os.listdir(f"{tmp_dir}/t"))[:2] == ["_SUCCESS", "source=a"] or \
+        "source=a" in os.listdir(f"{tmp_dir}/t")
+    back = spark.read.parquet(f"{tmp_dir}/t")
+    assert back.filter("source = 'a'").count() == 2
+    write_table(df, f"{tmp_dir}/one.csv", fmt="csv", single_file=True)
+    assert len([f for f in os.listdir(f"{tmp_dir}/one.csv") if f.startswith("part-")]) == 1
+
+
+def test_checkpointed_reuses_by_fingerprint(spark, tmp_dir):
+    from tabflow.sources.io import checkpointed, fingerprint
+    df = spark.range(10).withColumn("y", F.col("id") * 2)
+    a = checkpointed(df, f"{tmp_dir}/cache")
+    b = checkpointed(df, f"{tmp_dir}/cache")
+    assert a.inputFiles() == b.inputFiles() and a.count() == 10
+    other = spark.range(11)
+    assert fingerprint(other) != fingerprint(df)

@@ -131,6 +131,14 @@ def fit_preprocessor(spec: FeatureSpec, train: DataFrame, output_col: str = "fea
 
     The imputer is fitted first so that a numeric column with no values at all is dropped
     from the vector instead of failing the assembler."""
+    if spec.categorical:
+        # StringIndexer brings every category to the driver; check the cardinality first with a
+        # mergeable sketch, so an identifier column fails here instead of flooding the driver.
+        card = train.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in spec.categorical]).first()
+        wide = {c: card[c] for c in spec.categorical if card[c] > MAX_CATEGORIES}
+        if wide:
+            raise ValueError(f"categorical columns above {MAX_CATEGORIES} values: {wide}; "
+                             "they are probably identifiers")
     stages = []
     kept = []
     if spec.numeric:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.sources.io import read_table
+from tabflow.sources.io import materialize, read_table
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.spec import FeatureSpec, SourceSpec
@@ -688,7 +688,9 @@ def doc_model_frames(spark, sf_dir):
     train_x = SP.stratified_folds(pre.transform(train), "label", MODEL_FOLDS, 42, "row_id") \
         .select("row_id", "label", "features", "fold")
     test_x = pre.transform(test).select("row_id", "label", "features")
-    return train_x, test_x, FE.slot_names(pre, spec)
+    # every model fit below is many Spark jobs over these frames: write them once
+    return (materialize(train_x, "doc-train"), materialize(test_x, "doc-test"),
+            FE.slot_names(pre, spec))
 
 
 @register("model_lr_coefficients")

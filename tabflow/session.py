@@ -54,7 +54,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     fallback set. On a cluster the deployment names a shared file system folder there, so a lost
     executor never takes a materialised stage with it.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    current = (spark.sparkContext.getCheckpointDir()
+               or spark.conf.get("spark.checkpoint.dir", None)
+               or spark.sparkContext.getConf().get("spark.checkpoint.dir", None))
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)

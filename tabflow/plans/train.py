@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import random
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -160,29 +161,73 @@ def _describe_map(pm: dict) -> dict:
     return {p.name: str(v) for p, v in pm.items()}
 
 
+@dataclass
+class SearchResult:
+    """Outcome of one family's search: the best candidate refitted on all rows, every
+    candidate's fold metrics, the best unfitted estimator, and the best candidate's out-of-fold
+    scores ``(row_id, label, model, score)`` (each row scored once, by the model that did not
+    see it), which stacking reuses instead of refitting."""
+
+    best_model: object
+    results: DataFrame
+    best_estimator: object
+    oof: DataFrame
+
+
 def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: str = "fold",
            label: str = "label", features: str = "features", n_iter: int | None = None,
-           seed: int = 42, parallelism: int = 2, preprocessor: Pipeline | None = None):
-    """Search one family by cross-validated AUC over fixed folds; the best candidate
-    is refitted on all of ``df``. With ``preprocessor``, it is refitted inside every fold (no
-    leakage into the validation fold); without, ``df`` carries a ready ``features`` column.
-
-    Returns (best model, results DataFrame ``(model, params, mean_auc, std_auc, is_best)``,
-    best unfitted estimator: the family's estimator with the winning parameters, for refits).
+           seed: int = 42, parallelism: int = 4, preprocessor: Pipeline | None = None,
+           row_id: str = "row_id") -> SearchResult:
+    """Search one family by cross-validated AUC over fixed stratified folds.
+
+    Every (candidate, fold) model is fitted on the other folds (``parallelism`` fits submitted at
+    once, as ``CrossValidator`` does) and scores its held-out fold. All validation scores are
+    written once, and every (candidate, fold) AUC comes from one grouped exact-AUC job instead of
+    one evaluation job per pair. The best candidate (highest mean AUC) is refitted on all of
+    ``df``. With ``preprocessor`` it is refitted inside every fold (no leakage into the
+    validation fold); without, ``df`` carries a ready ``features`` column.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabflow.plans.metrics import roc_auc
+    from tabflow.sources.io import materialize
+
     est = make_estimator(name, {}, seed, label, features)
     maps = sample_grid(param_maps(name, est, grid), n_iter, seed)
     target = Pipeline(stages=[preprocessor, est]) if preprocessor is not None else est
-    cv = CrossValidator(estimator=target, estimatorParamMaps=maps, evaluator=auc_evaluator(label),
-                        numFolds=k, foldCol=fold_col, parallelism=parallelism, seed=seed)
-    cvm = cv.fit(df)
-    means, stds = list(cvm.avgMetrics), list(cvm.stdMetrics)
-    best = max(range(len(maps)), key=lambda i: means[i])
-    rows = [(name, _describe_map(pm), float(means[i]), float(stds[i]), i == best)
-            for i, pm in enumerate(maps)]
+    n_cand = len(maps)
+
+    def fold_scores(task):
+        i, j = task
+        model = target.copy(maps[j]).fit(df.filter(F.col(fold_col) != i))
+        scored = positive_score(model.transform(df.filter(F.col(fold_col) == i)))
+        return scored.select(row_id, F.col(label).cast("int").alias("label"),
+                             F.lit(j * k + i).alias("_cf"), "score")
+
+    tasks = [(i, j) for i in range(k) for j in range(n_cand)]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(fold_scores, tasks))
+    val = parts[0]
+    for p in parts[1:]:
+        val = val.unionByName(p)
+    val = materialize(val, f"cv-{name}")
+    aucs = {r["_cf"]: r["roc_auc"] for r in roc_auc(val, model="_cf").collect()}
+    means, stds = [], []
+    for j in range(n_cand):
+        fold_auc = [aucs.get(j * k + i) for i in range(k)]
+        fold_auc = [a for a in fold_auc if a is not None]
+        m = sum(fold_auc) / len(fold_auc) if fold_auc else float("nan")
+        means.append(m)
+        stds.append((sum((a - m) ** 2 for a in fold_auc) / len(fold_auc)) ** 0.5 if fold_auc else float("nan"))
+    best = max(range(n_cand), key=lambda j: (means[j], -j))
+    rows = [(name, _describe_map(pm), float(means[j]), float(stds[j]), j == best)
+            for j, pm in enumerate(maps)]
     results = df.sparkSession.createDataFrame(
         rows, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
-    return cvm.bestModel, results, target.copy(maps[best])
+    best_est = target.copy(maps[best])
+    oof = val.filter((F.col("_cf") >= best * k) & (F.col("_cf") < (best + 1) * k)) \
+        .select(row_id, "label", F.lit(name).alias("model"), "score")
+    return SearchResult(best_est.fit(df), results, best_est, oof)
 
 
 def cv_score(estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label"):

@@ -56,7 +56,7 @@ class RunResult:
 def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec,
         grids=DEFAULT_GRIDS, k: int = 5, test_frac: float = 0.2, seed: int = 42,
         stack: StackSpec | None = StackSpec(), out_dir: str | None = None, profile: bool = True,
-        parallelism: int = 2, mode: str = "local") -> RunResult:
+        parallelism: int = 4, mode: str = "local") -> RunResult:
     if not spec.key:
         raise ValueError("FeatureSpec.key is required: splits and folds are placed by key hash")
     timer = RL.StageTimer()
@@ -90,11 +90,13 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     models, best_est, results, scores = {}, {}, [], []
     params: dict[str, str] = {}
     with timer.stage("search"):
+        oof = {}
         for g in grids:
-            best, res, est = TR.search(g.model, train_x, g.grid, k, n_iter=g.n_iter, seed=g.seed,
-                                       parallelism=parallelism)
-            models[g.model], best_est[g.model] = best, est
-            results.append(res)
+            sr = TR.search(g.model, train_x, g.grid, k, n_iter=g.n_iter, seed=g.seed,
+                           parallelism=parallelism)
+            best, est = sr.best_model, sr.best_estimator
+            models[g.model], best_est[g.model], oof[g.model] = best, est, sr.oof
+            results.append(sr.results)
             params[f"{g.model}_best_params"] = str({p.name: v for p, v in est.extractParamMap().items()
                                                    if p.name in TUNED})
             scores.append(TR.predict(best, test_x, ["row_id"], name=g.model))
@@ -104,11 +106,20 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         search_results = search_results.unionByName(r)
 
     if stack is not None:
-        stack_base = {n: e for n, e in best_est.items() if n in stack.base}
-        if len(stack_base) >= 2:
+        names_in = [n for n in models if n in stack.base]
+        if len(names_in) >= 2:
             with timer.stage("stack"):
-                _, _, stacked = EN.run_stack(stack_base, train_x, test_x, k, C=stack.meta_C,
-                                             mode=stack.mode)
+                if stack.mode == "full":
+                    # out-of-fold scores come from the search's held-out predictions and the base
+                    # models are the searched refits: only the meta model is fitted here
+                    oof_long = oof[names_in[0]]
+                    for n in names_in[1:]:
+                        oof_long = oof_long.unionByName(oof[n])
+                    meta = EN.fit_stack(oof_long, names_in, stack.meta_C)
+                    stacked = EN.stacked_scores(meta, {n: models[n] for n in names_in}, test_x)
+                else:
+                    _, _, stacked = EN.run_stack({n: best_est[n] for n in names_in}, train_x, test_x,
+                                                 k, C=stack.meta_C, mode=stack.mode)
                 scores.append(stacked)
 
     all_scores = scores[0]
@@ -120,9 +131,10 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         metrics.count()
         report.count()
 
-    with timer.stage("cv"):
-        cv_rows = [(name, *TR.cv_score(est, train_x, k)) for name, est in best_est.items()]
-        cv = spark.createDataFrame(cv_rows, "model string, cv_mean_auc double, cv_std_auc double")
+    # M7: the final cross-validated AUC of each chosen model is its search row (same folds,
+    # same estimator), so it is read, not recomputed
+    cv = search_results.filter("is_best").select(
+        "model", F.col("mean_auc").alias("cv_mean_auc"), F.col("std_auc").alias("cv_std_auc"))
 
     explanations = {}
     with timer.stage("explain"):

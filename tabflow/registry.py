@@ -723,9 +723,7 @@ def q_model_gbt(spark, sf_dir):
 def q_model_search(spark, sf_dir):
     """Cross-validated grid search over fixed stratified folds, best refitted."""
     train, _, _ = doc_model_frames(spark, sf_dir)
-    train = train.persist()
-    _, results, _ = TR.search("lr", train, {"C": [0.1, 1.0]}, k=MODEL_FOLDS, n_iter=20)
-    return results
+    return TR.search("lr", train, {"C": [0.1, 1.0]}, k=MODEL_FOLDS, n_iter=20).results
 
 
 @register("model_cv_score")
@@ -740,7 +738,6 @@ def q_model_cv(spark, sf_dir):
 def q_stack(spark, sf_dir):
     """ST1-ST5: out-of-fold base scores → meta logistic model → stacked test metrics."""
     train, test, _ = doc_model_frames(spark, sf_dir)
-    train = train.persist()
     est = {"lr": TR.make_estimator("lr", {"C": 1.0}),
            "rf": TR.make_estimator("rf", {"n_estimators": 10, "max_depth": 4})}
     _, _, stacked = EN.run_stack(est, train, test, MODEL_FOLDS)

@@ -17,15 +17,19 @@ from tabflow.plans.train import PenalizedLogit, positive_score
 
 
 def oof_scores(estimators: dict, df: DataFrame, k: int, fold_col: str = "fold",
-               row_id: str = "row_id", label: str = "label") -> DataFrame:
-    """ST1: for each model and fold i, fit on folds ≠ i and score fold i; one long union."""
-    parts = []
-    for name, est in estimators.items():
-        for i in range(k):
-            fitted = est.fit(df.filter(F.col(fold_col) != i))
-            scored = positive_score(fitted.transform(df.filter(F.col(fold_col) == i)))
-            parts.append(scored.select(row_id, F.col(label).cast("int").alias("label"),
-                                       F.lit(name).alias("model"), "score"))
+               row_id: str = "row_id", label: str = "label", parallelism: int = 4) -> DataFrame:
+    """ST1: for each model and fold i, fit on folds ≠ i and score fold i; one long union.
+    ``parallelism`` fits are submitted at once (each is a distributed Spark job)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    def one(task):
+        name, i = task
+        fitted = estimators[name].fit(df.filter(F.col(fold_col) != i))
+        scored = positive_score(fitted.transform(df.filter(F.col(fold_col) == i)))
+        return scored.select(row_id, F.col(label).cast("int").alias("label"),
+                             F.lit(name).alias("model"), "score")
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, [(n, i) for n in estimators for i in range(k)]))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -71,11 +75,13 @@ def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_
     """ST1-ST4 end to end. ``mode='full'`` refits each base model on all of train for the test
     scores; ``'last_fold'`` reuses the model of the last out-of-fold fit (the original's
     behaviour, kept only on request). Returns (meta model, base models, stacked test scores)."""
+    from concurrent.futures import ThreadPoolExecutor
     names = list(estimators)
     oof = oof_scores(estimators, train, k, fold_col, row_id, label)
     meta = fit_stack(oof, names, C, row_id)
     if mode == "full":
-        base = {n: e.fit(train) for n, e in estimators.items()}
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            base = dict(zip(names, pool.map(lambda n: estimators[n].fit(train), names)))
     elif mode == "last_fold":
         base = {n: e.fit(train.filter(F.col(fold_col) != k - 1)) for n, e in estimators.items()}
     else:

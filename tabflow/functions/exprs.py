@@ -34,9 +34,15 @@ def finite_or_null(x: Column) -> Column:
 
 
 def to_double(df_schema, c: str) -> Column:
-    """``parse_number`` that skips the text round trip when the column is already numeric."""
-    from pyspark.sql.types import NumericType, BooleanType
+    """``parse_number`` that skips the text round trip when the column is already numeric.
+
+    Integral and decimal columns cannot hold NaN or infinity, so they only get a cast, which the
+    optimizer unwraps again in comparisons: a filter on the harmonised column still reaches the
+    parquet scan as a pushed filter. Only float/double columns need the NaN/infinity guard."""
+    from pyspark.sql.types import BooleanType, DecimalType, IntegralType, NumericType
     dtype = df_schema[c].dataType
+    if isinstance(dtype, (IntegralType, DecimalType)):
+        return F.col(c).cast("double")
     if isinstance(dtype, NumericType):
         return finite_or_null(F.col(c))
     if isinstance(dtype, BooleanType):

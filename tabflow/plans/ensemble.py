@@ -70,6 +70,36 @@ def stacked_scores(meta, base_models: dict, df: DataFrame, row_id: str = "row_id
                          "score", F.col("prediction").cast("int").alias("prediction"))
 
 
+def stack_cv(oof_long: DataFrame, names, k: int, C: float = 1.0, fold_col: str = "fold",
+             row_id: str = "row_id", parallelism: int = 4):
+    """Cross-validated AUC of the meta model on the out-of-fold score vectors: for each fold, the
+    meta model is fitted on the other folds' rows and scores the held-out one; all fold AUCs come
+    from one grouped job. Returns (mean, population std)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabflow.plans.metrics import roc_auc
+    from tabflow.sources.io import materialize
+    wide = (oof_long.groupBy(row_id, "label", fold_col).pivot("model", list(names))
+            .agg(F.first("score")))
+    x = materialize(VectorAssembler(inputCols=list(names), outputCol="features").transform(wide),
+                    "stack-cv")
+
+    def one(i):
+        meta = PenalizedLogit(C=C, labelCol="label", featuresCol="features").fit(
+            x.filter(F.col(fold_col) != i))
+        return positive_score(meta.transform(x.filter(F.col(fold_col) == i))) \
+            .select(row_id, "label", F.col(fold_col).alias("_fold"), "score")
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, range(k)))
+    val = parts[0]
+    for p in parts[1:]:
+        val = val.unionByName(p)
+    aucs = [r["roc_auc"] for r in roc_auc(val, model="_fold").collect() if r["roc_auc"] is not None]
+    mean = sum(aucs) / len(aucs) if aucs else float("nan")
+    std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5 if aucs else float("nan")
+    return mean, std
+
+
 def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_col: str = "fold",
               row_id: str = "row_id", label: str = "label", C: float = 1.0, mode: str = "full"):
     """ST1-ST4 end to end. ``mode='full'`` refits each base model on all of train for the test
@@ -89,5 +119,5 @@ def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_
     return meta, base, stacked_scores(meta, base, test, row_id, label)
 
 
-__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack",
+__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv",
            "PipelineModel"]

@@ -165,8 +165,8 @@ def _describe_map(pm: dict) -> dict:
 class SearchResult:
     """Outcome of one family's search: the best candidate refitted on all rows, every
     candidate's fold metrics, the best unfitted estimator, and the best candidate's out-of-fold
-    scores ``(row_id, label, model, score)`` (each row scored once, by the model that did not
-    see it), which stacking reuses instead of refitting."""
+    scores ``(row_id, label, model, score, fold)`` (each row scored once, by the model that did
+    not see it), which stacking reuses instead of refitting."""
 
     best_model: object
     results: DataFrame
@@ -226,7 +226,8 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
         rows, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
     best_est = target.copy(maps[best])
     oof = val.filter((F.col("_cf") >= best * k) & (F.col("_cf") < (best + 1) * k)) \
-        .select(row_id, "label", F.lit(name).alias("model"), "score")
+        .select(row_id, "label", F.lit(name).alias("model"), "score",
+                (F.col("_cf") - best * k).cast("int").alias(fold_col))
     return SearchResult(best_est.fit(df), results, best_est, oof)
 
 

@@ -88,6 +88,7 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         test_x = pre.transform(test).select(row_id, "label", "features")
 
     models, best_est, results, scores = {}, {}, [], []
+    stack_cv = None
     params: dict[str, str] = {}
     with timer.stage("search"):
         oof = {}
@@ -115,8 +116,9 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
                     oof_long = oof[names_in[0]]
                     for n in names_in[1:]:
                         oof_long = oof_long.unionByName(oof[n])
-                    meta = EN.fit_stack(oof_long, names_in, stack.meta_C)
+                    meta = EN.fit_stack(oof_long.drop("fold"), names_in, stack.meta_C)
                     stacked = EN.stacked_scores(meta, {n: models[n] for n in names_in}, test_x)
+                    stack_cv = EN.stack_cv(oof_long, names_in, k, stack.meta_C)
                 else:
                     _, _, stacked = EN.run_stack({n: best_est[n] for n in names_in}, train_x, test_x,
                                                  k, C=stack.meta_C, mode=stack.mode)
@@ -135,6 +137,9 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     # same estimator), so it is read, not recomputed
     cv = search_results.filter("is_best").select(
         "model", F.col("mean_auc").alias("cv_mean_auc"), F.col("std_auc").alias("cv_std_auc"))
+    if stack_cv is not None:
+        cv = cv.unionByName(spark.createDataFrame([("stacked", *stack_cv)],
+                                                  "model string, cv_mean_auc double, cv_std_auc double"))
 
     explanations = {}
     with timer.stage("explain"):

@@ -188,3 +188,23 @@ def test_append_run_twice(spark, tmp_dir):
     assert runs.count() == 2
     row = runs.first()
     assert row.metrics["lr_test_roc_auc"] == 0.85 and row.params["lr_best_params"] == "{'C': 1.0}"
+
+
+def test_workflow_end_to_end(spark, tmp_dir):
+    from tabflow.plans import workflow as WF
+    from tabflow.spec import GridSpec, SourceSpec, StackSpec
+    df = _risk_frame(spark, n=160, seed=11)
+    spec = risk_spec(key=("id",))
+    grids = (GridSpec("lr", {"C": [0.1, 1.0]}), GridSpec("rf", {"n_estimators": [5], "max_depth": [3]}))
+    res = WF.run(spark, [(df, SourceSpec(name="Synthetic"))], spec, grids=grids, k=3,
+                 stack=StackSpec(base=("lr", "rf")), out_dir=tmp_dir, profile=True)
+    models = {r.model for r in res.metrics.collect()}
+    assert models == {"lr", "rf", "lr_train", "rf_train", "stacked"}
+    cv = {r.model: r.cv_mean_auc for r in res.cv.collect()}
+    assert set(cv) == {"lr", "rf", "stacked"} and all(0 <= v <= 1 for v in cv.values())
+    rec = spark.read.parquet(f"{tmp_dir}/runs").collect()
+    assert len(rec) == 1 and "stacked_test_roc_auc" in rec[0].metrics
+    assert "lr_best_params" in rec[0].params and rec[0].total_runtime_seconds > 0
+    long = spark.read.parquet(f"{tmp_dir}/metrics")
+    assert long.filter("kind = 'cv' AND model = 'stacked'").count() == 1
+    assert res.profiles["describe"].count() == len(spec.numeric)

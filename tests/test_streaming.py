@@ -39,3 +39,31 @@ def test_stream_ingest_matches_batch(spark, tmp_dir):
                         out, name="test_ingest2", checkpoint=f"{tmp_dir}/ckpt")
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == 6
+
+
+def test_score_stream_matches_batch(spark, tmp_dir):
+    from pyspark.ml import PipelineModel
+    from pyspark.sql import functions as F
+
+    from tabflow.plans import features as FE
+    from tabflow.plans import train as TR
+    spec = risk_spec(key=("age",))
+    left, right = risk_sources()
+    syn_dir, uci_dir = f"{tmp_dir}/syn", f"{tmp_dir}/uci"
+    _write(syn_dir, SYN_COLS, SYN_ROWS, "a.csv")
+    _write(uci_dir, UCI_COLS, UCI_ROWS, "a.csv")
+    batch = C.clean(H.combine([(read_raw(spark, syn_dir), left), (read_raw(spark, uci_dir), right)], spec), spec) \
+        .withColumn("label", F.col("heart_disease").cast("double"))
+    pre = FE.fit_preprocessor(spec, batch)
+    clf = TR.make_estimator("lr", {"C": 1.0}).fit(pre.transform(batch))
+    model = PipelineModel(stages=list(pre.stages) + [clf])
+    stream = S.combined_stream([(S.read_raw_stream(spark, syn_dir, SYN_COLS), left),
+                                (S.read_raw_stream(spark, uci_dir, UCI_COLS), right)], spec)
+    scored = S.score_stream(model, stream, ["age", "source"])
+    out = f"{tmp_dir}/scored"
+    q = (scored.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", f"{tmp_dir}/ckpt2").trigger(availableNow=True).start())
+    q.awaitTermination(120)
+    got = {(r.age, r.source): r.score for r in spark.read.parquet(out).collect()}
+    want = {(r.age, r.source): r.score for r in TR.positive_score(model.transform(batch)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)

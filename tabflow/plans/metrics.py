@@ -69,10 +69,15 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
                                                      F.count_if(y == 0).alias("_neg")), "auc-scores")
     splits = approx_splits(d, model, score, n_buckets)
     db = with_bucket(d, model, score, splits)
-    tot = db.groupBy(model, "_bucket").agg(F.sum("_neg").alias("_bneg"))
-    before = Window.partitionBy(model).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    tot = tot.select(model, "_bucket", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
-    db = prefix_before(db.join(tot, [model, "_bucket"]), [model, "_bucket"], score, "_neg", "_nb")
+    if all(len(sp) < 3 for sp in splits.values()):
+        # every model fits in one bucket: no offsets to add
+        db = db.withColumn("_off", F.lit(0))
+    else:
+        tot = db.groupBy(model, "_bucket").agg(F.sum("_neg").alias("_bneg"))
+        before = Window.partitionBy(model).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        tot = tot.select(model, "_bucket", F.coalesce(F.sum("_bneg").over(before), F.lit(0)).alias("_off"))
+        db = db.join(tot, [model, "_bucket"])
+    db = prefix_before(db, [model, "_bucket"], score, "_neg", "_nb")
     agg = db.groupBy(model).agg(
         F.sum(F.col("_pos") * (F.col("_off") + F.col("_nb") + F.col("_neg") / 2.0)).alias("_num"),
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))

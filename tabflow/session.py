@@ -61,6 +61,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") and fallback is None:
+        # a folder on the driver's disk is invisible to executors on other machines
+        raise ValueError("set spark.checkpoint.dir to a folder on the shared file system")
     path = fallback or tempfile.mkdtemp(prefix="tabflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -50,9 +50,10 @@ def get_session(master: str | None = None, app_name: str = "tabflow",
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and materialised tables.
 
-    Read from ``spark.checkpoint.dir``; only when the session has none (local runs, tests) is a
-    fallback set. On a cluster the deployment names a shared file system folder there, so a lost
-    executor never takes a materialised stage with it.
+    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint folder). On a
+    cluster the deployment names a shared file-system folder there, so a lost executor never takes
+    a materialised stage with it; a cluster session without one is an error. Only local masters
+    (scripts, tests) get a fallback folder when none is set.
     """
     current = (spark.sparkContext.getCheckpointDir()
                or spark.conf.get("spark.checkpoint.dir", None)

@@ -604,7 +604,7 @@ def q_top_k(spark, sf_dir):
 
 
 @register("top_k_abs", """
-SELECT l_suppkey, round(sum(l_quantity * (l_discount - 0.05)), 6) AS effect FROM lineitem
+SELECT l_suppkey, round(sum(l_quantity * (l_discount - 0.05)), 6) + 0.0 AS effect FROM lineitem
 GROUP BY l_suppkey ORDER BY abs(effect) DESC, l_suppkey LIMIT 15
 """)
 def q_top_k_abs(spark, sf_dir):
@@ -650,7 +650,7 @@ slots AS (
   UNION ALL SELECT doc_id, 'source_' || coalesce(source, 'missing'), 1.0 FROM d
             WHERE coalesce(source, 'missing') IN (SELECT v FROM cats WHERE col = 'source')
   UNION ALL SELECT doc_id, 'toxic', CAST(coalesce(toxic, 0) AS DOUBLE) FROM d)
-SELECT doc_id, slot, round(value, 6) AS value FROM slots WHERE value <> 0
+SELECT doc_id, slot, round(value, 6) + 0.0 AS value FROM slots WHERE value <> 0
 """)
 def q_features_onehot(spark, sf_dir):
     """FE1-FE6, FE8: imputed + population-standardised numeric, alphabetical one-hot with unseen →
@@ -746,6 +746,7 @@ def q_stack(spark, sf_dir):
 
 
 LINEAR_COEFS = {"l_quantity": 0.02, "l_extendedprice": 0.00001, "l_discount": 3.0, "l_tax": -2.0}
+# "+ 0.0" in the oracles turns a rounded -0.0 into 0.0, as Spark's decimal rounding does.
 _CONTRIB_SQL = f"""(WITH m AS (SELECT avg(l_quantity) AS q, avg(l_extendedprice) AS e, avg(l_discount) AS d,
                          avg(l_tax) AS t FROM lineitem)
   SELECT {_LINE_KEY_SQL} AS row_id, 'l_quantity' AS feature, 0.02 * (l_quantity - q) AS contribution
@@ -764,7 +765,7 @@ def _line_contributions(spark, sf_dir):
 
 
 @register("linear_contributions", f"""
-SELECT row_id, feature, round(contribution, 6) AS contribution FROM {_CONTRIB_SQL}
+SELECT row_id, feature, round(contribution, 6) + 0.0 AS contribution FROM {_CONTRIB_SQL}
 """)
 def q_linear_contributions(spark, sf_dir):
     """Per-row additive attributions of a declared linear model over every lineitem row."""

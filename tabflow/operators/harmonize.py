@@ -18,6 +18,9 @@ from tabflow.spec import FeatureSpec, SourceSpec
 
 # Above this many keys a recode becomes a lookup join instead of a CASE chain.
 RECODE_CASE_LIMIT = 32
+# A lookup of at most this many entries is broadcast (its size is the dictionary's, known on the
+# driver); a larger one is joined by shuffle.
+RECODE_BROADCAST_MAX_KEYS = 1_000_000
 
 
 def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
@@ -45,8 +48,9 @@ def recode(df: DataFrame, c: str, mapping: dict[Any, Any]) -> DataFrame:
     """Recode one column by dictionary.
 
     Small dictionaries become a CASE chain (codegen, no join). A large one becomes a left join
-    against the mapping as a DataFrame; its size is the dictionary's, which the caller holds, so
-    it is bounded, and the join is left to the planner, which broadcasts it when it is small.
+    against the mapping as a DataFrame. Its size is the dictionary's, counted here on the driver,
+    so up to ``RECODE_BROADCAST_MAX_KEYS`` entries it is broadcast and the recoded table is never
+    shuffled; beyond that the join is left to the planner.
     """
     if c not in df.columns:
         return df
@@ -56,6 +60,8 @@ def recode(df: DataFrame, c: str, mapping: dict[Any, Any]) -> DataFrame:
     lookup = spark.createDataFrame(
         [(float(k), canonical_string(v)) for k, v in mapping.items()],
         "_recode_key double, _recode_val string")
+    if len(mapping) <= RECODE_BROADCAST_MAX_KEYS:
+        lookup = F.broadcast(lookup)
     keyed = df.withColumn("_recode_key", parse_number(c))
     cols = [F.col("_recode_val").alias(c) if x == c else F.col(x) for x in df.columns]
     return keyed.join(lookup, "_recode_key", "left").select(*cols)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabflow.functions.exprs import finite_or_null, to_double
+from tabflow.functions.exprs import to_double
 from tabflow.functions.ranks import (bucket_probs, buckets_for, prefix_before,
                                      splits_from_bounds, with_bucket)
 
@@ -316,4 +316,4 @@ def profile(df: DataFrame, numeric, categorical=(), exact: bool = True) -> dict:
 
 __all__ = ["describe_exact", "describe_approx", "null_counts", "total_nulls", "columns_with_nulls",
            "value_counts", "category_counts", "histogram", "schema_info", "row_count", "head_n",
-           "mean_std", "profile", "exact_quantiles", "to_long", "numeric_view", "finite_or_null"]
+           "mean_std", "profile", "exact_quantiles", "to_long", "numeric_view"]

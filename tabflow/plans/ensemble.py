@@ -7,7 +7,6 @@ distributed fits on one cached frame; each row is scored exactly once per model.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -119,5 +118,4 @@ def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_
     return meta, base, stacked_scores(meta, base, test, row_id, label)
 
 
-__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv",
-           "PipelineModel"]
+__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv"]

@@ -14,7 +14,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.sources.io import RUN_SCHEMA, append_run
+from tabflow.sources.io import append_run
 
 METRIC_COLS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
@@ -83,5 +83,4 @@ def append_records(record: DataFrame, long_metrics: DataFrame, path: str) -> Non
     long_metrics.write.mode("append").parquet(f"{path.rstrip('/')}/metrics")
 
 
-__all__ = ["StageTimer", "metrics_long", "report_long", "run_record", "new_run_id", "append_records",
-           "RUN_SCHEMA"]
+__all__ = ["StageTimer", "metrics_long", "report_long", "run_record", "new_run_id", "append_records"]

@@ -106,3 +106,39 @@ def test_bucket_count_grows_with_rows():
     b = buckets_for(10**10)
     assert 10**10 / b <= MAX_ROWS_PER_BUCKET and b <= MAX_BUCKETS
     assert buckets_for(10**15) == MAX_BUCKETS
+
+
+def test_auto_buckets_on_skewed_data(spark, monkeypatch):
+    """With a low per-bucket bound, 60k rows take the multi-bucket path automatically; a third
+    of the rows share one score value and one quantile value. Results stay exact."""
+    import numpy as np
+
+    from tabflow.functions import ranks
+    from tabflow.operators import profile as P
+    monkeypatch.setattr(ranks, "MAX_ROWS_PER_BUCKET", 5_000)
+    monkeypatch.setattr(P, "buckets_for", lambda n, b=1: ranks.buckets_for(n, b))
+    rnd = np.random.default_rng(9)
+    n = 60_000
+    score = np.where(rnd.random(n) < 1 / 3, 0.5, np.round(rnd.random(n), 4))
+    label = (rnd.random(n) < 0.2 + 0.6 * score).astype(int)
+    df = spark.createDataFrame([("m", i, int(y), float(s)) for i, (y, s) in enumerate(zip(label, score))],
+                               "model string, row_id int, label int, score double").persist()
+    splits = ranks.approx_splits(df, "model", "score")
+    assert len(splits["m"]) > 3  # more than one bucket was chosen
+    got = M.roc_auc(df).collect()[0].roc_auc
+    # reference: rank formula with average ranks
+    order = np.argsort(score, kind="mergesort")
+    s_sorted = score[order]
+    ranks_avg = np.empty(n)
+    i = 0
+    while i < n:
+        j = i
+        while j + 1 < n and s_sorted[j + 1] == s_sorted[i]:
+            j += 1
+        ranks_avg[order[i:j + 1]] = (i + j) / 2 + 1
+        i = j + 1
+    P_, N_ = label.sum(), n - label.sum()
+    want = (ranks_avg[label == 1].sum() - P_ * (P_ + 1) / 2) / (P_ * N_)
+    assert abs(got - want) < 1e-9
+    qs, _ = P.exact_quantiles(df.select("score"), ["score"], (0.1, 0.25, 0.5, 0.75, 0.9))
+    assert np.allclose(qs["score"], np.quantile(score, [0.1, 0.25, 0.5, 0.75, 0.9]), atol=1e-12)

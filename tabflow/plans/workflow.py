@@ -24,7 +24,7 @@ from tabflow.plans import metrics as M
 from tabflow.plans import runlog as RL
 from tabflow.plans import train as TR
 from tabflow.session import checkpoint_dir
-from tabflow.sources.io import checkpointed
+from tabflow.sources.io import checkpointed, materialize, write_table
 from tabflow.spec import FeatureSpec, GridSpec, SourceSpec, StackSpec
 
 # The preset search grids of the original modular workflow.
@@ -66,6 +66,13 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     with timer.stage("combine"):
         combined = C.clean(H.combine(sources, spec), spec)
         combined = combined.withColumn("label", F.col(spec.target).cast("double"))
+        # The combined table is written once (partitioned by source when an output folder is
+        # given); profiling and splitting read it instead of re-deriving it from the sources
+        if out_dir:
+            write_table(combined, f"{out_dir.rstrip('/')}/combined")
+            combined = spark.read.parquet(f"{out_dir.rstrip('/')}/combined")
+        else:
+            combined = materialize(combined, "combined")
     profiles = {}
     if profile:
         with timer.stage("profile"):

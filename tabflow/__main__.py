@@ -18,8 +18,8 @@ from tabflow.session import checkpoint_dir, get_session
 from tabflow.sources.io import read_raw
 from tabflow.spec import GridSpec, SourceSpec, StackSpec, risk_sources, risk_spec
 
-QUICK_GRIDS = (GridSpec("lr", {"C": [1.0]}), GridSpec("rf", {"n_estimators": [100], "max_depth": [10]}),
-               GridSpec("gbt", {"n_estimators": [100], "learning_rate": [0.1]}))
+QUICK_GRIDS = (GridSpec("lr", {"C": [1.0]}), GridSpec("rf", {"n_estimators": [50], "max_depth": [8]}),
+               GridSpec("gbt", {"n_estimators": [20], "learning_rate": [0.1]}))
 
 
 def main(argv=None) -> int:

@@ -181,9 +181,9 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
     """Search one family by cross-validated AUC over fixed stratified folds.
 
     Every (candidate, fold) model is fitted on the other folds (``parallelism`` fits submitted at
-    once, as ``CrossValidator`` does) and scores its held-out fold. All validation scores are
-    written once, and every (candidate, fold) AUC comes from one grouped exact-AUC job instead of
-    one evaluation job per pair. The best candidate (highest mean AUC) is refitted on all of
+    once, as ``CrossValidator`` does) and scores its held-out fold. Every (candidate, fold) AUC
+    comes from one grouped exact-AUC job instead of one evaluation job per pair, and only the
+    winner's held-out scores (one per row) are stored, for stacking. The best candidate (highest mean AUC) is refitted on all of
     ``df``. With ``preprocessor`` it is refitted inside every fold (no leakage into the
     validation fold); without, ``df`` carries a ready ``features`` column.
     """
@@ -210,7 +210,8 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
     val = parts[0]
     for p in parts[1:]:
         val = val.unionByName(p)
-    val = materialize(val, f"cv-{name}")
+    # roc_auc writes its distinct-score table once, so every fold model scores its rows once;
+    # the candidates' validation scores themselves are never stored
     aucs = {r["_cf"]: r["roc_auc"] for r in roc_auc(val, model="_cf").collect()}
     means, stds = [], []
     for j in range(n_cand):
@@ -225,9 +226,13 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
     results = df.sparkSession.createDataFrame(
         rows, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
     best_est = target.copy(maps[best])
-    oof = val.filter((F.col("_cf") >= best * k) & (F.col("_cf") < (best + 1) * k)) \
-        .select(row_id, "label", F.lit(name).alias("model"), "score",
-                (F.col("_cf") - best * k).cast("int").alias(fold_col))
+    # only the winner's held-out scores are kept: N rows, reused by stacking
+    best_parts = [p for (i, j), p in zip(tasks, parts) if j == best]
+    oof = best_parts[0]
+    for p in best_parts[1:]:
+        oof = oof.unionByName(p)
+    oof = materialize(oof.select(row_id, "label", F.lit(name).alias("model"), "score",
+                                 (F.col("_cf") - best * k).cast("int").alias(fold_col)), f"oof-{name}")
     return SearchResult(best_est.fit(df), results, best_est, oof)
 
 

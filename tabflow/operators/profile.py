@@ -2,23 +2,28 @@
 
 Per-column statistics are computed for all columns in one aggregate (never one job per
 column) and returned in long form, one row per column. Exact quantiles avoid the built-in
-``percentile`` aggregate, whose final buffer holds every distinct value of a column in one task;
-see ``tabflow.functions.ranks``.
+``percentile`` aggregate, whose final buffer holds every distinct value of a column in one task:
+they narrow value intervals around the wanted ranks by binned counts (``exact_quantiles``).
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabflow.functions.exprs import to_double
-from tabflow.functions.ranks import (bucket_probs, buckets_for, prefix_before,
-                                     splits_from_bounds, with_bucket)
+from tabflow.functions.ranks import approx_splits, buckets_for, prefix_before, with_bucket
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
+DEFAULT_BINS = 4096
+# A value interval with at most this many values is ranked by one window (one task sorts it);
+# larger ones are split again.
+WINDOW_MAX_ROWS = 65_536
+EQUAL_WIDTH_LEVELS = 3
 DESCRIBE_SCHEMA = T.StructType([
     T.StructField("column_name", T.StringType()),
     T.StructField("count", T.LongType()),
@@ -42,58 +47,115 @@ def to_long(df: DataFrame, cols, name_col: str = "column_name", value_col: str =
     return df.unpivot([], list(cols), name_col, value_col)
 
 
-def _stats_pass(num: DataFrame, cols, n_buckets: int | None, accuracy: int | None):
-    """Moments of every column in one aggregate; the range sketch is added only when some
-    column has more rows than one bucket may hold (then in the same aggregate, rerun), or when
-    ``n_buckets`` forces it. Returns (row, n_buckets)."""
-    if n_buckets is None:
-        row = _stats_once(num, cols, 1, 0)
-        n_buckets = buckets_for(max([row[f"n{i}"] or 0 for i in range(len(cols))] or [0]), 1)
-        if n_buckets == 1:
-            return row, 1
-    acc = accuracy or max(10000, 10 * n_buckets)
-    return _stats_once(num, cols, n_buckets, acc), n_buckets
+@dataclass
+class _Region:
+    """A value interval ``[lo, hi]`` of one column holding ``n`` values, the first of which has
+    rank ``start`` in the column; ``ranks`` are the wanted column ranks inside it."""
+    column: str
+    lo: float
+    hi: float
+    start: int
+    n: int
+    ranks: set = field(default_factory=set)
 
+    def rows(self) -> Column:
+        return (F.col("column_name") == F.lit(self.column)) & \
+            F.col("value").between(F.lit(self.lo), F.lit(self.hi))
 
-def _stats_once(num: DataFrame, cols, n_buckets: int, accuracy: int):
+
+def _moments(num: DataFrame, cols):
+    """count, mean, sample std, min, max of every column in one aggregate (one row)."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.max(x).alias(f"hi{i}"), F.count_if(x.isNull()).alias(f"z{i}")]
-        if n_buckets > 1:
-            aggs.append(F.percentile_approx(x, bucket_probs(n_buckets), accuracy).alias(f"b{i}"))
+                 F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     return num.agg(*aggs).collect()[0]
 
 
-def _values_at_ranks(long_b: DataFrame, wanted: dict) -> dict:
-    """Exact values at ``{(column, bucket): {local ranks}}`` by a window inside each bucket."""
-    if not wanted:
+def _region_id(regions) -> Column:
+    """Index of the region a long row falls in, NULL outside all (regions never overlap)."""
+    e = None
+    for i, r in enumerate(regions):
+        e = F.when(r.rows(), F.lit(i)) if e is None else e.when(r.rows(), F.lit(i))
+    return e
+
+
+def _width_bin(r: _Region, bins: int) -> Column:
+    """Equal-width bin of ``value`` over ``[r.lo, r.hi]``: monotone in the value, so every bin is
+    exactly the interval between its smallest and largest value. Halving first keeps the span
+    finite for any pair of finite doubles; min lands in bin 0 and max in the last bin, so a split
+    always separates them."""
+    k = bins / (r.hi * 0.5 - r.lo * 0.5)
+    if not math.isfinite(k):
+        # a span of a few ulps: split off the lowest value
+        return (F.col("value") > F.lit(r.lo)).cast("int")
+    x = (F.col("value") * F.lit(0.5) - F.lit(r.lo * 0.5)) * F.lit(k)
+    return F.least(F.floor(x).cast("int"), F.lit(bins - 1))
+
+
+def _split(long: DataFrame, regions, level: int, bins: int, accuracy: int | None) -> list:
+    """Split every region into bins in one aggregate (``regions × bins`` rows reach the driver)
+    and keep the bins holding a wanted rank. Early levels use equal-width bins; data that is
+    still concentrated after ``EQUAL_WIDTH_LEVELS`` splits (values spread over many orders of
+    magnitude) gets rank-balanced split points from a sketch instead."""
+    part = long.withColumn("_r", _region_id(regions)).filter(F.col("_r").isNotNull())
+    if level < EQUAL_WIDTH_LEVELS:
+        b = None
+        for i, r in enumerate(regions):
+            t = _width_bin(r, bins)
+            b = F.when(F.col("_r") == i, t) if b is None else b.when(F.col("_r") == i, t)
+        part = part.withColumn("_bucket", b)
+    else:
+        part = with_bucket(part, "_r", "value", approx_splits(part, "_r", "value", bins, accuracy))
+        # split points may all equal a hot value; the minimum in a bin of its own below every
+        # other bin keeps the binning monotone and makes every split shrink the interval
+        low = None
+        for i, r in enumerate(regions):
+            t = (F.col("_r") == i) & (F.col("value") == F.lit(r.lo))
+            low = F.when(t, F.lit(-1)) if low is None else low.when(t, F.lit(-1))
+        part = part.withColumn("_bucket", low.otherwise(F.col("_bucket")))
+    counts: dict[int, list] = {}
+    for row in (part.groupBy("_r", "_bucket")
+                .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("lo"),
+                     F.max("value").alias("hi")).collect()):
+        counts.setdefault(row["_r"], []).append((row["_bucket"], row["cnt"], row["lo"], row["hi"]))
+    out = []
+    for i, r in enumerate(regions):
+        start = r.start
+        children: dict[int, _Region] = {}
+        for b, cnt, lo, hi in sorted(counts.get(i, [])):
+            for rank in r.ranks:
+                if start <= rank < start + cnt:
+                    children.setdefault(b, _Region(r.column, lo, hi, start, cnt)).ranks.add(rank)
+            start += cnt
+        out += children.values()
+    return out
+
+
+def _values_at_ranks(long: DataFrame, regions) -> dict:
+    """Exact values at the wanted ranks of small regions: distinct values with their counts, one
+    window per region (at most ``WINDOW_MAX_ROWS`` values each), only rank-holding rows collected."""
+    if not regions:
         return {}
-    cond = None
-    for (c, b) in wanted:
-        t = (F.col("column_name") == F.lit(c)) & (F.col("_bucket") == F.lit(b))
-        cond = t if cond is None else cond | t
-    distinct = (long_b.filter(cond).groupBy("column_name", "_bucket", "value")
-                .agg(F.count(F.lit(1)).alias("cnt")))
-    ranked = prefix_before(distinct, ["column_name", "_bucket"], "value", "cnt", "start")
-    ranked = ranked.withColumn("end", F.col("start") + F.col("cnt"))
-    # plain comparisons (at most a few ranks per column) stay in whole-stage codegen
+    d = (long.withColumn("_r", _region_id(regions)).filter(F.col("_r").isNotNull())
+         .groupBy("_r", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    ranked = prefix_before(d, ["_r"], "value", "cnt", "start").withColumn("end", F.col("start") + F.col("cnt"))
+    # plain comparisons (a few ranks per region) stay in whole-stage codegen
     pick = None
-    for (c, b), ranks in wanted.items():
-        here = (F.col("column_name") == F.lit(c)) & (F.col("_bucket") == F.lit(b))
+    for i, r in enumerate(regions):
         hit = None
-        for r in sorted(ranks):
-            t = (F.col("start") <= F.lit(int(r))) & (F.col("end") > F.lit(int(r)))
+        for rank in sorted(r.ranks):
+            t = (F.col("start") <= F.lit(rank - r.start)) & (F.col("end") > F.lit(rank - r.start))
             hit = t if hit is None else hit | t
-        pick = (here & hit) if pick is None else pick | (here & hit)
-    rows = ranked.filter(pick).select("column_name", "_bucket", "value", "start", "end").collect()
+        t = (F.col("_r") == F.lit(i)) & hit
+        pick = t if pick is None else pick | t
     out = {}
-    for r in rows:
-        for lr in wanted[(r["column_name"], r["_bucket"])]:
-            if r["start"] <= lr < r["end"]:
-                out[(r["column_name"], r["_bucket"], lr)] = r["value"]
+    for row in ranked.filter(pick).select("_r", "value", "start", "end").collect():
+        r = regions[row["_r"]]
+        for rank in r.ranks:
+            if row["start"] <= rank - r.start < row["end"]:
+                out[(r.column, rank)] = row["value"]
     return out
 
 
@@ -101,69 +163,48 @@ def exact_quantiles(df: DataFrame, cols, probs=DESCRIBE_PROBS, n_buckets: int |
                     accuracy: int | None = None, stats=None) -> tuple[dict, object]:
     """Exact linear-interpolated quantiles (``quantile_cont``) of each column.
 
-    Small columns (≤ ``MAX_ROWS_PER_BUCKET`` values): moments, then one window over each
-    column's distinct values. Larger ones: moments + sketch, counts per range bucket, and one
-    window over only the buckets that hold a wanted rank. Returns ({column: [q...]}, stats row).
+    Range refinement, no global sort and no sketch on the common path: the moments pass gives
+    each column's [min, max]; each pass splits the value intervals that hold a wanted rank into
+    ``n_buckets`` bins (all columns in one aggregate) and keeps only the bins holding a wanted
+    rank; an interval of one value is resolved on the driver, one of at most ``WINDOW_MAX_ROWS``
+    values goes to a final window over its distinct values. Every pass reads the whole column
+    but shuffles only ``intervals × bins`` partial counts. Returns ({column: [q...]}, moments row).
     """
     cols = list(cols)
     num = numeric_view(df, cols)
-    if stats is not None:
-        row, n_buckets = stats
-    else:
-        row, n_buckets = _stats_pass(num, cols, n_buckets, accuracy)
+    row = stats if stats is not None else _moments(num, cols)
+    max_n = max([row[f"n{i}"] or 0 for i in range(len(cols))] or [0])
+    bins = n_buckets or buckets_for(max_n, DEFAULT_BINS)
     long = to_long(num, cols).filter(F.col("value").isNotNull())
-    per_col: dict[str, list] = {c: [] for c in cols}
-    if n_buckets == 1:
-        long_b = long.withColumn("_bucket", F.lit(0))
-        for i, c in enumerate(cols):
-            if row[f"n{i}"]:
-                per_col[c].append((0, row[f"n{i}"], row[f"lo{i}"], row[f"hi{i}"]))
-    else:
-        splits = {c: splits_from_bounds(row[f"b{i}"]) for i, c in enumerate(cols)}
-        long_b = with_bucket(long, "column_name", "value", splits)
-        counts = (long_b.groupBy("column_name", "_bucket")
-                  .agg(F.count(F.lit(1)).alias("cnt"), F.min("value").alias("lo"),
-                       F.max("value").alias("hi")).collect())
-        for r in counts:
-            per_col[r["column_name"]].append((r["_bucket"], r["cnt"], r["lo"], r["hi"]))
-    targets: dict[str, list] = {}
-    wanted: dict = {}
-    known: dict = {}
+    regions = []
     for i, c in enumerate(cols):
         n = row[f"n{i}"]
-        targets[c] = []
-        if not n:
-            continue
-        cum = 0
-        layout = []
-        for b, cnt, lo, hi in sorted(per_col[c]):
-            layout.append((b, cum, cnt, lo, hi))
-            cum += cnt
-        for p in probs:
-            pos = p * (n - 1)
-            for r in {math.floor(pos), math.ceil(pos)}:
-                for b, start, cnt, lo, hi in layout:
-                    if start <= r < start + cnt:
-                        if lo == hi:
-                            known[(c, b, r - start)] = lo
-                        else:
-                            wanted.setdefault((c, b), set()).add(r - start)
-                        targets[c].append((r, b, start))
-                        break
-    found = _values_at_ranks(long_b, wanted)
-    found.update(known)
+        if n:
+            wanted = {r for p in probs for r in (math.floor(p * (n - 1)), math.ceil(p * (n - 1)))}
+            regions.append(_Region(c, row[f"lo{i}"], row[f"hi{i}"], 0, n, wanted))
+    found: dict = {}
+    ready = []
+    level = 0
+    while regions:
+        for r in regions:
+            if r.lo == r.hi:
+                found.update({(r.column, rank): r.lo for rank in r.ranks})
+        ready += [r for r in regions if r.lo != r.hi and r.n <= WINDOW_MAX_ROWS]
+        big = [r for r in regions if r.lo != r.hi and r.n > WINDOW_MAX_ROWS]
+        regions = _split(long, big, level, bins, accuracy) if big else []
+        level += 1
+    found.update(_values_at_ranks(long, ready))
     result = {}
     for i, c in enumerate(cols):
         n = row[f"n{i}"]
         if not n:
             result[c] = [None] * len(probs)
             continue
-        at = {r: found[(c, b, r - start)] for r, b, start in targets[c]}
         qs = []
         for p in probs:
             pos = p * (n - 1)
             lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            lo_v, hi_v = at[lo_r], at[hi_r]
+            lo_v, hi_v = found[(c, lo_r)], found[(c, hi_r)]
             qs.append(lo_v if lo_r == hi_r else lo_v + (hi_v - lo_v) * (pos - lo_r))
         result[c] = qs
     return result, row
@@ -172,9 +213,8 @@ def exact_quantiles(df: DataFrame, cols, probs=DESCRIBE_PROBS, n_buckets: int |
 def describe_exact(df: DataFrame, cols, n_buckets: int | None = None) -> DataFrame:
     """A1: count, mean, sample std, min, exact 25/50/75 %, max per column, one row per column."""
     cols = list(cols)
-    num = numeric_view(df, cols)
-    row, b = _stats_pass(num, cols, n_buckets, None)
-    qs, _ = exact_quantiles(df, cols, DESCRIBE_PROBS, b, stats=(row, b))
+    row = _moments(numeric_view(df, cols), cols)
+    qs, _ = exact_quantiles(df, cols, DESCRIBE_PROBS, n_buckets, stats=row)
     rows = [(c, row[f"n{i}"], row[f"m{i}"], row[f"s{i}"], row[f"lo{i}"], *qs[c], row[f"hi{i}"])
             for i, c in enumerate(cols)]
     return df.sparkSession.createDataFrame(rows, DESCRIBE_SCHEMA)

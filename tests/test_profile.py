@@ -64,3 +64,19 @@ def test_schema_info(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, None)], "x double, s string")
     got = {r.column_name: (r.type, r.non_null) for r in P.schema_info(df).collect()}
     assert got == {"x": ("double", 1), "s": ("string", 1)}
+
+
+def test_exact_quantiles_refined_ranges(spark, monkeypatch):
+    # a tiny window bound forces several range splits: equal-width first, then sketch points;
+    # values span many orders of magnitude, with a hot value and near-equal neighbours
+    monkeypatch.setattr(P, "WINDOW_MAX_ROWS", 40)
+    monkeypatch.setattr(P, "EQUAL_WIDTH_LEVELS", 2)
+    rnd = random.Random(11)
+    vals = [10.0 ** rnd.uniform(-30, 30) * rnd.choice([-1, 1]) for _ in range(3000)]
+    vals += [5.0] * 1500 + [5.0 + 1e-12 * i for i in range(1, 30)] + [-1e300, 1e300]
+    df = spark.createDataFrame([(v, v / 3) for v in vals], "x double, y double")
+    probs = (0.0, 0.01, 0.25, 0.5, 0.75, 0.9, 1.0)
+    qs, _ = P.exact_quantiles(df, ["x", "y"], probs, n_buckets=8)
+    for c, data in (("x", vals), ("y", [v / 3 for v in vals])):
+        want = np.quantile(data, probs)
+        assert np.allclose(qs[c], want, rtol=1e-12, atol=0), (c, qs[c], want)

@@ -7,7 +7,8 @@ those nearest to 1 in relative entropy. They are exponential tilts of the docume
 convex dual. The dual needs documents only through the counts per (source, size), so these are
 aggregated once and every Newton iteration is a join and an aggregate over that small table.
 Rates are then rounded into whole copies by cumulative rounding over the sizes of a source,
-longest first, which keeps a source's words within about one document of its target.
+longest first, which keeps a source's words within about one document of its target; a few more
+copies (or fewer) of shorter documents make up most of that remainder.
 
 Defined results: a null text has size 0; a null source is a source of its own, last in order; a
 document of size 0 takes nothing; an empty table gives an empty result; repeated rows count and
@@ -30,6 +31,8 @@ MAX_COPIES = 3
 #: A source's multiplier is done when its words are this near to the target (as a share of it).
 TOLERANCE = 1e-9
 MAX_ITERATIONS = 80
+#: Rounds that make up what whole copies leave of a target.
+SETTLE_ROUNDS = 4
 
 
 def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
@@ -117,6 +120,24 @@ def multipliers(classes: DataFrame, targets: DataFrame, max_copies: int = MAX_CO
     return state.select("_skey", "_lambda", "_mean")
 
 
+def _settle(classes: DataFrame, max_copies: int, rounds: int) -> DataFrame:
+    """What rounding left of each source's target, in words, is made up by copies of its longest
+    class that is not longer than the remainder; each round is a small aggregate."""
+    for _ in range(rounds):
+        classes = materialize(classes, "mix-copies")
+        left = classes.groupBy("_skey").agg(
+            (F.first("target") - F.sum(F.col("_size") * F.col("_copies"))).alias("_left"))
+        spare = F.when(F.col("_left") > 0, F.col("_n") * max_copies - F.col("_copies")).otherwise(F.col("_copies"))
+        pick = (classes.join(left, "_skey")
+                .filter((F.col("_size") > 0) & (F.col("_size") <= F.abs("_left")) & (spare > 0))
+                .groupBy("_skey").agg(F.max(F.struct("_size", "_left", spare.alias("_spare"))).alias("_p"))
+                .select("_skey", F.col("_p._size").alias("_size"), (F.signum("_p._left") * F.least(
+                    F.floor(F.abs("_p._left") / F.col("_p._size")), F.col("_p._spare"))).cast("bigint").alias("_by")))
+        classes = (classes.join(pick, ["_skey", "_size"], "left")
+                   .withColumn("_copies", F.col("_copies") + F.coalesce("_by", F.lit(0))).drop("_by"))
+    return materialize(classes, "mix-copies")
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
         weights=WEIGHTS, max_copies: int = MAX_COPIES) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target``, ``rate``, ``copies`` and ``taken``
@@ -141,6 +162,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     allotted = (rated.withColumn("_copies", F.least(F.floor("_due") - F.floor(previous), F.col("_n") * max_copies)
                                  .cast("bigint"))
                 .select("_skey", "_size", "_n", "_copies", "rate", "source_size", "target"))
+    allotted = _settle(allotted, max_copies, SETTLE_ROUNDS)
     ranked = distributed_rank(rows, ["_skey", "_size"], "_hash", [id_col], "_rank", allotted)
     floor_copies = F.floor(F.col("_copies") / F.col("_n"))
     more = F.when(F.col("_rank") < F.pmod(F.col("_copies"), F.col("_n")), 1).otherwise(0)

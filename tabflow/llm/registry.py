@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabflow.llm import mixing, sharding
+from tabflow.llm import bpe, counts, mixing, sharding, wavelet
 from tabflow.llm.common import table
+from tabflow.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +25,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared store."""
+    return f"{checkpoint_dir(spark)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
+
+
 @register("op3_mix_sources")
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -31,3 +39,24 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_shard_documents")
 def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"))
+
+
+@register("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = run_folder(spark, "token-files")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path,
+                         public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return wavelet.read_documents(spark, path)
+
+
+@register("op5_token_counts")
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a new cache for each call, so that every call encodes every distinct text
+    return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                               run_folder(spark, "token-counts"))
+
+
+@register("op6_byte_pairs")
+def op6_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"),
+                                public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabflow.llm import bpe, counts, mixing, sharding, wavelet
+from tabflow.llm import bpe, counts, fingerprints, mixing, sharding, wavelet
 from tabflow.llm.common import table
 from tabflow.session import checkpoint_dir
 
@@ -60,3 +60,8 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
+@register("op9_fingerprints")
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))

@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, counts, fingerprints, mixing, sharding, wavelet
+from tabflow.llm import bpe, counts, fingerprints, mixing, sharding, topk, wavelet
 from tabflow.llm.common import table
 from tabflow.session import checkpoint_dir
 
@@ -65,3 +66,18 @@ def op6_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_fingerprints")
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op10_top_k", """
+WITH v AS (SELECT vec_id, [floor(64 * e::DOUBLE) FOR e IN embedding] AS x FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+             AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e::DOUBLE)]) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id, score
+FROM s QUALIFY rank <= 20
+""")
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(20)) == 0), k=20, scale=64.0)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, counts, fingerprints, mixing, sharding, topk, wavelet
+from tabflow.llm import bpe, counts, fingerprints, langid, mixing, sharding, topk, wavelet
 from tabflow.llm.common import table
 from tabflow.session import checkpoint_dir
 
@@ -31,6 +31,11 @@ def run_folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@register("op1_language_id")
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 @register("op3_mix_sources")
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -11,7 +11,7 @@ from tabflow.sources.io import read_table
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Ranges that one hot key is split into before any row-level window (top bits of a 64-bit hash).
-RANK_BITS = 12
+RANK_BITS = 9
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import text_of
+from tabflow.llm.common import WORD, free_name, text_of
 from tabflow.llm.components import components
 from tabflow.llm.pretokens import batches
 from tabflow.sources.io import materialize
@@ -229,10 +229,9 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
     return sent.mapInArrow(run, "hub bigint, node bigint")
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
-                   percent: int = PERCENT) -> DataFrame:
-    """(id, n_shingles, component_id): ``component_id`` is the smallest id in a row's class."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tkey"), text_of(text_col).alias("text"))
+def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """From (id, tkey, text): (documents, nodes). Documents: (id, tkey, n, node), without a node
+    where there is no shingle; nodes: (node, label, least), ``label`` names the class."""
     stats = _statistics(rows, words)
     order = np.zeros(1 << COUNTER_BITS, np.int64)
     # one row a counter: a number that is fixed whatever the corpus
@@ -242,7 +241,7 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order = np.argsort(np.argsort(order, kind="stable"), kind="stable").astype(np.int32)
     of_docs = stats.filter("n is not null").select("id", "tkey", "n", "node", "parts")
     nodes = materialize(of_docs.filter("node is not null").groupBy("node").agg(
-        F.min("n").alias("n"), F.min("parts").alias("parts"), F.min(F.struct("id", "tkey")).alias("rep"),
+        F.min("n").alias("n"), F.min("parts").alias("parts"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tkey")).alias("rep"),
         F.min("id").alias("least")), "jaccard-nodes")
 
     postings = _postings(rows, order, words, percent)
@@ -288,11 +287,36 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         links = found if links is None else links.unionByName(found)
         labels = components(links, "hub", "node")
 
-    named = (nodes.select("node", "least").join(labels, "node")
-             .groupBy("label").agg(F.min("least").alias("_name")))
-    names = labels.join(named, "label").select("node", "_name")
-    own = nodes.select("node", "least").join(names, "node", "left").select(
-        "node", F.coalesce("_name", "least").alias("component_id"))
-    return (of_docs.select("id", "n", "node").join(own, "node", "left")
+    of_nodes = nodes.select("node", "least", "rep").join(labels, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), "least", "rep")
+    return of_docs.drop("parts"), materialize(of_nodes, "jaccard-classes")
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("tkey"), text_of(text_col).alias("text"))
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+                   percent: int = PERCENT) -> DataFrame:
+    """(id, n_shingles, component_id): ``component_id`` is the smallest id in a row's class."""
+    of_docs, nodes = _classes(_rows(docs, id_col, text_col), words, percent)
+    names = nodes.groupBy("label").agg(F.min("least").alias("component_id"))
+    own = nodes.join(names, "label").select("node", "component_id")
+    return (of_docs.join(own, "node", "left")
             .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                     F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id")))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
+             percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay: of each class one with the smallest id (ids that are null
+    only where the class has no other), and every row without a word. Columns are kept."""
+    _, nodes = _classes(_rows(docs, id_col, text_col), words, percent)
+    best = nodes.groupBy("label").agg(F.min(F.struct(F.col("rep.no_id"), F.col("rep.id"), F.col("rep.tkey"))).alias("r"))
+    key = free_name(docs, "_stays")
+    stays = best.select(F.xxhash64("r.id", "r.tkey").alias(key))
+    wordless = ~text_of(text_col).rlike(WORD)
+    keyed = docs.filter(~wordless).withColumn(key, F.xxhash64(F.col(id_col), F.xxhash64(text_col)))
+    # a repeated row is one of its class too
+    return (keyed.join(stays, key, "left_semi").dropDuplicates([key]).drop(key)
+            .unionByName(docs.filter(wordless)))

@@ -35,7 +35,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     from run to run; ``tokenizer_path``: a file that every executor has."""
     spark = docs.sparkSession
     version = version_digest(tokenizer_path)
-    rows = (docs.select(F.col(id_col), text_of(text_col).alias("_text"))
+    rows = (docs.select(F.col(id_col).alias("_id"), text_of(text_col).alias("_text"))
             .withColumn("digest", F.unhex(F.sha2("_text", 256))))
     misses = rows.select("digest", "_text").dropDuplicates(["digest"])
     cached = _read(spark, cache_path, version)
@@ -54,9 +54,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     (misses.mapInArrow(encode, "digest binary, n_tokens bigint")
      .withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache_path))
     counts = _read(spark, cache_path, version)
-    return (rows.select(id_col, F.octet_length("_text").cast("bigint").alias("n_bytes"), "digest")
+    return (rows.select("_id", F.octet_length("_text").cast("bigint").alias("n_bytes"), "digest")
             .join(counts, "digest")
-            .select(id_col, "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
+            .select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
 
 
 def _read(spark, cache_path: str, version: str) -> DataFrame | None:

@@ -145,8 +145,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     (source, size) have one rate; those that get the extra copy are chosen by a hash of id and
     text."""
     added = ["size", "source_size", "target", "rate", "copies", "taken"]
-    docs = docs.drop(*[c for c in added if c in docs.columns])
-    rows = _sized(docs, id_col, source_col, text_col)
+    docs = docs.drop(*[c for c in docs.columns if c.lower() in added])
+    names = docs.columns
+    # numbered names inside, so that no column of the input clashes with those used here
+    inner = dict(zip(names, (f"c{i}" for i in range(len(names))), strict=True))
+    id_col = inner[id_col]
+    rows = _sized(docs.toDF(*inner.values()), id_col, inner[source_col], inner[text_col])
     classes = materialize(rows.groupBy("_skey", "_size").agg(F.count(F.lit(1)).alias("_n")), "mix-classes")
     targets = source_targets(classes, weights, max_copies)
     tilts = multipliers(classes, targets, max_copies)
@@ -169,4 +173,4 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     return (ranked.withColumn("copies", (floor_copies + more).cast("bigint"))
             .withColumn("size", F.col("_size"))
             .withColumn("taken", F.col("copies") * F.col("_size"))
-            .select(*docs.columns, *added))
+            .select(*[F.col(c).alias(name) for name, c in inner.items()], *added))

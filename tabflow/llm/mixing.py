@@ -32,7 +32,7 @@ MAX_COPIES = 3
 TOLERANCE = 1e-9
 MAX_ITERATIONS = 80
 #: Rounds that make up what whole copies leave of a target.
-SETTLE_ROUNDS = 4
+SETTLE_ROUNDS = 3
 
 
 def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
@@ -121,20 +121,20 @@ def multipliers(classes: DataFrame, targets: DataFrame, max_copies: int = MAX_CO
 
 
 def _settle(classes: DataFrame, max_copies: int, rounds: int) -> DataFrame:
-    """What rounding left of each source's target, in words, is made up by copies of its longest
-    class that is not longer than the remainder; each round is a small aggregate."""
+    """What rounding left of each source's target, in words, is made up by more (or fewer) copies
+    of classes that are not longer than the remainder, longest first, as far as each has them."""
+    before = Window.partitionBy("_skey").orderBy(F.desc("_size")).rowsBetween(Window.unboundedPreceding, -1)
     for _ in range(rounds):
         classes = materialize(classes, "mix-copies")
         left = classes.groupBy("_skey").agg(
             (F.first("target") - F.sum(F.col("_size") * F.col("_copies"))).alias("_left"))
-        spare = F.when(F.col("_left") > 0, F.col("_n") * max_copies - F.col("_copies")).otherwise(F.col("_copies"))
-        pick = (classes.join(left, "_skey")
-                .filter((F.col("_size") > 0) & (F.col("_size") <= F.abs("_left")) & (spare > 0))
-                .groupBy("_skey").agg(F.max(F.struct("_size", "_left", spare.alias("_spare"))).alias("_p"))
-                .select("_skey", F.col("_p._size").alias("_size"), (F.signum("_p._left") * F.least(
-                    F.floor(F.abs("_p._left") / F.col("_p._size")), F.col("_p._spare"))).cast("bigint").alias("_by")))
-        classes = (classes.join(pick, ["_skey", "_size"], "left")
-                   .withColumn("_copies", F.col("_copies") + F.coalesce("_by", F.lit(0))).drop("_by"))
+        room = F.when(F.col("_left") > 0, F.col("_n") * max_copies - F.col("_copies")).otherwise(F.col("_copies"))
+        fits = (F.col("_size") > 0) & (F.col("_size") <= F.abs("_left"))
+        rest = F.abs("_left") - F.coalesce(F.sum(F.col("_spare") * F.col("_size")).over(before), F.lit(0))
+        by = F.greatest(F.lit(0), F.least(F.col("_spare"), F.floor(rest / F.greatest("_size", F.lit(1)))))
+        classes = (classes.join(left, "_skey").withColumn("_spare", F.when(fits, room).otherwise(0))
+                   .withColumn("_copies", (F.col("_copies") + F.signum("_left") * by).cast("bigint"))
+                   .drop("_left", "_spare"))
     return materialize(classes, "mix-copies")
 
 

@@ -272,21 +272,25 @@ def _meet(asked: DataFrame, chunks: DataFrame, salts: int, k: int) -> DataFrame:
                     buckets.append((own[0][order], own[1][order], v, norms[order], unit))
                     continue
                 best = Best(len(own[0]), k)
-                floor = (np.full(len(own[0]), -np.inf) if row["floors"] is None
-                         else np.frombuffer(row["floors"], np.float64))
+                size = len(own[0])
+                if row["floors"] is None:
+                    floor, floor_ids = np.full(size, -np.inf), np.full(size, _TOP)
+                else:
+                    floor = np.frombuffer(row["floors"], np.float64, size)
+                    floor_ids = np.frombuffer(row["floors"], np.int64, size, 8 * size)
                 search(buckets, own, best, floor)
                 after = np.maximum(best.threshold(), floor)
                 norms = _norms(own[2])
                 need = float(np.where(norms > 0, after / np.where(norms > 0, norms, 1),
                                       np.where(after > 0, np.inf, -np.inf)).min())
                 need = need * (1 - 1e-9) - 1e-6 if np.isfinite(need) else need
-                n = best.filled
-                which = np.repeat(np.arange(len(n)), n)
-                place = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+                # what only ties with the k-th of the first pass and has a greater id cannot be among the best
+                which, place = np.nonzero((np.arange(k) < best.filled[:, None]) & (
+                    (best.scores > floor[:, None]) | (best.ids < floor_ids[:, None])))
                 m = len(which)
                 head = {"dim": [row["dim"]], "longest": [row["longest"]], "seq": [row["seq"]], "ids": [row["ids"]],
                         "marks": [row["marks"]], "kind": [row["kind"]], "vectors": [row["vectors"]],
-                        "floors": [after.tobytes()], "need": [need], "block": [row["block"]],
+                        "floors": [after.tobytes() + best.ids[:, -1].tobytes()], "need": [need], "block": [row["block"]],
                         "query_id": [None], "mark": [None], "vec_id": [None], "score": [None]}
                 yield pa.RecordBatch.from_pydict(head, schema=_ARROW)
                 if m:

@@ -1,10 +1,10 @@
-"""Command line: the whole analysis over CSV sources, as the original main script runs it.
+"""Command line: the whole analysis over CSV sources.
 
-    python -m tabflow --source Synthetic=path/a.csv --source UCI=path/b.csv --out results/
+    python -m tabflow --spec spec.json --source north=path/a.csv --source south=path/b.csv --out results/
 
-Each ``--source NAME=PATH`` is read as text (any Hadoop file-system URI, a file or a folder);
-the names ``Synthetic`` and ``UCI`` get the clinical source specs (renames, recoding, added
-features), any other name is taken as already in the harmonised layout. ``--quick`` uses one
+``--spec`` is a JSON file of column roles and source layouts (see ``tabflow.spec.load_specs``).
+Each ``--source NAME=PATH`` is read as text (any Hadoop file-system URI, a file or a folder); a name
+without a layout in the spec is taken as already in the harmonised layout. ``--quick`` uses one
 candidate per model family instead of the preset grids.
 """
 
@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import argparse
 import sys
+from dataclasses import replace
+
+from pyspark.sql import functions as F
 
 from tabflow.plans.workflow import DEFAULT_GRIDS, run
 from tabflow.session import checkpoint_dir, get_session
 from tabflow.sources.io import read_raw
-from tabflow.spec import GridSpec, SourceSpec, StackSpec, risk_sources, risk_spec
+from tabflow.spec import GridSpec, SourceSpec, StackSpec, load_specs
 
 QUICK_GRIDS = (GridSpec("lr", {"C": [1.0]}), GridSpec("rf", {"n_estimators": [50], "max_depth": [8]}),
                GridSpec("gbt", {"n_estimators": [20], "learning_rate": [0.1]}))
@@ -25,8 +28,8 @@ QUICK_GRIDS = (GridSpec("lr", {"C": [1.0]}), GridSpec("rf", {"n_estimators": [50
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tabflow", description=__doc__.splitlines()[0])
     ap.add_argument("--source", action="append", required=True, help="NAME=PATH (repeatable)")
+    ap.add_argument("--spec", required=True, help="JSON file of column roles and source layouts")
     ap.add_argument("--out", required=True, help="folder for the combined table and run records")
-    ap.add_argument("--key", default="row_key", help="row key column; made from all columns if absent")
     ap.add_argument("--folds", type=int, default=5)
     ap.add_argument("--test-frac", type=float, default=0.2)
     ap.add_argument("--seed", type=int, default=42)
@@ -37,8 +40,7 @@ def main(argv=None) -> int:
 
     spark = get_session(args.master)
     checkpoint_dir(spark)
-    left, right = risk_sources()
-    known = {"Synthetic": left, "UCI": right}
+    spec, known = load_specs(args.spec)
     sources = []
     for item in args.source:
         name, _, path = item.partition("=")
@@ -47,18 +49,14 @@ def main(argv=None) -> int:
             print(f"source {name}: input not found at {path}", file=sys.stderr)
             return 2
         sources.append((df, known.get(name, SourceSpec(name=name))))
-    from pyspark.sql import functions as F
-    # A stable row key: the declared column, else a hash of every raw column plus the source
-    # name (equal raw rows are genuinely interchangeable for splitting).
-    keyed = []
-    for df, src in sources:
-        if args.key not in df.columns:
-            df = df.withColumn(args.key, F.sha2(F.concat_ws("\u0001", F.lit(src.name),
-                                                            *[F.coalesce(F.col(c), F.lit("\u0000"))
-                                                              for c in df.columns]), 256))
-        keyed.append((df, src))
-    spec = risk_spec(key=(args.key,))
-    res = run(spark, keyed, spec, grids=QUICK_GRIDS if args.quick else DEFAULT_GRIDS, k=args.folds,
+    if not spec.key:
+        # without a declared key a row is known by its raw values and source; equal rows are
+        # interchangeable, and the occurrence number keeps them apart
+        spec = replace(spec, key=("row_key",))
+        sources = [(df.withColumn("row_key", F.sha2(F.to_json(F.struct(*map(F.col, df.columns)),
+                                                              {"ignoreNullFields": "false"}), 256)), src)
+                   for df, src in sources]
+    res = run(spark, sources, spec, grids=QUICK_GRIDS if args.quick else DEFAULT_GRIDS, k=args.folds,
               test_frac=args.test_frac, seed=args.seed, stack=None if args.no_stack else StackSpec(),
               out_dir=args.out, mode="cli")
     res.metrics.orderBy("model").show(truncate=False)

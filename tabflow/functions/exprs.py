@@ -24,7 +24,9 @@ def parse_number(c: str | Column) -> Column:
     Spark alone would accept ``'1d'``, ``'NaN'`` and ``'inf'``.
     """
     s = F.trim(col_of(c).cast("string"))
-    return F.when(s.rlike(NUMBER_PATTERN), s.try_cast("double"))
+    d = s.try_cast("double")
+    # a number beyond a double's range, such as 1e999, is read as infinity
+    return F.when(s.rlike(NUMBER_PATTERN) & (F.abs(d) != F.lit(float("inf"))), d)
 
 
 def finite_or_null(x: Column) -> Column:
@@ -50,6 +52,21 @@ def to_double(df_schema, c: str) -> Column:
     return parse_number(c)
 
 
+def category_text(df_schema, c: str) -> Column:
+    """A category as text. Only a column whose type is a number is rewritten (3.0 → '3', NaN →
+    NULL); text is kept as it is, since '007', '1e3' and long digit strings are codes."""
+    from pyspark.sql.types import DecimalType, FractionalType
+    x = F.col(c)
+    if not isinstance(df_schema[c].dataType, FractionalType):
+        return x.cast("string")
+    if isinstance(df_schema[c].dataType, DecimalType):
+        return F.when(x == F.floor(x), F.floor(x).cast("string")).otherwise(x.cast("string"))
+    d = x.cast("double")
+    whole = (d == F.floor(d)) & (F.abs(d) < F.lit(2.0 ** 63))
+    return F.when(~F.isnan(d), F.when(whole, F.when(whole, d).cast("bigint").cast("string"))
+                  .otherwise(x.cast("string")))
+
+
 def nan_to_null(c: str | Column) -> Column:
     """NaN → NULL (Spark keeps two missing-value concepts; aggregates treat NaN as a value)."""
     x = col_of(c)

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 INF = float("inf")
 DEFAULT_BUCKETS = 1024
-MAX_BUCKETS = 65536
 # Above this many rows per bucket the sketch is redone with more buckets, so that the exact
 # per-bucket work (a sort inside one task) stays small whatever the table size.
 MAX_ROWS_PER_BUCKET = 2_000_000
@@ -32,7 +31,7 @@ MAX_ROWS_PER_BUCKET = 2_000_000
 def buckets_for(n_rows: int, n_buckets: int = DEFAULT_BUCKETS) -> int:
     """The bucket count that keeps ``n_rows / buckets`` under ``MAX_ROWS_PER_BUCKET``."""
     b = n_buckets
-    while n_rows / b > MAX_ROWS_PER_BUCKET and b < MAX_BUCKETS:
+    while n_rows / b > MAX_ROWS_PER_BUCKET:
         b *= 2
     return b
 

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.exprs import parse_number, to_double
+from tabflow.functions.exprs import category_text, to_double
 from tabflow.spec import FeatureSpec
 
 MISSING = "missing"
@@ -31,14 +31,11 @@ def dropped_counts(df: DataFrame, target: str, by: str | None = "source") -> Dat
 
 
 def clean_categorical(df: DataFrame, cols) -> DataFrame:
-    """Category → text, NULL → 'missing'. Numbers come out canonical ('3', not '3.0')."""
-    def text(c):
-        x = F.col(c)
-        num = parse_number(x)
-        as_int = F.when(num == F.floor(num), num.cast("bigint").cast("string"))
-        return F.coalesce(as_int, x.cast("string"), F.lit(MISSING))
+    """Category → text, NULL → 'missing'. Columns of a number type come out canonical ('3', not
+    '3.0'); text stays as it is."""
     present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: text(c) for c in present}) if present else df
+    return df.withColumns({c: F.coalesce(category_text(df.schema, c), F.lit(MISSING)) for c in present}) \
+        if present else df
 
 
 def coerce_numeric(df: DataFrame, cols) -> DataFrame:
@@ -54,8 +51,9 @@ def fill_const(df: DataFrame, values: dict[str, Any]) -> DataFrame:
 
 
 def binarize_expr(x):
-    """P10: truncate to an integer, then > 0. 0.5 → 0, 4 → 1, bad text → NULL."""
-    return (x.cast("bigint") > 0).cast("int")
+    """P10: truncated to an integer, is it > 0? 0.5 → 0, 4 → 1, 1e30 → 1, bad text → NULL. Compared as
+    a double: a number of any size has an answer and none overflows."""
+    return (x.cast("double") >= 1.0).cast("int")
 
 
 def binarize(df: DataFrame, target: str) -> DataFrame:

@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.functions.exprs import canonical_string, parse_number, to_double
+from tabflow.functions.exprs import canonical_string, category_text, parse_number, to_double
 from tabflow.spec import FeatureSpec, SourceSpec
 
 # Above this many keys a recode becomes a lookup join instead of a CASE chain.
@@ -29,6 +29,15 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(present) if present else df
 
 
+def recode_table(mapping: dict[Any, Any]) -> dict[float, str]:
+    """The dictionary with its keys as numbers; of keys that are the same number (1 and '1') the
+    first counts, whichever way the recode is planned."""
+    out: dict[float, str] = {}
+    for k, v in mapping.items():
+        out.setdefault(float(k), canonical_string(v))
+    return out
+
+
 def recode_expr(c: str, mapping: dict[Any, Any]) -> Column:
     """P2 as an expression: parse the raw value as a number, look it up, emit canonical text.
 
@@ -37,9 +46,9 @@ def recode_expr(c: str, mapping: dict[Any, Any]) -> Column:
     """
     x = parse_number(c)
     out = None
-    for k, v in mapping.items():
-        cond = x == F.lit(float(k))
-        val = F.lit(canonical_string(v))
+    for k, v in recode_table(mapping).items():
+        cond = x == F.lit(k)
+        val = F.lit(v)
         out = F.when(cond, val) if out is None else out.when(cond, val)
     return out if out is not None else F.lit(None).cast("string")
 
@@ -54,13 +63,11 @@ def recode(df: DataFrame, c: str, mapping: dict[Any, Any]) -> DataFrame:
     """
     if c not in df.columns:
         return df
-    if len(mapping) <= RECODE_CASE_LIMIT:
+    entries = recode_table(mapping)
+    if len(entries) <= RECODE_CASE_LIMIT:
         return df.withColumn(c, recode_expr(c, mapping))
-    spark = df.sparkSession
-    lookup = spark.createDataFrame(
-        [(float(k), canonical_string(v)) for k, v in mapping.items()],
-        "_recode_key double, _recode_val string")
-    if len(mapping) <= RECODE_BROADCAST_MAX_KEYS:
+    lookup = df.sparkSession.createDataFrame(list(entries.items()), "_recode_key double, _recode_val string")
+    if len(entries) <= RECODE_BROADCAST_MAX_KEYS:
         lookup = F.broadcast(lookup)
     keyed = df.withColumn("_recode_key", parse_number(c))
     cols = [F.col("_recode_val").alias(c) if x == c else F.col(x) for x in df.columns]
@@ -85,7 +92,8 @@ def align(df: DataFrame, spec: FeatureSpec) -> DataFrame:
 
     Each role gets one type whatever the source had, so all union branches agree: numeric,
     binary and target columns become double (text parsed, NaN/inf → NULL), categorical and
-    lineage columns text. Keys keep their type.
+    lineage columns text (of numbers the canonical text, '3' not '3.0'; text as it is). Keys keep
+    their type.
     """
     as_double = set(spec.numeric) | set(spec.binary) | {spec.target}
     out = []
@@ -97,7 +105,7 @@ def align(df: DataFrame, spec: FeatureSpec) -> DataFrame:
         elif c in spec.key:
             e = F.col(c)
         else:
-            e = F.col(c).cast("string")
+            e = category_text(df.schema, c)
         out.append(e.alias(c))
     return df.select(*out)
 

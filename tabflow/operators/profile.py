@@ -259,13 +259,12 @@ def columns_with_nulls(df: DataFrame, cols=None) -> DataFrame:
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """A5: count and share of each non-null value.
 
-    The total is one scalar (a count, pruned to the one column) used as a literal: no window
-    without partitioning and no cross join, whatever the number of distinct values.
+    The total is a scalar subquery over the same grouped counts, whose shuffle the plan reuses: the
+    input is read once, nothing runs before the query does, and no task holds all values.
     """
-    present = df.select(col).filter(F.col(col).isNotNull())
-    total = present.count()
-    grouped = present.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    return grouped.withColumn("ratio", F.col("n") / F.lit(float(total)) if total else F.lit(None).cast("double"))
+    grouped = (df.select(col).filter(F.col(col).isNotNull())
+               .groupBy(col).agg(F.count(F.lit(1)).alias("n")))
+    return grouped.withColumn("ratio", F.col("n") / grouped.agg(F.sum("n")).scalar())
 
 
 def category_counts(df: DataFrame, cols) -> DataFrame:
@@ -305,11 +304,13 @@ def histogram(df: DataFrame, cols, bins: int = 15) -> DataFrame:
     long = long.withColumns({"_lo": lo_e, "_hi": hi_e})
     b = F.least(F.floor((F.col("value") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins) + 1,
                 F.lit(bins)).cast("int")
-    width = (F.col("_hi") - F.col("_lo")) / bins
-    return (long.withColumn("bin", b).groupBy("column_name", "bin", "_lo", "_hi")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("column_name", "bin", (F.col("_lo") + (F.col("bin") - 1) * width).alias("lo"),
-                    (F.col("_lo") + F.col("bin") * width).alias("hi"), "n"))
+    counts = long.withColumn("bin", b).groupBy("column_name", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # every bin is a row, also one without values: columns × bins rows, made here
+    grid = df.sparkSession.createDataFrame(
+        [(c, i + 1, lo + i * ((hi - lo) / bins), lo + (i + 1) * ((hi - lo) / bins))
+         for c, (lo, hi) in ranges.items() for i in range(bins)], "column_name string, bin int, lo double, hi double")
+    return (grid.join(counts, ["column_name", "bin"], "left")
+            .select("column_name", "bin", "lo", "hi", F.coalesce("n", F.lit(0)).alias("n")))
 
 
 def schema_info(df: DataFrame) -> DataFrame:

@@ -8,16 +8,23 @@ window over it would be one task):
 
 1. ``h`` = 32-bit portable hash of ``(key, seed)``; ``bucket`` = its top ``bucket_bits`` bits, so
    buckets split every class evenly whatever its size;
-2. row counts per ``(label, bucket)``: at most ``classes × 2^bucket_bits`` rows;
-3. running totals over that small table give each bucket's offset inside its class;
-4. ``row_number`` inside ``(label, bucket)`` partitions, plus the offset, is the exact rank of the
-   row in its class under the order ``(h, key)``.
+2. ``dense_rank`` inside ``(class, bucket)`` partitions under the order ``(h, key)``: the one shuffle
+   of the rows. Rows with an equal key share a rank, so they never part into different folds;
+3. the greatest rank of each bucket, taken on the same partitions, gives a table of at most
+   ``classes × 2^bucket_bits`` rows; its running totals are the buckets' offsets;
+4. offsets come back by a join on the same two columns, without another shuffle of the rows.
+
+Rows with a NULL in the key have no identity to keep together: they are placed by a hash of the
+whole row, so that however many they are they spread over all buckets.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabflow.functions.exprs import portable_hash
 
@@ -34,33 +41,34 @@ def _keys(key) -> list[str]:
 
 def class_ranks(df: DataFrame, label: str, key, seed: int = 42,
                 bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
-    """Adds ``_h`` (hash), ``_rank`` (1-based rank inside the class) and ``_n_class``."""
+    """Adds ``_h`` (hash), ``_rank`` (1-based rank of the row's key inside the class) and
+    ``_n_class`` (keys in the class)."""
     keys = _keys(key)
-    shift = 32 - bucket_bits
-    # The bucket is declared non-null (coalesce with a literal), so the optimizer infers no
-    # IsNotNull(join key) filter, which it would push below projections and so hash every row twice.
-    hashed = df.withColumn("_h", portable_hash(keys, seed)) \
-               .withColumn("_bucket", F.coalesce(F.shiftright(F.col("_h"), shift), F.lit(-1)))
-    counts = hashed.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(label).orderBy("_bucket") \
-                   .rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        F.col(label).alias("_lab"), F.col("_bucket").alias("_b"),
-        F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_cnt").over(Window.partitionBy(label)).alias("_n_class"))
-    # The offsets table has at most classes × 2^bucket_bits rows; the join is left to AQE,
-    # which broadcasts it after measuring it.
-    joined = hashed.join(offsets, F.col(label).eqNullSafe(F.col("_lab")) &
-                         (F.col("_bucket") == F.col("_b"))).drop("_lab", "_b")
-    inner = Window.partitionBy(label, "_bucket").orderBy("_h", *keys)
-    return (joined.withColumn("_rank", F.row_number().over(inner) + F.col("_offset"))
-            .drop("_bucket", "_offset"))
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    row = F.xxhash64(*plain)
+    unkeyed = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in keys])
+    # the class and the bucket are never null, so the join below is on plain columns
+    hashed = (df.withColumn("_h", F.coalesce(portable_hash(keys, seed), F.pmod(row, F.lit(1 << 32))))
+              .withColumn("_tie", F.when(unkeyed, row).otherwise(F.lit(0)))
+              .withColumn("_class", F.coalesce(F.concat(F.lit("="), F.col(label).cast("string")), F.lit("")))
+              .withColumn("_bucket", F.coalesce(F.shiftright(F.col("_h"), 32 - bucket_bits), F.lit(-1))))
+    inner = Window.partitionBy("_class", "_bucket").orderBy("_h", *keys, "_tie")
+    placed = hashed.withColumn("_place", F.dense_rank().over(inner))
+    before = Window.partitionBy("_class").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_class", "_bucket").agg(F.max("_place").alias("_cnt"))
+               .select("_class", "_bucket", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_offset"),
+                       F.sum("_cnt").over(Window.partitionBy("_class")).alias("_n_class"))
+               # back to the rows' partitioning: this small side moves, the rows don't
+               .repartition("_class", "_bucket"))
+    return (placed.join(offsets, ["_class", "_bucket"])
+            .withColumn("_rank", F.col("_place") + F.col("_offset"))
+            .drop("_class", "_bucket", "_offset", "_place", "_tie"))
 
 
 def stratified_split(df: DataFrame, label: str, test_frac: float = 0.2, seed: int = 42,
                      key=None, bucket_bits: int = DEFAULT_BUCKET_BITS) -> DataFrame:
-    """SP1: adds ``split`` ∈ {'train','test'}; per class, ``round(test_frac · n_class)`` rows are
-    test (half rounds up), so class shares are kept to within half a row."""
+    """SP1: adds ``split`` ∈ {'train','test'}; per class, ``round(test_frac · n_class)`` keys are
+    test (half rounds up), so with one row a key class shares are kept to within half a row."""
     r = class_ranks(df, label, key, seed, bucket_bits)
     n_test = F.floor(F.lit(test_frac) * F.col("_n_class") + F.lit(0.5))
     return (r.withColumn("split", F.when(F.col("_rank") <= n_test, F.lit("test")).otherwise(F.lit("train")))

@@ -99,6 +99,29 @@ def stack_cv(oof_long: DataFrame, names, k: int, C: float = 1.0, fold_col: str =
     return mean, std
 
 
+def nested_stack_cv(estimators: dict, df: DataFrame, k: int, C: float = 1.0, fold_col: str = "fold",
+                    row_id: str = "row_id", label: str = "label", inner: int = 3, seed: int = 42):
+    """Cross-validated AUC of the whole stack: in each outer fold the base models' out-of-fold scores,
+    the meta model and the refitted base models all come from the other folds' rows, so nothing that
+    scores a fold has seen it. Returns (mean, population std) over the outer folds."""
+    from tabflow.operators.split import stratified_folds
+    from tabflow.plans.metrics import roc_auc
+    from tabflow.sources.io import materialize
+    parts = []
+    for i in range(k):
+        seen = materialize(stratified_folds(df.filter(F.col(fold_col) != i).drop(fold_col), label, inner, seed + i,
+                                            row_id, fold_col), "stack-outer")
+        _, _, scored = run_stack(estimators, seen, df.filter(F.col(fold_col) == i), inner, fold_col, row_id, label, C)
+        parts.append(scored.select(row_id, "label", F.lit(i).alias("_fold"), "score"))
+    val = parts[0]
+    for p in parts[1:]:
+        val = val.unionByName(p)
+    aucs = [r["roc_auc"] for r in roc_auc(val, model="_fold").collect() if r["roc_auc"] is not None]
+    mean = sum(aucs) / len(aucs) if aucs else float("nan")
+    std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5 if aucs else float("nan")
+    return mean, std
+
+
 def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_col: str = "fold",
               row_id: str = "row_id", label: str = "label", C: float = 1.0, mode: str = "full"):
     """ST1-ST4 end to end. ``mode='full'`` refits each base model on all of train for the test
@@ -118,4 +141,5 @@ def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_
     return meta, base, stacked_scores(meta, base, test, row_id, label)
 
 
-__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv"]
+__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv",
+           "nested_stack_cv"]

@@ -22,7 +22,8 @@ from tabflow.spec import FeatureSpec
 log = logging.getLogger("tabflow")
 
 MISSING = "missing"
-MAX_CATEGORIES = 1000  # categories per column are held on the driver; guard against an id column
+# Up to this many slots their names are a literal array; beyond, a table joined by position.
+LITERAL_SLOTS = 1000
 
 
 class _ImputeScaleParams(HasInputCols, HasOutputCols):
@@ -90,7 +91,7 @@ def _prep_sql(spec: FeatureSpec) -> str:
     for c in spec.categorical:
         parts.append(f"coalesce(CAST(`{c}` AS STRING), '{MISSING}') AS `_cat_{c}`")
     for c in spec.binary:
-        parts.append(f"coalesce(try_cast(`{c}` AS DOUBLE), 0D) AS `_bin_{c}`")
+        parts.append(f"coalesce(nanvl(try_cast(`{c}` AS DOUBLE), 0D), 0D) AS `_bin_{c}`")
     return "SELECT " + ", ".join(parts) + " FROM __THIS__"
 
 
@@ -129,16 +130,10 @@ def build_preprocessor(spec: FeatureSpec, output_col: str = "features") -> Pipel
 def fit_preprocessor(spec: FeatureSpec, train: DataFrame, output_col: str = "features") -> PipelineModel:
     """FE8: fit on the training rows only; apply the model to train and test alike.
 
+    Any number of categories is accepted: each is a slot of the vector, and the driver holds their
+    labels as it holds the coefficients that a model fits for them (the vectors stay sparse).
     The imputer is fitted first so that a numeric column with no values at all is dropped
     from the vector instead of failing the assembler."""
-    if spec.categorical:
-        # StringIndexer brings every category to the driver; check the cardinality first with a
-        # mergeable sketch, so an identifier column fails here instead of flooding the driver.
-        card = train.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in spec.categorical]).first()
-        wide = {c: card[c] for c in spec.categorical if card[c] > MAX_CATEGORIES}
-        if wide:
-            raise ValueError(f"categorical columns above {MAX_CATEGORIES} values: {wide}; "
-                             "they are probably identifiers")
     stages = []
     kept = []
     if spec.numeric:
@@ -147,14 +142,7 @@ def fit_preprocessor(spec: FeatureSpec, train: DataFrame, output_col: str = "fea
         stages.append(imp)
         kept = imp.getInputCols()
     rest = Pipeline(stages=_post_stages(spec, kept, output_col)).fit(train)
-    model = PipelineModel(stages=stages + list(rest.stages))
-    for st in model.stages:
-        if hasattr(st, "labelsArray"):
-            for labels in st.labelsArray:
-                if len(labels) > MAX_CATEGORIES:
-                    raise ValueError(f"categorical column with {len(labels)} values exceeds "
-                                     f"{MAX_CATEGORIES}; it is probably an identifier")
-    return model
+    return PipelineModel(stages=stages + list(rest.stages))
 
 
 def slot_names(model: PipelineModel, spec: FeatureSpec) -> list[str]:
@@ -178,9 +166,20 @@ def slot_names(model: PipelineModel, spec: FeatureSpec) -> list[str]:
 
 def features_long(df: DataFrame, names: list[str], id_cols, features: str = "features",
                   nonzero: bool = True) -> DataFrame:
-    """The vector as long rows ``(*id, slot, value)``: names from a literal array, no join."""
+    """The vector as long rows ``(*id, slot, value)``. With ``nonzero`` only the stored entries of a
+    sparse vector are ever expanded, so a row costs its non-zero slots, not the vector's width."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    arr = F.array(*[F.lit(n) for n in names])
-    out = df.select(*ids, F.posexplode(vector_to_array(features)).alias("_pos", "value")) \
-        .select(*ids, F.element_at(arr, F.col("_pos") + 1).alias("slot"), "value")
-    return out.filter(F.col("value") != 0) if nonzero else out
+    if nonzero:
+        v = F.unwrap_udt(features)
+        dense = F.transform(v["values"], lambda x, i: F.struct(i.alias("pos"), x.alias("value")))
+        stored = F.transform(F.arrays_zip(v["indices"].alias("pos"), v["values"].alias("value")),
+                             lambda e: F.struct(e["pos"].alias("pos"), e["value"].alias("value")))
+        entries = F.when(v["type"] == 0, stored).otherwise(dense)  # 0: sparse
+        out = df.select(*ids, F.inline(entries).alias("_pos", "value")).filter(F.col("value") != 0)
+    else:
+        out = df.select(*ids, F.posexplode(vector_to_array(features)).alias("_pos", "value"))
+    if len(names) <= LITERAL_SLOTS:
+        arr = F.array(*[F.lit(n) for n in names])
+        return out.select(*ids, F.element_at(arr, F.col("_pos") + 1).alias("slot"), "value")
+    table = df.sparkSession.createDataFrame(list(enumerate(names)), "_pos int, slot string")
+    return out.join(table, "_pos").select(*ids, "slot", "value")

@@ -53,6 +53,11 @@ def binary_metrics(scores: DataFrame, model: str = "model", label: str = "label"
                      _div(2 * prec * rec, prec + rec).alias("f1"))
 
 
+def auc_of(num, pos, neg):
+    """The statistic over the number of pairs, as doubles: a product of two counts overflows."""
+    return num / pos.cast("double") / neg.cast("double")
+
+
 def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score: str = "score",
             n_buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC per model, ties counted half (Mann-Whitney); one class only → NULL.
@@ -79,10 +84,10 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
         db = db.join(tot, [model, "_bucket"])
     db = prefix_before(db, [model, "_bucket"], score, "_neg", "_nb")
     agg = db.groupBy(model).agg(
-        F.sum(F.col("_pos") * (F.col("_off") + F.col("_nb") + F.col("_neg") / 2.0)).alias("_num"),
+        F.sum(F.col("_pos").cast("double") * (F.col("_off") + F.col("_nb") + F.col("_neg") / 2.0)).alias("_num"),
         F.sum("_pos").alias("_P"), F.sum("_neg").alias("_N"))
     return agg.select(model, F.when((F.col("_P") > 0) & (F.col("_N") > 0),
-                                    F.col("_num") / (F.col("_P") * F.col("_N"))).alias("roc_auc"))
+                                    auc_of(F.col("_num"), F.col("_P"), F.col("_N"))).alias("roc_auc"))
 
 
 def class_report(scores: DataFrame, model: str = "model", label: str = "label",
@@ -138,6 +143,9 @@ def top_k(df: DataFrame, value: str, k: int, tie: str, by_abs: bool = False) ->
 def score_columns(scores: DataFrame, models, row_id: str = "row_id", model: str = "model",
                   score: str = "score", label: str = "label") -> DataFrame:
     """Long ``(row_id, model, score, label)`` → one row per ``row_id`` with a column per
-    model and the label carried in the grouping key: one shuffle instead of k-1 joins."""
-    return (scores.groupBy(row_id, label).pivot(model, list(models))
-            .agg(F.first(score)))
+    model and the label carried in the grouping key, instead of k-1 joins. Rows that share an id
+    (and label) stay as many rows."""
+    # rows that share an id are numbered inside it, so none is lost
+    nth = F.row_number().over(Window.partitionBy(row_id, label, model).orderBy(score))
+    return (scores.withColumn("_nth", nth).groupBy(row_id, label, "_nth").pivot(model, list(models))
+            .agg(F.first(score)).drop("_nth"))

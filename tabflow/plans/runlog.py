@@ -20,7 +20,7 @@ METRIC_COLS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
 
 class StageTimer:
-    """Wall time per stage, measured around the actions the stage runs."""
+    """Wall time per stage as the driver sees it (what a stage leaves lazy counts where it runs)."""
 
     def __init__(self):
         self.start = time.time()
@@ -57,6 +57,22 @@ def report_long(report: DataFrame, run_id: str, kind: str = "test") -> DataFrame
                        F.concat_ws("_", "metric", "cls").alias("name"), "value")
 
 
+def by_split(long: DataFrame, suffix: str = "_train") -> DataFrame:
+    """Rows of a model scored on its training rows (named with ``suffix``) are filed under the
+    model's own name and kind ``train``."""
+    own = F.col("model").endswith(suffix)
+    return long.select("run_id", F.when(own, F.expr(f"substring(model, 1, length(model) - {len(suffix)})"))
+                       .otherwise(F.col("model")).alias("model"),
+                       F.when(own, F.lit("train")).otherwise(F.col("kind")).alias("kind"), "name", "value")
+
+
+def params_long(spark: SparkSession, params: dict, run_id: str) -> DataFrame:
+    """The chosen numeric parameters per model, kind ``param``."""
+    rows = [(run_id, model, "param", name, float(v)) for model, chosen in params.items()
+            for name, v in chosen.items() if isinstance(v, (int, float))]
+    return spark.createDataFrame(rows, "run_id string, model string, kind string, name string, value double")
+
+
 def run_record(spark: SparkSession, long_metrics: DataFrame, run_id: str, mode: str,
                timer: StageTimer, params: dict[str, str]) -> DataFrame:
     """One row: timestamp, runtime, stage seconds, mode, ``{model}_{kind}_{name}`` metrics map,
@@ -83,4 +99,4 @@ def append_records(record: DataFrame, long_metrics: DataFrame, path: str) -> Non
     long_metrics.write.mode("append").parquet(f"{path.rstrip('/')}/metrics")
 
 
-__all__ = ["StageTimer", "metrics_long", "report_long", "run_record", "new_run_id", "append_records"]
+__all__ = ["StageTimer", "by_split", "params_long", "metrics_long", "report_long", "run_record", "new_run_id", "append_records"]

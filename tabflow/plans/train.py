@@ -1,9 +1,10 @@
 """Model training and selection with Spark ML.
 
 Every fit is a distributed Spark ML job on a cached, fold-tagged frame; the driver holds only
-parameter maps, metrics and fitted models. Search uses ``CrossValidator`` with an explicit fold
+parameter maps, metrics and fitted models. Search fits every candidate on every fold of an explicit fold
 column, so the folds are the hash-placed, stratified ones of ``split.stratified_folds`` and the
-same for every candidate and every model family.
+same for every candidate and every model family; the final score of a chosen model uses
+``CrossValidator`` on such a column.
 """
 
 from __future__ import annotations

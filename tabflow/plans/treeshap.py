@@ -1,8 +1,10 @@
 """Exact per-row additive attributions of tree ensembles (path-dependent Shapley values).
 
 The fitted forest is read back from its saved form (one row per node: children, split, cover,
-value) and broadcast after a size check: it is model-sized, not data-sized. Rows stay on the
-executors; ``mapInPandas`` computes every row's attributions for a whole Arrow batch at once.
+value) in groups of trees of about ``GROUP_NODES`` nodes; each group is unfolded and broadcast on its
+own, so what travels at a time is bounded whatever the size of the forest. Rows stay on the
+executors; ``mapInPandas`` computes every row's attributions for a whole Arrow batch at once, and the
+groups' shares are summed by row and feature.
 
 For one leaf with value ``v`` whose path tests the distinct features ``U`` (``d`` of them), let
 ``s_j(x)`` be 1 when ``x`` satisfies every test on feature ``j`` along the path and ``z_j`` the
@@ -22,32 +24,57 @@ from __future__ import annotations
 
 import math
 import time
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tabflow.session import checkpoint_dir
 
-MAX_TREE_NODES = 5_000_000  # broadcast guard: the forest travels to every executor
+# Nodes of the trees that are unfolded and broadcast together (one tree at least, whose size the
+# model's depth bounds).
+GROUP_NODES = 200_000
 
 
 def _inner(model):
     return model.stages[-1] if hasattr(model, "stages") else model
 
 
-def load_forest(model, spark) -> dict:
-    """Trees as leaf tables: per leaf its weighted value, distinct path features, cover
-    fractions ``z`` and the path tests. Only the saved model (node rows) is read."""
+def _saved_nodes(model, spark) -> DataFrame:
     m = _inner(model)
-    kind = "gbt" if type(m).__name__.startswith("GBT") else "rf"
     path = f"{checkpoint_dir(spark)}/tabflow-trees/{m.uid}-{time.time_ns()}"
     m.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    n_nodes = nodes.count()
-    if n_nodes > MAX_TREE_NODES:
-        raise ValueError(f"forest has {n_nodes} nodes, above the broadcast guard {MAX_TREE_NODES}")
+    return spark.read.parquet(f"{path}/data")
+
+
+def forest_groups(model, spark):
+    """The forest in groups of trees: each as ``load_forest`` gives it, one after the other."""
+    nodes = _saved_nodes(model, spark)
+    sizes = sorted((r["treeID"], r["count"]) for r in nodes.groupBy("treeID").count().collect())
+    group, held = [], 0
+    for tree, n in sizes:
+        if group and held + n > GROUP_NODES:
+            yield _unfold(model, nodes.filter(F.col("treeID").isin(group)))
+            group, held = [], 0
+        group.append(tree)
+        held += n
+    if group:
+        yield _unfold(model, nodes.filter(F.col("treeID").isin(group)))
+
+
+def load_forest(model, spark) -> dict:
+    """All trees as leaf tables (see ``_unfold``)."""
+    return _unfold(model, _saved_nodes(model, spark))
+
+
+def _unfold(model, nodes: DataFrame) -> dict:
+    """Trees as leaf tables: per leaf its weighted value, distinct path features, cover fractions ``z``
+    and the path tests; ``base`` is their share of the expected value."""
+    m = _inner(model)
+    kind = "gbt" if type(m).__name__.startswith("GBT") else "rf"
     rows = nodes.select("treeID", "nodeData.*").collect()
     weights = list(m.treeWeights)
     n_trees = len(weights)
@@ -135,30 +162,37 @@ def tree_contributions(model, df: DataFrame, names: list[str], id_col: str = "ro
                        features: str = "features") -> DataFrame:
     """X3 over every row: long ``(row_id, feature, contribution)`` for non-zero attributions."""
     spark = df.sparkSession
-    forest = load_forest(model, spark)
-    bc = spark.sparkContext.broadcast(forest)
     n_features = len(names)
     name_arr = np.array(names, dtype=object)
-
-    def run(batches):
-        f = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["_x"].to_numpy()).astype(float)
-            phi = attributions(X, f, n_features)
-            r, c = np.nonzero(phi)
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy()[r], "feature": name_arr[c],
-                                "contribution": phi[r, c]})
-
     id_type = df.schema[id_col].dataType.simpleString()
     src = df.select(id_col, vector_to_array(features).alias("_x"))
-    return src.mapInPandas(run, f"{id_col} {id_type}, feature string, contribution double")
+
+    def of_group(forest: dict) -> DataFrame:
+        bc = spark.sparkContext.broadcast(forest)
+
+        def run(batches):
+            f = bc.value
+            for pdf in batches:
+                if pdf.empty:
+                    continue
+                X = np.stack(pdf["_x"].to_numpy()).astype(float)
+                phi = attributions(X, f, n_features)
+                r, c = np.nonzero(phi)
+                yield pd.DataFrame({id_col: pdf[id_col].to_numpy()[r], "feature": name_arr[c],
+                                    "contribution": phi[r, c]})
+
+        return src.mapInPandas(run, f"{id_col} {id_type}, feature string, contribution double")
+
+    parts = [of_group(forest) for forest in forest_groups(model, spark)]
+    if len(parts) == 1:
+        return parts[0]
+    return (reduce(lambda a, b: a.unionByName(b), parts).groupBy(id_col, "feature")
+            .agg(F.sum("contribution").alias("contribution")))
 
 
 def expected_value(model, spark) -> float:
     """``E[f]`` under the training cover: the value the attributions are measured from."""
-    return load_forest(model, spark)["base"]
+    return sum(forest["base"] for forest in forest_groups(model, spark))
 
 
-__all__ = ["tree_contributions", "expected_value", "attributions", "load_forest"]
+__all__ = ["tree_contributions", "expected_value", "attributions", "load_forest", "forest_groups"]

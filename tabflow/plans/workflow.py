@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabflow.operators import clean as C
@@ -23,8 +24,9 @@ from tabflow.plans import features as FE
 from tabflow.plans import metrics as M
 from tabflow.plans import runlog as RL
 from tabflow.plans import train as TR
+from tabflow.plans import treeshap as TS
 from tabflow.session import checkpoint_dir
-from tabflow.sources.io import checkpointed, materialize, write_table
+from tabflow.sources.io import materialize, save_model, write_table
 from tabflow.spec import FeatureSpec, GridSpec, SourceSpec, StackSpec
 
 # The preset search grids of the original modular workflow.
@@ -53,6 +55,19 @@ class RunResult:
     models: dict = field(default_factory=dict)
 
 
+def row_identity(df: DataFrame, spec: FeatureSpec, out: str = "row_id") -> DataFrame:
+    """A row's identity: its source, its key and its occurrence among rows that share both, written so
+    that no two can be confused. Rows with a NULL in the key are told apart by their content, so
+    they never meet in one window; of rows that agree in everything the numbering is arbitrary."""
+    parts = ([spec.lineage] if spec.lineage else []) + list(spec.key)
+    unkeyed = F.exists(F.array(*[F.col(c).isNull() for c in spec.key]), lambda x: x)
+    content = F.when(unkeyed, F.xxhash64(*df.columns)).otherwise(F.lit(0))
+    name = F.to_json(F.struct(*parts, content.alias("_content")), {"ignoreNullFields": "false"})
+    nth = F.row_number().over(Window.partitionBy("_name").orderBy(F.xxhash64(*df.columns)))
+    return (df.withColumn("_name", name).withColumn(out, F.concat_ws("#", "_name", nth.cast("string")))
+            .drop("_name"))
+
+
 def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec,
         grids=DEFAULT_GRIDS, k: int = 5, test_frac: float = 0.2, seed: int = 42,
         stack: StackSpec | None = StackSpec(), out_dir: str | None = None, profile: bool = True,
@@ -60,11 +75,12 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     if not spec.key:
         raise ValueError("FeatureSpec.key is required: splits and folds are placed by key hash")
     timer = RL.StageTimer()
-    base = checkpoint_dir(spark)
-    key = list(spec.key)
+    checkpoint_dir(spark)
+    # rows of two sources may share a key; a row's place depends on both
+    key = ([spec.lineage] if spec.lineage else []) + list(spec.key)
 
     with timer.stage("combine"):
-        combined = C.clean(H.combine(sources, spec), spec)
+        combined = row_identity(C.clean(H.combine(sources, spec), spec), spec)
         combined = combined.withColumn("label", F.col(spec.target).cast("double"))
         # The combined table is written once (partitioned by source when an output folder is
         # given); profiling and splitting read it instead of re-deriving it from the sources
@@ -78,25 +94,29 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         with timer.stage("profile"):
             profiles = P.profile(combined, spec.numeric, spec.categorical)
             profiles["target"] = P.value_counts(combined, spec.target)
+            profiles["dropped"] = C.dropped_counts(H.combine(sources, spec), spec.target, spec.lineage)
+            profiles["total_nulls"] = P.total_nulls(combined, list(spec.features))
+            profiles["schema"] = P.schema_info(combined)
+            profiles["head"] = P.head_n(combined, 5, key)
 
     with timer.stage("split"):
         split = SP.stratified_split(combined, "label", test_frac, seed, key)
-        split = checkpointed(split, f"{base}/tabflow-split")
+        split = materialize(split, "split")
         train = split.filter(F.col("split") == "train")
         test = split.filter(F.col("split") == "test")
 
     with timer.stage("features"):
         pre = FE.fit_preprocessor(spec, train)
         names = FE.slot_names(pre, spec)
-        row_id = F.concat_ws(":", *[F.col(c).cast("string") for c in key]).alias("row_id")
         train_x = SP.stratified_folds(pre.transform(train), "label", k, seed, key) \
-            .select(row_id, "label", "features", "fold")
-        train_x = checkpointed(train_x, f"{base}/tabflow-train")
-        test_x = pre.transform(test).select(row_id, "label", "features")
+            .select("row_id", "label", "features", "fold")
+        train_x = materialize(train_x, "train")
+        test_x = materialize(pre.transform(test).select("row_id", "label", "features"), "test")
 
-    models, best_est, results, scores = {}, {}, [], []
-    stack_cv = None
+    models, best_est, results, scores, metas = {}, {}, [], [], {}
+    stacked_names: list[str] = []
     params: dict[str, str] = {}
+    chosen: dict[str, dict] = {}
     with timer.stage("search"):
         oof = {}
         for g in grids:
@@ -105,8 +125,8 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
             best, est = sr.best_model, sr.best_estimator
             models[g.model], best_est[g.model], oof[g.model] = best, est, sr.oof
             results.append(sr.results)
-            params[f"{g.model}_best_params"] = str({p.name: v for p, v in est.extractParamMap().items()
-                                                   if p.name in TUNED})
+            chosen[g.model] = {p.name: v for p, v in est.extractParamMap().items() if p.name in TUNED}
+            params[f"{g.model}_best_params"] = str(chosen[g.model])
             scores.append(TR.predict(best, test_x, ["row_id"], name=g.model))
             scores.append(TR.predict(best, train_x.drop("fold"), ["row_id"], name=f"{g.model}_train"))
     search_results = results[0]
@@ -125,11 +145,12 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
                         oof_long = oof_long.unionByName(oof[n])
                     meta = EN.fit_stack(oof_long.drop("fold"), names_in, stack.meta_C)
                     stacked = EN.stacked_scores(meta, {n: models[n] for n in names_in}, test_x)
-                    stack_cv = EN.stack_cv(oof_long, names_in, k, stack.meta_C)
+                    metas["stacked"] = meta
                 else:
-                    _, _, stacked = EN.run_stack({n: best_est[n] for n in names_in}, train_x, test_x,
+                    metas["stacked"], _, stacked = EN.run_stack({n: best_est[n] for n in names_in}, train_x, test_x,
                                                  k, C=stack.meta_C, mode=stack.mode)
                 scores.append(stacked)
+                stacked_names = names_in
 
     all_scores = scores[0]
     for s in scores[1:]:
@@ -140,13 +161,16 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         metrics.count()
         report.count()
 
-    # M7: the final cross-validated AUC of each chosen model is its search row (same folds,
-    # same estimator), so it is read, not recomputed
-    cv = search_results.filter("is_best").select(
-        "model", F.col("mean_auc").alias("cv_mean_auc"), F.col("std_auc").alias("cv_std_auc"))
-    if stack_cv is not None:
-        cv = cv.unionByName(spark.createDataFrame([("stacked", *stack_cv)],
-                                                  "model string, cv_mean_auc double, cv_std_auc double"))
+    # M7: the chosen models cross-validated over all labelled rows, train and test, in new folds;
+    # the stack with everything inside the fold
+    with timer.stage("final_cv"):
+        every = SP.stratified_folds(train_x.drop("fold").unionByName(test_x), "label", k, seed + 1, "row_id")
+        every = materialize(every, "final-cv")
+        rows = [(name, *TR.cv_score(est, every, k)) for name, est in best_est.items()]
+        if stacked_names:
+            rows.append(("stacked", *EN.nested_stack_cv({n: best_est[n] for n in stacked_names}, every, k,
+                                                        stack.meta_C, seed=seed)))
+        cv = spark.createDataFrame(rows, "model string, cv_mean_auc double, cv_std_auc double")
 
     explanations = {}
     with timer.stage("explain"):
@@ -156,11 +180,40 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
                 explanations[f"{name}_importances"] = X.importances(m, names, 15)
             if hasattr(inner, "coefficients") and inner.coefficients.size == len(names):
                 explanations[f"{name}_coefficients"] = X.coefficients(m, names, 15)
+                means = X.feature_means(train_x)
+                per_row = X.linear_contributions(test_x, inner.coefficients.toArray(), means, names, "row_id")
+            elif hasattr(inner, "featureImportances"):
+                per_row = TS.tree_contributions(m, test_x, names)
+            else:
+                continue
+            # Every test row explained; X5: their ranking
+            explanations[f"{name}_attributions"] = per_row
+            explanations[f"{name}_mean_abs"] = X.mean_abs_attribution(per_row)
 
     run_id = RL.new_run_id()
-    long = RL.metrics_long(metrics, run_id).unionByName(RL.report_long(report, run_id)) \
-        .unionByName(cv.select(F.lit(run_id).alias("run_id"), "model", F.lit("cv").alias("kind"),
-                               F.lit("mean_roc_auc").alias("name"), F.col("cv_mean_auc").alias("value")))
+
+    def cv_rows(name: str, column: str) -> DataFrame:
+        return cv.select(F.lit(run_id).alias("run_id"), "model", F.lit("cv").alias("kind"), F.lit(name).alias("name"),
+                         F.col(column).alias("value"))
+
+    long = RL.by_split(RL.metrics_long(metrics, run_id).unionByName(RL.report_long(report, run_id)))
+    long = (long.unionByName(cv_rows("mean_roc_auc", "cv_mean_auc")).unionByName(cv_rows("std_roc_auc", "cv_std_auc"))
+            .unionByName(RL.params_long(spark, chosen, run_id)))
+    if out_dir:
+        folder = out_dir.rstrip("/")
+        with timer.stage("write"):
+            # Preprocessing and each model, the meta model over the base scores beside them
+            save_model(pre, split.drop("split"), f"{folder}/models/preprocessor")
+            for name, m in models.items():
+                save_model(m if isinstance(m, PipelineModel) else PipelineModel(stages=[m]), train_x,
+                           f"{folder}/models/{name}")
+            for name, m in metas.items():
+                save_model(m if isinstance(m, PipelineModel) else PipelineModel(stages=[m]),
+                           EN.stack_input(EN.base_scores({n: models[n] for n in stacked_names}, test_x), stacked_names),
+                           f"{folder}/models/{name}")
+            search_results.write.mode("append").parquet(f"{folder}/search")
+            for name, df in explanations.items():
+                df.write.mode("overwrite").parquet(f"{folder}/explanations/{name}")
     record = RL.run_record(spark, long, run_id, mode, timer, params)
     if out_dir:
         RL.append_records(record, long, out_dir)

@@ -113,25 +113,35 @@ def q_recode_lookup(spark, sf_dir):
     return df.groupBy("region_code").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-# Fixed for the large-dictionary path: part keys map to a size class by a rule over 2,000 keys.
-def _size_class_mapping(n_keys: int = 2000) -> dict:
-    return {k: f"class{k % 13}" for k in range(1, n_keys + 1)}
+# Above the CASE limit: a dictionary over every value of p_size (1 to 50 at any scale).
+_SIZE_CLASSES = {k: f"class{k % 13}" for k in range(1, 51)}
 
 
 @register("recode_join", """
-SELECT CASE WHEN p_partkey BETWEEN 1 AND 2000 THEN 'class' || CAST(p_partkey % 13 AS VARCHAR) END
-         AS size_class,
+SELECT 'class' || CAST(p_size % 13 AS VARCHAR) AS size_class,
        CAST(count(*) AS BIGINT) AS n, round(sum(p_retailprice), 2) AS sum_price
 FROM part GROUP BY 1
 """)
 def q_recode_join(spark, sf_dir):
     """A dictionary above the CASE limit becomes a left lookup join."""
-    df = table(spark, sf_dir, "part").withColumn("size_class", F.col("p_partkey"))
-    df = H.recode(df, "size_class", _size_class_mapping())
+    df = table(spark, sf_dir, "part").withColumn("size_class", F.col("p_size"))
+    df = H.recode(df, "size_class", _SIZE_CLASSES)
     return df.groupBy("size_class").agg(F.count(F.lit(1)).cast("bigint").alias("n"),
                                         F.round(F.sum("p_retailprice"), 2).alias("sum_price"))
 
 
+@register("recode_large_duplicates", """
+SELECT p_partkey, CASE WHEN p_size <> 50 THEN 'class' || CAST(p_size % 13 AS VARCHAR) END AS size_class FROM part
+""")
+def q_recode_large_duplicates(spark, sf_dir):
+    """Keys that are the same number (7, '7', '7.0') are one key, the first counts, and no row of
+    the recoded table is multiplied; a value without a key becomes NULL."""
+    mapping = {k: v for k, v in _SIZE_CLASSES.items() if k != 50}
+    mapping |= {str(k): "again" for k in mapping} | {f"{k}.0": "and again" for k in mapping}
+    df = table(spark, sf_dir, "part").select("p_partkey", F.col("p_size").cast("string").alias("size_class"))
+    return H.recode(df, "size_class", mapping)
+
+
 _NUM_GUARD = r"'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 
 
@@ -193,6 +203,37 @@ def q_clean_categorical(spark, sf_dir):
     return C.clean_categorical(df, ["quality", "lang"])
 
 
+@register("clean_categorical_codes", """
+SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS code,
+       '1234567890' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS long_code, CAST(p_size AS VARCHAR) || 'e3' AS power,
+       CASE WHEN p_size % 5 = 0 THEN 'missing' ELSE CAST(p_size AS VARCHAR) END AS size
+FROM part
+""")
+def q_clean_categorical_codes(spark, sf_dir):
+    """Text categories keep zero padding, all digits and signs; numbers come out canonical."""
+    p = table(spark, sf_dir, "part")
+    code = F.lpad(F.col("p_partkey").cast("string"), 8, "0")
+    df = p.select("p_partkey", code.alias("code"), F.concat(F.lit("1234567890"), code).alias("long_code"),
+                  F.concat(F.col("p_size").cast("string"), F.lit("e3")).alias("power"),
+                  F.when(F.col("p_size") % 5 != 0, F.col("p_size").cast("double")).alias("size"))
+    return C.clean_categorical(df, ["code", "long_code", "power", "size"])
+
+
+_EXTREME_SQL = """CASE o_orderkey % 5 WHEN 0 THEN o_totalprice * 1e25 WHEN 1 THEN 0.5 WHEN 2 THEN -1e30 WHEN 3 THEN 1.0
+                  END"""
+
+
+@register("binarize_extremes", f"""
+SELECT o_orderkey, CAST(({_EXTREME_SQL}) >= 1 AS INTEGER) AS target FROM orders
+""")
+def q_binarize_extremes(spark, sf_dir):
+    """P10: a target beyond 64 bits, below 1, negative, 1 and missing."""
+    k = F.col("o_orderkey") % 5
+    x = (F.when(k == 0, F.col("o_totalprice").cast("double") * 1e25).when(k == 1, F.lit(0.5))
+         .when(k == 2, F.lit(-1e30)).when(k == 3, F.lit(1.0)))
+    return C.binarize(table(spark, sf_dir, "orders").select("o_orderkey", x.alias("target")), "target")
+
+
 @register("fill_const", """
 SELECT doc_id, CAST(coalesce(quality, 0) AS DOUBLE) AS quality, CAST(coalesce(toxic, 0) AS DOUBLE) AS toxic
 FROM documents LEFT JOIN labels USING (doc_id)
@@ -311,14 +352,14 @@ WITH l AS {_LINE_LONG},
 r AS (SELECT column_name, CASE WHEN min(value) = max(value) THEN min(value) - 0.5 ELSE min(value) END AS lo,
              CASE WHEN min(value) = max(value) THEN max(value) + 0.5 ELSE max(value) END AS hi
       FROM l GROUP BY column_name)
-SELECT column_name, CAST(bin AS INTEGER) AS bin, round(lo + (bin - 1) * ((hi - lo) / 15), 6) AS lo,
-       round(lo + bin * ((hi - lo) / 15), 6) AS hi, CAST(count(*) AS BIGINT) AS n
-FROM (SELECT column_name, lo, hi, least(floor((value - lo) / (hi - lo) * 15) + 1, 15) AS bin
-      FROM l JOIN r USING (column_name))
-GROUP BY column_name, bin, lo, hi
+SELECT g.column_name, CAST(g.bin AS INTEGER) AS bin, round(lo + (g.bin - 1) * ((hi - lo) / 15), 6) AS lo,
+       round(lo + g.bin * ((hi - lo) / 15), 6) AS hi, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM (SELECT column_name, lo, hi, unnest(range(1, 16)) AS bin FROM r) g
+LEFT JOIN (SELECT column_name, least(floor((value - lo) / (hi - lo) * 15) + 1, 15) AS bin, count(*) AS n
+           FROM l JOIN r USING (column_name) GROUP BY ALL) c ON c.column_name = g.column_name AND c.bin = g.bin
 """)
 def q_histogram(spark, sf_dir):
-    """15 equal-width bins per numeric column, last bin closed."""
+    """15 equal-width bins per numeric column, last bin closed, empty bins included."""
     h = P.histogram(lineitem_holes(spark, sf_dir), LINE_NUMERIC, bins=15)
     return _r6(h, ["lo", "hi"]).withColumn("n", F.col("n").cast("bigint"))
 
@@ -402,6 +443,19 @@ def q_fold_balance(spark, sf_dir):
         .agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
+@register("split_duplicate_keys", f"""
+SELECT l_linestatus, l_orderkey, fold, CAST(count(*) AS BIGINT) AS n FROM (
+  SELECT l_linestatus, l_orderkey, CAST((dense_rank() OVER (PARTITION BY l_linestatus
+         ORDER BY {_hash_sql('l_orderkey', 42)}, l_orderkey) - 1) % 5 AS INTEGER) AS fold FROM lineitem)
+GROUP BY ALL
+""")
+def q_split_duplicate_keys(spark, sf_dir):
+    """SP2: rows that share a key (an order's lines) are never parted into different folds."""
+    li = table(spark, sf_dir, "lineitem").select("l_linestatus", "l_orderkey")
+    f = SP.stratified_folds(li, "l_linestatus", 5, 42, "l_orderkey")
+    return f.groupBy("l_linestatus", "l_orderkey", "fold").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
+
+
 @register("sample_n", f"""
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity,
        round(l_extendedprice, 2) AS l_extendedprice FROM lineitem
@@ -456,13 +510,15 @@ def lineitem_scores(spark, sf_dir) -> DataFrame:
 
 
 @register("confusion_matrix", f"""
-SELECT model, label, prediction, CAST(count(*) AS BIGINT) AS n FROM {_SCORES_SQL}
-GROUP BY ALL
+WITH s AS (SELECT * FROM {_SCORES_SQL})
+SELECT g.model, g.label, g.prediction, CAST(count(s.row_id) AS BIGINT) AS n
+FROM (SELECT model, unnest([0, 0, 1, 1]) AS label, unnest([0, 1, 0, 1]) AS prediction
+      FROM (SELECT DISTINCT model FROM s)) g
+LEFT JOIN s ON s.model = g.model AND s.label = g.label AND s.prediction = g.prediction GROUP BY ALL
 """)
 def q_confusion_matrix(spark, sf_dir):
-    """The full 2×2 grid per model."""
-    cm = M.confusion_matrix(lineitem_scores(spark, sf_dir))
-    return cm.filter(F.col("n") > 0).withColumn("n", F.col("n").cast("bigint"))
+    """The full 2×2 grid per model, zeros included."""
+    return M.confusion_matrix(lineitem_scores(spark, sf_dir)).withColumn("n", F.col("n").cast("bigint"))
 
 
 _CC_SQL = f"""(SELECT model, count_if(label=0 AND prediction=0) AS tn, count_if(label=0 AND prediction=1) AS fp,
@@ -575,6 +631,29 @@ def q_score_columns(spark, sf_dir):
     return M.score_columns(long, ["price", "cust"])
 
 
+_TWO_SOURCES_SQL = """(SELECT c_custkey AS id, CAST(c_acctbal > 0 AS INTEGER) AS label, round(c_acctbal / 10000, 6) AS bal,
+         round(c_nationkey / 25.0, 6) AS nat FROM customer
+  UNION ALL SELECT s_suppkey, CAST(s_acctbal > 0 AS INTEGER), round(s_acctbal / 10000, 6), round(s_nationkey / 25.0, 6)
+  FROM supplier)"""
+
+
+@register("stack_input_two_sources", f"""
+SELECT a.id AS row_id, a.label, a.bal, b.nat FROM
+  (SELECT id, label, bal, row_number() OVER (PARTITION BY id, label ORDER BY bal) AS nth FROM {_TWO_SOURCES_SQL}) a
+  JOIN (SELECT id, label, nat, row_number() OVER (PARTITION BY id, label ORDER BY nat) AS nth FROM {_TWO_SOURCES_SQL}) b
+  ON a.id = b.id AND a.label = b.label AND a.nth = b.nth
+""")
+def q_stack_input_two_sources(spark, sf_dir):
+    """Customers and suppliers share ids; as many rows come out as went in."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), F.col("c_acctbal").alias("x"),
+                                                F.col("c_nationkey").alias("y"))
+    u = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("row_id"), F.col("s_acctbal").alias("x"),
+                                                F.col("s_nationkey").alias("y"))
+    both = c.unionByName(u).select("row_id", (F.col("x") > 0).cast("int").alias("label"),
+                                   F.round(F.col("x") / 10000, 6).alias("bal"), F.round(F.col("y") / 25.0, 6).alias("nat"))
+    return M.score_columns(both.unpivot(["row_id", "label"], ["bal", "nat"], "model", "score"), ["bal", "nat"])
+
+
 _FOLD_SCORES_SQL = f"""(SELECT row_id, label, score, (row_number() OVER (PARTITION BY label
         ORDER BY {_hash_sql('row_id', 42)}, row_id) - 1) % 5 AS fold
       FROM {_SCORES_SQL} WHERE model = 'disc')"""
@@ -664,6 +743,19 @@ def q_features_onehot(spark, sf_dir):
     return long.select("doc_id", "slot", F.round("value", 6).alias("value"))
 
 
+@register("features_high_cardinality", """
+WITH t AS (SELECT c_custkey, c_name FROM customer WHERE c_custkey % 3 <> 0)
+SELECT c_custkey, 'name_' || c_name AS slot, CAST(1.0 AS DOUBLE) AS value FROM customer WHERE c_name IN (SELECT c_name FROM t)
+""")
+def q_features_high_cardinality(spark, sf_dir):
+    """FE4: a category with one value a row, fitted on two thirds of the customers; the others' names
+    are unseen and have no slot."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
+    spec = FeatureSpec(categorical=("name",), target="y", lineage=None, key=("c_custkey",))
+    model = FE.fit_preprocessor(spec, c.filter("c_custkey % 3 <> 0"))
+    return FE.features_long(model.transform(c), FE.slot_names(model, spec), "c_custkey")
+
+
 # ---------------------------------------------------------------------------------------------
 # Models, search, stacking, explanations (M1-M10, ST1-ST5, X1, X2, X4, X5). Model fits are
 # iterative optimisations, not SQL: these queries are rows-only for the driver and covered by
@@ -789,7 +881,7 @@ from tabflow.plans import treeshap as TS  # noqa: E402
 @register("tree_contributions")
 def q_tree_contributions(spark, sf_dir):
     """Exact per-row attributions of a random forest for every labelled document (train and
-    test), then X5's global mean-|attribution| ranking of them."""
+    test)."""
     train, test, names = doc_model_frames(spark, sf_dir)
     m = TR.make_estimator("rf", {"n_estimators": 20, "max_depth": 5}).fit(train)
     rows = train.select("row_id", "features").unionByName(test.select("row_id", "features"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
@@ -25,23 +26,52 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
 
 def _header(spark: SparkSession, path: str) -> list[str]:
     # Reading only the header line: a one-row job on the first file, not a scan of the data.
-    first = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    first = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
     return first.columns
 
 
-def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
-             missing_ok: bool = False) -> DataFrame | None:
+def _by_header(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files under ``path`` by their header line, which a file's first block starts with."""
+    lines = (spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
+                                          F.col("_metadata.file_block_start").alias("at"))
+             .filter("at = 0").withColumn("n", F.monotonically_increasing_id()))
+    groups: dict[str, list[str]] = {}
+    for row in lines.groupBy("file").agg(F.min_by("value", "n").alias("header")).collect():
+        groups.setdefault(row["header"], []).append(row["file"])
+    return groups
+
+
+def na_to_null(df: DataFrame) -> DataFrame:
+    """NA markers → NULL in every (text) column."""
+    tokens = F.array(*[F.lit(t) for t in NA_TOKENS])
+    return df.select(*[
+        F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None).cast("string"))
+         .otherwise(F.col(c)).alias(c) for c in df.columns])
+
+
+def read_raw(spark: SparkSession, path: str | list[str], columns: list[str] | None = None,
+             missing_ok: bool = False, multi_line: bool = False, mixed_headers: bool = False) -> DataFrame | None:
     """Read CSV with a header, every column as text, NA markers → NULL.
 
+    Quotes inside quoted text are doubled (``"a ""b"", c"``); ``multi_line`` allows line breaks
+    inside quotes (a file is then one task). Every file's header must name the columns in the same
+    order, which is checked: values never land in another column. With ``mixed_headers`` files are
+    read by header and united by name instead (one more pass reads the header lines).
+
     Types are assigned by the clean step, so a stray word in a numeric column never fails the
     read or widens the column. With ``missing_ok`` a path that does not exist returns None (and is
     logged); any other error propagates.
     """
     try:
+        if mixed_headers:
+            groups = _by_header(spark, path)
+            if len(groups) > 1:
+                parts = [read_raw(spark, files, multi_line=multi_line) for _, files in sorted(groups.items())]
+                return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         names = columns or _header(spark, path)
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names])
-        df = (spark.read.option("header", True).option("mode", "PERMISSIVE")
-              .schema(schema).csv(path))
+        df = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("escape", '"')
+              .option("multiLine", multi_line).option("enforceSchema", False).schema(schema).csv(path))
         if columns is None:
             df.schema  # resolve now so a missing path raises here
     except AnalysisException as e:
@@ -49,10 +79,7 @@ def read_raw(spark: SparkSession, path: str, columns: list[str] | None = None,
             log.error("input not found: %s", path)
             return None
         raise
-    tokens = F.array(*[F.lit(t) for t in NA_TOKENS])
-    return df.select(*[
-        F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None).cast("string"))
-         .otherwise(F.col(c)).alias(c) for c in df.columns])
+    return na_to_null(df)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -99,16 +126,25 @@ def fingerprint(df: DataFrame, extra: str = "") -> str:
     """A key for materialised data: the analysed plan plus the input files it reads.
 
     Keying by a file name alone reuses stale data after the input changes; the plan hash and the
-    file list change with both the query and the input.
+    files' names, lengths and modification times change with both the query and the input.
     """
     h = hashlib.sha256()
     h.update(str(df.semanticHash()).encode())
-    for f in sorted(df.inputFiles()):
-        h.update(f.encode())
+    files = df.inputFiles()
+    if files:  # metadata only: no file's content is read
+        listed = df.sparkSession.read.format("binaryFile").load(files).select("path", "length", "modificationTime")
+        for row in sorted(map(str, listed.collect())):
+            h.update(row.encode())
     h.update(extra.encode())
     return h.hexdigest()[:20]
 
 
+def _complete(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` has been committed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def checkpointed(df: DataFrame, base_path: str, key: str | None = None) -> DataFrame:
     """Materialise ``df`` once as parquet under ``base_path/key`` and read it back.
 
@@ -118,10 +154,8 @@ def checkpointed(df: DataFrame, base_path: str, key: str | None = None) -> DataF
     spark = df.sparkSession
     key = key or fingerprint(df)
     path = f"{base_path.rstrip('/')}/{key}"
-    try:
+    if _complete(spark, path):
         return spark.read.parquet(path)
-    except AnalysisException:
-        pass
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

@@ -5,6 +5,7 @@ Roles are data, not constants: the same engine serves any tabular risk table.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -90,25 +91,10 @@ class StackSpec:
     mode: str = "full"  # "full": base models refitted on all of train; "last_fold" on request
 
 
-# Column roles of the clinical risk tables the original workflow harmonises.
-RISK_TARGET = "heart_disease"
-RISK_NUMERIC = ("age", "trestbps", "chol", "thalach", "oldpeak", "ca", "bmi")
-RISK_CATEGORICAL = ("sex", "cp", "restecg", "slope", "thal")
-RISK_BINARY = ("fbs", "exang", "smoking", "diabetes")
-# The right-hand (UCI layout) source's renames, thal recoding and absent features.
-RISK_UCI_RENAME = {"thalch": "thalach", "num": "heart_disease", "target": "heart_disease"}
-RISK_THAL_RECODE = {0: 3, 1: 6, 2: 7}
-RISK_UCI_ADD = {"smoking": 0, "diabetes": 0, "bmi": 0}
-
-
-def risk_spec(key: tuple[str, ...] = ()) -> FeatureSpec:
-    return FeatureSpec(numeric=RISK_NUMERIC, categorical=RISK_CATEGORICAL, binary=RISK_BINARY,
-                       target=RISK_TARGET, lineage="source", key=key)
-
-
-def risk_sources() -> tuple[SourceSpec, SourceSpec]:
-    """The two sources of the original workflow: synthetic (kept tag) and UCI layout."""
-    left = SourceSpec(name="Synthetic", rename={"target": "heart_disease"}, overwrite_tag=False)
-    right = SourceSpec(name="UCI", rename=RISK_UCI_RENAME, recode={"thal": RISK_THAL_RECODE},
-                       add=RISK_UCI_ADD, overwrite_tag=True)
-    return left, right
+def load_specs(path: str) -> tuple[FeatureSpec, dict[str, SourceSpec]]:
+    """Column roles and source layouts from a JSON file: the fields of ``FeatureSpec`` at the top,
+    and under ``sources`` a name → fields of ``SourceSpec`` for each source that needs any."""
+    with open(path, encoding="utf-8") as f:
+        doc = json.load(f)
+    sources = {name: SourceSpec(name=name, **fields) for name, fields in doc.pop("sources", {}).items()}
+    return FeatureSpec(**doc), sources

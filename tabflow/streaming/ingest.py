@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.session import checkpoint_dir
-from tabflow.sources.io import NA_TOKENS
+from tabflow.sources.io import na_to_null
 from tabflow.spec import FeatureSpec, SourceSpec
 
 
@@ -25,13 +25,10 @@ def read_raw_stream(spark: SparkSession, folder: str, columns: list[str],
                     max_files_per_trigger: int | None = None) -> DataFrame:
     """S1 as a stream: CSV files with a header, every column as text, NA markers → NULL."""
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
-    reader = spark.readStream.option("header", True).schema(schema)
+    reader = spark.readStream.option("header", True).option("escape", '"').option("enforceSchema", False).schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(folder)
-    tokens = F.array(*[F.lit(t) for t in NA_TOKENS])
-    return df.select(*[F.when(F.array_contains(tokens, F.trim(F.col(c))), F.lit(None).cast("string"))
-                       .otherwise(F.col(c)).alias(c) for c in columns])
+    return na_to_null(reader.csv(folder))
 
 
 def combined_stream(sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec) -> DataFrame:

@@ -1,37 +1,18 @@
-"""The command-line entry runs the whole analysis on CSV sources in the original layouts."""
+"""The command-line entry runs the whole analysis on CSV sources, with roles from a spec file."""
 
-import random
+import orchards as O
 
 from tabflow.__main__ import main
 
-SYN = "age sex cp trestbps chol fbs restecg thalach exang oldpeak slope ca thal smoking diabetes bmi heart_disease".split()
-UCI = "age sex cp trestbps chol fbs restecg thalch exang oldpeak slope ca thal num".split()
-
-
-def _rows(rnd, uci, n):
-    out = []
-    for _ in range(n):
-        r = [rnd.randrange(30, 80), rnd.randrange(2), rnd.randrange(4), rnd.randrange(100, 180),
-             rnd.randrange(150, 300), rnd.randrange(2), rnd.randrange(3), rnd.randrange(100, 200),
-             rnd.randrange(2), round(rnd.uniform(0, 5), 1), rnd.randrange(3), rnd.randrange(4)]
-        r += ([rnd.randrange(3), rnd.randrange(5)] if uci else
-              [rnd.choice([3, 6, 7]), rnd.randrange(2), rnd.randrange(2), round(rnd.uniform(20, 35), 1),
-               rnd.randrange(2)])
-        out.append(",".join(map(str, r)))
-    return out
-
 
 def test_cli_end_to_end(spark, tmp_dir):
-    rnd = random.Random(4)
-    with open(f"{tmp_dir}/syn.csv", "w") as f:
-        f.write(",".join(SYN) + "\n" + "\n".join(_rows(rnd, False, 90)) + "\n")
-    with open(f"{tmp_dir}/uci.csv", "w") as f:
-        f.write(",".join(UCI) + "\n" + "\n".join(_rows(rnd, True, 90)) + "\n")
-    rc = main(["--source", f"Synthetic={tmp_dir}/syn.csv", "--source", f"UCI={tmp_dir}/uci.csv",
+    north = O.csv(tmp_dir, "n.csv", O.NORTH_COLS, O.random_rows(90, 4))
+    south = O.csv(tmp_dir, "s.csv", O.SOUTH_COLS, O.random_rows(90, 5, south=True))  # the same plot numbers
+    rc = main(["--spec", O.spec_file(tmp_dir), "--source", f"north={north}", "--source", f"south={south}",
                "--out", f"{tmp_dir}/out", "--quick", "--folds", "3", "--no-stack"])
     assert rc == 0
     combined = spark.read.parquet(f"{tmp_dir}/out/combined")
     assert combined.count() == 180
-    assert {r.source for r in combined.select("source").distinct().collect()} == {"Synthetic", "UCI"}
+    assert {r.source for r in combined.select("source").distinct().collect()} == {"north", "south"}
     assert spark.read.parquet(f"{tmp_dir}/out/runs").count() == 1
-    assert main(["--source", f"X={tmp_dir}/missing.csv", "--out", f"{tmp_dir}/out2"]) == 2
+    assert main(["--spec", O.spec_file(tmp_dir), "--source", f"X={tmp_dir}/missing.csv", "--out", f"{tmp_dir}/o2"]) == 2

@@ -1,9 +1,7 @@
 """Features, training, stacking, explanations, run records."""
 
-import math
-import random
-
 import numpy as np
+import orchards as O
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from tabflow.plans import features as FE
 from tabflow.plans import runlog as RL
 from tabflow.plans import train as TR
 from tabflow.sources import io
-from tabflow.spec import FeatureSpec, risk_spec
+from tabflow.spec import FeatureSpec
 
 
 def test_scaler_population_std_and_constant(spark):
@@ -44,30 +42,20 @@ def test_unseen_category_is_all_zeros(spark):
     assert got == [[1, 0, 0], [0, 0, 0], [0, 0, 0]]
 
 
-def _risk_frame(spark, n=100, seed=7):
-    rnd = random.Random(seed)
-    rows = []
-    for i in range(n):
-        rows.append((i, rnd.randrange(20, 80), rnd.randrange(100, 180), rnd.randrange(150, 300),
-                     rnd.randrange(100, 200), rnd.uniform(0, 5), rnd.randrange(0, 4), rnd.uniform(20, 30),
-                     str(rnd.randrange(2)), str(rnd.randrange(4)), str(rnd.randrange(3)), str(rnd.randrange(3)),
-                     rnd.choice(["3", "6", "7"]), str(rnd.randrange(2)), str(rnd.randrange(2)),
-                     str(rnd.randrange(2)), str(rnd.randrange(2)), rnd.randrange(2)))
-    cols = ("id int, age int, trestbps int, chol int, thalach int, oldpeak double, ca int, bmi double, "
-            "sex string, cp string, restecg string, slope string, thal string, fbs string, exang string, "
-            "smoking string, diabetes string, heart_disease int")
-    return spark.createDataFrame(rows, cols)
+def test_binary_nan_counts_as_zero(spark):
+    spec = FeatureSpec(binary=("b",), target="y", lineage=None)
+    df = spark.createDataFrame([(float("nan"), 0), (1.0, 1), (None, 0)], "b double, y int")
+    assert [list(r.features.toArray()) for r in FE.fit_preprocessor(spec, df).transform(df).collect()] == [[0.0], [1.0], [0.0]]
 
 
 def test_model_schema_widths(spark):
-    spec = risk_spec(key=("id",))
-    df = _risk_frame(spark)
-    s = SP.stratified_split(df, "heart_disease", 0.2, 42, "id")
+    spec = O.spec()
+    s = SP.stratified_split(O.frame(spark), "blight", 0.2, 42, "plot")
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     pre = FE.fit_preprocessor(spec, train)
     w_train = len(pre.transform(train).first().features)
     w_test = len(pre.transform(test).first().features)
-    assert w_train == w_test == len(FE.slot_names(pre, spec)) == 26
+    assert w_train == w_test == len(FE.slot_names(pre, spec)) == 3 + 3 + 3 + 1
 
 
 def _newton_lr(X, y, C, penalize_intercept):
@@ -193,10 +181,10 @@ def test_append_run_twice(spark, tmp_dir):
 def test_workflow_end_to_end(spark, tmp_dir):
     from tabflow.plans import workflow as WF
     from tabflow.spec import GridSpec, SourceSpec, StackSpec
-    df = _risk_frame(spark, n=160, seed=11)
-    spec = risk_spec(key=("id",))
+    df = O.frame(spark, n=160, seed=11)
+    spec = O.spec()
     grids = (GridSpec("lr", {"C": [0.1, 1.0]}), GridSpec("rf", {"n_estimators": [5], "max_depth": [3]}))
-    res = WF.run(spark, [(df, SourceSpec(name="Synthetic"))], spec, grids=grids, k=3,
+    res = WF.run(spark, [(df, SourceSpec(name="north"))], spec, grids=grids, k=3,
                  stack=StackSpec(base=("lr", "rf")), out_dir=tmp_dir, profile=True)
     models = {r.model for r in res.metrics.collect()}
     assert models == {"lr", "rf", "lr_train", "rf_train", "stacked"}

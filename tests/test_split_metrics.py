@@ -101,11 +101,48 @@ def test_flatten_report_names(spark):
 
 
 def test_bucket_count_grows_with_rows():
-    from tabflow.functions.ranks import MAX_BUCKETS, MAX_ROWS_PER_BUCKET, buckets_for
+    from tabflow.functions.ranks import MAX_ROWS_PER_BUCKET, buckets_for
     assert buckets_for(10_000) == 1024
-    b = buckets_for(10**10)
-    assert 10**10 / b <= MAX_ROWS_PER_BUCKET and b <= MAX_BUCKETS
-    assert buckets_for(10**15) == MAX_BUCKETS
+    assert all(n / buckets_for(n) <= MAX_ROWS_PER_BUCKET for n in (10**10, 10**15))
+
+
+def test_auc_of_counts_beyond_64_bits(spark):
+    n = 4 * 10**9
+    df = spark.createDataFrame([(0.75 * n * n, n, n)], "num double, p bigint, q bigint")
+    assert df.select(M.auc_of(F.col("num"), F.col("p"), F.col("q"))).first()[0] == 0.75
+
+
+def test_rows_with_one_key_stay_together_and_null_keys_spread(spark):
+    rows = [(i // 4, i % 2, i) for i in range(2000)] + [(None, i % 2, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id long, label int, x int")
+    f = SP.stratified_folds(df, "label", 5, 42, "id")
+    keyed = f.filter("id is not null").groupBy("label", "id").agg(F.countDistinct("fold").alias("n"))
+    assert keyed.filter("n > 1").count() == 0 and f.count() == 4000
+    sizes = [r["count"] for r in f.filter("id is null").groupBy("fold").count().collect()]
+    assert len(sizes) == 5 and min(sizes) > 300
+
+
+def test_folds_shuffle_the_rows_once(spark, tmp_dir):
+    _frame(spark, 500).write.parquet(f"{tmp_dir}/rows")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = SP.stratified_folds(spark.read.parquet(f"{tmp_dir}/rows"), "label", 5, 42, "id")
+        plan = f._jdf.queryExecution().executedPlan().toString()
+        f.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # every exchange is either the rows by (class, bucket), the same twice, or the small offsets
+    rows = [x for x in plan.splitlines() if "Exchange hashpartitioning" in x and "ENSURE_REQUIREMENTS" in x
+            and "_bucket" in x]
+    assert len(rows) == 2 and len({x.split("plan_id")[0].split("Exchange")[1].split("#")[0] for x in rows}) == 1
+
+
+def test_score_columns_keeps_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([("a", 1, 1, 0.1), ("a", 1, 1, 0.2), ("b", 1, 1, 0.3), ("b", 1, 1, 0.4), ("a", 2, 0, 0.5)],
+                               "model string, row_id int, label int, score double")
+    got = sorted((r.row_id, r.a, r.b) for r in M.score_columns(df, ["a", "b"]).collect())
+    assert got == [(1, 0.1, 0.3), (1, 0.2, 0.4), (2, 0.5, None)]
 
 
 def test_auto_buckets_on_skewed_data(spark, monkeypatch):

@@ -1,41 +1,32 @@
 """The batch operators on a file stream give the same rows as the batch path."""
 
-import os
+import orchards as O
 
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.sources.io import read_raw
-from tabflow.spec import risk_sources, risk_spec
 from tabflow.streaming import ingest as S
 
-from test_harmonize import SYN_COLS, SYN_ROWS, UCI_COLS, UCI_ROWS
-
-
-def _write(folder, cols, rows, name):
-    os.makedirs(folder, exist_ok=True)
-    with open(os.path.join(folder, name), "w") as f:
-        f.write(",".join(cols) + "\n" + "\n".join(rows) + "\n")
 
 
 def test_stream_ingest_matches_batch(spark, tmp_dir):
-    syn_dir, uci_dir, out = f"{tmp_dir}/syn", f"{tmp_dir}/uci", f"{tmp_dir}/out"
-    _write(syn_dir, SYN_COLS, SYN_ROWS[:2], "a.csv")
-    _write(syn_dir, SYN_COLS, SYN_ROWS[2:], "b.csv")
-    _write(uci_dir, UCI_COLS, UCI_ROWS, "a.csv")
-    spec = risk_spec()
-    left, right = risk_sources()
-    stream = S.combined_stream([(S.read_raw_stream(spark, syn_dir, SYN_COLS, 1), left),
-                                (S.read_raw_stream(spark, uci_dir, UCI_COLS, 1), right)], spec)
+    north_dir, south_dir, out = f"{tmp_dir}/north", f"{tmp_dir}/south", f"{tmp_dir}/out"
+    O.csv(north_dir, "a.csv", O.NORTH_COLS, O.NORTH_ROWS[:2])
+    O.csv(north_dir, "b.csv", O.NORTH_COLS, O.NORTH_ROWS[2:])
+    O.csv(south_dir, "a.csv", O.SOUTH_COLS, O.SOUTH_ROWS)
+    spec, (left, right) = O.spec(), O.sources()
+    stream = S.combined_stream([(S.read_raw_stream(spark, north_dir, O.NORTH_COLS, 1), left),
+                                (S.read_raw_stream(spark, south_dir, O.SOUTH_COLS, 1), right)], spec)
     q = S.start_ingest(stream, out, name="test_ingest", checkpoint=f"{tmp_dir}/ckpt")
     q.awaitTermination(120)
     got = spark.read.parquet(out)
-    batch = C.clean(H.combine([(read_raw(spark, syn_dir), left), (read_raw(spark, uci_dir), right)], spec), spec)
+    batch = C.clean(H.combine([(read_raw(spark, north_dir), left), (read_raw(spark, south_dir), right)], spec), spec)
     cols = sorted(batch.columns)
     assert sorted(map(tuple, got.select(cols).collect()), key=str) == \
         sorted(map(tuple, batch.select(cols).collect()), key=str)
     # a second run with the same checkpoint appends nothing new (exactly once)
-    q2 = S.start_ingest(S.combined_stream([(S.read_raw_stream(spark, syn_dir, SYN_COLS), left),
-                                           (S.read_raw_stream(spark, uci_dir, UCI_COLS), right)], spec),
+    q2 = S.start_ingest(S.combined_stream([(S.read_raw_stream(spark, north_dir, O.NORTH_COLS), left),
+                                           (S.read_raw_stream(spark, south_dir, O.SOUTH_COLS), right)], spec),
                         out, name="test_ingest2", checkpoint=f"{tmp_dir}/ckpt")
     q2.awaitTermination(120)
     assert spark.read.parquet(out).count() == 6
@@ -47,23 +38,22 @@ def test_score_stream_matches_batch(spark, tmp_dir):
 
     from tabflow.plans import features as FE
     from tabflow.plans import train as TR
-    spec = risk_spec(key=("age",))
-    left, right = risk_sources()
-    syn_dir, uci_dir = f"{tmp_dir}/syn", f"{tmp_dir}/uci"
-    _write(syn_dir, SYN_COLS, SYN_ROWS, "a.csv")
-    _write(uci_dir, UCI_COLS, UCI_ROWS, "a.csv")
-    batch = C.clean(H.combine([(read_raw(spark, syn_dir), left), (read_raw(spark, uci_dir), right)], spec), spec) \
-        .withColumn("label", F.col("heart_disease").cast("double"))
+    spec, (left, right) = O.spec(), O.sources()
+    north_dir, south_dir = f"{tmp_dir}/north", f"{tmp_dir}/south"
+    O.csv(north_dir, "a.csv", O.NORTH_COLS, O.NORTH_ROWS)
+    O.csv(south_dir, "a.csv", O.SOUTH_COLS, O.SOUTH_ROWS)
+    batch = C.clean(H.combine([(read_raw(spark, north_dir), left), (read_raw(spark, south_dir), right)], spec), spec) \
+        .withColumn("label", F.col("blight").cast("double"))
     pre = FE.fit_preprocessor(spec, batch)
     clf = TR.make_estimator("lr", {"C": 1.0}).fit(pre.transform(batch))
     model = PipelineModel(stages=list(pre.stages) + [clf])
-    stream = S.combined_stream([(S.read_raw_stream(spark, syn_dir, SYN_COLS), left),
-                                (S.read_raw_stream(spark, uci_dir, UCI_COLS), right)], spec)
-    scored = S.score_stream(model, stream, ["age", "source"])
+    stream = S.combined_stream([(S.read_raw_stream(spark, north_dir, O.NORTH_COLS), left),
+                                (S.read_raw_stream(spark, south_dir, O.SOUTH_COLS), right)], spec)
+    scored = S.score_stream(model, stream, ["plot", "source"])
     out = f"{tmp_dir}/scored"
     q = (scored.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", f"{tmp_dir}/ckpt2").trigger(availableNow=True).start())
     q.awaitTermination(120)
-    got = {(r.age, r.source): r.score for r in spark.read.parquet(out).collect()}
-    want = {(r.age, r.source): r.score for r in TR.positive_score(model.transform(batch)).collect()}
+    got = {(r.plot, r.source): r.score for r in spark.read.parquet(out).collect()}
+    want = {(r.plot, r.source): r.score for r in TR.positive_score(model.transform(batch)).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in got)

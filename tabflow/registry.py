@@ -7,6 +7,7 @@ value hash can compare them.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from tabflow.sources.io import materialize, read_table
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
+from tabflow.session import checkpoint_dir
 from tabflow.spec import FeatureSpec, SourceSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +32,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def run_folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared store."""
+    return f"{checkpoint_dir(spark)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -735,8 +742,8 @@ def q_features_onehot(spark, sf_dir):
     """FE1-FE6, FE8: imputed + population-standardised numeric, alphabetical one-hot with unseen →
     zeros, binary pass-through; fitted on train rows only, applied to every document."""
     d = documents_features_input(spark, sf_dir)
-    train = SP.stratified_split(d.filter(F.col("quality").isNotNull()), "quality", 0.2, 42, "doc_id") \
-        .filter(F.col("split") == "train")
+    train = materialize(SP.stratified_split(d.filter(F.col("quality").isNotNull()), "quality", 0.2, 42, "doc_id")
+                        .filter(F.col("split") == "train"), "doc-train-rows")
     model = FE.fit_preprocessor(DOC_SPEC, train)
     names = FE.slot_names(model, DOC_SPEC)
     long = FE.features_long(model.transform(d), names, "doc_id")
@@ -774,7 +781,8 @@ def doc_model_frames(spark, sf_dir):
         .withColumn("label", F.col("quality").cast("double")).withColumnRenamed("doc_id", "row_id")
     spec = FeatureSpec(numeric=DOC_SPEC.numeric, categorical=DOC_SPEC.categorical,
                        binary=DOC_SPEC.binary, target="label", lineage=None, key=("row_id",))
-    s = SP.stratified_split(d, "label", 0.2, 42, "row_id")
+    # the preprocessor fits several statistics: rank the split once
+    s = materialize(SP.stratified_split(d, "label", 0.2, 42, "row_id"), "doc-split")
     train, test = s.filter(F.col("split") == "train"), s.filter(F.col("split") == "test")
     pre = FE.fit_preprocessor(spec, train)
     train_x = SP.stratified_folds(pre.transform(train), "label", MODEL_FOLDS, 42, "row_id") \
@@ -888,6 +896,209 @@ def q_tree_contributions(spark, sf_dir):
     return TS.tree_contributions(m, rows, names)
 
 
+# ---------------------------------------------------------------------------------------------
+# What holds of every fit, whatever its numbers: SQL cannot fit a model, but it can say which rows,
+# folds and slots must come out, and the Spark side reduces the rest to statements that must be true.
+
+_DOC_FOLDS_SQL = f"""(SELECT doc_id, quality, (row_number() OVER (PARTITION BY quality
+        ORDER BY {_hash_sql('doc_id', 42)}, doc_id) - 1) % {MODEL_FOLDS} AS fold FROM {_DOC_TRAIN_SQL})"""
+
+
+@register("describe_approx_bounds", f"""
+SELECT DISTINCT column_name, TRUE AS p25_ok, TRUE AS p50_ok, TRUE AS p75_ok FROM {_LINE_LONG}
+""")
+def q_describe_approx_bounds(spark, sf_dir):
+    """A2: the sketch's quantiles lie within its promised rank error, by exact counts over all rows."""
+    df, accuracy = lineitem_holes(spark, sf_dir), 1000
+    d = P.describe_approx(df, LINE_NUMERIC, accuracy)
+    long = P.to_long(P.numeric_view(df, list(LINE_NUMERIC)), list(LINE_NUMERIC)).filter(F.col("value").isNotNull())
+    qs = ("p25", "p50", "p75")
+    ranks = long.join(d.select("column_name", "count", *qs), "column_name").groupBy("column_name", "count").agg(
+        *[F.count_if(F.col("value") < F.col(q)).alias(f"{q}_below") for q in qs],
+        *[F.count_if(F.col("value") <= F.col(q)).alias(f"{q}_upto") for q in qs])
+    slack = F.col("count") / accuracy + 1
+    return ranks.select("column_name", *[
+        ((F.col(f"{q}_below") <= p * F.col("count") + slack) & (F.col(f"{q}_upto") >= p * F.col("count") - slack))
+        .alias(f"{q}_ok") for q, p in zip(qs, (0.25, 0.5, 0.75))])
+
+
+@register("model_lr_gradient", f"""
+SELECT 'n_chars' AS slot, TRUE AS stationary UNION ALL SELECT 'toxic', TRUE UNION ALL SELECT 'intercept', TRUE
+UNION ALL SELECT DISTINCT 'lang_' || coalesce(lang, 'missing'), TRUE FROM {_DOC_TRAIN_SQL}
+UNION ALL SELECT DISTINCT 'source_' || coalesce(source, 'missing'), TRUE FROM {_DOC_TRAIN_SQL}
+""")
+def q_model_lr_gradient(spark, sf_dir):
+    """M1: at the fitted weights the gradient of the penalised loss vanishes in every slot."""
+    from pyspark.ml.functions import vector_to_array
+    train, _, names = doc_model_frames(spark, sf_dir)
+    m = TR.PenalizedLogit(C=1.0, tol=1e-8).fit(train)
+    n, w = train.count(), [*m.coefficients.toArray().tolist(), 0.0]
+    err = F.col("score") - F.col("label")
+    x = F.concat(vector_to_array("features"), F.array(F.lit(1.0)))
+    sums = (TR.positive_score(m.transform(train)).select(err.alias("err"), F.posexplode(x).alias("pos", "x"))
+            .groupBy("pos").agg(F.sum(F.col("err") * F.col("x")).alias("g")))
+    slots = spark.createDataFrame(list(zip(range(len(w)), [*names, "intercept"], w)), "pos int, slot string, w double")
+    return sums.join(slots, "pos").select("slot", (F.abs(F.col("g") + F.col("w")) / n < 1e-4).alias("stationary"))
+
+
+@register("model_rf_importance_sum", f"""
+SELECT CAST(2 + count(DISTINCT coalesce(lang, 'missing')) + count(DISTINCT coalesce(source, 'missing')) AS BIGINT) AS n_slots,
+       TRUE AS sums_to_one, TRUE AS none_negative FROM {_DOC_TRAIN_SQL}
+""")
+def q_model_rf_importance_sum(spark, sf_dir):
+    """One importance a slot; they are shares of 1."""
+    train, _, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("rf", {"n_estimators": 20, "max_depth": 5}).fit(train)
+    imp = X.importances(m, names, k=len(names))
+    value = [c for c, t in imp.dtypes if t == "double"][0]
+    return imp.agg(F.count(F.lit(1)).cast("bigint").alias("n_slots"),
+                   (F.abs(F.sum(value) - 1) < 1e-9).alias("sums_to_one"), (F.min(value) >= 0).alias("none_negative"))
+
+
+@register("model_gbt_counts", f"""
+SELECT 'gbt_train' AS model, quality AS label, CAST(count(*) AS BIGINT) AS n, TRUE AS accuracy_ok, TRUE AS prediction_ok
+FROM {_DOC_TRAIN_SQL} GROUP BY quality
+UNION ALL SELECT 'gbt_test', quality, CAST(count(*) AS BIGINT), TRUE, TRUE FROM {_DOC_SQL}
+WHERE quality IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM {_DOC_TRAIN_SQL}) GROUP BY quality
+""")
+def q_model_gbt_counts(spark, sf_dir):
+    """Every row is scored once, predictions follow the scores, accuracies follow the rows."""
+    train, test, _ = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("gbt", {"n_estimators": 5, "learning_rate": 0.1}).fit(train)
+    scores = materialize(TR.predict(m, test, ["row_id"], name="gbt_test").unionByName(
+        TR.predict(m, train.drop("fold"), ["row_id"], name="gbt_train")), "gbt-scores")
+    rows = scores.groupBy("model").agg(F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("share"))
+    ok = M.evaluate(scores).join(rows, "model").select("model", (F.abs(F.col("accuracy") - F.col("share")) < 1e-9)
+                                                       .alias("accuracy_ok"))
+    per = scores.groupBy("model", "label").agg(
+        F.countDistinct("row_id").cast("bigint").alias("n"),
+        F.bool_and((F.col("score") > 0.5).cast("int") == F.col("prediction")).alias("prediction_ok"))
+    return per.join(ok, "model").select("model", "label", "n", "accuracy_ok", "prediction_ok")
+
+
+@register("model_search_sample", f"""
+SELECT CAST(3 AS BIGINT) AS n_candidates, CAST(1 AS BIGINT) AS n_best, TRUE AS best_is_greatest, TRUE AS mean_ok,
+       (SELECT CAST(count(*) AS BIGINT) FROM {_DOC_TRAIN_SQL}) AS n_scored
+""")
+def q_model_search_sample(spark, sf_dir):
+    """Exactly n_iter of the grid's six candidates, one best, and its mean fold AUC again
+    from its stored held-out scores, of which every training row has one."""
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    sr = TR.search("lr", train, {"C": [0.001, 0.01, 0.1, 1.0, 10.0, 100.0]}, k=MODEL_FOLDS, n_iter=3)
+    again = P.mean_std(M.roc_auc(sr.oof, model="fold"), "roc_auc").first()["mean"]
+    best = F.max(F.when(F.col("is_best"), F.col("mean_auc")))
+    return sr.results.agg(
+        F.count(F.lit(1)).cast("bigint").alias("n_candidates"), F.count_if("is_best").cast("bigint").alias("n_best"),
+        (best == F.max("mean_auc")).alias("best_is_greatest"), (F.abs(best - again) < 1e-9).alias("mean_ok")) \
+        .withColumn("n_scored", F.lit(sr.oof.select("row_id").distinct().count()).cast("bigint"))
+
+
+@register("model_cv_bounds", "SELECT 'lr' AS model, TRUE AS mean_ok, TRUE AS std_ok")
+def q_model_cv_bounds(spark, sf_dir):
+    """M7: mean and deviation agree with the fold AUCs of the same fits' held-out scores."""
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    mean, std = TR.cv_score(TR.make_estimator("lr", {"C": 1.0}), train, MODEL_FOLDS)
+    oof = EN.oof_scores({"lr": TR.make_estimator("lr", {"C": 1.0})}, train, MODEL_FOLDS)
+    folds = oof.join(train.select("row_id", "fold"), "row_id")
+    return P.mean_std(M.roc_auc(folds, model="fold"), "roc_auc").select(
+        F.lit("lr").alias("model"), (F.abs(F.col("mean") - mean) < 1e-6).alias("mean_ok"),
+        (F.abs(F.col("std") - std) < 1e-6).alias("std_ok"))
+
+
+@register("stack_oof_counts", f"""
+SELECT model, fold, quality AS label, CAST(count(*) AS BIGINT) AS n
+FROM {_DOC_FOLDS_SQL}, (SELECT unnest(['lr', 'rf']) AS model) GROUP BY ALL
+""")
+def q_stack_oof_counts(spark, sf_dir):
+    """ST1-ST3: every training row is scored once per base model, by fold and label."""
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    est = {"lr": TR.make_estimator("lr", {"C": 1.0}), "rf": TR.make_estimator("rf", {"n_estimators": 5, "max_depth": 3})}
+    oof = EN.oof_scores(est, train, MODEL_FOLDS)
+    return (oof.join(train.select("row_id", F.col("fold").cast("bigint").alias("fold")), "row_id")
+            .groupBy("model", "fold", "label").agg(F.count("score").cast("bigint").alias("n")))
+
+
+@register("stack_test_rows", f"""
+SELECT doc_id AS row_id, quality AS label, TRUE AS score_ok, TRUE AS prediction_ok FROM {_DOC_SQL}
+WHERE quality IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM {_DOC_TRAIN_SQL})
+""")
+def q_stack_test_rows(spark, sf_dir):
+    """ST4/ST5: every test row has one stacked score, the meta model's value of its base scores."""
+    train, test, _ = doc_model_frames(spark, sf_dir)
+    est = {"lr": TR.make_estimator("lr", {"C": 1.0}), "rf": TR.make_estimator("rf", {"n_estimators": 5, "max_depth": 3})}
+    meta, base, stacked = EN.run_stack(est, train, test, MODEL_FOLDS)
+    w, b = meta.coefficients.toArray().tolist(), float(meta.intercept)
+    wide = M.score_columns(EN.base_scores(base, test), list(est)).withColumn(
+        "_p", 1 / (1 + F.exp(-(F.col("lr") * w[0] + F.col("rf") * w[1] + b))))
+    return stacked.join(wide.select("row_id", "_p"), "row_id").select(
+        "row_id", "label", (F.abs(F.col("score") - F.col("_p")) < 1e-9).alias("score_ok"),
+        ((F.col("score") > 0.5).cast("int") == F.col("prediction")).alias("prediction_ok"))
+
+
+@register("tree_contributions_sum", f"""
+SELECT doc_id AS row_id, TRUE AS additive FROM {_DOC_SQL} WHERE quality IS NOT NULL
+""")
+def q_tree_contributions_sum(spark, sf_dir):
+    """For every row, base value plus attributions is the forest's score."""
+    train, test, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("rf", {"n_estimators": 10, "max_depth": 5}).fit(train)
+    rows = train.select("row_id", "features").unionByName(test.select("row_id", "features"))
+    sums = TS.tree_contributions(m, rows, names).groupBy("row_id").agg(F.sum("contribution").alias("s"))
+    base = TS.expected_value(m, spark)
+    return (TR.positive_score(m.transform(rows)).join(sums, "row_id", "left")
+            .select("row_id", (F.abs(F.coalesce("s", F.lit(0.0)) + base - F.col("score")) < 1e-6).alias("additive")))
+
+
+@register("csv_round_trip", """
+SELECT c_custkey, c_name, round(c_acctbal, 2) AS c_acctbal, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment
+FROM customer
+""")
+def q_csv_round_trip(spark, sf_dir):
+    """Customers written as CSV part files (one segment as an NA marker, names quoted) and read
+    back as text, then typed."""
+    from tabflow.sources.io import read_raw, write_table
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal"),
+                                                F.regexp_replace("c_mktsegment", "^BUILDING$", "N/A").alias("c_mktsegment"))
+    path = run_folder(spark, "csv")
+    write_table(c.repartition(3), path, fmt="csv")
+    raw = read_raw(spark, path)
+    return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+                      F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")
+
+
+@register("runs_appended", """
+SELECT CAST(2 AS BIGINT) AS n_runs, (SELECT CAST(2 * count(DISTINCT l_returnflag) AS BIGINT) FROM lineitem) AS n_metrics,
+       (SELECT round(2 * sum(q), 6) FROM (SELECT avg(l_quantity) AS q FROM lineitem GROUP BY l_returnflag)) AS metric_sum
+""")
+def q_runs_appended(spark, sf_dir):
+    """Two runs' records, made from grouped metrics, appended and read back."""
+    from tabflow.plans import runlog as RL
+    path, timer = run_folder(spark, "runs"), RL.StageTimer()
+    ev = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_quantity").alias("f1"))
+    for run_id in ("a", "b"):
+        long = RL.metrics_long(ev, run_id)
+        RL.append_records(RL.run_record(spark, long, run_id, "test", timer, {}), long, path)
+    runs, long = spark.read.parquet(f"{path}/runs"), spark.read.parquet(f"{path}/metrics")
+    total = runs.select(F.explode(F.map_values("metrics")).alias("v")).agg(F.round(F.sum("v"), 6).alias("metric_sum"))
+    return total.select(F.lit(runs.count()).cast("bigint").alias("n_runs"), F.lit(long.count()).cast("bigint").alias("n_metrics"),
+                        "metric_sum")
+
+
+@register("model_reloaded", f"SELECT doc_id AS row_id, TRUE AS same_score FROM {_DOC_TRAIN_SQL}")
+def q_model_reloaded(spark, sf_dir):
+    """A stored model, read back, gives every row the score it gave before."""
+    from pyspark.ml import PipelineModel
+
+    from tabflow.sources.io import load_model, save_model
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    m = PipelineModel(stages=[TR.make_estimator("lr", {"C": 1.0}).fit(train)])
+    path = run_folder(spark, "model")
+    save_model(m, train, path)
+    a, b = (TR.positive_score(x.transform(train)).select("row_id", "score") for x in (m, load_model(path)))
+    return a.join(b.withColumnRenamed("score", "again"), "row_id").select(
+        "row_id", (F.col("score") == F.col("again")).alias("same_score"))
+
+
 from tabflow.plans import workflow as WF  # noqa: E402
 from tabflow.spec import GridSpec, StackSpec  # noqa: E402
 

@@ -43,6 +43,8 @@ COUNTER_BITS = 18
 PARTS = 64
 #: Rounds that link to hubs before the remaining pairs are listed.
 HUB_ROUNDS = 2
+#: Documents of a block whose remaining pairs are filtered as a matrix.
+BLOCK = 1024
 #: Documents that are verified against one copy of a hub's text.
 PER_COPY = 256
 _MUL = np.uint64(0x9E3779B97F4A7C15)
@@ -191,6 +193,83 @@ def _suffix_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
     return both.mapInArrow(run, "hub bigint, node bigint")
 
 
+def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """All pairs (hub, node) of different classes that share a prefix shingle and pass the length and
+    suffix filters, from (token, node, comp, cluster).
+
+    Shingles with the same first hub form a cluster; two documents that share a shingle share its
+    cluster, and a pair is listed in the least cluster that they share. In a cluster only strays,
+    those outside its hub's class, have pairs left: with each other and with the class. Both are cut
+    into blocks and each pair of blocks is a unit of its own, which is filtered as a matrix; rows
+    travel once for each unit, and only the pairs that pass leave it."""
+    at = (side.select("node", "comp", "cluster").distinct()
+          .join(side.filter(F.col("node") == F.col("cluster")).select("cluster", F.col("comp").alias("main")).distinct(),
+                "cluster", "left")
+          .withColumn("stray", F.coalesce(F.col("comp") != F.col("main"), F.lit(True))))
+    sizes = at.groupBy("cluster").agg(F.count_if("stray").alias("_s"), F.count_if(~F.col("stray")).alias("_m")).select(
+        "cluster", F.ceil(F.col("_s") / BLOCK).cast("int").alias("bs"), F.ceil(F.col("_m") / BLOCK).cast("int").alias("bm"))
+    of = (nodes.select("node", "n", "parts")
+          .join(at.groupBy("node").agg(F.sort_array(F.collect_set("cluster")).alias("clusters")), "node"))
+    whole = (at.join(sizes.filter("bs > 0"), "cluster")
+             .withColumn("b", F.pmod(F.xxhash64("node"), F.when(F.col("stray"), F.col("bs")).otherwise(F.col("bm"))).cast("int")))
+    each = F.sequence(F.lit(0), F.col("bs") - 1)
+    strays = whole.filter("stray")
+    units = (strays.withColumn("o", F.explode(each))  # strays with strays
+             .select("node", "comp", "cluster", F.lit(0).alias("kind"), F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
+                     (F.col("b") > F.col("o")).cast("int").alias("right"))
+             .unionByName(strays.filter("bm > 0").withColumn("o", F.explode(F.sequence(F.lit(0), F.col("bm") - 1)))
+                          .select("node", "comp", "cluster", F.lit(1).alias("kind"), F.col("b").alias("i"), F.col("o").alias("j"),
+                                  F.lit(0).alias("right")))
+             .unionByName(whole.filter("not stray").withColumn("o", F.explode(each))
+                          .select("node", "comp", "cluster", F.lit(1).alias("kind"), F.col("o").alias("i"), F.col("b").alias("j"),
+                                  F.lit(1).alias("right"))))
+    sent = (units.join(of, "node").repartition("cluster", "kind", "i", "j")
+            .sortWithinPartitions("cluster", "kind", "i", "j")
+            .select("cluster", "kind", "i", "j", "right", "node", "comp", "n", "parts", "clusters"))
+
+    def pairs_of(unit: list) -> Iterator[tuple[int, int]]:
+        cluster, kind, i, j = unit[0][:4]
+        one_block = kind == 0 and i == j
+        left = unit if one_block else [r for r in unit if r[4] == 0]
+        right = unit if one_block else [r for r in unit if r[4] == 1]
+        if not left or not right:
+            return
+        blank = b"\xff" * (2 * PARTS)  # counts that are not known exclude nothing
+        x = np.frombuffer(b"".join(r[8] or blank for r in right), np.uint16).reshape(-1, PARTS)
+        n, comp = (np.array([r[k] for r in right], np.int64) for k in (7, 6))
+        for k, a in enumerate(left):
+            lo = k + 1 if one_block else 0
+            most = np.minimum(np.frombuffer(a[8] or blank, np.uint16), x[lo:]).sum(1, dtype=np.int64)
+            m = n[lo:]
+            ok = ((comp[lo:] != a[6]) & ((100 + percent) * most >= percent * (m + a[7]))
+                  & (100 * np.minimum(m, a[7]) >= percent * np.maximum(m, a[7])))
+            own = set(a[9])
+            for h in (np.flatnonzero(ok) + lo).tolist():
+                b = right[h]
+                if next(c for c in b[9] if c in own) == cluster:
+                    yield min(a[5], b[5]), max(a[5], b[5])
+
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit: list = []
+
+        def out(found: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()),
+                                               pa.array([p[1] for p in found], pa.int64())], names=["hub", "node"])
+
+        for block in blocks:
+            found = []
+            for row in zip(*(c.to_pylist() for c in block.columns), strict=True):
+                if unit and unit[0][:4] != row[:4]:
+                    found += pairs_of(unit)
+                    unit = []
+                unit.append(row)
+            yield out(found)
+        if unit:
+            yield out(list(pairs_of(unit)))
+
+    return sent.mapInArrow(run, "hub bigint, node bigint")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (hub, node) that are similar. Each document of a pair comes once with its text to
     its hub; a hub with many partners comes in several copies."""
@@ -244,39 +323,35 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         F.min("n").alias("n"), F.min("parts").alias("parts"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tkey")).alias("rep"),
         F.min("id").alias("least")), "jaccard-nodes")
 
-    postings = _postings(rows, order, words, percent)
-    shared = postings.groupBy("token").agg(
-        F.min(F.struct("node", "place")).alias("low"), F.max(F.struct("node", "place")).alias("high")).filter(
-        "low.node <> high.node")
-    held = materialize(postings.join(shared, "token").distinct(), "jaccard-postings")
+    postings = materialize(_postings(rows, order, words, percent), "jaccard-prefixes")
+    shared = postings.groupBy("token").agg(F.min(F.struct("node", "place")).alias("low"),
+                                           F.max("node").alias("high")).filter("low.node <> high")
+    held = materialize(postings.join(shared.drop("high"), "token").distinct(), "jaccard-postings")
 
     tried: DataFrame | None = None
     links: DataFrame | None = None
     labels: DataFrame | None = None
     for turn in range(HUB_ROUNDS + 1):
         if turn == 0:
-            side = held.withColumn("comp", F.col("node"))
+            # every document of a shingle with one hub
+            pairs = (held.filter(F.col("node") != F.col("low.node")).withColumn("_q", F.col("low.place"))
+                     .filter(_may_match("place", "_q", percent)).select(F.col("low.node").alias("hub"), "node"))
         else:
-            side = (held.join(labels.select("node", F.col("label").alias("_l")), "node", "left")
+            side = (held.withColumn("cluster", F.col("low.node")).drop("low")
+                    .join(labels.select("node", F.col("label").alias("_l")), "node", "left")
                     .withColumn("comp", F.coalesce("_l", "node")).drop("_l"))
             mixed = side.groupBy("token").agg(
-                F.min(F.struct("comp", "node", "place")).alias("low"), F.max(F.struct("comp", "node", "place")).alias("high")
-            ).filter("low.comp <> high.comp")
-            side = materialize(side.select("token", "node", "place", "comp").join(mixed, "token"), "jaccard-mixed")
+                F.min("comp").alias("least"), F.max(F.struct("comp", "node", "place")).alias("high")
+            ).filter("least <> high.comp")
+            side = materialize(side.join(mixed, "token"), "jaccard-mixed")
             if side.isEmpty():
                 break
-        if turn < HUB_ROUNDS:
-            # every document of a shingle with one hub: of the lowest class, then of the highest
-            hub = "low" if turn == 0 else "high"
-            far = F.lit(True) if turn == 0 else F.col("comp") != F.col(f"{hub}.comp")
-            pairs = (side.filter((F.col("node") != F.col(f"{hub}.node")) & far)
-                     .withColumn("_q", F.col(f"{hub}.place")).filter(_may_match("place", "_q", percent))
-                     .select(F.col(f"{hub}.node").alias("hub"), "node"))
-        else:
-            # what is left: every pair of different classes that shares a prefix shingle
-            other = side.select("token", F.col("node").alias("hub"), F.col("place").alias("_q"), F.col("comp").alias("_c"))
-            pairs = (side.select("token", "node", "place", "comp").join(other, "token")
-                     .filter((F.col("_c") < F.col("comp")) & _may_match("place", "_q", percent)).select("hub", "node"))
+            if turn < HUB_ROUNDS:
+                # those not yet in the hub's class with another hub, of the last class
+                pairs = (side.filter(F.col("comp") != F.col("high.comp")).withColumn("_q", F.col("high.place"))
+                         .filter(_may_match("place", "_q", percent)).select(F.col("high.node").alias("hub"), "node"))
+            else:
+                pairs = _remaining(side, nodes, percent)
         pairs = pairs.distinct()
         if tried is not None:
             back = tried.select(F.col("node").alias("hub"), F.col("hub").alias("node"))

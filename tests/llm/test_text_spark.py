@@ -136,10 +136,11 @@ def _expected_classes(percent=85):
     return sets, [members[root(i)] for i in range(len(ROWS))]
 
 
-@pytest.mark.parametrize("rounds,percent", [(2, 85), (0, 60)])
+@pytest.mark.parametrize("rounds,percent", [(2, 85), (1, 60)])
 def test_jaccard_classes(docs, monkeypatch, rounds, percent):
     monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
     monkeypatch.setattr(jaccard, "PER_COPY", 4)
+    monkeypatch.setattr(jaccard, "BLOCK", 5)
     sets, classes = _expected_classes(percent)
     expected = []
     for (i, *_), s, members in zip(ROWS, sets, classes, strict=True):

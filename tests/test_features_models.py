@@ -194,5 +194,9 @@ def test_workflow_end_to_end(spark, tmp_dir):
     assert len(rec) == 1 and "stacked_test_roc_auc" in rec[0].metrics
     assert "lr_best_params" in rec[0].params and rec[0].total_runtime_seconds > 0
     long = spark.read.parquet(f"{tmp_dir}/metrics")
-    assert long.filter("kind = 'cv' AND model = 'stacked'").count() == 1
+    assert {r.name for r in long.filter("kind = 'cv' AND model = 'stacked'").collect()} == {"mean_roc_auc", "std_roc_auc"}
+    assert {r.kind for r in long.filter("model = 'lr'").collect()} == {"test", "train", "cv", "param"}
+    assert "lr_cv_std_roc_auc" in rec[0].metrics and "rf_train_roc_auc" in rec[0].metrics
+    assert len(list((__import__("pathlib").Path(tmp_dir) / "models").iterdir())) == 4
+    assert res.explanations["rf_attributions"].count() > 0
     assert res.profiles["describe"].count() == len(spec.numeric)

@@ -6,15 +6,13 @@ again as the next stage's ``docs``; all but the last return the columns of ``doc
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabflow.llm import bpe, jaccard, langid, mixing, secrets
 from tabflow.llm.common import free_name, table
-from tabflow.session import checkpoint_dir
+from tabflow.sources.io import run_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    folder = f"{checkpoint_dir(spark)}/tabflow-tmp/pipeline-{uuid.uuid4().hex[:12]}"
+    folder = run_path(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")

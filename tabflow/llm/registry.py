@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tabflow.llm import bpe, counts, fingerprints, jaccard, langid, mixing, secrets, sharding, topk, wavelet
 from tabflow.llm.common import table
-from tabflow.session import checkpoint_dir
+from tabflow.sources.io import run_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,11 +25,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared store."""
-    return f"{checkpoint_dir(spark)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
-
-
 @register("op1_language_id")
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
@@ -73,7 +67,7 @@ def op8_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_token_files")
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = run_folder(spark, "token-files")
+    path = run_path(spark, "token-files")
     wavelet.write_shards(table(spark, sf_dir, "documents"), path,
                          public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return wavelet.read_documents(spark, path)
@@ -83,7 +77,7 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a new cache for each call, so that every call encodes every distinct text
     return counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
-                               run_folder(spark, "token-counts"))
+                               run_path(spark, "token-counts"))
 
 
 @register("op6_byte_pairs")

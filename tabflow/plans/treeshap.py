@@ -23,7 +23,6 @@ to ``f(x) − E[f]`` exactly; ``f`` is the class-1 probability for a random fore
 from __future__ import annotations
 
 import math
-import time
 from functools import reduce
 
 import numpy as np
@@ -32,7 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.session import checkpoint_dir
+from tabflow.sources.io import run_path
 
 # Nodes of the trees that are unfolded and broadcast together (one tree at least, whose size the
 # model's depth bounds).
@@ -45,7 +44,7 @@ def _inner(model):
 
 def _saved_nodes(model, spark) -> DataFrame:
     m = _inner(model)
-    path = f"{checkpoint_dir(spark)}/tabflow-trees/{m.uid}-{time.time_ns()}"
+    path = run_path(spark, f"trees-{m.uid}")
     m.write().overwrite().save(path)
     return spark.read.parquet(f"{path}/data")
 

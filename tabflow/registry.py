@@ -7,16 +7,14 @@ value hash can compare them.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.sources.io import materialize, read_table
+from tabflow.sources.io import materialize, read_table, run_path
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
-from tabflow.session import checkpoint_dir
 from tabflow.spec import FeatureSpec, SourceSpec
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,11 +30,6 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def run_folder(spark: SparkSession, name: str) -> str:
-    """A new folder in the shared store."""
-    return f"{checkpoint_dir(spark)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -1059,7 +1052,7 @@ def q_csv_round_trip(spark, sf_dir):
     from tabflow.sources.io import read_raw, write_table
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.round("c_acctbal", 2).alias("c_acctbal"),
                                                 F.regexp_replace("c_mktsegment", "^BUILDING$", "N/A").alias("c_mktsegment"))
-    path = run_folder(spark, "csv")
+    path = run_path(spark, "csv")
     write_table(c.repartition(3), path, fmt="csv")
     raw = read_raw(spark, path)
     return raw.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
@@ -1073,7 +1066,7 @@ SELECT CAST(2 AS BIGINT) AS n_runs, (SELECT CAST(2 * count(DISTINCT l_returnflag
 def q_runs_appended(spark, sf_dir):
     """Two runs' records, made from grouped metrics, appended and read back."""
     from tabflow.plans import runlog as RL
-    path, timer = run_folder(spark, "runs"), RL.StageTimer()
+    path, timer = run_path(spark, "runs"), RL.StageTimer()
     ev = table(spark, sf_dir, "lineitem").groupBy(F.col("l_returnflag").alias("model")).agg(F.avg("l_quantity").alias("f1"))
     for run_id in ("a", "b"):
         long = RL.metrics_long(ev, run_id)
@@ -1092,7 +1085,7 @@ def q_model_reloaded(spark, sf_dir):
     from tabflow.sources.io import load_model, save_model
     train, _, _ = doc_model_frames(spark, sf_dir)
     m = PipelineModel(stages=[TR.make_estimator("lr", {"C": 1.0}).fit(train)])
-    path = run_folder(spark, "model")
+    path = run_path(spark, "model")
     save_model(m, train, path)
     a, b = (TR.positive_score(x.transform(train)).select("row_id", "score") for x in (m, load_model(path)))
     return a.join(b.withColumnRenamed("score", "again"), "row_id").select(

@@ -160,14 +160,29 @@ def checkpointed(df: DataFrame, base_path: str, key: str | None = None) -> DataF
     return spark.read.parquet(path)
 
 
+def run_path(spark: SparkSession, name: str) -> str:
+    """A new folder for intermediate data, under this application's own in the shared checkpoint
+    folder."""
+    import uuid
+
+    from tabflow.session import checkpoint_dir
+    return f"{checkpoint_dir(spark)}/tabflow-tmp/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Delete this application's intermediate data. Frames that were returned but not yet written or
+    collected read from it, so call it when results have been consumed."""
+    from tabflow.session import checkpoint_dir
+    p = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_dir(spark)}/tabflow-tmp/{spark.sparkContext.applicationId}")
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result once under the shared checkpoint folder (a run-scoped path)
     and read it back: later passes read it instead of recomputing its lineage, and a lost
     executor costs a re-read, not a recomputation from the sources."""
-    import uuid
-
-    from tabflow.session import checkpoint_dir
-    path = f"{checkpoint_dir(df.sparkSession)}/tabflow-tmp/{name}-{uuid.uuid4().hex[:12]}"
+    path = run_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

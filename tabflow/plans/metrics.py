@@ -45,7 +45,10 @@ def confusion_matrix(scores: DataFrame, model: str = "model", label: str = "labe
 def binary_metrics(scores: DataFrame, model: str = "model", label: str = "label",
                    prediction: str = "prediction") -> DataFrame:
     """Accuracy, and precision, recall, F1 of the positive class (0/0 → 0)."""
-    cc = confusion_counts(scores, model, label, prediction)
+    return _metrics_of(confusion_counts(scores, model, label, prediction), model)
+
+
+def _metrics_of(cc: DataFrame, model: str) -> DataFrame:
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
     prec, rec = _div(tp, tp + fp), _div(tp, tp + fn)
     return cc.select(model, _div(tp + tn, tp + tn + fp + fn).alias("accuracy"),
@@ -72,6 +75,11 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
     y = F.col(label)
     d = materialize(scores.groupBy(model, score).agg(F.count_if(y == 1).alias("_pos"),
                                                      F.count_if(y == 0).alias("_neg")), "auc-scores")
+    return _auc_from(d, model, score, n_buckets)
+
+
+def _auc_from(d: DataFrame, model: str, score: str, n_buckets: int | None = None) -> DataFrame:
+    """E3 from a stored table of distinct scores with their ``_pos`` and ``_neg`` rows."""
     splits = approx_splits(d, model, score, n_buckets)
     db = with_bucket(d, model, score, splits)
     if all(len(sp) < 3 for sp in splits.values()):
@@ -129,9 +137,21 @@ def flatten_report(report: DataFrame, model: str = "model", models=None) -> Data
 
 def evaluate(scores: DataFrame, model: str = "model", label: str = "label", score: str = "score",
              prediction: str = "prediction") -> DataFrame:
-    """Accuracy, precision, recall, F1, ROC AUC for every model, one row per model."""
-    return binary_metrics(scores, model, label, prediction).join(
-        roc_auc(scores, model, label, score), model, "left")
+    """Accuracy, precision, recall, F1, ROC AUC for every model, one row per model.
+
+    ``scores`` (often several models' ``transform``) is computed once: counts by model, score and
+    prediction are written, and both the confusion counts and the AUC come from them."""
+    y, p = F.col(label), F.col(prediction)
+    d = materialize(scores.groupBy(model, score, prediction).agg(
+        F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg")), "score-counts")
+
+    def rows(said: int, count: str):
+        return F.sum(F.when(p == said, F.col(count)).otherwise(F.lit(0)))
+
+    cc = d.groupBy(model).agg(rows(0, "_neg").alias("tn"), rows(1, "_neg").alias("fp"),
+                              rows(0, "_pos").alias("fn"), rows(1, "_pos").alias("tp"))
+    distinct = d.groupBy(model, score).agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    return _metrics_of(cc, model).join(_auc_from(distinct, model, score), model, "left")
 
 
 def top_k(df: DataFrame, value: str, k: int, tie: str, by_abs: bool = False) -> DataFrame:

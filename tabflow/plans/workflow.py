@@ -156,6 +156,8 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     for s in scores[1:]:
         all_scores = all_scores.unionByName(s)
     with timer.stage("evaluate"):
+        # every model scores its rows once; metrics and report read the stored scores
+        all_scores = materialize(all_scores, "scores")
         metrics = M.evaluate(all_scores).cache()
         report = M.class_report(all_scores).cache()
         metrics.count()

@@ -138,6 +138,19 @@ def test_folds_shuffle_the_rows_once(spark, tmp_dir):
     assert len(rows) == 2 and len({x.split("plan_id")[0].split("Exchange")[1].split("#")[0] for x in rows}) == 1
 
 
+def test_evaluate_scores_rows_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(x):
+        calls.add(1)
+        return x / 100.0
+    df = spark.range(100).select(F.lit("m").alias("model"), (F.col("id") % 2).cast("int").alias("label"),
+                                 F.udf(score, "double")("id").alias("score"))
+    out = M.evaluate(df.withColumn("prediction", (F.col("score") > 0.5).cast("int"))).collect()
+    assert calls.value == 100, calls.value
+    assert abs(out[0].accuracy - 0.5) <= 0.011
+
+
 def test_score_columns_keeps_rows_that_share_an_id(spark):
     df = spark.createDataFrame([("a", 1, 1, 0.1), ("a", 1, 1, 0.2), ("b", 1, 1, 0.3), ("b", 1, 1, 0.4), ("a", 2, 0, 0.5)],
                                "model string, row_id int, label int, score double")

@@ -337,8 +337,9 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
             pairs = (held.filter(F.col("node") != F.col("low.node")).withColumn("_q", F.col("low.place"))
                      .filter(_may_match("place", "_q", percent)).select(F.col("low.node").alias("hub"), "node"))
         else:
-            side = (held.withColumn("cluster", F.col("low.node")).drop("low")
-                    .join(labels.select("node", F.col("label").alias("_l")), "node", "left")
+            side = held.withColumn("cluster", F.col("low.node")).drop("low")
+            side = (side.withColumn("comp", F.col("node")) if labels is None else
+                    side.join(labels.select("node", F.col("label").alias("_l")), "node", "left")
                     .withColumn("comp", F.coalesce("_l", "node")).drop("_l"))
             mixed = side.groupBy("token").agg(
                 F.min("comp").alias("least"), F.max(F.struct("comp", "node", "place")).alias("high")
@@ -352,18 +353,24 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
                          .filter(_may_match("place", "_q", percent)).select(F.col("high.node").alias("hub"), "node"))
             else:
                 pairs = _remaining(side, nodes, percent)
-        pairs = pairs.distinct()
+        # a pair once, whichever of the two was the hub
+        pairs = (pairs.groupBy(F.least("hub", "node").alias("_a"), F.greatest("hub", "node").alias("_b"))
+                 .agg(F.min("hub").alias("hub"))
+                 .select("hub", F.when(F.col("hub") == F.col("_a"), F.col("_b")).otherwise(F.col("_a")).alias("node")))
         if tried is not None:
             back = tried.select(F.col("node").alias("hub"), F.col("hub").alias("node"))
             pairs = pairs.join(tried.unionByName(back), ["hub", "node"], "left_anti")
         pairs = materialize(_suffix_filter(pairs, nodes, percent), "jaccard-pairs")
+        if pairs.isEmpty():
+            continue
         found = materialize(_verify(pairs, rows, nodes, words, percent), "jaccard-links")
         tried = pairs if tried is None else tried.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = components(links, "hub", "node")
 
-    of_nodes = nodes.select("node", "least", "rep").join(labels, "node", "left").select(
-        "node", F.coalesce("label", "node").alias("label"), "least", "rep")
+    of_nodes = nodes.select("node", "least", "rep")
+    of_nodes = (of_nodes.withColumn("label", F.col("node")) if labels is None else
+                of_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     return of_docs.drop("parts"), materialize(of_nodes, "jaccard-classes")
 
 

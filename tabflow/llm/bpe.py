@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import text_of
-from tabflow.llm.pretokens import PieceCoder, batches, spread
+from tabflow.llm.pretokens import PieceCoder, column_batches, spread
 
 #: Rows up to this many bytes are merged in matrices.
 LONG_ROW = 256
@@ -214,7 +214,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, id_col: str = "doc_id", t
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, pieces = coder(ranks_path)
         for block in blocks:
-            for lo, hi in batches(block.column(1).to_pylist()):
+            for lo, hi in column_batches(block.column(1)):
                 texts = block.column(1).slice(lo, hi - lo).to_pylist()
                 ids, counts = pieces(texts)
                 stops = np.cumsum(counts)

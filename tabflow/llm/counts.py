@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import text_of
-from tabflow.llm.pretokens import batches
+from tabflow.llm.pretokens import column_batches
 from tabflow.llm.tokenizers import text_coder, version_digest
 
 CACHE_SCHEMA = "digest binary, n_tokens bigint, tokenizer string"
@@ -45,7 +45,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     def encode(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = text_coder(tokenizer_path)
         for block in blocks:
-            for lo, hi in batches(block.column(1).to_pylist()):
+            for lo, hi in column_batches(block.column(1)):
                 _, counts = coder(block.column(1).slice(lo, hi - lo).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [block.column(0).slice(lo, hi - lo), pa.array(np.asarray(counts), pa.int64())],

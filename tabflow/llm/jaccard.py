@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tabflow.llm.common import WORD, free_name, text_of
 from tabflow.llm.components import components
-from tabflow.llm.pretokens import batches
+from tabflow.llm.pretokens import column_batches
 from tabflow.sources.io import materialize
 
 WORDS = 4
@@ -41,8 +41,6 @@ PERCENT = 85
 COUNTER_BITS = 18
 #: Parts of the suffix filter.
 PARTS = 64
-#: Rounds that link to hubs before the remaining pairs are listed.
-HUB_ROUNDS = 2
 #: Documents of a block whose remaining pairs are filtered as a matrix.
 BLOCK = 1024
 #: Documents that are verified against one copy of a hub's text.
@@ -53,7 +51,7 @@ _MUL = np.uint64(0x9E3779B97F4A7C15)
 class _Words(dict):
     """Hashes of words, at most ``limit`` kept."""
 
-    limit = 1 << 18
+    limit = 1 << 17
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
@@ -109,7 +107,7 @@ def _statistics(docs: DataFrame, words: int) -> DataFrame:
         counters, id_type = np.zeros(1 << COUNTER_BITS, np.int64), pa.null()
         for block in blocks:
             id_type = block.column(0).type
-            for lo, hi in batches(block.column(2).to_pylist()):
+            for lo, hi in column_batches(block.column(2)):
                 sizes, nodes, parts, slots = [], [], [], []
                 for text in block.column(2).slice(lo, hi - lo).to_pylist():
                     s = shingles(text, words)
@@ -141,7 +139,7 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
         for block in blocks:
-            for lo, hi in batches(block.column(2).to_pylist()):
+            for lo, hi in column_batches(block.column(2)):
                 tokens, nodes, places = [], [], []
                 for text in block.column(2).slice(lo, hi - lo).to_pylist():
                     s = shingles(text, words)
@@ -171,6 +169,13 @@ def _may_match(p: str, q: str, percent: int) -> Column:
             & ((100 + percent) * most >= percent * (n + m)))
 
 
+def _once(pairs: DataFrame) -> DataFrame:
+    """Each pair once, whichever of the two is the hub."""
+    return (pairs.groupBy(F.least("hub", "node").alias("_a"), F.greatest("hub", "node").alias("_b"))
+            .agg(F.min("hub").alias("hub"))
+            .select("hub", F.when(F.col("hub") == F.col("_a"), F.col("_b")).otherwise(F.col("_a")).alias("node")))
+
+
 def _suffix_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (hub, node) that the parts' counts allow."""
     of = nodes.select("node", "n", "parts")
@@ -197,7 +202,7 @@ def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """All pairs (hub, node) of different classes that share a prefix shingle and pass the length and
     suffix filters, from (token, node, comp, cluster).
 
-    Shingles with the same first hub form a cluster; two documents that share a shingle share its
+    Shingles with the same hub form a cluster; two documents that share a shingle share its
     cluster, and a pair is listed in the least cluster that they share. In a cluster only strays,
     those outside its hub's class, have pairs left: with each other and with the class. Both are cut
     into blocks and each pair of blocks is a unit of its own, which is filtered as a matrix; rows
@@ -324,53 +329,40 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
         F.min("id").alias("least")), "jaccard-nodes")
 
     postings = materialize(_postings(rows, order, words, percent), "jaccard-prefixes")
-    shared = postings.groupBy("token").agg(F.min(F.struct("node", "place")).alias("low"),
-                                           F.max("node").alias("high")).filter("low.node <> high")
-    held = materialize(postings.join(shared.drop("high"), "token").distinct(), "jaccard-postings")
-
-    tried: DataFrame | None = None
-    links: DataFrame | None = None
-    labels: DataFrame | None = None
-    for turn in range(HUB_ROUNDS + 1):
-        if turn == 0:
-            # every document of a shingle with one hub
-            pairs = (held.filter(F.col("node") != F.col("low.node")).withColumn("_q", F.col("low.place"))
-                     .filter(_may_match("place", "_q", percent)).select(F.col("low.node").alias("hub"), "node"))
-        else:
-            side = held.withColumn("cluster", F.col("low.node")).drop("low")
-            side = (side.withColumn("comp", F.col("node")) if labels is None else
-                    side.join(labels.select("node", F.col("label").alias("_l")), "node", "left")
-                    .withColumn("comp", F.coalesce("_l", "node")).drop("_l"))
-            mixed = side.groupBy("token").agg(
-                F.min("comp").alias("least"), F.max(F.struct("comp", "node", "place")).alias("high")
-            ).filter("least <> high.comp")
-            side = materialize(side.join(mixed, "token"), "jaccard-mixed")
-            if side.isEmpty():
-                break
-            if turn < HUB_ROUNDS:
-                # those not yet in the hub's class with another hub, of the last class
-                pairs = (side.filter(F.col("comp") != F.col("high.comp")).withColumn("_q", F.col("high.place"))
-                         .filter(_may_match("place", "_q", percent)).select(F.col("high.node").alias("hub"), "node"))
-            else:
-                pairs = _remaining(side, nodes, percent)
-        # a pair once, whichever of the two was the hub
-        pairs = (pairs.groupBy(F.least("hub", "node").alias("_a"), F.greatest("hub", "node").alias("_b"))
-                 .agg(F.min("hub").alias("hub"))
-                 .select("hub", F.when(F.col("hub") == F.col("_a"), F.col("_b")).otherwise(F.col("_a")).alias("node")))
-        if tried is not None:
-            back = tried.select(F.col("node").alias("hub"), F.col("hub").alias("node"))
-            pairs = pairs.join(tried.unionByName(back), ["hub", "node"], "left_anti")
-        pairs = materialize(_suffix_filter(pairs, nodes, percent), "jaccard-pairs")
-        if pairs.isEmpty():
-            continue
-        found = materialize(_verify(pairs, rows, nodes, words, percent), "jaccard-links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, "hub", "node")
-
-    of_nodes = nodes.select("node", "least", "rep")
-    of_nodes = (of_nodes.withColumn("label", F.col("node")) if labels is None else
-                of_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
+    shared = postings.groupBy("token").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter(
+        "_low <> _high").select("token")
+    common = materialize(postings.join(shared, "token").distinct(), "jaccard-postings")
+    # a shingle's hub is the document that shares most: near copies of one text gather around the
+    # least edited of them
+    often = common.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
+    weight = common.join(often, "token").groupBy("node").agg(F.sum("_df").alias("weight"))
+    hubs = common.join(weight, "node").groupBy("token").agg(F.max(F.struct("weight", "node", "place")).alias("hub"))
+    held = materialize(common.join(hubs, "token"), "jaccard-hubs")
+
+    # every document of a shingle with its hub: linear in the prefixes
+    pairs = (held.filter(F.col("node") != F.col("hub.node")).withColumn("_q", F.col("hub.place"))
+             .filter(_may_match("place", "_q", percent)).select(F.col("hub.node").alias("hub"), "node"))
+    tried = materialize(_suffix_filter(_once(pairs), nodes, percent), "jaccard-pairs")
+    links = materialize(_verify(tried, rows, nodes, words, percent), "jaccard-links")
+    labels = components(links, "hub", "node")
+
+    # what is left: candidate pairs whose documents are still in different classes
+    side = (held.withColumn("cluster", F.col("hub.node")).drop("hub")
+            .join(labels.select("node", F.col("label").alias("_l")), "node", "left")
+            .withColumn("comp", F.coalesce("_l", "node")).drop("_l"))
+    mixed = side.groupBy("token").agg(F.min("comp").alias("_low"), F.max("comp").alias("_high")).filter(
+        "_low <> _high").select("token")
+    side = materialize(side.join(mixed, "token"), "jaccard-mixed")
+    if not side.isEmpty():
+        back = tried.select(F.col("node").alias("hub"), F.col("hub").alias("node"))
+        more = materialize(_once(_remaining(side, nodes, percent)).join(tried.unionByName(back), ["hub", "node"],
+                                                                        "left_anti"), "jaccard-pairs")
+        if not more.isEmpty():
+            links = links.unionByName(materialize(_verify(more, rows, nodes, words, percent), "jaccard-links"))
+            labels = components(links, "hub", "node")
+
+    of_nodes = nodes.select("node", "least", "rep").join(labels, "node", "left").withColumn(
+        "label", F.coalesce("label", "node"))
     return of_docs.drop("parts"), materialize(of_nodes, "jaccard-classes")
 
 

@@ -15,6 +15,8 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
@@ -78,6 +80,17 @@ def batches(texts: list[str], most: int = BATCH_CHARS) -> Iterator[tuple[int, in
         yield at, len(texts)
 
 
+def column_batches(texts: pa.Array, most: int = BATCH_CHARS) -> Iterator[tuple[int, int]]:
+    """The same for an Arrow column without nulls, by bytes and without taking the texts out."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        done = int(ends[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield at, to
+        at = to
+
+
 def split(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(code points of all texts in a row, where pieces start, number of pieces of each text)."""
     code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import text_of
-from tabflow.llm.pretokens import BATCH_CHARS, batches
+from tabflow.llm.pretokens import BATCH_CHARS, column_batches
 from tabflow.llm.tokenizers import text_coder
 
 SHARD_TOKENS = 1 << 20
@@ -191,7 +191,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
             return out
 
         for block in blocks:
-            for lo, hi in batches(block.column(1).to_pylist(), min(BATCH_CHARS, 4 * shard_tokens)):
+            for lo, hi in column_batches(block.column(1), min(BATCH_CHARS, 4 * shard_tokens)):
                 got, n = coder(block.column(1).slice(lo, hi - lo).to_pylist())
                 # the end id goes behind each document
                 ids.append(np.insert(got, np.cumsum(n), end_id))

@@ -136,9 +136,8 @@ def _expected_classes(percent=85):
     return sets, [members[root(i)] for i in range(len(ROWS))]
 
 
-@pytest.mark.parametrize("rounds,percent", [(2, 85), (1, 60)])
-def test_jaccard_classes(docs, monkeypatch, rounds, percent):
-    monkeypatch.setattr(jaccard, "HUB_ROUNDS", rounds)
+@pytest.mark.parametrize("percent", [85, 60])
+def test_jaccard_classes(docs, monkeypatch, percent):
     monkeypatch.setattr(jaccard, "PER_COPY", 4)
     monkeypatch.setattr(jaccard, "BLOCK", 5)
     sets, classes = _expected_classes(percent)

@@ -22,8 +22,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
-    return jaccard.keep_one(docs)
+    """Of each group of near duplicates (0.8 or more of the runs of five words in common) the
+    document with the smallest id stays. ``op2_jaccard_join`` has its own, stricter rule."""
+    return jaccard.keep_one(docs, words=5, percent=80)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

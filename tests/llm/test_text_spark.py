@@ -413,3 +413,24 @@ def test_pipeline_on_the_fixture(spark, docs, tmp_path):
         {h: sum(n for (_, t), n in copies.items() if hashlib.sha256(t.encode()).hexdigest() == h)
          for h in {hashlib.sha256(t.encode()).hexdigest() for _, t in copies}})
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_duplicates", "secret_scan", "source_mix", "byte_pairs"]
+
+
+def test_pipeline_near_duplicates_from_four_fifths(spark, tmp_path):
+    import corpus_pipeline
+    rnd = random.Random(5)
+    rows = []
+    for k, more in enumerate([40, 55, 60, 66, 73, 74, 75, 90]):  # 296 of 296 + more runs of five words
+        words = [f"w{rnd.randrange(10 ** 9)}" for _ in range(300 + more)]
+        rows += [(10 * k, " ".join(words[:300])), (10 * k + 1, " ".join(words))]
+    for k, edits in enumerate([5, 6, 7, 8, 12]):  # words replaced inside
+        words = [f"w{rnd.randrange(10 ** 9)}" for _ in range(300)]
+        edited = [f"e{i}" if i % 25 == 12 and i // 25 < edits else w for i, w in enumerate(words)]
+        rows += [(100 + 10 * k, " ".join(words)), (100 + 10 * k + 1, " ".join(edited))]
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for _, t in rows for w in [t.split()]]
+    like = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, len(rows), 2)}
+    assert sum(0.8 <= x < 0.85 for x in like.values()) >= 5 and min(like.values()) < 0.8 < 0.85 < max(like.values())
+    gone = {rows[i + 1][0] for i in like if 100 * len(sets[i] & sets[i + 1]) >= 80 * len(sets[i] | sets[i + 1])}
+    table = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                                  "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.near_duplicates(spark, table.repartition(3), str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == sorted({i for i, _ in rows} - gone)

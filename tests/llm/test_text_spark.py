@@ -338,6 +338,25 @@ def test_shards(docs, empty, shards):
     assert sharding.assign_shards(empty).collect() == []
 
 
+@pytest.mark.parametrize("alone", [600, 0])
+def test_shards_beside_a_hot_group(spark, alone):
+    """A third of the rows are one text; the pairs beside it stay whole."""
+    pairs = 700 if alone else 1000
+    texts = ["hot"] * 1000 + [f"pair {i // 2}" for i in range(2 * pairs)] + [f"alone {i}" for i in range(alone)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(4)
+    rows = sharding.assign_shards(table).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    held, groups = Counter(r.shard for r in rows), defaultdict(Counter)
+    for r in rows:
+        groups[texts[r.doc_id]][r.shard] += 1
+    assert sorted(held) == list(range(8)) and max(held.values()) - min(held.values()) <= 1
+    hot = groups.pop("hot")
+    assert len(hot) == 3 and sorted(hot.values())[1:] == [held[s] for s, _ in sorted(hot.items(), key=lambda c: c[1])[1:]]
+    split = [c for c in groups.values() if len(c) > 1]
+    # without single documents an odd place may be left over in each shard
+    assert len(split) <= (0 if alone else 7)
+
+
 def test_fingerprints(docs, empty):
     known = [(i, t) for i, t, *_ in ROWS if i is not None and i != 308 and i != ROWS[3][0]]
     some = docs.filter(f"doc_id is not null and doc_id not in (308, {ROWS[3][0]})")

@@ -239,14 +239,16 @@ def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         right = unit if one_block else [r for r in unit if r[4] == 1]
         if not left or not right:
             return
-        blank = b"\xff" * (2 * PARTS)  # counts that are not known exclude nothing
+        blank = bytes(2 * PARTS)  # counts that are not known exclude nothing
+        unknown = np.array([r[8] is None for r in right])
         x = np.frombuffer(b"".join(r[8] or blank for r in right), np.uint16).reshape(-1, PARTS)
         n, comp = (np.array([r[k] for r in right], np.int64) for k in (7, 6))
         for k, a in enumerate(left):
             lo = k + 1 if one_block else 0
             most = np.minimum(np.frombuffer(a[8] or blank, np.uint16), x[lo:]).sum(1, dtype=np.int64)
             m = n[lo:]
-            ok = ((comp[lo:] != a[6]) & ((100 + percent) * most >= percent * (m + a[7]))
+            ok = ((comp[lo:] != a[6])
+                  & (unknown[lo:] | (a[8] is None) | ((100 + percent) * most >= percent * (m + a[7])))
                   & (100 * np.minimum(m, a[7]) >= percent * np.maximum(m, a[7])))
             own = set(a[9])
             for h in (np.flatnonzero(ok) + lo).tolist():

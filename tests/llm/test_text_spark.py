@@ -161,6 +161,17 @@ def test_jaccard_keeps_one_of_each_class(docs, empty):
     assert jaccard.link_documents(empty).collect() == [] and jaccard.keep_one(empty).collect() == []
 
 
+@pytest.mark.parametrize("block", [1024, 1])
+def test_jaccard_unknown_part_counts_exclude_nothing(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    side = spark.createDataFrame([(1, n, n, 10) for n in (10, 11, 12, 13)], "token bigint, node bigint, comp bigint, cluster bigint")
+    few = np.full(jaccard.PARTS, 9, np.uint16).tobytes()
+    nodes = spark.createDataFrame([(10, 5_000_000, None), (11, 5_000_000, None), (12, 4_900_000, few), (13, 5_000_000, few)],
+                                  "node bigint, n bigint, parts binary")
+    pairs = {tuple(r) for r in jaccard._remaining(side, nodes, 85).collect()}
+    assert pairs == {(10, 11), (10, 12), (10, 13), (11, 12), (11, 13)}  # only the counts of 12 and 13 are known
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (200, 200)]
     got = dict(components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect())

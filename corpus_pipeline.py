@@ -16,8 +16,11 @@ from tabflow.sources.io import run_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (null, or without any letter) go."""
+    """Documents without a recognisable language (null, or without any letter) go. Whatever language
+    and score a text gets, it stays; without labelled rows there is no model, and a letter suffices."""
     model = langid.fit(docs, ~langid.held_out())
+    if model is None:
+        return langid.with_letter(docs)
     return langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
 
 

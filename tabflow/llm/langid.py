@@ -56,6 +56,17 @@ def has_letter(text: str | None) -> bool:
     return text is not None and _LETTER.search(text) is not None
 
 
+def with_letter(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a letter; no model is needed for this."""
+    at = docs.columns.index(text_col)
+
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks:
+            yield block.filter(pa.array([has_letter(t.as_py()) for t in block.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Whether a row is left out of the fit."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))

@@ -464,3 +464,14 @@ def test_pipeline_near_duplicates_from_four_fifths(spark, tmp_path):
                                   "doc_id bigint, text string, lang string, source string, n_chars bigint")
     kept = corpus_pipeline.near_duplicates(spark, table.repartition(3), str(tmp_path)).collect()
     assert sorted(r.doc_id for r in kept) == sorted({i for i, _ in rows} - gone)
+
+
+@pytest.mark.parametrize("labels", ["none", "held out"])
+def test_pipeline_language_without_a_model(docs, tmp_path, labels):
+    import corpus_pipeline
+    held = F.col("lang") if labels == "held out" else F.lit(None).cast("string")
+    plain = docs.select("doc_id", "text", F.when(langid.held_out(), held).alias("lang"), "source", "n_chars")
+    kept = corpus_pipeline.language_id(docs.sparkSession, plain, str(tmp_path))
+    assert kept.columns == plain.columns
+    has_letter = [r for r in ROWS if r[1] is not None and regex.search(r"\p{L}", r[1])]
+    assert _bag((r.doc_id, r.text) for r in kept.collect()) == _bag(r[:2] for r in has_letter)

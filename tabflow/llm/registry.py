@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabflow.llm import bpe, counts, fingerprints, jaccard, langid, mixing, secrets, sharding, topk, wavelet
+from tabflow.llm import (alignment, bpe, counts, fingerprints, jaccard, langid, mixing, periodic, secrets, sharding, topk,
+                         transducer, wavelet)
 from tabflow.llm.common import table
 from tabflow.sources.io import run_path
 
@@ -104,3 +106,30 @@ FROM s QUALIFY rank <= 20
 def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, vectors.filter(F.pmod("vec_id", F.lit(20)) == 0), k=20, scale=64.0)
+
+
+@register("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_statistics(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                     public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def with_period(doc_id: int | None, words: list[str]) -> list[str]:
+    """The words of a tenth of the documents, chosen by id, repeated with a period from some word on."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@register("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(periodic.find_runs(table(spark, sf_dir, "documents"), edit=with_period))
+
+
+@register("op13_lexicon_bpe")
+def op13_lexicon_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transducer.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

@@ -24,6 +24,7 @@ import functools
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain, zip_longest
 
 import numpy as np
 import pyarrow as pa
@@ -60,8 +61,7 @@ def diagonal_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list, list,
                 size = 2 * size if growing else size // 2
             else:
                 size, growing = size // 2, False
-        if i > first:
-            stretches.append((first, first + shift, i - first))
+        stretches.append((first, first + shift, i - first))
         if i < n:
             first, j = i, i + shift
             begin = j
@@ -118,7 +118,7 @@ class PieceSide(ByteSide):
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         found = self.model.encode(texts, num_threads=1)
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter((i for x in found for i in x), np.int64, int(counts.sum()))
+        ids = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
         sizes = self.sizes[ids]
         return ids, counts, sizes, self.bytes[spread(self.offsets[ids], sizes)].tobytes()
 
@@ -169,10 +169,13 @@ class Aligned:
         a0, a1, b0, b1 = self.spans[k]
         a = [self.sides[0].decimal[i] for i in self.ids[0][a0:a1].tolist()]
         b = [self.sides[1].decimal[i] for i in self.ids[1][b0:b1].tolist()]
-        one, odd = self.groups[k]
-        parts = [(i, ";".join([p + "|" + q for p, q in zip(a[i:i + s], b[j:j + s], strict=True)])) for i, j, s in one]
-        parts += [(i, ",".join(a[i:i2]) + "|" + ",".join(b[j:j2])) for i, i2, j, j2 in odd]
-        return ";".join([p for _, p in sorted(parts)])
+        parts: list[str] = []
+        for (i, j, s), group in zip_longest(*self.groups[k]):
+            parts += [p + "|" + q for p, q in zip(a[i:i + s], b[j:j + s], strict=True)]
+            if group is not None:
+                i, i2, j, j2 = group
+                parts.append(",".join(a[i:i2]) + "|" + ",".join(b[j:j2]))
+        return ";".join(parts)
 
     def bounds(self, k: int) -> tuple[list[int], list[int]]:
         """Where the groups of a text end: one past their last token of A and of B."""

@@ -132,7 +132,7 @@ class Lexicon:
     """A compiled lexicon, read from its memory-mapped file."""
 
     def __init__(self, path: str):
-        held = np.memmap(path, np.uint8, "r")
+        held = np.memmap(path, np.uint8, "r").view(np.ndarray)
         size = int.from_bytes(held[:8].tobytes(), "little")
         head = json.loads(held[8:8 + size].tobytes())
         self.root, self.depth = head["root"], head["depth"]
@@ -201,10 +201,11 @@ class ByteVocabulary:
         self.byte_ids = [0] * 256
         for letter, b in letters.items():
             self.byte_ids[b] = vocab[letter]
-        self.merges = {}
+        self.ranks, self.made = {}, []  # which pairs merge, by rank, and into what
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[a], vocab[b]] = (rank, vocab[a + b])
+            self.ranks[vocab[a], vocab[b]] = rank
+            self.made.append(vocab[a + b])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if len(self.special) > 1 or any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in spec["added_tokens"]):
             raise ValueError(f"special strings with rules of their own: {path}")
@@ -218,35 +219,39 @@ class ByteVocabulary:
         """The ids of one word: the pair of least rank, the leftmost of equal ones, merges until none does."""
         if len(word) > 40:
             return self._merge_long(word)
-        ids, merges = [self.byte_ids[b] for b in word], self.merges
-        while len(ids) > 1:
-            found = [(merges[p][0], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
-            if not found:
+        ids, rank_of, none = [self.byte_ids[b] for b in word], self.ranks.get, len(self.made)
+        ranks = [rank_of(p, none) for p in zip(ids, ids[1:])]
+        while ranks:
+            rank = min(ranks)
+            if rank == none:
                 break
-            i = min(found)[1]
-            ids[i:i + 2] = [merges[ids[i], ids[i + 1]][1]]
+            i = ranks.index(rank)
+            ids[i] = self.made[rank]
+            del ids[i + 1], ranks[i]
+            if i:
+                ranks[i - 1] = rank_of((ids[i - 1], ids[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank_of((ids[i], ids[i + 1]), none)
         return tuple(ids)
 
     def _merge_long(self, word: bytes) -> tuple:
         """The same with a heap over linked places, for words of any length."""
-        ids, n, merges = [self.byte_ids[b] for b in word], len(word), self.merges
+        ids, n, ranks = [self.byte_ids[b] for b in word], len(word), self.ranks
         left, right = list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = [(*merges[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
-        heap = [(rank, i, made) for rank, made, i in heap]
+        heap = [(ranks[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, made = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = right[i] if ids[i] >= 0 else n
-            if j >= n or merges.get((ids[i], ids[j]), (0, -1))[1] != made:
+            if j >= n or ranks.get((ids[i], ids[j])) != rank:
                 continue  # one of the two has merged since
-            ids[i], ids[j], k = made, -1, right[j]
+            ids[i], ids[j], k = self.made[rank], -1, right[j]
             right[i] = k
             if k < n:
                 left[k] = i
             for a, b in ((left[i], i), (i, k)):
-                if a >= 0 and b < n and (ids[a], ids[b]) in merges:
-                    rank, new = merges[ids[a], ids[b]]
-                    heapq.heappush(heap, (rank, a, new))
+                if a >= 0 and b < n and (ids[a], ids[b]) in ranks:
+                    heapq.heappush(heap, (ranks[ids[a], ids[b]], a))
         return tuple(x for x in ids if x >= 0)
 
 

@@ -44,39 +44,46 @@ BLOCK_BYTES = 1 << 22
 
 # Aligning ------------------------------------------------------------------------------------------
 
-def diagonal_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list, list, list]:
-    """Of two arrays of ascending ends with the same last one: stretches (first token of A, of B,
-    number of one-to-one groups), irregular groups (first token of A, one past the last, the same of
-    B), and the links (token of A, of B) of the irregular groups."""
+def diagonal_groups(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[list, list, list, list]:
+    """Of two arrays of ascending ends with the same last one: one-to-one stretches (first token of A,
+    of B, their number), irregular groups (first token of A, one past the last, the same of B), and the
+    links of the irregular groups (tokens of A, tokens of B). Stretches and irregular groups take turns,
+    a stretch first (it may be empty); the last stretch may have no group after it."""
     x, y = (np.ascontiguousarray(e, np.int64).tobytes() for e in (a_ends, b_ends))
     a, b = a_ends.tolist(), b_ends.tolist()
-    stretches, irregular, links = [], [], []
-    i, shift, n, m = 0, 0, len(a), len(b)
+    stretches, irregular, link_a, link_b = [], [], [], []
+    i = j = 0
+    n, m = len(a), len(b)
     while i < n:
-        first, size, growing = i, 1, True
-        while size:
-            j = i + shift
-            if i + size <= n and j + size <= m and x[8 * i:8 * (i + size)] == y[8 * j:8 * (j + size)]:
+        first, shift = i, j - i
+        if a[i] == b[j]:
+            size, most = 1, min(n, m - shift)  # tokens that the current shift can compare
+            while i + size <= most and x[8 * i:8 * (i + size)] == y[8 * (i + shift):8 * (i + shift + size)]:
                 i += size
-                size = 2 * size if growing else size // 2
+                size *= 2
+            while size > 1:
+                size //= 2
+                if i + size <= most and x[8 * i:8 * (i + size)] == y[8 * (i + shift):8 * (i + shift + size)]:
+                    i += size
+        stretches.append((first, j, i - first))
+        if i == n:
+            break
+        first, j = i, i + shift
+        begin, p, q = j, a[i], b[j]
+        while True:
+            link_a.append(i)
+            link_b.append(j)
+            if p < q:
+                i += 1
+                p = a[i]
+            elif p > q:
+                j += 1
+                q = b[j]
             else:
-                size, growing = size // 2, False
-        stretches.append((first, first + shift, i - first))
-        if i < n:
-            first, j = i, i + shift
-            begin = j
-            while True:
-                links.append((i, j))
-                if a[i] < b[j]:
-                    i += 1
-                elif a[i] > b[j]:
-                    j += 1
-                else:
-                    break
-            i, j = i + 1, j + 1
-            irregular.append((first, i, begin, j))
-            shift = j - i
-    return stretches, irregular, links
+                break
+        i, j = i + 1, j + 1
+        irregular.append((first, i, begin, j))
+    return stretches, irregular, link_a, link_b
 
 
 class ByteSide:
@@ -97,7 +104,6 @@ class ByteSide:
         self.sizes = np.fromiter(map(len, tokens), np.int64, len(tokens))
         self.offsets = np.cumsum(self.sizes) - self.sizes
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
-        self.decimal = [str(i) for i in range(len(tokens))]
 
     def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
         """(ids of a blank and each text, in a row; number of ids of each; bytes of each id; all their bytes)."""
@@ -141,7 +147,8 @@ class Aligned:
         n = len(texts)
         self.n_a, self.n_b, self.n_groups = (np.zeros(n, np.int64) for _ in range(3))
         self.spans, self.groups = [(0, 0, 0, 0)] * n, [([], [])] * n
-        stretches, links, owners, n_stretch, n_links = [], [], [], np.zeros(n, np.int64), np.zeros(n, np.int64)
+        stretches, links_a, links_b = [], [], []
+        self.n_links, self.n_odd = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for k, text in enumerate(texts):
             spans = [(int(s[k]), int(s[k + 1])) for s in stops]
             bounds = [(int(p[lo]), int(p[hi])) for p, (lo, hi) in zip(at, spans, strict=True)]
@@ -149,33 +156,47 @@ class Aligned:
             if not text or any(h[3][lo:hi] != raw for h, (lo, hi) in zip(held, bounds, strict=True)):
                 continue
             (a0, a1), (b0, b1) = spans
-            one, odd, met = diagonal_groups(at[0][a0 + 1:a1 + 1] - bounds[0][0], at[1][b0 + 1:b1 + 1] - bounds[1][0])
+            one, odd, met_a, met_b = diagonal_groups(at[0][a0 + 1:a1 + 1] - bounds[0][0], at[1][b0 + 1:b1 + 1] - bounds[1][0])
             self.n_a[k], self.n_b[k] = a1 - a0, b1 - b0
             self.n_groups[k] = sum(s for _, _, s in one) + len(odd)
             self.spans[k], self.groups[k] = (a0, a1, b0, b1), (one, odd)
-            stretches += [(i + a0, j + b0, s) for i, j, s in one]
-            links += [(i + a0, j + b0) for i, j in met]
-            n_stretch[k], n_links[k] = len(one), len(met)
-        runs = np.array(stretches, np.int64).reshape(-1, 3)
-        met = np.array(links, np.int64).reshape(-1, 2)
-        texts_of = np.arange(n)
-        self.link_text = np.concatenate([np.repeat(np.repeat(texts_of, n_stretch), runs[:, 2]), np.repeat(texts_of, n_links)])
-        self.link_pair = ((self.ids[0][np.concatenate([spread(runs[:, 0], runs[:, 2]), met[:, 0]])].astype(np.int64) << 32)
-                          | self.ids[1][np.concatenate([spread(runs[:, 1], runs[:, 2]), met[:, 1]])].astype(np.int64))
-        self.n_links = np.bincount(self.link_text, minlength=n)
-
-    def written(self, k: int) -> str:
-        """The groups of a text as ``a1,a2|b1;a3|b2,b3``."""
-        a0, a1, b0, b1 = self.spans[k]
-        a = [self.sides[0].decimal[i] for i in self.ids[0][a0:a1].tolist()]
-        b = [self.sides[1].decimal[i] for i in self.ids[1][b0:b1].tolist()]
-        parts: list[str] = []
-        for (i, j, s), group in zip_longest(*self.groups[k]):
-            parts += [p + "|" + q for p, q in zip(a[i:i + s], b[j:j + s], strict=True)]
-            if group is not None:
-                i, i2, j, j2 = group
-                parts.append(",".join(a[i:i2]) + "|" + ",".join(b[j:j2]))
-        return ";".join(parts)
+            stretches.append(np.array(one, np.int64) + (a0, b0, 0))
+            links_a.append(np.array(met_a, np.int64) + a0)
+            links_b.append(np.array(met_b, np.int64) + b0)
+            self.n_odd[k] = len(met_a)
+            self.n_links[k] = len(met_a) + sum(s for _, _, s in one)
+        runs = np.concatenate(stretches) if stretches else np.zeros((0, 3), np.int64)
+        none = [np.zeros(0, np.int64)]
+        # links of all stretches, text by text, then those of irregular groups
+        keys = ((self.ids[0][np.concatenate([spread(runs[:, 0], runs[:, 2]), *links_a, *none])].astype(np.int64) << 32)
+                | self.ids[1][np.concatenate([spread(runs[:, 1], runs[:, 2]), *links_b, *none])].astype(np.int64))
+        self.pairs, self.place, self.times = np.unique(keys, return_inverse=True, return_counts=True)
+
+    def written(self) -> list[str]:
+        """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
+        decimal = [f"{p >> 32}|{p & 0xFFFFFFFF}" for p in self.pairs.tolist()]
+        out, done = [], 0
+        for (a0, a1, b0, b1), (one, odd) in zip(self.spans, self.groups, strict=True):
+            here = sum(s for _, _, s in one)
+            singles = [decimal[p] for p in self.place[done:done + here].tolist()]
+            a, b = self.ids[0][a0:a1].tolist(), self.ids[1][b0:b1].tolist()
+            done, at, parts = done + here, 0, []
+            for (_, _, s), group in zip_longest(one, odd):
+                parts += singles[at:at + s]
+                at += s
+                if group is not None:
+                    i, i2, j, j2 = group
+                    parts.append(",".join(map(str, a[i:i2])) + "|" + ",".join(map(str, b[j:j2])))
+            out.append(";".join(parts))
+        return out
+
+    def places(self) -> Iterator[np.ndarray]:
+        """The pairs of each text's links, as places in ``pairs``."""
+        mid = len(self.place) - int(self.n_odd.sum())
+        odd = mid + np.append(0, np.cumsum(self.n_odd))
+        one = np.append(0, np.cumsum(self.n_links - self.n_odd))
+        for k in range(len(self.n_links)):
+            yield np.concatenate([self.place[one[k]:one[k + 1]], self.place[odd[k]:odd[k + 1]]])
 
     def bounds(self, k: int) -> tuple[list[int], list[int]]:
         """Where the groups of a text end: one past their last token of A and of B."""
@@ -215,11 +236,11 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
 
 
 def _blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: str) -> DataFrame:
-    """A row a document: counts, digest of its groups, its distinct pairs as places in the sorted
-    pairs of its block and how often it has each; the first row of a block carries the block's pairs."""
+    """A row a document: counts, digest of its groups, the pair of each link as its place in the sorted
+    pairs of its block; the first row of a block carries the block's pairs."""
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = (f"_block bigint, `{id_col}` {id_type}, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, "
-              "groups_sha256 string, _places binary, _times binary, _pairs array<bigint>, _counts array<bigint>")
+              "groups_sha256 string, _places binary, _pairs array<bigint>, _counts array<bigint>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -227,20 +248,14 @@ def _blocks(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
             for lo, hi in column_batches(batch.column(1), BLOCK_BYTES):
                 found = Aligned(batch.column(1).slice(lo, hi - lo).to_pylist(), side(path_a), side(path_b))
                 n = hi - lo
-                pairs, place, counts = np.unique(found.link_pair, return_inverse=True, return_counts=True)
-                keys, times = np.unique(found.link_text * max(len(pairs), 1) + place, return_counts=True)
-                cuts = np.searchsorted(keys, np.arange(n + 1) * max(len(pairs), 1))
-                places = keys % max(len(pairs), 1)
-                digests = [hashlib.sha256(found.written(k).encode()).hexdigest() if found.n_groups[k] else "" for k in range(n)]
-                spans = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
+                digests = [hashlib.sha256(w.encode()).hexdigest() if w else "" for w in found.written()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(n, number)), batch.column(0).slice(lo, n), pa.array(found.n_a), pa.array(found.n_b),
                      pa.array(found.n_groups), pa.array(found.n_links, pa.int64()), pa.array(digests, pa.string()),
-                     pa.array([_pack(np.diff(places[a:b], prepend=0)) for a, b in spans], pa.binary()),
-                     pa.array([_pack(times[a:b]) for a, b in spans], pa.binary()),
-                     pa.array([pairs] + [None] * (n - 1), pa.list_(pa.int64())),
-                     pa.array([counts] + [None] * (n - 1), pa.list_(pa.int64()))],
-                    names=["_block", id_col, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_places", "_times",
+                     pa.array([_pack(p) for p in found.places()], pa.binary()),
+                     pa.array([found.pairs] + [None] * (n - 1), pa.list_(pa.int64())),
+                     pa.array([found.times] + [None] * (n - 1), pa.list_(pa.int64()))],
+                    names=["_block", id_col, "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "_places",
                            "_pairs", "_counts"])
                 number += 1
 
@@ -273,10 +288,10 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
         order = np.argsort(pairs["_pair"].to_numpy())
         total, top = pairs["_total"].to_numpy()[order], pairs["_top"].to_numpy()[order]
         best, sums = [], []
-        for places, times in zip(rows["_places"].to_pylist(), rows["_times"].to_pylist(), strict=True):
-            at, times = np.cumsum(_unpack(places), dtype=np.int64), _unpack(times).astype(np.int64)
-            best.append(int(times[top[at]].sum()))
-            sums.append(int((times * total[at]).sum()))
+        for places in rows["_places"].to_pylist():
+            at = _unpack(places)
+            best.append(int(top[at].sum()))
+            sums.append(int(total[at].sum()))
         return pa.table([rows[id_col], *(rows[c] for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(best, pa.int64()),
                          pa.array(sums, pa.int64()), rows["groups_sha256"]],
                         names=[id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])

@@ -69,57 +69,51 @@ def stacked_scores(meta, base_models: dict, df: DataFrame, row_id: str = "row_id
                          "score", F.col("prediction").cast("int").alias("prediction"))
 
 
-def stack_cv(oof_long: DataFrame, names, k: int, C: float = 1.0, fold_col: str = "fold",
-             row_id: str = "row_id", parallelism: int = 4):
-    """Cross-validated AUC of the meta model on the out-of-fold score vectors: for each fold, the
-    meta model is fitted on the other folds' rows and scores the held-out one; all fold AUCs come
-    from one grouped job. Returns (mean, population std)."""
+def nested_stack_cv(estimators: dict, df: DataFrame, k: int, C: float = 1.0, fold_col: str = "fold",
+                    row_id: str = "row_id", label: str = "label", parallelism: int = 4, folds=None,
+                    features: str = "features"):
+    """Cross-validated AUC of the whole stack: in each outer fold the base models' out-of-fold scores,
+    the meta model and the refitted base models all come from the other folds' rows, so nothing that
+    scores a fold has seen it. Returns (mean, population std) over the outer folds.
+
+    The folds of ``df`` are the inner folds too, and fits are shared: a base model fitted without
+    folds ``i`` and ``j`` gives fold ``j``'s scores to outer fold ``i`` and the reverse. That is
+    ``k (k - 1) / 2`` fits a model, besides the ``k`` that score the outer folds; all are submitted
+    as one bounded batch. With ``folds`` every fit's rows are preprocessed by the statistics of the
+    folds that it trains on."""
     from concurrent.futures import ThreadPoolExecutor
+    from functools import reduce
 
     from tabflow.plans.metrics import roc_auc
+    from tabflow.plans.train import _mean_std
     from tabflow.sources.io import materialize
-    wide = (oof_long.groupBy(row_id, "label", fold_col).pivot("model", list(names))
-            .agg(F.first("score")))
-    x = materialize(VectorAssembler(inputCols=list(names), outputCol="features").transform(wide),
-                    "stack-cv")
-
-    def one(i):
-        meta = PenalizedLogit(C=C, labelCol="label", featuresCol="features").fit(
-            x.filter(F.col(fold_col) != i))
-        return positive_score(meta.transform(x.filter(F.col(fold_col) == i))) \
-            .select(row_id, "label", F.col(fold_col).alias("_fold"), "score")
+    names = list(estimators)
+    left_out = [(i, j) for i in range(k) for j in range(i, k)]  # i = j: the refit that scores outer fold i
+
+    def one(task):
+        name, (i, j) = task
+        frame = df if folds is None else folds.model((i, j), features).transform(df)
+        fitted = estimators[name].fit(frame.filter(~F.col(fold_col).isin(i, j)))
+        scored = positive_score(fitted.transform(frame.filter(F.col(fold_col).isin(i, j))))
+        # what fold j's rows get belongs to outer fold i and the reverse; the refit's scores are tests
+        outer = F.lit(i) if i == j else F.when(F.col(fold_col) == j, F.lit(i)).otherwise(F.lit(j))
+        return scored.select(row_id, F.col(label).cast("int").alias("label"), F.lit(name).alias("model"), "score",
+                             outer.cast("int").alias("_outer"), F.lit(i == j).alias("_test"))
+
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(one, range(k)))
-    val = parts[0]
-    for p in parts[1:]:
-        val = val.unionByName(p)
-    aucs = [r["roc_auc"] for r in roc_auc(val, model="_fold").collect() if r["roc_auc"] is not None]
-    mean = sum(aucs) / len(aucs) if aucs else float("nan")
-    std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5 if aucs else float("nan")
-    return mean, std
+        parts = list(pool.map(one, [(n, pair) for n in names for pair in left_out]))
+    long = reduce(lambda a, b: a.unionByName(b), parts)
+    wide = (long.groupBy(row_id, "label", "_outer", "_test").pivot("model", names).agg(F.first("score")))
+    x = materialize(VectorAssembler(inputCols=names, outputCol="features").transform(wide), "stack-cv")
 
+    def meta(i):
+        own = x.filter(F.col("_outer") == i)
+        fitted = PenalizedLogit(C=C, labelCol="label", featuresCol="features").fit(own.filter("NOT _test"))
+        return positive_score(fitted.transform(own.filter("_test"))).select(row_id, "label", F.lit(i).alias("_fold"), "score")
 
-def nested_stack_cv(estimators: dict, df: DataFrame, k: int, C: float = 1.0, fold_col: str = "fold",
-                    row_id: str = "row_id", label: str = "label", inner: int = 3, seed: int = 42):
-    """Cross-validated AUC of the whole stack: in each outer fold the base models' out-of-fold scores,
-    the meta model and the refitted base models all come from the other folds' rows, so nothing that
-    scores a fold has seen it. Returns (mean, population std) over the outer folds."""
-    from tabflow.operators.split import stratified_folds
-    from tabflow.plans.metrics import roc_auc
-    from tabflow.sources.io import materialize
-    parts = []
-    for i in range(k):
-        seen = materialize(stratified_folds(df.filter(F.col(fold_col) != i).drop(fold_col), label, inner, seed + i,
-                                            row_id, fold_col), "stack-outer")
-        _, _, scored = run_stack(estimators, seen, df.filter(F.col(fold_col) == i), inner, fold_col, row_id, label, C)
-        parts.append(scored.select(row_id, "label", F.lit(i).alias("_fold"), "score"))
-    val = parts[0]
-    for p in parts[1:]:
-        val = val.unionByName(p)
-    aucs = [r["roc_auc"] for r in roc_auc(val, model="_fold").collect() if r["roc_auc"] is not None]
-    mean = sum(aucs) / len(aucs) if aucs else float("nan")
-    std = (sum((a - mean) ** 2 for a in aucs) / len(aucs)) ** 0.5 if aucs else float("nan")
-    return mean, std
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        scored = reduce(lambda a, b: a.unionByName(b), pool.map(meta, range(k)))
+    return _mean_std(r["roc_auc"] for r in roc_auc(scored, model="_fold").collect())
 
 
 def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_col: str = "fold",
@@ -141,5 +135,5 @@ def run_stack(estimators: dict, train: DataFrame, test: DataFrame, k: int, fold_
     return meta, base, stacked_scores(meta, base, test, row_id, label)
 
 
-__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack", "stack_cv",
+__all__ = ["oof_scores", "base_scores", "stack_input", "fit_stack", "stacked_scores", "run_stack",
            "nested_stack_cv"]

@@ -7,10 +7,12 @@ from __future__ import annotations
 
 import logging
 import math
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param.shared import HasInputCols, HasOutputCols, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -95,7 +97,7 @@ def _prep_sql(spec: FeatureSpec) -> str:
     return "SELECT " + ", ".join(parts) + " FROM __THIS__"
 
 
-def _post_stages(spec: FeatureSpec, numeric_kept, output_col: str) -> list:
+def _post_stages(spec: FeatureSpec, numeric_kept, output_col: str, invalid: str = "error") -> list:
     stages = [SQLTransformer(statement=_prep_sql(spec))]
     oh_out = []
     if spec.categorical:
@@ -108,7 +110,7 @@ def _post_stages(spec: FeatureSpec, numeric_kept, output_col: str) -> list:
     num_out = [f"_num_{c}" for c in numeric_kept]
     bin_out = [f"_bin_{c}" for c in spec.binary]
     stages.append(VectorAssembler(inputCols=num_out + oh_out + bin_out, outputCol=output_col,
-                                  handleInvalid="error"))
+                                  handleInvalid=invalid))
     return stages
 
 
@@ -145,6 +147,113 @@ def fit_preprocessor(spec: FeatureSpec, train: DataFrame, output_col: str = "fea
     return PipelineModel(stages=stages + list(rest.stages))
 
 
+@dataclass
+class FoldFeatures:
+    """Preprocessing refitted inside every fold, from one aggregate over all folds.
+
+    Counts, moments and category counts are kept per fold and merged over the folds that a model
+    trains on; ``model(f)`` is the preprocessor fitted without fold ``f``, ``model(None)`` the one
+    fitted on all rows. ``raw`` gives one vector that serves every fold: numeric slots as they are
+    (NaN where missing) and a slot for every category; fold ``f`` sees numeric slot ``j`` as
+    ``(x - shifts[f][j]) / scales[f][j]`` (the last row of both is for all rows)."""
+
+    spec: FeatureSpec
+    k: int
+    numeric: list  # per fold: {column: (rows, values, mean, sum of squared deviations)}
+    categories: list  # per fold: {column: set of categories}
+    sample: DataFrame
+
+    def _without(self, f: int | tuple | None) -> tuple[dict, dict]:
+        """Merged statistics of all folds but ``f`` (one, several, or none)."""
+        moments, labels = {}, {}
+        out = set(f) if isinstance(f, tuple) else {f}
+        for c in self.spec.numeric:
+            rows, n, mean, dev = 0, 0, 0.0, 0.0
+            for g in range(self.k):
+                if g in out or c not in self.numeric[g]:
+                    continue
+                r, m, mu, d = self.numeric[g][c]
+                rows += r
+                if m:
+                    gap = mu - mean
+                    dev += d + gap * gap * n * m / (n + m)
+                    mean, n = mean + gap * m / (n + m), n + m
+            scale = math.sqrt(dev / rows) if rows else 0.0
+            moments[c] = (n, mean, scale if scale > 0 else 1.0)
+        for c in self.spec.categorical:
+            labels[c] = sorted(set().union(*(self.categories[g].get(c, set()) for g in range(self.k) if g not in out)))
+        return moments, labels
+
+    def model(self, f: int | tuple | None, output_col: str = "features") -> PipelineModel:
+        moments, labels = self._without(f)
+        kept = [c for c in self.spec.numeric if moments[c][0]]
+        for c in set(self.spec.numeric) - set(kept):
+            log.warning("numeric column %s has no values; dropped", c)
+        stages = []
+        if self.spec.numeric:
+            scaler = ImputeScaleModel(inputCols=kept, outputCols=[f"_num_{c}" for c in kept])
+            scaler._set(means=[moments[c][1] for c in kept], scales=[moments[c][2] for c in kept])
+            stages.append(scaler)
+        return PipelineModel(stages=stages + _fitted_post(self.spec, kept, labels, self.sample, output_col))
+
+    def raw(self, df: DataFrame, output_col: str = "features") -> DataFrame:
+        _, labels = self._without(None)
+        as_is = df.withColumns({f"_num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))
+                                for c in self.spec.numeric})
+        post = _fitted_post(self.spec, list(self.spec.numeric), labels, self.sample, output_col, "keep")
+        return PipelineModel(stages=post).transform(as_is)
+
+    def affine(self) -> tuple[np.ndarray, np.ndarray]:
+        _, labels = self._without(None)
+        width = len(self.spec.numeric) + sum(map(len, labels.values())) + len(self.spec.binary)
+        shifts, scales = np.zeros((self.k + 1, width)), np.ones((self.k + 1, width))
+        for f in range(self.k + 1):
+            moments, _ = self._without(f if f < self.k else None)
+            for j, c in enumerate(self.spec.numeric):
+                n, mean, scale = moments[c]
+                shifts[f, j], scales[f, j] = mean, scale if n else np.inf  # no values: the slot is always 0
+        return shifts, scales
+
+
+def _fitted_post(spec: FeatureSpec, numeric_kept, labels: dict, sample: DataFrame, output_col: str,
+                 invalid: str = "error") -> list:
+    """``_post_stages`` with the categories given instead of fitted: no job runs."""
+    prep, *rest = _post_stages(spec, numeric_kept, output_col, invalid)
+    if not spec.categorical:
+        return [prep, *rest]
+    indexer, encoder, assembler = rest
+    fitted = StringIndexerModel.from_arrays_of_labels([labels[c] for c in spec.categorical],
+                                                      inputCols=indexer.getInputCols(), outputCols=indexer.getOutputCols(),
+                                                      handleInvalid="keep")
+    # the encoder's sizes come from the indexer's metadata, not from rows
+    return [prep, fitted, encoder.fit(fitted.transform(prep.transform(sample))), assembler]
+
+
+def fold_features(spec: FeatureSpec, df: DataFrame, fold_col: str, k: int) -> FoldFeatures:
+    """One aggregate: every column's moments or category counts per fold, combined on the map side."""
+    entries = []
+    for i, c in enumerate(spec.numeric):
+        x = F.col(c).cast("double")
+        entries.append(F.struct(F.lit(i).alias("at"), F.lit(None).cast("string").alias("category"),
+                                F.when(~F.isnan(x), x).alias("x")))
+    for j, c in enumerate(spec.categorical):
+        entries.append(F.struct(F.lit(len(spec.numeric) + j).alias("at"),
+                                F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias("category"),
+                                F.lit(None).cast("double").alias("x")))
+    numeric, categories = [{} for _ in range(k)], [{} for _ in range(k)]
+    if entries:
+        found = (df.select(F.col(fold_col).cast("int").alias("f"), F.inline(F.array(*entries)))
+                 .groupBy("f", "at", "category")
+                 .agg(F.count(F.lit(1)).alias("rows"), F.count("x").alias("n"), F.avg("x").alias("mean"),
+                      F.var_pop("x").alias("v")).collect())
+        for r in found:
+            if r["at"] < len(spec.numeric):
+                numeric[r["f"]][spec.numeric[r["at"]]] = (r["rows"], r["n"], r["mean"] or 0.0, (r["v"] or 0.0) * r["n"])
+            else:
+                categories[r["f"]].setdefault(spec.categorical[r["at"] - len(spec.numeric)], set()).add(r["category"])
+    return FoldFeatures(spec, k, numeric, categories, df.limit(0))
+
+
 def slot_names(model: PipelineModel, spec: FeatureSpec) -> list[str]:
     """Names of the vector slots in order: ``col`` for numerics and binaries, ``col_category``
     for one-hot slots (the categories come from the fitted indexer)."""

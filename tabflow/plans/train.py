@@ -12,6 +12,7 @@ from __future__ import annotations
 import random
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -27,6 +28,8 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabflow.plans import logit_grid
+
 MAX_TREE_DEPTH = 30  # Spark's limit; an "unlimited" depth becomes this
 
 
@@ -175,18 +178,38 @@ class SearchResult:
     oof: DataFrame
 
 
+def _mean_std(values: Iterable[float | None]) -> tuple[float, float]:
+    """Mean and population std of the AUCs that exist."""
+    kept = [v for v in values if v is not None]
+    if not kept:
+        return float("nan"), float("nan")
+    m = sum(kept) / len(kept)
+    return m, (sum((v - m) ** 2 for v in kept) / len(kept)) ** 0.5
+
+
+def _grid_of_strengths(name: str, maps: list[dict], width: int) -> list[float] | None:
+    """The candidates' C when they differ in nothing else and Hessians can be formed; else None."""
+    if name != "lr" or width > logit_grid.MAX_SLOTS or any({p.name for p in pm} != {"C"} for pm in maps):
+        return None
+    return [float(v) for pm in maps for v in pm.values()]
+
+
 def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: str = "fold",
            label: str = "label", features: str = "features", n_iter: int | None = None,
            seed: int = 42, parallelism: int = 4, preprocessor: Pipeline | None = None,
-           row_id: str = "row_id") -> SearchResult:
+           row_id: str = "row_id", folds=None, raw: DataFrame | None = None) -> SearchResult:
     """Search one family by cross-validated AUC over fixed stratified folds.
 
-    Every (candidate, fold) model is fitted on the other folds (``parallelism`` fits submitted at
-    once, as ``CrossValidator`` does) and scores its held-out fold. Every (candidate, fold) AUC
-    comes from one grouped exact-AUC job instead of one evaluation job per pair, and only the
-    winner's held-out scores (one per row) are stored, for stacking. The best candidate (highest mean AUC) is refitted on all of
-    ``df``. With ``preprocessor`` it is refitted inside every fold (no leakage into the
-    validation fold); without, ``df`` carries a ready ``features`` column.
+    ``df`` carries a ready ``features`` column, on which the best candidate (highest mean AUC) is
+    refitted. With ``folds`` (``features.fold_features`` of the same rows) and ``raw``, the rows with
+    their columns, every fold's fits use the preprocessor fitted without that fold, so nothing leaks
+    into it. ``preprocessor`` is the general, slower way: any pipeline, refitted with every fit.
+
+    Logistic candidates that differ in C only are fitted all together (``logit_grid``): a data pass
+    per iteration for the whole grid, and one more for all held-out scores. Other families fit every
+    (candidate, fold) on its own, ``parallelism`` fits submitted at once. Every (candidate, fold) AUC
+    comes from one grouped exact-AUC job, and only the winner's held-out scores (one per row) are
+    stored, for stacking.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -197,50 +220,84 @@ def search(name: str, df: DataFrame, grid: dict[str, list], k: int, fold_col: st
     maps = sample_grid(param_maps(name, est, grid), n_iter, seed)
     target = Pipeline(stages=[preprocessor, est]) if preprocessor is not None else est
     n_cand = len(maps)
+    shifts = scales = None
+    if folds is not None:
+        shifts, scales = folds.affine()
+        width = shifts.shape[1]
+    else:
+        first = df.select(features).first() if preprocessor is None else None
+        width = len(first[0]) if first is not None else logit_grid.MAX_SLOTS + 1
+    strengths = _grid_of_strengths(name, maps, width)
+
+    if strengths is not None:
+        rows = df if folds is None else folds.raw(raw, features).select(row_id, label, fold_col, features)
+        fitted = logit_grid.fit_grid(rows, strengths, k, fold_col, label, features, shifts, scales)
+
+        def held_out(candidates=None) -> DataFrame:
+            scored = logit_grid.held_out_scores(rows, fitted, [row_id], fold_col, label, features, candidates)
+            return scored.select(row_id, "label", (F.col("candidate") * k + F.col(fold_col)).alias("_cf"), "score")
+    else:
+        seen = df if raw is None or folds is None else raw
+
+        def fold_scores(task):
+            i, j = task
+            frame = seen if folds is None else folds.model(i, features).transform(seen)
+            model = target.copy(maps[j]).fit(frame.filter(F.col(fold_col) != i))
+            scored = positive_score(model.transform(frame.filter(F.col(fold_col) == i)))
+            return scored.select(row_id, F.col(label).cast("int").alias("label"),
+                                 F.lit(j * k + i).alias("_cf"), "score")
+
+        tasks = [(i, j) for i in range(k) for j in range(n_cand)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            parts = list(pool.map(fold_scores, tasks))
+
+        def held_out(candidates=None) -> DataFrame:
+            chosen = [p for (_, j), p in zip(tasks, parts, strict=True) if candidates is None or j in candidates]
+            return reduce(lambda a, b: a.unionByName(b), chosen)
 
-    def fold_scores(task):
-        i, j = task
-        model = target.copy(maps[j]).fit(df.filter(F.col(fold_col) != i))
-        scored = positive_score(model.transform(df.filter(F.col(fold_col) == i)))
-        return scored.select(row_id, F.col(label).cast("int").alias("label"),
-                             F.lit(j * k + i).alias("_cf"), "score")
-
-    tasks = [(i, j) for i in range(k) for j in range(n_cand)]
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        parts = list(pool.map(fold_scores, tasks))
-    val = parts[0]
-    for p in parts[1:]:
-        val = val.unionByName(p)
     # roc_auc writes its distinct-score table once, so every fold model scores its rows once;
     # the candidates' validation scores themselves are never stored
-    aucs = {r["_cf"]: r["roc_auc"] for r in roc_auc(val, model="_cf").collect()}
-    means, stds = [], []
-    for j in range(n_cand):
-        fold_auc = [aucs.get(j * k + i) for i in range(k)]
-        fold_auc = [a for a in fold_auc if a is not None]
-        m = sum(fold_auc) / len(fold_auc) if fold_auc else float("nan")
-        means.append(m)
-        stds.append((sum((a - m) ** 2 for a in fold_auc) / len(fold_auc)) ** 0.5 if fold_auc else float("nan"))
-    best = max(range(n_cand), key=lambda j: (means[j], -j))
-    rows = [(name, _describe_map(pm), float(means[j]), float(stds[j]), j == best)
-            for j, pm in enumerate(maps)]
+    aucs = {r["_cf"]: r["roc_auc"] for r in roc_auc(held_out(), model="_cf").collect()}
+    folded = [_mean_std(aucs.get(j * k + i) for i in range(k)) for j in range(n_cand)]
+    best = max(range(n_cand), key=lambda j: (folded[j][0], -j))
+    rows_out = [(name, _describe_map(pm), *folded[j], j == best) for j, pm in enumerate(maps)]
     results = df.sparkSession.createDataFrame(
-        rows, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
+        rows_out, "model string, params map<string,string>, mean_auc double, std_auc double, is_best boolean")
     best_est = target.copy(maps[best])
     # only the winner's held-out scores are kept: N rows, reused by stacking
-    best_parts = [p for (i, j), p in zip(tasks, parts) if j == best]
-    oof = best_parts[0]
-    for p in best_parts[1:]:
-        oof = oof.unionByName(p)
-    oof = materialize(oof.select(row_id, "label", F.lit(name).alias("model"), "score",
-                                 (F.col("_cf") - best * k).cast("int").alias(fold_col)), f"oof-{name}")
+    oof = materialize(held_out([best]).select(row_id, "label", F.lit(name).alias("model"), "score",
+                                              (F.col("_cf") - best * k).cast("int").alias(fold_col)), f"oof-{name}")
     return SearchResult(best_est.fit(df), results, best_est, oof)
 
 
-def cv_score(estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label"):
+def cv_scores(estimators: dict, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label",
+              row_id: str = "row_id", parallelism: int = 4, folds=None, features: str = "features") -> dict:
+    """M7: mean and population std of the fold AUCs of fixed estimators, by name. Fits are submitted
+    ``parallelism`` at a time and all AUCs come from one grouped job. With ``folds`` the rows of
+    ``df`` are preprocessed inside every fold."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from tabflow.plans.metrics import roc_auc
+
+    names = list(estimators)
+
+    def one(task):
+        at, i = task
+        frame = df if folds is None else folds.model(i, features).transform(df)
+        model = estimators[names[at]].fit(frame.filter(F.col(fold_col) != i))
+        scored = positive_score(model.transform(frame.filter(F.col(fold_col) == i)))
+        return scored.select(row_id, F.col(label).cast("int").alias("label"), F.lit(at * k + i).alias("_mf"), "score")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        parts = list(pool.map(one, [(at, i) for at in range(len(names)) for i in range(k)]))
+    aucs = {r["_mf"]: r["roc_auc"] for r in roc_auc(reduce(lambda a, b: a.unionByName(b), parts), model="_mf").collect()}
+    return {n: _mean_std(aucs.get(at * k + i) for i in range(k)) for at, n in enumerate(names)}
+
+
+def cv_score(estimator, df: DataFrame, k: int, fold_col: str = "fold", label: str = "label", parallelism: int = 4):
     """M7: mean and population std of the fold AUCs of one fixed estimator."""
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=[{}], evaluator=auc_evaluator(label),
-                        numFolds=k, foldCol=fold_col, parallelism=1)
+                        numFolds=k, foldCol=fold_col, parallelism=parallelism)
     m = cv.fit(df)
     return float(m.avgMetrics[0]), float(m.stdMetrics[0])
 

@@ -106,11 +106,13 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         test = split.filter(F.col("split") == "test")
 
     with timer.stage("features"):
-        pre = FE.fit_preprocessor(spec, train)
+        # statistics of every fold at once: the search preprocesses inside its folds, and all rows'
+        # statistics are their sum
+        train = materialize(SP.stratified_folds(train, "label", k, seed, key), "train-rows")
+        folds = FE.fold_features(spec, train, "fold", k)
+        pre = folds.model(None)
         names = FE.slot_names(pre, spec)
-        train_x = SP.stratified_folds(pre.transform(train), "label", k, seed, key) \
-            .select("row_id", "label", "features", "fold")
-        train_x = materialize(train_x, "train")
+        train_x = materialize(pre.transform(train).select("row_id", "label", "features", "fold"), "train")
         test_x = materialize(pre.transform(test).select("row_id", "label", "features"), "test")
 
     models, best_est, results, scores, metas = {}, {}, [], [], {}
@@ -121,7 +123,7 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
         oof = {}
         for g in grids:
             sr = TR.search(g.model, train_x, g.grid, k, n_iter=g.n_iter, seed=g.seed,
-                           parallelism=parallelism)
+                           parallelism=parallelism, folds=folds, raw=train)
             best, est = sr.best_model, sr.best_estimator
             models[g.model], best_est[g.model], oof[g.model] = best, est, sr.oof
             results.append(sr.results)
@@ -166,12 +168,14 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     # M7: the chosen models cross-validated over all labelled rows, train and test, in new folds;
     # the stack with everything inside the fold
     with timer.stage("final_cv"):
-        every = SP.stratified_folds(train_x.drop("fold").unionByName(test_x), "label", k, seed + 1, "row_id")
+        every = SP.stratified_folds(split.drop("split"), "label", k, seed + 1, "row_id")
         every = materialize(every, "final-cv")
-        rows = [(name, *TR.cv_score(est, every, k)) for name, est in best_est.items()]
+        every_folds = FE.fold_features(spec, every, "fold", k)
+        fixed = TR.cv_scores(best_est, every, k, parallelism=parallelism, folds=every_folds)
+        rows = [(name, *fixed[name]) for name in best_est]
         if stacked_names:
-            rows.append(("stacked", *EN.nested_stack_cv({n: best_est[n] for n in stacked_names}, every, k,
-                                                        stack.meta_C, seed=seed)))
+            rows.append(("stacked", *EN.nested_stack_cv({n: best_est[n] for n in stacked_names}, every, k, stack.meta_C,
+                                                        parallelism=parallelism, folds=every_folds)))
         cv = spark.createDataFrame(rows, "model string, cv_mean_auc double, cv_std_auc double")
 
     explanations = {}

@@ -11,8 +11,8 @@ verified by exact products in integers.
 
 Defined results: rows with a null id or vector, or with a null or non-finite component take no
 part; vectors meet only vectors of as many components; components are floors of ``scale * x``,
-clipped to 64 bits, and scores are clipped to 64 bits; fully repeated rows count once, rows that
-share an id but not the vector are separate (a query leaves out only its own row); an empty table
+clipped to 64 bits, and scores are clipped to 64 bits; every row is a candidate of its own, fully
+repeated ones too, and a query leaves out only its own row (of repeated rows, one); an empty table
 gives an empty result; fewer candidates than k give fewer rows; ties go to the smaller id.
 """
 
@@ -205,7 +205,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 1.
     n_blocks = blocks.count()
     salts = max(1, -(-n_blocks // BLOCKS_PER_TASK))
     meta = chunks.groupBy("dim", "chunk").agg(F.max("longest").alias("_reach"))
-    longest = meta.groupBy("dim").agg(F.max_by("chunk", F.struct("_reach", "chunk")).alias("_chunk"))
+    longest = meta.groupBy("dim").agg(
+        F.min_by("chunk", F.struct((-F.col("_reach")).alias("r"), "chunk")).alias("_chunk"))
     packed = [c.split()[0] for c in _PACKED.split(", ")]
     floors = F.lit(None).cast("binary").alias("floors")
 
@@ -230,15 +231,18 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: float = 1.
 
 def _ordered(rows: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     """(id, mark, vector) of the rows that take part, longest first; ``mark`` tells apart rows of
-    one id. The order by length is what is wanted; ids split equal lengths among tasks."""
+    one id: fully repeated rows are counted on the map side and numbered, so each stays a row of its
+    own. The order by length is what is wanted; ids and numbers split equal lengths among tasks."""
     vector = F.col(vector_col).cast("array<double>")
     usable = F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & ~F.exists(
         vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     kept = (rows.filter(usable).select(F.col(id_col).cast("bigint").alias("_id"), vector.alias("_vector"))
-            .withColumn("_mark", F.xxhash64("_vector")).dropDuplicates(["_id", "_mark"]))
+            .groupBy("_id", "_vector").agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_copies")))
+            .withColumn("_mark", F.xxhash64("_vector", "_copy")))
     length = F.aggregate(F.transform("_vector", lambda x: F.pow(F.floor(x * scale).cast("double"), F.lit(2.0))),
                          F.lit(0.0), lambda a, x: a + x)
-    order = [F.size("_vector"), F.desc("_length"), F.col("_id")]
+    order = [F.size("_vector"), F.desc("_length"), F.col("_id"), F.col("_copy")]
     return (kept.withColumn("_length", length).repartitionByRange(*order).sortWithinPartitions(*order)
             .select("_id", "_mark", "_vector"))
 
@@ -256,6 +260,8 @@ def _meet(asked: DataFrame, chunks: DataFrame, salts: int, k: int) -> DataFrame:
             .withColumns({c: F.lit(None).cast(t) for c, t in null.items()}).select(*names))
     right = (asked.withColumn("_salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
              .withColumn("_type", F.lit(1)).select(*names))
+    # only the copies of a chunk that some block asks for travel
+    left = left.join(right.select("chunk", "_salt").distinct(), ["chunk", "_salt"], "left_semi").select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, buckets = None, []

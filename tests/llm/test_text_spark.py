@@ -400,16 +400,17 @@ def test_top_k(spark, monkeypatch):
     rows = [(i, x.astype(np.float32).tolist(), "clash") for i, x in enumerate(v)]
     rows += [(500, None, ""), (520, [1.0, None, 0.0, 0.0, 0.0, 0.0], ""), (540, [float("nan")] * 6, ""),
              (560, [1.0, 2.0], ""), (561, [2.0, 2.0], ""), (None, [1.0] * 6, ""), (580, [], ""), (600, [float("inf")] * 6, "")]
-    rows.append(rows[20])
+    # every row but the query's own is a candidate: repeated rows, of queries too, and other vectors of a query's id
+    rows += [rows[20]] * 2 + [rows[7]] * 3 + [(40, rows[41][1], "other vector")]
     table = spark.createDataFrame(rows, EMBEDDINGS).repartition(4)
     got = topk.top_k(table, table.filter("vec_id % 20 = 0"), k=20, scale=64.0)
     assert got.columns == ["query_id", "rank", "vec_id", "score"]
-    usable = {i: np.floor(64 * np.array(x, np.float32).astype(float)).astype(int) for i, x, _ in rows
-              if i is not None and x is not None and None not in x and np.isfinite(x).all()}
+    usable = [(i, np.floor(64 * np.array(x, np.float32).astype(float)).astype(int)) for i, x, _ in rows
+              if i is not None and x is not None and None not in x and np.isfinite(x).all()]
     expected = []
-    for q, x in usable.items():
+    for at, (q, x) in enumerate(usable):
         if q % 20 == 0:
-            scores = sorted((-int(x @ y), j) for j, y in usable.items() if j != q and len(y) == len(x))[:20]
+            scores = sorted((-int(x @ y), j) for other, (j, y) in enumerate(usable) if other != at and len(y) == len(x))[:20]
             expected += [(q, k + 1, j, -s) for k, (s, j) in enumerate(scores)]
     assert sorted(map(tuple, got.collect())) == sorted(expected)
     none = table.filter("vec_id = -1")

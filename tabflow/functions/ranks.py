@@ -26,6 +26,9 @@ DEFAULT_BUCKETS = 1024
 # Above this many rows per bucket the sketch is redone with more buckets, so that the exact
 # per-bucket work (a sort inside one task) stays small whatever the table size.
 MAX_ROWS_PER_BUCKET = 2_000_000
+# Rows of one key that are numbered in a single window, and ranges that a key with more is split into.
+HOT_ROWS = 1_000_000
+RANGE_BITS = 9
 
 
 def buckets_for(n_rows: int, n_buckets: int = DEFAULT_BUCKETS) -> int:
@@ -91,6 +94,39 @@ def with_bucket(long_df: DataFrame, group_col: str, value_col: str, splits: dict
     return out.withColumn(out_col, F.coalesce(*[F.col(o) for o in outs]).cast("int")).drop(*ins, *outs)
 
 
+def occurrence(df: DataFrame, key: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Add ``out``: each row's 1-based number among the rows with its ``key``, by a hash of the whole
+    row. Of rows that agree in everything the numbering is arbitrary, and each has its own.
+
+    Keys of at most ``hot_rows`` rows are numbered in one window each. The few that have more (a table
+    of at most ``rows / hot_rows`` keys) are numbered in two levels: equal rows are counted before they
+    move, distinct ones are numbered inside a range of the hash, running counts give each range its
+    offset, and equal rows are laid out again. So no key meets in one task, however many rows it has.
+    """
+    from pyspark.sql import Window
+
+    cols = df.columns
+    hashed = df.withColumn("_h", F.xxhash64(*cols))
+    hot = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+           .select(F.col(key).alias("_hot")))
+    one = Window.partitionBy(key).orderBy("_h")
+    cool = (hashed.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left_anti")
+            .withColumn(out, F.row_number().over(one).cast("bigint")).drop("_h"))
+
+    distinct = (hashed.join(hot, F.col(key).eqNullSafe(F.col("_hot")), "left_semi").groupBy(*cols, "_h")
+                .agg(F.count(F.lit(1)).alias("_copies"))
+                .withColumn("_range", F.shiftrightunsigned("_h", 64 - RANGE_BITS)))
+    inside = Window.partitionBy(key, "_range").orderBy("_h", *cols).rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_of").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (distinct.groupBy(F.col(key).alias("_of"), F.col("_range").alias("_at")).agg(F.sum("_copies").alias("_n"))
+               .select("_of", "_at", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")))
+    laid = (distinct.withColumn("_first", F.coalesce(F.sum("_copies").over(inside), F.lit(0)))
+            .join(offsets, F.col(key).eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_at")))
+            .withColumn(out, F.explode(F.sequence(F.col("_offset") + F.col("_first") + 1,
+                                                  F.col("_offset") + F.col("_first") + F.col("_copies")))))
+    return cool.unionByName(laid.select(*cols, out))
+
+
 def prefix_before(df: DataFrame, part_cols: list[str], order_col: str, value: Column | str,
                   out_col: str) -> DataFrame:
     """Running sum of ``value`` over rows strictly before the current one in ``order_col``,

@@ -222,11 +222,11 @@ def _fitted_post(spec: FeatureSpec, numeric_kept, labels: dict, sample: DataFram
     if not spec.categorical:
         return [prep, *rest]
     indexer, encoder, assembler = rest
-    fitted = StringIndexerModel.from_arrays_of_labels([labels[c] for c in spec.categorical],
-                                                      inputCols=indexer.getInputCols(), outputCols=indexer.getOutputCols(),
-                                                      handleInvalid="keep")
-    # the encoder's sizes come from the indexer's metadata, not from rows
-    return [prep, fitted, encoder.fit(fitted.transform(prep.transform(sample))), assembler]
+    # one model a column: columns of different widths cannot share one that is made from labels
+    fitted = [StringIndexerModel.from_labels(labels[c], inputCol=i, outputCol=o, handleInvalid="keep")
+              for c, i, o in zip(spec.categorical, indexer.getInputCols(), indexer.getOutputCols(), strict=True)]
+    # the encoder's sizes come from the indexers' metadata, not from rows
+    return [prep, *fitted, encoder.fit(PipelineModel([prep, *fitted]).transform(sample)), assembler]
 
 
 def fold_features(spec: FeatureSpec, df: DataFrame, fold_col: str, k: int) -> FoldFeatures:
@@ -264,8 +264,9 @@ def slot_names(model: PipelineModel, spec: FeatureSpec) -> list[str]:
         if isinstance(st, ImputeScaleModel):
             kept_numeric = list(st.getInputCols())
         if hasattr(st, "labelsArray"):
-            for c, labels in zip(spec.categorical, st.labelsArray):
-                labels_by_col[c] = list(labels)
+            columns = st.getInputCols() if st.isSet("inputCols") else [st.getInputCol()]
+            for c, labels in zip(columns, st.labelsArray):
+                labels_by_col[c.removeprefix("_cat_")] = list(labels)
     names += kept_numeric
     for c in spec.categorical:
         names += [f"{c}_{v}" for v in labels_by_col.get(c, [])]

@@ -163,9 +163,18 @@ def top_k(df: DataFrame, value: str, k: int, tie: str, by_abs: bool = False) ->
 def score_columns(scores: DataFrame, models, row_id: str = "row_id", model: str = "model",
                   score: str = "score", label: str = "label") -> DataFrame:
     """Long ``(row_id, model, score, label)`` → one row per ``row_id`` with a column per
-    model and the label carried in the grouping key, instead of k-1 joins. Rows that share an id
-    (and label) stay as many rows."""
-    # rows that share an id are numbered inside it, so none is lost
-    nth = F.row_number().over(Window.partitionBy(row_id, label, model).orderBy(score))
-    return (scores.withColumn("_nth", nth).groupBy(row_id, label, "_nth").pivot(model, list(models))
-            .agg(F.first(score)).drop("_nth"))
+    model and the label carried along, in one partial-aggregated shuffle instead of k-1 joins.
+
+    ``row_id`` is a row's identity, made before scoring (``workflow.row_identity``): a row only ever
+    gets its own scores. An id that comes twice in a model, or with two labels, names more than one
+    row, and is an error instead of a guess which scores belong together."""
+    def refuse(why: str):
+        return F.raise_error(F.concat(F.lit(f"{why} for id "), F.col(row_id).cast("string")))
+
+    of = [F.col(model) == F.lit(m) for m in models]
+    one_label = F.min(label).eqNullSafe(F.max(label)) & (F.count(label).isin(0, F.count(F.lit(1))))
+    return scores.groupBy(row_id).agg(
+        F.when(~F.coalesce(one_label, F.lit(False)), refuse("more than one label").cast(scores.schema[label].dataType))
+        .otherwise(F.max(label)).alias(label),
+        *[F.when(F.count_if(is_m) > 1, refuse(f"more than one score of {m}").cast("double"))
+          .otherwise(F.max(F.when(is_m, F.col(score)))).alias(m) for m, is_m in zip(models, of, strict=True)])

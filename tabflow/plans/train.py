@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabflow.plans import logit_grid
+from tabflow.plans.boost import SecondOrderTrees
 
 MAX_TREE_DEPTH = 30  # Spark's limit; an "unlimited" depth becomes this
 
@@ -108,7 +109,8 @@ def _gbt(params: dict, seed: int, label: str, features: str) -> GBTClassifier:
 
 def make_estimator(name: str, params: dict | None = None, seed: int = 42, label: str = "label",
                    features: str = "features"):
-    """Model factory by family name: 'lr', 'rf', 'gbt' (alias 'xgb'); unknown names are an error.
+    """Model factory by family name: 'lr', 'rf', 'gbt' (Spark's first-order boosting), 'xgb' (second-order
+    boosting with L2 leaf weights, ``boost``); unknown names are an error.
     Parameter names follow the original workflow's (C, n_estimators, max_depth, ...)."""
     params = dict(params or {})
     if name == "lr":
@@ -116,8 +118,13 @@ def make_estimator(name: str, params: dict | None = None, seed: int = 42, label:
                               maxIter=int(params.get("max_iter", 1000)))
     if name == "rf":
         return _rf(params, seed, label, features)
-    if name in ("gbt", "xgb"):
+    if name == "gbt":
         return _gbt(params, seed, label, features)
+    if name == "xgb":
+        return SecondOrderTrees(labelCol=label, featuresCol=features, maxIter=int(params.get("n_estimators", 100)),
+                                stepSize=float(params.get("learning_rate", 0.1)), maxDepth=int(params.get("max_depth", 6)),
+                                regLambda=float(params.get("reg_lambda", 1.0)), minSplitGain=float(params.get("gamma", 0.0)),
+                                minChildWeight=float(params.get("min_child_weight", 1.0)))
     raise ValueError(f"unknown model family {name!r}")
 
 
@@ -127,7 +134,7 @@ _PARAM_NAMES = {
     "rf": {"n_estimators": "numTrees", "max_depth": "maxDepth", "min_samples_leaf": "minInstancesPerNode"},
     "gbt": {"n_estimators": "maxIter", "learning_rate": "stepSize", "max_depth": "maxDepth"},
 }
-_PARAM_NAMES["xgb"] = _PARAM_NAMES["gbt"]
+_PARAM_NAMES["xgb"] = _PARAM_NAMES["gbt"] | {"reg_lambda": "regLambda", "gamma": "minSplitGain", "min_child_weight": "minChildWeight"}
 
 
 def param_maps(name: str, estimator, grid: dict[str, list]) -> list[dict]:

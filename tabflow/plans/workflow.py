@@ -11,9 +11,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.functions.ranks import HOT_ROWS, occurrence
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
 from tabflow.operators import profile as P
@@ -55,17 +56,17 @@ class RunResult:
     models: dict = field(default_factory=dict)
 
 
-def row_identity(df: DataFrame, spec: FeatureSpec, out: str = "row_id") -> DataFrame:
+def row_identity(df: DataFrame, spec: FeatureSpec, out: str = "row_id", hot_rows: int = HOT_ROWS) -> DataFrame:
     """A row's identity: its source, its key and its occurrence among rows that share both, written so
-    that no two can be confused. Rows with a NULL in the key are told apart by their content, so
-    they never meet in one window; of rows that agree in everything the numbering is arbitrary."""
+    that no two can be confused. Rows with a NULL in the key are told apart by their content; of rows
+    that agree in everything the numbering is arbitrary. A key with any share of the rows is numbered
+    in many tasks (``ranks.occurrence``)."""
     parts = ([spec.lineage] if spec.lineage else []) + list(spec.key)
     unkeyed = F.exists(F.array(*[F.col(c).isNull() for c in spec.key]), lambda x: x)
     content = F.when(unkeyed, F.xxhash64(*df.columns)).otherwise(F.lit(0))
     name = F.to_json(F.struct(*parts, content.alias("_content")), {"ignoreNullFields": "false"})
-    nth = F.row_number().over(Window.partitionBy("_name").orderBy(F.xxhash64(*df.columns)))
-    return (df.withColumn("_name", name).withColumn(out, F.concat_ws("#", "_name", nth.cast("string")))
-            .drop("_name"))
+    return (occurrence(df.withColumn("_name", name), "_name", "_nth", hot_rows)
+            .withColumn(out, F.concat_ws("#", "_name", F.col("_nth").cast("string"))).drop("_name", "_nth"))
 
 
 def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec,

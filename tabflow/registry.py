@@ -8,6 +8,7 @@ value hash can compare them.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -631,29 +632,42 @@ def q_score_columns(spark, sf_dir):
     return M.score_columns(long, ["price", "cust"])
 
 
-_TWO_SOURCES_SQL = """(SELECT c_custkey AS id, CAST(c_acctbal > 0 AS INTEGER) AS label, round(c_acctbal / 10000, 6) AS bal,
-         round(c_nationkey / 25.0, 6) AS nat FROM customer
-  UNION ALL SELECT s_suppkey, CAST(s_acctbal > 0 AS INTEGER), round(s_acctbal / 10000, 6), round(s_nationkey / 25.0, 6)
-  FROM supplier)"""
-
-
-@register("stack_input_two_sources", f"""
-SELECT a.id AS row_id, a.label, a.bal, b.nat FROM
-  (SELECT id, label, bal, row_number() OVER (PARTITION BY id, label ORDER BY bal) AS nth FROM {_TWO_SOURCES_SQL}) a
-  JOIN (SELECT id, label, nat, row_number() OVER (PARTITION BY id, label ORDER BY nat) AS nth FROM {_TWO_SOURCES_SQL}) b
-  ON a.id = b.id AND a.label = b.label AND a.nth = b.nth
+@register("stack_input_two_sources", """
+SELECT concat('{"source":"customer","id":', c_custkey, ',"_content":0}#1') AS row_id, CAST(c_acctbal > 0 AS INTEGER) AS label,
+       round(c_acctbal / 10000, 6) AS bal, round(c_nationkey / 25.0, 6) AS nat FROM customer
+UNION ALL SELECT concat('{"source":"supplier","id":', s_suppkey, ',"_content":0}#1'), CAST(s_acctbal > 0 AS INTEGER),
+       round(s_acctbal / 10000, 6), round(s_nationkey / 25.0, 6) FROM supplier
 """)
 def q_stack_input_two_sources(spark, sf_dir):
-    """Customers and suppliers share ids; as many rows come out as went in."""
-    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("row_id"), F.col("c_acctbal").alias("x"),
-                                                F.col("c_nationkey").alias("y"))
-    u = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("row_id"), F.col("s_acctbal").alias("x"),
-                                                F.col("s_nationkey").alias("y"))
-    both = c.unionByName(u).select("row_id", (F.col("x") > 0).cast("int").alias("label"),
-                                   F.round(F.col("x") / 10000, 6).alias("bal"), F.round(F.col("y") / 25.0, 6).alias("nat"))
+    """Customers and suppliers share ids; every row that comes out is one that went in, with
+    its own scores, under its identity (source, key, occurrence)."""
+    from tabflow.plans.workflow import row_identity
+    c = table(spark, sf_dir, "customer").select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"),
+                                                F.col("c_acctbal").alias("x"), F.col("c_nationkey").alias("y"))
+    u = table(spark, sf_dir, "supplier").select(F.lit("supplier").alias("source"), F.col("s_suppkey").alias("id"),
+                                                F.col("s_acctbal").alias("x"), F.col("s_nationkey").alias("y"))
+    spec = FeatureSpec(numeric=("x", "y"), categorical=(), binary=(), target="label", lineage="source", key=("id",))
+    both = row_identity(c.unionByName(u), spec).select(
+        "row_id", (F.col("x") > 0).cast("int").alias("label"),
+        F.round(F.col("x") / 10000, 6).alias("bal"), F.round(F.col("y") / 25.0, 6).alias("nat"))
     return M.score_columns(both.unpivot(["row_id", "label"], ["bal", "nat"], "model", "score"), ["bal", "nat"])
 
 
+@register("row_identity_hot_key", """
+SELECT concat('{"source":"events","kind":"', CASE WHEN user_id % 3 = 0 THEN 'hot' ELSE CAST(user_id AS VARCHAR) END,
+              '","_content":0}#', row_number() OVER (PARTITION BY CASE WHEN user_id % 3 = 0 THEN 'hot'
+                ELSE CAST(user_id AS VARCHAR) END)) AS row_id FROM events
+""")
+def q_row_identity_hot_key(spark, sf_dir):
+    """A key with a third of all rows, numbered by ranges: every occurrence once, none left out."""
+    from tabflow.plans.workflow import row_identity
+    e = table(spark, sf_dir, "events").select(
+        F.lit("events").alias("source"), F.when(F.col("user_id") % 3 == 0, "hot").otherwise(F.col("user_id").cast("string"))
+        .alias("kind"), F.substring("event_type", 1, 1).alias("first"))
+    spec = FeatureSpec(numeric=(), categorical=("first",), binary=(), target="label", lineage="source", key=("kind",))
+    return row_identity(e, spec, hot_rows=100).select("row_id")
+
+
 _FOLD_SCORES_SQL = f"""(SELECT row_id, label, score, (row_number() OVER (PARTITION BY label
         ORDER BY {_hash_sql('row_id', 42)}, row_id) - 1) % 5 AS fold
       FROM {_SCORES_SQL} WHERE model = 'disc')"""
@@ -934,6 +948,67 @@ def q_model_lr_gradient(spark, sf_dir):
     return sums.join(slots, "pos").select("slot", (F.abs(F.col("g") + F.col("w")) / n < 1e-4).alias("stationary"))
 
 
+PRESET_C = [0.0001, 0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0, 20000.0, 50000.0]
+_LINE_FOLD_SQL = """(SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, l_orderkey % 5 AS fold,
+  l_quantity AS score FROM lineitem)"""
+
+
+def lineitem_folds(spark, sf_dir, slots: list[str]) -> DataFrame:
+    """(row_id, label, fold, features) of every line: whether it was returned, folds by whole orders."""
+    from pyspark.ml.feature import VectorAssembler
+    li = table(spark, sf_dir, "lineitem").select(
+        line_key().alias("row_id"), (F.col("l_returnflag") == "R").cast("double").alias("label"),
+        F.pmod("l_orderkey", F.lit(5)).cast("int").alias("fold"), (F.col("l_quantity") / 50).alias("quantity"),
+        (F.col("l_extendedprice") / 50000).alias("price"), (F.col("l_discount") * 10).alias("discount"),
+        (F.col("l_tax") * 10).alias("tax"))
+    return materialize(VectorAssembler(inputCols=slots, outputCol="features").transform(li)
+                       .select("row_id", "label", "fold", "features"), "line-folds")
+
+
+@register("model_lr_grid", f"""
+SELECT c AS C, CAST(f AS INTEGER) AS fold, CAST(count_if(fold <> f) AS BIGINT) AS n_train,
+       CAST(sum(label) FILTER (fold <> f) AS BIGINT) AS n_positive, TRUE AS stationary
+FROM {_LINE_FOLD_SQL}, (SELECT unnest([{", ".join(f"{c}::DOUBLE" for c in PRESET_C)}]) AS c), range(5) r(f) GROUP BY c, f
+""")
+def q_model_lr_grid(spark, sf_dir):
+    """M1/M5: the preset grid's 11 × 5 fits over all lines in as many passes as the slowest one needs;
+    at every pair's weights the gradient of its penalised loss, taken anew by SQL functions, vanishes."""
+    from pyspark.ml.functions import vector_to_array
+
+    from tabflow.plans import logit_grid as LG
+    df = lineitem_folds(spark, sf_dir, ["quantity", "price", "discount", "tax"])
+    grid = LG.fit_grid(df, PRESET_C, 5)
+    pairs = F.array(*[F.struct(F.lit(C).alias("C"), F.lit(f).alias("out"), F.array(*map(F.lit, w.tolist())).alias("w"))
+                      for C, of in zip(grid.Cs, grid.weights, strict=True) for f, w in enumerate(of)])
+    rows = (df.select("label", "fold", F.concat(F.array(F.lit(1.0)), vector_to_array("features")).alias("x"), F.inline(pairs))
+            .filter("fold <> out"))
+    margin = F.aggregate(F.zip_with("x", "w", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    sums = (rows.withColumn("err", 1 / (1 + F.exp(-margin)) - F.col("label")).groupBy("C", F.col("out").alias("fold"), "w")
+            .agg(F.count(F.lit(1)).alias("n_train"), F.sum("label").cast("bigint").alias("n_positive"),
+                 *[F.sum(F.col("err") * F.col("x")[i]).alias(f"g{i}") for i in range(5)]))
+    slots = [F.abs(F.col(f"g{i}") + (F.col("w")[i] / F.col("C") if i else 0)) / F.col("n_train") < 1e-9 for i in range(5)]
+    return sums.select("C", "fold", "n_train", "n_positive", reduce(lambda a, b: a & b, slots).alias("stationary"))
+
+
+@register("search_fold_auc", f"""
+WITH s AS (SELECT * FROM {_LINE_FOLD_SQL}),
+way AS (SELECT f, CASE WHEN covar_pop(label, score) FILTER (fold <> f) > 0 THEN 1 ELSE -1 END AS sign
+        FROM s, range(5) r(f) GROUP BY f),
+auc AS ({_AUC_SQL.format(g='fold', src='s')})
+SELECT c AS C, CAST(fold AS INTEGER) AS fold, round(CASE WHEN sign = 1 THEN roc_auc ELSE 1 - roc_auc END, 6) AS roc_auc
+FROM auc JOIN way ON fold = f, (SELECT unnest([{", ".join(f"{c}::DOUBLE" for c in PRESET_C)}]) AS c)
+""")
+def q_search_fold_auc(spark, sf_dir):
+    """M5: every candidate's AUC in every fold, by the fit that did not see it. With one slot the order
+    of the scores is the slot's, by the sign of its covariance with the label outside the fold."""
+    from tabflow.plans import logit_grid as LG
+    df = lineitem_folds(spark, sf_dir, ["quantity"])
+    grid = LG.fit_grid(df, PRESET_C, 5)
+    scores = LG.held_out_scores(df, grid, []).withColumn("pair", F.col("candidate") * 5 + F.col("fold"))
+    c = F.element_at(F.array(*map(F.lit, PRESET_C)), F.floor(F.col("pair") / 5).cast("int") + 1)
+    return _r6(M.roc_auc(scores, model="pair").select(c.alias("C"), F.pmod("pair", F.lit(5)).alias("fold"), "roc_auc"), ["roc_auc"])
+
+
 @register("model_rf_importance_sum", f"""
 SELECT CAST(2 + count(DISTINCT coalesce(lang, 'missing')) + count(DISTINCT coalesce(source, 'missing')) AS BIGINT) AS n_slots,
        TRUE AS sums_to_one, TRUE AS none_negative FROM {_DOC_TRAIN_SQL}
@@ -969,6 +1044,51 @@ def q_model_gbt_counts(spark, sf_dir):
     return per.join(ok, "model").select("model", "label", "n", "accuracy_ok", "prediction_ok")
 
 
+_BOOST_SQL = """WITH d AS (SELECT CAST(l_returnflag = 'R' AS DOUBLE) AS y, CAST(l_discount > 0.05 AS INTEGER) AS side FROM lineitem),
+m AS (SELECT avg(y) AS p FROM d),
+s AS (SELECT side, count(*) AS n, sum(p - y) AS g, sum(p * (1 - p)) AS h FROM d, m GROUP BY side),
+t AS (SELECT sum(g) AS g, sum(h) AS h, sum(n) AS n FROM s),
+k AS (SELECT (SELECT sum(g * g / (h + 2)) FROM s) - g * g / (h + 2) > 2e-12 AS split FROM t)
+SELECT side + 1 AS node, CAST(n AS BIGINT) AS n, round(g, 6) AS g, round(h, 6) AS h, round(-0.3 * g / (h + 2), 9) AS value
+FROM s, k WHERE split
+UNION ALL SELECT 0, CAST(n AS BIGINT), round(g, 6), round(h, 6), round(-0.3 * g / (h + 2), 9) FROM t, k WHERE NOT split"""
+
+
+@register("model_boost_leaves", f"SELECT node, n, g + 0.0 AS g, h, value + 0.0 AS value FROM ({_BOOST_SQL})")
+def q_model_boost_leaves(spark, sf_dir):
+    """M3: one second-order tree of one test over all lines; its leaves' sums and weights, -step · G/(H+λ)."""
+    from pyspark.ml.feature import VectorAssembler
+
+    from tabflow.plans.boost import SecondOrderTrees
+    li = table(spark, sf_dir, "lineitem").select((F.col("l_returnflag") == "R").cast("double").alias("label"),
+                                                 (F.col("l_discount") > 0.05).cast("double").alias("side"))
+    df = VectorAssembler(inputCols=["side"], outputCol="features").transform(li)
+    m = SecondOrderTrees(maxIter=1, maxDepth=1, stepSize=0.3, regLambda=2.0).fit(df)
+    leaves = m.node_table(spark).filter("slot < 0")
+    return leaves.select("node", "n", (F.round("g", 6) + 0.0).alias("g"), F.round("h", 6).alias("h"),
+                         (F.round("value", 9) + 0.0).alias("value"))
+
+
+@register("model_boost_rounds", f"""
+SELECT CAST(r AS INTEGER) AS round, (SELECT CAST(count(*) AS BIGINT) FROM {_DOC_TRAIN_SQL}) AS n_rows, TRUE AS falls,
+       TRUE AS weights_ok FROM range(6) t(r)
+""")
+def q_model_boost_rounds(spark, sf_dir):
+    """M3: the training loss falls every round; every tree's root holds all rows, and every leaf weighs
+    what its own sums say."""
+    from tabflow.plans.boost import SecondOrderTrees
+    train, _, _ = doc_model_frames(spark, sf_dir)
+    m = SecondOrderTrees(maxIter=6, maxDepth=3, stepSize=0.3).fit(train)
+    after = -F.avg(F.when(F.col("label") == 1, F.log("score")).otherwise(F.log(1 - F.col("score"))))
+    last = TR.positive_score(m.transform(train)).agg(after.alias("l")).first()["l"]
+    steps = [*m.losses, last]
+    falls = spark.createDataFrame([(i, a > b) for i, (a, b) in enumerate(zip(steps, steps[1:]))], "round int, falls boolean")
+    nodes = m.node_table(spark).groupBy(F.col("tree").alias("round")).agg(
+        F.max(F.when(F.col("node") == 0, F.col("n"))).alias("n_rows"),
+        F.bool_and((F.col("slot") >= 0) | (F.abs(F.col("value") + 0.3 * F.col("g") / (F.col("h") + 1)) < 1e-12)).alias("weights_ok"))
+    return falls.join(nodes, "round").select("round", "n_rows", "falls", "weights_ok")
+
+
 @register("model_search_sample", f"""
 SELECT CAST(3 AS BIGINT) AS n_candidates, CAST(1 AS BIGINT) AS n_best, TRUE AS best_is_greatest, TRUE AS mean_ok,
        (SELECT CAST(count(*) AS BIGINT) FROM {_DOC_TRAIN_SQL}) AS n_scored

@@ -12,7 +12,7 @@ from tabflow.plans import train as TR
 from tabflow.plans.metrics import roc_auc
 from tabflow.spec import FeatureSpec
 
-SPEC = FeatureSpec(numeric=("height", "weight", "empty"), categorical=("kind",), binary=("wet",), target="label", key=("row_id",))
+SPEC = FeatureSpec(numeric=("height", "weight", "empty"), categorical=("kind", "third"), binary=("wet",), target="label", key=("row_id",))
 
 
 @pytest.fixture(scope="module")
@@ -24,9 +24,9 @@ def rows(spark):
         kind = "only1" if i % 4 == 1 and i % 3 == 0 else ["a", "b", None][int(rnd.integers(3))]
         p = 1 / (1 + np.exp(-(0.3 * (h - 10) + w + 2 + (kind == "a"))))
         data.append((i, float(rnd.random() < p), i % 4, None if i % 7 == 0 else h, float("nan") if i % 11 == 0 else w,
-                     None if i % 4 != 3 else 2.5, kind, float(i % 2)))
+                     None if i % 4 != 3 else 2.5, kind, f"t{i % 3}" if i % 5 else "t9", float(i % 2)))
     return spark.createDataFrame(data, "row_id long, label double, fold int, height double, weight double, empty double, "
-                                       "kind string, wet double").cache()
+                                       "kind string, third string, wet double").cache()
 
 
 @pytest.fixture(scope="module")
@@ -107,7 +107,7 @@ def test_search_takes_the_grid_and_folds(rows):
     ready = folds.model(None).transform(rows).select("row_id", "label", "fold", "features")
     found = TR.search("lr", ready, {"C": [0.001, 1.0]}, 4, folds=folds, raw=rows)
     slow = TR.search("lr", rows, {"C": [0.001, 1.0]}, 4, preprocessor=FE.build_preprocessor(
-        FeatureSpec(numeric=("height", "weight"), categorical=("kind",), binary=("wet",), target="label", key=("row_id",))))
+        FeatureSpec(numeric=("height", "weight"), categorical=("kind", "third"), binary=("wet",), target="label", key=("row_id",))))
     got, want = ([r["mean_auc"] for r in s.results.orderBy("mean_auc").collect()] for s in (found, slow))
     assert found.oof.count() == 600 and found.oof.select("row_id").distinct().count() == 600
     assert np.allclose(got, want, atol=0.02)  # the slow way lacks the column that one fold has no values of

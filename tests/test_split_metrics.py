@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabflow.operators import split as SP
@@ -151,11 +152,42 @@ def test_evaluate_scores_rows_once(spark):
     assert abs(out[0].accuracy - 0.5) <= 0.011
 
 
-def test_score_columns_keeps_rows_that_share_an_id(spark):
-    df = spark.createDataFrame([("a", 1, 1, 0.1), ("a", 1, 1, 0.2), ("b", 1, 1, 0.3), ("b", 1, 1, 0.4), ("a", 2, 0, 0.5)],
-                               "model string, row_id int, label int, score double")
-    got = sorted((r.row_id, r.a, r.b) for r in M.score_columns(df, ["a", "b"]).collect())
-    assert got == [(1, 0.1, 0.3), (1, 0.2, 0.4), (2, 0.5, None)]
+def test_score_columns_gives_each_row_its_own_scores(spark):
+    df = spark.createDataFrame([("a", "x#1", 1, 0.9), ("b", "x#1", 1, 0.1), ("b", "x#2", 1, 0.8), ("a", "x#2", 1, 0.2),
+                                ("a", "y", 0, 0.5), ("a", "z", None, 0.4)], "model string, row_id string, label int, score double")
+    got = sorted((r.row_id, r.label, r.a, r.b) for r in M.score_columns(df, ["a", "b"]).collect())
+    assert got == [("x#1", 1, 0.9, 0.1), ("x#2", 1, 0.2, 0.8), ("y", 0, 0.5, None), ("z", None, 0.4, None)]
+
+
+@pytest.mark.parametrize("rows", [[("a", 1, 1, 0.1), ("a", 1, 1, 0.2)], [("a", 1, 1, 0.1), ("b", 1, 0, 0.2)],
+                                  [("a", 1, 1, 0.1), ("b", 1, None, 0.2)]])
+def test_score_columns_refuses_ids_of_several_rows(spark, rows):
+    df = spark.createDataFrame(rows, "model string, row_id int, label int, score double")
+    with pytest.raises(Exception, match="more than one"):
+        M.score_columns(df, ["a", "b"]).collect()
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1000])
+def test_occurrence_numbers_every_row_once(spark, hot_rows):
+    from collections import Counter, defaultdict
+
+    from tabflow.functions.ranks import occurrence
+    data = [("hot", i % 40, "same") for i in range(400)] + [("hot", 1, "same")] * 100 + [(f"k{i}", i, None) for i in range(50)]
+    data += [(None, 5, "n")] * 6 + [("k1", 1, None)]
+    df = spark.createDataFrame(data, "key string, v int, t string").repartition(7)
+    got = occurrence(df, "key", "nth", hot_rows).collect()
+    assert Counter((r.key, r.v, r.t) for r in got) == Counter(data)
+    numbers = defaultdict(list)
+    for r in got:
+        numbers[r.key].append(r.nth)
+    assert all(sorted(n) == list(range(1, len(n) + 1)) for n in numbers.values())
+    hot = defaultdict(set)
+    for r in occurrence(df.repartition(3), "key", "nth", hot_rows).collect():
+        hot[r.key, r.v, r.t].add(r.nth)
+    again = defaultdict(set)
+    for r in got:
+        again[r.key, r.v, r.t].add(r.nth)
+    assert hot == again  # whatever the partitions
 
 
 def test_auto_buckets_on_skewed_data(spark, monkeypatch):

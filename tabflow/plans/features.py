@@ -185,6 +185,12 @@ class FoldFeatures:
         return moments, labels
 
     def model(self, f: int | tuple | None, output_col: str = "features") -> PipelineModel:
+        made = self.__dict__.setdefault("_made", {})  # many fits ask for the same few folds
+        if (f, output_col) not in made:
+            made[f, output_col] = self._model(f, output_col)
+        return made[f, output_col]
+
+    def _model(self, f: int | tuple | None, output_col: str) -> PipelineModel:
         moments, labels = self._without(f)
         kept = [c for c in self.spec.numeric if moments[c][0]]
         for c in set(self.spec.numeric) - set(kept):

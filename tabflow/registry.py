@@ -1162,6 +1162,20 @@ def q_tree_contributions_sum(spark, sf_dir):
             .select("row_id", (F.abs(F.coalesce("s", F.lit(0.0)) + base - F.col("score")) < 1e-6).alias("additive")))
 
 
+@register("tree_contributions_deep", f"""
+SELECT doc_id AS row_id, TRUE AS additive FROM {_DOC_SQL} WHERE quality IS NOT NULL
+""")
+def q_tree_contributions_deep(spark, sf_dir):
+    """X3 at the preset grid's size: 300 trees of up to ten tests a path, every labelled document."""
+    train, test, names = doc_model_frames(spark, sf_dir)
+    m = TR.make_estimator("rf", {"n_estimators": 300, "max_depth": 10}).fit(train)
+    rows = train.select("row_id", "features").unionByName(test.select("row_id", "features"))
+    sums = TS.tree_contributions(m, rows, names).groupBy("row_id").agg(F.sum("contribution").alias("s"))
+    base = TS.expected_value(m, spark)
+    return (TR.positive_score(m.transform(rows)).join(sums, "row_id", "left")
+            .select("row_id", (F.abs(F.coalesce("s", F.lit(0.0)) + base - F.col("score")) < 1e-6).alias("additive")))
+
+
 @register("csv_round_trip", """
 SELECT c_custkey, c_name, round(c_acctbal, 2) AS c_acctbal, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment
 FROM customer

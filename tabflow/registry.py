@@ -978,15 +978,17 @@ def q_model_lr_grid(spark, sf_dir):
     from tabflow.plans import logit_grid as LG
     df = lineitem_folds(spark, sf_dir, ["quantity", "price", "discount", "tax"])
     grid = LG.fit_grid(df, PRESET_C, 5)
-    pairs = F.array(*[F.struct(F.lit(C).alias("C"), F.lit(f).alias("out"), F.array(*map(F.lit, w.tolist())).alias("w"))
+    pairs = F.array(*[F.struct(F.lit(C).alias("C"), F.lit(f).alias("out"), *[F.lit(float(v)).alias(f"w{i}") for i, v in enumerate(w)])
                       for C, of in zip(grid.Cs, grid.weights, strict=True) for f, w in enumerate(of)])
-    rows = (df.select("label", "fold", F.concat(F.array(F.lit(1.0)), vector_to_array("features")).alias("x"), F.inline(pairs))
-            .filter("fold <> out"))
-    margin = F.aggregate(F.zip_with("x", "w", lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    sums = (rows.withColumn("err", 1 / (1 + F.exp(-margin)) - F.col("label")).groupBy("C", F.col("out").alias("fold"), "w")
+    x = vector_to_array("features")
+    rows = (df.select("label", "fold", F.lit(1.0).alias("x0"), *[x[i].alias(f"x{i + 1}") for i in range(4)])
+            .select("*", F.inline(pairs)).filter("fold <> out"))
+    margin = reduce(lambda a, b: a + b, [F.col(f"x{i}") * F.col(f"w{i}") for i in range(5)])
+    sums = (rows.withColumn("err", 1 / (1 + F.exp(-margin)) - F.col("label")).groupBy("C", F.col("out").alias("fold"))
             .agg(F.count(F.lit(1)).alias("n_train"), F.sum("label").cast("bigint").alias("n_positive"),
-                 *[F.sum(F.col("err") * F.col("x")[i]).alias(f"g{i}") for i in range(5)]))
-    slots = [F.abs(F.col(f"g{i}") + (F.col("w")[i] / F.col("C") if i else 0)) / F.col("n_train") < 1e-9 for i in range(5)]
+                 *[F.sum(F.col("err") * F.col(f"x{i}")).alias(f"g{i}") for i in range(5)],
+                 *[F.first(f"w{i}").alias(f"w{i}") for i in range(1, 5)]))
+    slots = [F.abs(F.col(f"g{i}") + (F.col(f"w{i}") / F.col("C") if i else 0)) / F.col("n_train") < 1e-9 for i in range(5)]
     return sums.select("C", "fold", "n_train", "n_positive", reduce(lambda a, b: a & b, slots).alias("stationary"))
 
 

@@ -29,6 +29,8 @@ MAX_ROWS_PER_BUCKET = 2_000_000
 # Rows of one key that are numbered in a single window, and ranges that a key with more is split into.
 HOT_ROWS = 1_000_000
 RANGE_BITS = 9
+# Bins that a range with too many rows is counted in.
+RANGE_WIDTH = 4096
 
 
 def buckets_for(n_rows: int, n_buckets: int = DEFAULT_BUCKETS) -> int:
@@ -70,6 +72,42 @@ def approx_splits(long_df: DataFrame, group_col: str, value_col: str,
     return {r[0]: splits_from_bounds(r["b"]) for r in rows}
 
 
+def range_splits(long_df: DataFrame, group_col: str, value_col: str, width: int = RANGE_WIDTH) -> dict:
+    """Per group, split points that leave at most ``MAX_ROWS_PER_BUCKET`` rows in a bucket, as long as
+    values differ. Returns {group: splits}.
+
+    By refinement instead of a sketch: rows are counted in ``width`` equal bins of every bucket that
+    holds too many, neighbouring bins are put together as long as they fit, and only bins that are
+    still too full are looked at again. A pass brings buckets × ``width`` counts to the driver, so
+    values crowded in a narrow range cost passes, not memory.
+    """
+    most = MAX_ROWS_PER_BUCKET
+    rows = long_df.filter(F.col(value_col).isNotNull()).select(group_col, F.col(value_col).cast("double").alias("_v"))
+    first = rows.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("lo"), F.max("_v").alias("hi")).collect()
+    splits = {r[0]: [-INF, INF] for r in first}
+    open_ = {(r[0], r["lo"], r["hi"]) for r in first if r["n"] > most and r["lo"] < r["hi"]}
+    while open_:
+        table = long_df.sparkSession.createDataFrame(
+            [(g, lo, hi) for g, lo, hi in open_], rows.select(F.col(group_col).alias("_g"), F.col("_v").alias("lo"), F.col("_v").alias("hi")).schema)
+        inside = rows.join(table, F.col(group_col).eqNullSafe(F.col("_g")) & (F.col("_v") >= F.col("lo")) & (F.col("_v") <= F.col("hi")))
+        # halves, so that the span of very large values does not overflow
+        at = F.floor((F.col("_v") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2) * width)
+        bins = (inside.groupBy("_g", "lo", "hi", F.least(at, F.lit(width - 1)).alias("_bin"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min("_v").alias("a"), F.max("_v").alias("b")).collect())
+        open_, held, before = set(), 0, None
+        for r in sorted(bins, key=lambda r: (str(r["_g"]), r["lo"], r["_bin"])):
+            if before != (r["_g"], r["lo"]):
+                before, held = (r["_g"], r["lo"]), 0
+                splits[r["_g"]].append(r["a"])
+            elif held + r["n"] > most:
+                held = 0
+                splits[r["_g"]].append(r["a"])
+            held += r["n"]
+            if r["n"] > most and r["a"] < r["b"]:
+                open_.add((r["_g"], r["a"], r["b"]))
+    return {g: sorted(set(s)) for g, s in splits.items()}
+
+
 def with_bucket(long_df: DataFrame, group_col: str, value_col: str, splits: dict,
                 out_col: str = "_bucket") -> DataFrame:
     """Add the range bucket of ``value_col`` under its group's splits (NULL value → NULL).

@@ -19,6 +19,8 @@ from tabflow.functions.exprs import to_double
 from tabflow.functions.ranks import approx_splits, buckets_for, prefix_before, with_bucket
 
 DESCRIBE_PROBS = (0.25, 0.5, 0.75)
+# Groups that the tasks' sketches are merged in before the last merge.
+SKETCH_SALTS = 64
 DEFAULT_BINS = 4096
 # A value interval with at most this many values is ranked by one window (one task sorts it);
 # larger ones are split again.
@@ -222,16 +224,46 @@ def describe_exact(df: DataFrame, cols, n_buckets: int | None = None) -> DataFra
 
 def describe_approx(df: DataFrame, cols, accuracy: int = 10000) -> DataFrame:
     """A2: describe with sketch quantiles, one scan and no collect: the default for big tables.
-    Rank error is at most ``count / accuracy``."""
+
+    Every column has its own mergeable sketch and moments in one wide aggregate, in two levels: tasks
+    are dealt to ``SKETCH_SALTS`` groups whose partial results are merged side by side, and only that
+    many sketches a column meet in the last merge, however many tasks there are. The rank error stays
+    within ``count / accuracy`` with a probability far above 99 % (the sketch's own bound is a third
+    of it); sketches hold at most 65,535 values a level."""
     cols = list(cols)
-    long = to_long(numeric_view(df, cols), cols)
-    return (long.groupBy("column_name").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
-        F.percentile_approx("value", list(DESCRIBE_PROBS), accuracy).alias("_q"),
-        F.max("value").alias("max"))
-        .select("column_name", "count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max"))
+    k = min(65535, max(200, 8 * accuracy))
+    salted = numeric_view(df, cols).withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SKETCH_SALTS)))
+    one, two = [], []
+    for i, c in enumerate(cols):
+        x = F.col(c)
+        one += [F.struct(F.count(x).alias("n"), F.avg(x).alias("m"), (F.var_pop(x) * F.count(x)).alias("d")).alias(f"s{i}"),
+                F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"), F.kll_sketch_agg_double(x.cast("double"), F.lit(k)).alias(f"k{i}")]
+        two += [_merged_moments(f"s{i}").alias(f"s{i}"), F.min(f"lo{i}").alias(f"lo{i}"), F.max(f"hi{i}").alias(f"hi{i}"),
+                F.kll_merge_agg_double(F.when(F.col(f"s{i}.n") > 0, F.col(f"k{i}"))).alias(f"k{i}")]
+    wide = salted.groupBy("_salt").agg(*one).agg(*two)
+    rows = []
+    for i, c in enumerate(cols):
+        n, some = F.col(f"s{i}.n"), F.col(f"s{i}.n") > 0
+        q = [F.when(some, F.kll_sketch_get_quantile_double(F.col(f"k{i}"), F.lit(p))) for p in DESCRIBE_PROBS]
+        rows.append(F.struct(F.lit(c).alias("column_name"), n.alias("count"), F.when(some, F.col(f"s{i}.m")).alias("mean"),
+                             F.when(n > 1, F.sqrt(F.col(f"s{i}.d") / (n - 1))).alias("std"), F.col(f"lo{i}").cast("double").alias("min"),
+                             *[v.alias(f"p{int(100 * p)}") for v, p in zip(q, DESCRIBE_PROBS, strict=True)],
+                             F.col(f"hi{i}").cast("double").alias("max")))
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def _merged_moments(parts: str):
+    """(n, mean, sum of squared deviations) of a few parts' moments, merged pair by pair without
+    cancellation."""
+    zero = F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("d"))
+
+    def merge(a, b):
+        n, gap = a["n"] + b["n"], b["m"] - a["m"]
+        return F.when(b["n"] == 0, a).otherwise(F.struct(
+            n.alias("n"), (a["m"] + gap * b["n"] / n).alias("m"),
+            (a["d"] + b["d"] + gap * gap * a["n"] * b["n"] / n).alias("d")))
+
+    return F.aggregate(F.collect_list(parts), zero, merge)
 
 
 def null_counts(df: DataFrame, cols=None) -> DataFrame:

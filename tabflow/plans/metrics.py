@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabflow.functions.ranks import approx_splits, prefix_before, with_bucket
+from tabflow.functions.ranks import approx_splits, prefix_before, range_splits, with_bucket
 from tabflow.sources.io import materialize
 
 # Flattened report names, as the run record spells them.
@@ -68,7 +68,7 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
     ``AUC = Σ_s pos(s)·(neg_below(s) + neg(s)/2) / (P·N)`` over distinct scores. Scores collapse
     to distinct values first (ties and hot values become one row); ``neg_below`` is a two-level
     prefix sum: bucket totals (``models × B`` rows) plus a window inside each bucket, with ``B``
-    chosen from the number of distinct scores (see ``ranks.approx_splits``).
+    chosen by refining the range of the scores where they are many (see ``ranks.range_splits``).
     The distinct-score table is written once to the shared checkpoint folder, so ``scores`` (often
     a model's ``transform``) is computed once although the table is read twice.
     """
@@ -80,7 +80,7 @@ def roc_auc(scores: DataFrame, model: str = "model", label: str = "label", score
 
 def _auc_from(d: DataFrame, model: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """E3 from a stored table of distinct scores with their ``_pos`` and ``_neg`` rows."""
-    splits = approx_splits(d, model, score, n_buckets)
+    splits = range_splits(d, model, score) if n_buckets is None else approx_splits(d, model, score, n_buckets)
     db = with_bucket(d, model, score, splits)
     if all(len(sp) < 3 for sp in splits.values()):
         # every model fits in one bucket: no offsets to add

@@ -80,3 +80,43 @@ def test_exact_quantiles_refined_ranges(spark, monkeypatch):
     for c, data in (("x", vals), ("y", [v / 3 for v in vals])):
         want = np.quantile(data, probs)
         assert np.allclose(qs[c], want, rtol=1e-12, atol=0), (c, qs[c], want)
+
+
+def test_describe_approx_moments_and_empty_columns(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    rnd = np.random.default_rng(2)
+    x = rnd.normal(1e9, 1.0, size=5000)
+    df = spark.createDataFrame([(float(v), None, float(i) if i == 7 else None) for i, v in enumerate(x)],
+                               "x double, none double, one double").repartition(9)
+    got = {r["column_name"]: r for r in P.describe_approx(df, ["x", "none", "one"]).collect()}
+    assert abs(got["x"]["mean"] - x.mean()) < 1e-6 and abs(got["x"]["std"] - x.std(ddof=1)) < 1e-6
+    assert got["x"]["count"] == 5000 and got["x"]["min"] == x.min() and got["x"]["max"] == x.max()
+    assert got["none"]["count"] == 0 and got["none"]["p50"] is None and got["none"]["std"] is None
+    assert got["one"]["p25"] == got["one"]["max"] == 7.0 and got["one"]["std"] is None
+    plan = P.describe_approx(df, ["x"])._jdf.queryExecution().toString()
+    assert "Expand" not in plan and "percentile_approx" not in plan
+    assert P.describe_approx(df.filter(F.lit(False)), ["x"]).first()["count"] == 0
+
+
+def test_range_splits_on_crowded_values(spark, monkeypatch):
+    """Scores crowded in a tiny range, very large ones and few: buckets stay small, and the AUC exact."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from tabflow.functions import ranks
+    from tabflow.plans import metrics as M
+    monkeypatch.setattr(ranks, "MAX_ROWS_PER_BUCKET", 200)
+    rnd = np.random.default_rng(4)
+    score = np.concatenate([rnd.random(4000) * 1e-12, rnd.random(1000), [1e308, -1e308, 5.0]])
+    label = (rnd.random(len(score)) < 0.3 + 0.4 * (score > 5e-13)).astype(int)
+    df = spark.createDataFrame([("m", float(s), int(t)) for s, t in zip(score, label)] + [("few", 0.5, 1), ("few", 0.25, 0)],
+                               "model string, score double, label int")
+    splits = ranks.range_splits(df, "model", "score")
+    held = ranks.with_bucket(df, "model", "score", splits).groupBy("model", "_bucket").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("score").alias("d")).collect()
+    assert max(r["n"] for r in held) <= 200 and sum(r["n"] for r in held) == df.count()
+    pos, neg = score[label == 1], score[label == 0]
+    want = ((pos[:, None] > neg).mean() + (pos[:, None] == neg).mean() / 2)
+    got = {r["model"]: r["roc_auc"] for r in M.roc_auc(df).collect()}
+    assert abs(got["m"] - want) < 1e-12 and got["few"] == 1.0

@@ -27,6 +27,12 @@ def free_name(df: DataFrame, stem: str) -> str:
     return name
 
 
+def delete_table(spark: SparkSession, path: str) -> None:
+    """Delete intermediate data that no plan reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_of(c: str = "text") -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 

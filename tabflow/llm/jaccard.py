@@ -6,7 +6,8 @@ enough share a shingle among the first ``n - ceil(t * n) + 1`` of each, so only
 joined. A pair must pass the length filter, the positional filter (what stands behind the common
 shingle in the shorter rest must suffice) and the suffix filter (sets are split into ``PARTS``
 parts by hash; two sets share at most the smaller of each part), and is then verified once on the
-whole texts.
+whole texts. In large sets parts of many members agree by chance, so what is left after the first
+verification passes the suffix filter again with parts of about four members before texts move.
 
 Equal sets are one node from the start. To find the classes of linked documents not every pair is
 needed: first every prefix shingle links its documents to one hub, which is linear in its documents;
@@ -30,10 +31,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import WORD, free_name, text_of
+from tabflow.llm.common import WORD, delete_table, free_name, text_of
 from tabflow.llm.components import components
 from tabflow.llm.pretokens import column_batches
-from tabflow.sources.io import materialize
+from tabflow.sources.io import materialize, run_path
 
 WORDS = 4
 PERCENT = 85
@@ -92,11 +93,21 @@ def _parts(s: np.ndarray) -> bytes | None:
     return counts.astype(np.uint16).tobytes() if counts.max(initial=0) < 65536 else None
 
 
+def _fine(s: np.ndarray) -> bytes | None:
+    """The same with parts of about four members, at most 4,096 parts, for sets that ``PARTS`` parts
+    serve badly (None for small sets, and where a count doesn't fit)."""
+    if len(s) <= 4 * PARTS:
+        return None
+    parts = 256 if len(s) <= 1024 else 1024 if len(s) <= 4096 else 4096
+    counts = np.bincount((s & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
 def enough(inter: int, n: int, m: int, percent: int) -> bool:
     return 100 * inter >= percent * (n + m - inter)
 
 
-_STATS = "id {id}, tkey bigint, n bigint, node bigint, parts binary, slot int, count bigint"
+_STATS = "id {id}, tkey bigint, n bigint, node bigint, parts binary, fine binary, slot int, count bigint"
 
 
 def _statistics(docs: DataFrame, words: int) -> DataFrame:
@@ -108,26 +119,28 @@ def _statistics(docs: DataFrame, words: int) -> DataFrame:
         for block in blocks:
             id_type = block.column(0).type
             for lo, hi in column_batches(block.column(2)):
-                sizes, nodes, parts, slots = [], [], [], []
+                sizes, nodes, parts, fine, slots = [], [], [], [], []
                 for text in block.column(2).slice(lo, hi - lo).to_pylist():
                     s = shingles(text, words)
                     slots.append((s >> np.uint64(64 - COUNTER_BITS)).astype(np.int64))
                     sizes.append(len(s))
                     nodes.append(_node(s) if len(s) else None)
                     parts.append(_parts(s) if len(s) else None)
+                    fine.append(_fine(s))
                 counters += np.bincount(np.concatenate(slots), minlength=len(counters))
                 k = hi - lo
                 yield pa.RecordBatch.from_arrays(
                     [block.column(0).slice(lo, k), block.column(1).slice(lo, k), pa.array(sizes, pa.int64()),
-                     pa.array(nodes, pa.int64()), pa.array(parts, pa.binary()), pa.nulls(k, pa.int32()),
-                     pa.nulls(k, pa.int64())], names=["id", "tkey", "n", "node", "parts", "slot", "count"])
+                     pa.array(nodes, pa.int64()), pa.array(parts, pa.binary()), pa.array(fine, pa.binary()),
+                     pa.nulls(k, pa.int32()), pa.nulls(k, pa.int64())],
+                    names=["id", "tkey", "n", "node", "parts", "fine", "slot", "count"])
         used = np.flatnonzero(counters)
         if len(used):
             k = len(used)
             yield pa.RecordBatch.from_arrays(
                 [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()),
-                 pa.nulls(k, pa.binary()), pa.array(used, pa.int32()), pa.array(counters[used])],
-                names=["id", "tkey", "n", "node", "parts", "slot", "count"])
+                 pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(used, pa.int32()), pa.array(counters[used])],
+                names=["id", "tkey", "n", "node", "parts", "fine", "slot", "count"])
 
     return materialize(docs.mapInArrow(run, schema), "jaccard-stats")
 
@@ -198,6 +211,28 @@ def _suffix_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
     return both.mapInArrow(run, "hub bigint, node bigint")
 
 
+def _fine_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, node) that the counts of small parts allow. Of two numbers of parts the larger one is
+    folded: parts are the lowest bits of a hash."""
+    of = nodes.select("node", "n", "fine")
+    both = (pairs.join(of, "node")
+            .join(of.select(F.col("node").alias("hub"), F.col("n").alias("m"), F.col("fine").alias("hub_fine")), "hub")
+            .select("hub", "node", "n", "m", "fine", "hub_fine"))
+
+    def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks:
+            keep = np.ones(block.num_rows, bool)
+            n, m = (block.column(i).to_numpy() for i in (2, 3))
+            for i, (a, b) in enumerate(zip(block.column(4), block.column(5), strict=True)):
+                if a.is_valid and b.is_valid:
+                    x, y = sorted((np.frombuffer(v.as_buffer(), np.uint8) for v in (a, b)), key=len)
+                    most = int(np.minimum(x, y.reshape(-1, len(x)).sum(0, dtype=np.int64)).sum(dtype=np.int64))
+                    keep[i] = (100 + percent) * most >= percent * (n[i] + m[i])
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in block.columns[:2]], names=["hub", "node"])
+
+    return both.mapInArrow(run, "hub bigint, node bigint")
+
+
 def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """All pairs (hub, node) of different classes that share a prefix shingle and pass the length and
     suffix filters, from (token, node, comp, cluster).
@@ -325,15 +360,18 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
                         .itertuples(index=False)):
         order[slot] = count
     order = np.argsort(np.argsort(order, kind="stable"), kind="stable").astype(np.int32)
-    of_docs = stats.filter("n is not null").select("id", "tkey", "n", "node", "parts")
+    of_docs = stats.filter("n is not null").select("id", "tkey", "n", "node", "parts", "fine")
     nodes = materialize(of_docs.filter("node is not null").groupBy("node").agg(
-        F.min("n").alias("n"), F.min("parts").alias("parts"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tkey")).alias("rep"),
+        F.min("n").alias("n"), F.min("parts").alias("parts"), F.min("fine").alias("fine"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "tkey")).alias("rep"),
         F.min("id").alias("least")), "jaccard-nodes")
 
-    postings = materialize(_postings(rows, order, words, percent), "jaccard-prefixes")
+    spark, prefixes = rows.sparkSession, run_path(rows.sparkSession, "jaccard-prefixes")
+    _postings(rows, order, words, percent).write.parquet(prefixes)
+    postings = spark.read.parquet(prefixes)
     shared = postings.groupBy("token").agg(F.min("node").alias("_low"), F.max("node").alias("_high")).filter(
         "_low <> _high").select("token")
     common = materialize(postings.join(shared, "token").distinct(), "jaccard-postings")
+    delete_table(spark, prefixes)  # the shared ones are written
     # a shingle's hub is the document that shares most: near copies of one text gather around the
     # least edited of them
     often = common.groupBy("token").agg(F.count(F.lit(1)).alias("_df"))
@@ -357,15 +395,15 @@ def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, Data
     side = materialize(side.join(mixed, "token"), "jaccard-mixed")
     if not side.isEmpty():
         back = tried.select(F.col("node").alias("hub"), F.col("hub").alias("node"))
-        more = materialize(_once(_remaining(side, nodes, percent)).join(tried.unionByName(back), ["hub", "node"],
-                                                                        "left_anti"), "jaccard-pairs")
+        more = _once(_remaining(side, nodes, percent)).join(tried.unionByName(back), ["hub", "node"], "left_anti")
+        more = materialize(_fine_filter(more, nodes, percent), "jaccard-pairs")
         if not more.isEmpty():
             links = links.unionByName(materialize(_verify(more, rows, nodes, words, percent), "jaccard-links"))
             labels = components(links, "hub", "node")
 
     of_nodes = nodes.select("node", "least", "rep").join(labels, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
-    return of_docs.drop("parts"), materialize(of_nodes, "jaccard-classes")
+    return of_docs.drop("parts", "fine"), materialize(of_nodes, "jaccard-classes")
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

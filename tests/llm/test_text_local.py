@@ -199,3 +199,17 @@ def test_bucket_search_matches_brute_force(coordinate_from, kind):
     s = v @ v.T
     expected = [[j for j in sorted(range(len(v)), key=lambda j: (-s[i, j], j)) if j != i][:20] for i in range(len(v))]
     assert _search(v, 20, coordinate_from) == expected
+
+
+def test_fine_parts_bound_the_intersection():
+    from tabflow.llm import jaccard
+    rnd = np.random.default_rng(8)
+    for n, m in ((300, 350), (1000, 1100), (4000, 4500), (9000, 9500)):
+        common = rnd.integers(0, 2 ** 63, n // 2, dtype=np.uint64)
+        a, b = (np.unique(np.append(common, rnd.integers(0, 2 ** 63, k - n // 2, dtype=np.uint64))) for k in (n, m))
+        x, y = sorted((np.frombuffer(jaccard._fine(s), np.uint8) for s in (a, b)), key=len)
+        most = np.minimum(x, y.reshape(-1, len(x)).sum(0, dtype=np.int64)).sum()
+        assert len(np.intersect1d(a, b)) <= most
+        assert 185 * most < 85 * (len(a) + len(b))  # sets that share half are told from similar ones
+    assert jaccard._fine(np.arange(256, dtype=np.uint64)) is None
+    assert jaccard._fine(np.arange(2000, dtype=np.uint64) * 1024) is None  # more than a byte holds in one part

@@ -285,10 +285,10 @@ def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             ok = ((comp[lo:] != a[6])
                   & (unknown[lo:] | (a[8] is None) | ((100 + percent) * most >= percent * (m + a[7])))
                   & (100 * np.minimum(m, a[7]) >= percent * np.maximum(m, a[7])))
-            own = set(a[9])
+            own = set(a[9].tolist()) if ok.any() else set()
             for h in (np.flatnonzero(ok) + lo).tolist():
                 b = right[h]
-                if next(c for c in b[9] if c in own) == cluster:
+                if next(c for c in b[9].tolist() if c in own) == cluster:
                     yield min(a[5], b[5]), max(a[5], b[5])
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,7 +300,10 @@ def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
         for block in blocks:
             found = []
-            for row in zip(*(c.to_pylist() for c in block.columns), strict=True):
+            # the clusters stay numbers of 8 bytes: as objects they would be most of the worker's memory
+            clusters, ends = block.column(9).flatten().to_numpy(), np.diff(block.column(9).offsets.to_numpy()).cumsum()
+            of_row = np.split(clusters, ends[:-1])
+            for row in zip(*(c.to_pylist() for c in block.columns[:9]), of_row, strict=True):
                 if unit and unit[0][:4] != row[:4]:
                     found += pairs_of(unit)
                     unit = []

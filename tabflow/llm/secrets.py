@@ -29,6 +29,8 @@ from tabflow.sources.io import materialize
 BLOCK = 4096
 #: A syntax tree's alternatives that are spelled out; beyond, a part gives no trigrams.
 _MOST = 64
+#: Code points of the chunks in which a text is cut for masking.
+CHUNK = 1024
 _SPANS = "array<struct<start:int,rank:int,end:int,kind:string>>"
 
 
@@ -166,24 +168,42 @@ def candidates(index: DataFrame, queries: dict) -> DataFrame:
             .groupBy("doc").agg(F.collect_set("kind").alias("rules")))
 
 
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(values: Column, fold) -> Column:
+    """An array's running results of an associative ``fold`` (its first element, its first two, ...),
+    by doubling: each round folds in the element twice as far back, so n elements take n log n steps."""
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(1)))).cast("int"))
+
+    def double(acc: Column, k: Column) -> Column:
+        far = F.pow(F.lit(2), k).cast("int")
+        return F.transform(acc, lambda x, i: F.when(i >= far, fold(F.get(acc, i - far), x)).otherwise(x))
+
+    return F.aggregate(rounds, values, double)
+
+
 def _matches(text: Column, rule: Rule, rank: int) -> Column:
-    """The spans of one rule in a text."""
+    """The spans of one rule in a text, in about linear time however many there are."""
     pattern = F.lit(("(?i)" if rule.any_case else "") + rule.pattern)
     whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    part = whole if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    steps = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), whole.alias("whole"), part.alias("part"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
+    columns = [F.transform(F.split(text, pattern, -1), F.length).alias("gap"), F.transform(whole, F.length).alias("whole")]
+    if rule.group:
+        columns.append(F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.length).alias("part"))
+    # the last gap has no match behind it
+    steps = F.filter(F.arrays_zip(*columns), lambda x: x["whole"].isNotNull())
 
-    def step(acc: Column, x: Column) -> Column:
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["whole"])
-        span = F.array(F.struct(begin.alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
-                                F.lit(rule.kind).alias("kind")))
-        kept = F.length(x["part"]) >= rule.least
-        return F.struct(F.coalesce(end, begin).alias("at"),
-                        F.when(kept, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
+    def spans(steps: Column) -> Column:
+        ends = _running(F.transform(steps, lambda x: x["gap"] + x["whole"]), lambda a, b: a + b)
+        found = F.arrays_zip(steps.alias("step"), ends.alias("end"))
+        kept = F.filter(found, lambda x: x["step"]["part" if rule.group else "whole"] >= rule.least)
+        return F.transform(kept, lambda x: F.struct(
+            (x["end"] - x["step"]["whole"]).alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
+            F.lit(rule.kind).alias("kind"))).cast(_SPANS)
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    return _bind(steps, spans)
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -231,16 +251,31 @@ def report(scanned: DataFrame, id_col: str = "doc_id") -> DataFrame:
                           spans_text(spans).alias("spans"))
 
 
-def mask(scanned: DataFrame, text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
-    """The documents with every span of their texts (overlapping ones joined) replaced by ``by``."""
-    text = F.col(text_col)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+def _piece(chunks: Column, begin: Column, end: Column) -> Column:
+    """Code points ``begin`` to ``end`` of a text that is given in chunks, reading only their chunks."""
+    first, last = (F.floor(x / CHUNK).cast("int") for x in (begin, F.greatest(end - 1, begin)))
+    near = F.array_join(F.slice(chunks, first + 1, last - first + 1), "")
+    return F.when(begin >= end, F.lit("")).otherwise(F.substring(near, begin - first * CHUNK + 1, end - begin))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = s["start"] >= acc["at"]
-        piece = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(by))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(new, piece).otherwise(acc["out"]).alias("out"))
 
-    masked = F.aggregate("_spans", start, step,
-                         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text) - acc["at"])))
-    return scanned.withColumn(text_col, F.when(F.size("_spans") > 0, masked).otherwise(text)).drop("_spans")
+def _masked(text: Column, spans: Column, by: str) -> Column:
+    """``text`` with its sorted ``spans`` replaced, in about linear time however many there are."""
+    # where the text goes on behind each span: the furthest end so far
+    reach = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+    def joined(c: Column) -> Column:
+        def before(s: Column, i: Column) -> Column:
+            at = F.when(i > 0, F.get(c["reach"], i - 1)).otherwise(F.lit(0))
+            return F.when(s["start"] >= at, F.concat(_piece(c["chunks"], at, s["start"]), F.lit(by))).otherwise(F.lit(""))
+
+        rest = _piece(c["chunks"], F.element_at(c["reach"], -1), c["length"])
+        return F.concat(F.array_join(F.transform(c["spans"], before), ""), rest)
+
+    return _bind(F.struct(spans.alias("spans"), reach.alias("reach"), chunks.alias("chunks"), F.length(text).alias("length")), joined)
+
+
+def mask(scanned: DataFrame, text_col: str = "text", by: str = "[SECRET]") -> DataFrame:
+    """The documents with every span of their texts (overlapping ones joined) replaced by ``by``."""
+    text, spans = F.col(text_col), F.col("_spans")
+    return scanned.withColumn(text_col, F.when(F.size(spans) > 0, _masked(text, spans, by)).otherwise(text)).drop("_spans")

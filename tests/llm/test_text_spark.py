@@ -315,6 +315,38 @@ def test_secrets(docs, empty):
     assert secrets.scan(empty).collect() == []
 
 
+def test_secrets_in_dense_texts(spark):
+    def dense(n):
+        return "".join(f"{'é' * (k % 3)} token={k:08d}" + (" 𝒳 " + "0a1b" * 8 + "." if k % 5 == 0 else " password: short") for k in range(n))
+
+    rows = [(k, dense(n)) for k, n in enumerate([1, 2, 3, 4, 5, 33, 700])]
+    rows += [(10, "x" * 1023 + " token=12345678"), (11, "𝒳" * 1024 + "token=12345678" + "y" * 2048),
+             (12, "token=" + "deadbeef" * 500 + " end"), (13, "token=12345678")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    scanned = secrets.scan(table)
+    expected = {i: _spans(t)[1] for i, t in rows}
+    assert {r.doc_id: [tuple(s) for s in r._spans] for r in scanned.collect()} == expected
+    masked = {r.doc_id: r.text for r in secrets.mask(scanned).collect()}
+    for i, t in rows:
+        out, at = "", 0
+        for a, _, b, _ in expected[i]:
+            out, at = out + (t[at:a] + "[SECRET]" if a >= at else ""), max(at, b)
+        assert masked[i] == out + t[at:]
+
+
+def test_secrets_are_found_in_about_linear_time(spark):
+    import time
+    seconds = []
+    for n in (32_000, 320_000):
+        table = spark.range(1).select(F.col("id").alias("doc_id"), F.expr(
+            f"array_join(transform(sequence(1, {n}), k -> concat('token=', lpad(string(k), 8, '0'))), ' ')").alias("text"))
+        began = time.monotonic()
+        got = secrets.mask(secrets.scan(table)).select("text").head().text
+        seconds.append(time.monotonic() - began)
+        assert got == " ".join(["[SECRET]"] * n)
+    assert seconds[1] < 30 * max(seconds[0], 1)
+
+
 def test_index_answers_queries(docs):
     texts = docs.filter("text is not null").select(F.xxhash64("doc_id", "text").alias("doc"), "text")
     queries = {"assign": secrets.trigram_query(secrets.BASE[0].pattern)}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +36,23 @@ def delete_table(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def lean(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow`` that gives Arrow memory back after each batch: Python workers live on
+    from stage to stage, and what their pools hold unused would add up."""
+
+    def lean_run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def one_by_one() -> Iterator[pa.RecordBatch]:
+            for block in blocks:
+                yield block
+                del block
+                pa.default_memory_pool().release_unused()
+
+        yield from run(one_by_one())
+        pa.default_memory_pool().release_unused()
+
+    return lean_run
+
+
 def text_of(c: str = "text") -> Column:
     return F.coalesce(F.col(c).cast("string"), F.lit(""))
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabflow.llm.common import WORD, delete_table, free_name, text_of
+from tabflow.llm.common import WORD, delete_table, free_name, lean, text_of
 from tabflow.llm.components import components
 from tabflow.llm.pretokens import column_batches
 from tabflow.sources.io import materialize, run_path
@@ -142,7 +142,7 @@ def _statistics(docs: DataFrame, words: int) -> DataFrame:
                  pa.nulls(k, pa.binary()), pa.nulls(k, pa.binary()), pa.array(used, pa.int32()), pa.array(counters[used])],
                 names=["id", "tkey", "n", "node", "parts", "fine", "slot", "count"])
 
-    return materialize(docs.mapInArrow(run, schema), "jaccard-stats")
+    return materialize(docs.mapInArrow(lean(run), schema), "jaccard-stats")
 
 
 def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> DataFrame:
@@ -170,7 +170,7 @@ def _postings(docs: DataFrame, order: np.ndarray, words: int, percent: int) -> D
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(x)) for x in (tokens, nodes, places)], names=["token", "node", "place"])
 
-    return docs.mapInArrow(run, "token bigint, node bigint, place bigint")
+    return docs.mapInArrow(lean(run), "token bigint, node bigint, place bigint")
 
 
 def _may_match(p: str, q: str, percent: int) -> Column:
@@ -208,7 +208,7 @@ def _suffix_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFram
                 keep[known] = (100 + percent) * most >= percent * (n[known] + m[known])
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in block.columns[:2]], names=["hub", "node"])
 
-    return both.mapInArrow(run, "hub bigint, node bigint")
+    return both.mapInArrow(lean(run), "hub bigint, node bigint")
 
 
 def _fine_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -230,7 +230,7 @@ def _fine_filter(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                     keep[i] = (100 + percent) * most >= percent * (n[i] + m[i])
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in block.columns[:2]], names=["hub", "node"])
 
-    return both.mapInArrow(run, "hub bigint, node bigint")
+    return both.mapInArrow(lean(run), "hub bigint, node bigint")
 
 
 def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -312,7 +312,7 @@ def _remaining(side: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         if unit:
             yield out(list(pairs_of(unit)))
 
-    return sent.mapInArrow(run, "hub bigint, node bigint")
+    return sent.mapInArrow(lean(run), "hub bigint, node bigint")
 
 
 def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, percent: int) -> DataFrame:
@@ -350,7 +350,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, words: int, per
                     found.append(node)
             yield pa.RecordBatch.from_arrays([pa.array(hubs, pa.int64()), pa.array(found, pa.int64())], names=["hub", "node"])
 
-    return sent.mapInArrow(run, "hub bigint, node bigint")
+    return sent.mapInArrow(lean(run), "hub bigint, node bigint")
 
 
 def _classes(rows: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:

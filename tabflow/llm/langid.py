@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tabflow.llm.common import lean
+
 UNKNOWN = "und"
 ORDERS = (2, 3, 4)
 #: Hashed n-grams.
@@ -64,7 +66,7 @@ def with_letter(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for block in blocks:
             yield block.filter(pa.array([has_letter(t.as_py()) for t in block.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -129,7 +131,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
 
     # at most PER_LANGUAGE rows of 16 bytes a language, so they can be sent to every task
     sample = (rows.join(F.broadcast(chosen), ["_lang", "_h"], "left_semi").select("_lang", "_h", "_text")
-              .mapInArrow(grams, "_lang string, _h bigint, _x binary").collect())
+              .mapInArrow(lean(grams), "_lang string, _h bigint, _x binary").collect())
     found = sorted({(r["_lang"], r["_h"]): bytes(r["_x"]) for r in sample}.items())
     if not found:
         return None
@@ -164,7 +166,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_t
             yield pa.RecordBatch.from_arrays([*(block.column(i) for i in kept), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*names, "lang_pred", "score"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

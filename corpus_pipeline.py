@@ -16,12 +16,14 @@ from tabflow.sources.io import run_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (null, or without any letter) go. Whatever language
-    and score a text gets, it stays; without labelled rows there is no model, and a letter suffices."""
+    """Documents without a recognisable language (null, or without any letter) go; the others stay, and
+    where ``lang`` is null it becomes the predicted language. Without labelled rows there is no model:
+    a letter suffices, and ``lang`` stays null. Repeated rows are kept one by one; no rows give none."""
     model = langid.fit(docs, ~langid.held_out())
     if model is None:
         return langid.with_letter(docs)
-    return langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    known = langid.predict(docs, model).filter(F.col("lang_pred") != langid.UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -711,6 +711,7 @@ def q_top_k_abs(spark, sf_dir):
 # Features (FE1-FE6, FE8): fit on the train split of the labelled documents, apply to all.
 
 from tabflow.plans import features as FE  # noqa: E402
+from tabflow.plans import wide as WIDE  # noqa: E402
 
 DOC_SPEC = FeatureSpec(numeric=("n_chars",), categorical=("lang", "source"), binary=("toxic",),
                        target="quality", lineage=None, key=("doc_id",))
@@ -766,8 +767,70 @@ def q_features_high_cardinality(spark, sf_dir):
     are unseen and have no slot."""
     c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("name"))
     spec = FeatureSpec(categorical=("name",), target="y", lineage=None, key=("c_custkey",))
-    model = FE.fit_preprocessor(spec, c.filter("c_custkey % 3 <> 0"))
-    return FE.features_long(model.transform(c), FE.slot_names(model, spec), "c_custkey")
+    long = WIDE.fit(spec, c.filter("c_custkey % 3 <> 0")).encode(c, "c_custkey")
+    return long.select("c_custkey", F.col("feature").alias("slot"), "value")
+
+
+WIDE_SPEC = FeatureSpec(numeric=("balance",), categorical=("segment", "name"), target="y", lineage=None, key=("id",))
+_WIDE_SQL = """c AS (SELECT c_custkey AS id, c_acctbal AS balance, c_mktsegment AS segment, c_name AS name FROM customer),
+cats AS (SELECT 0 AS pos, segment AS v FROM c UNION SELECT 1, name FROM c),
+slots AS (SELECT CAST(0 AS BIGINT) AS slot, 'balance' AS feature, -1 AS pos, NULL AS v
+  UNION ALL SELECT CAST(row_number() OVER (ORDER BY pos, v) AS BIGINT),
+                   CASE pos WHEN 0 THEN 'segment_' ELSE 'name_' END || v, pos, v FROM cats)"""
+
+
+def wide_customers(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("balance"), F.col("c_mktsegment").alias("segment"),
+        F.col("c_name").alias("name"))
+
+
+@register("features_wide_dictionary", f"WITH {_WIDE_SQL} SELECT slot, feature FROM slots")
+def q_features_wide_dictionary(spark, sf_dir):
+    """FE4: the slots of every category, ranked without a list of them anywhere."""
+    return WIDE.fit(WIDE_SPEC, wide_customers(spark, sf_dir)).slots.select("slot", "feature")
+
+
+_WIDE_LONG_SQL = """st AS (SELECT avg(balance) AS m, stddev_pop(balance) AS s, count(*) AS n FROM c),
+long AS (SELECT id, CAST(0 AS BIGINT) AS slot, (balance - m) / s AS x FROM c JOIN st ON TRUE WHERE balance <> m
+  UNION ALL SELECT id, slot, 1.0 FROM c JOIN slots ON pos = 0 AND v = segment
+  UNION ALL SELECT id, slot, 1.0 FROM c JOIN slots ON pos = 1 AND v = name),
+w AS (SELECT slot, feature, (slot % 7 - 3) / 8.0 AS coef,
+             coalesce((SELECT sum(x) FROM long WHERE long.slot = slots.slot), 0) / (SELECT n FROM st) AS mean FROM slots)"""
+
+
+def _wide_contributions(spark, sf_dir):
+    c = wide_customers(spark, sf_dir)
+    wide = WIDE.fit(WIDE_SPEC, c)
+    long = materialize(wide.encode(c, "id"), "wide-entries")
+    weights = wide.slots.select("slot", "feature", ((F.col("slot") % 7 - 3) / 8.0).alias("coef"))
+    n = c.count()
+    return *WIDE.linear_contributions(long, weights, n, "id"), n
+
+
+@register("linear_contributions_sparse", f"""
+WITH {_WIDE_SQL}, {_WIDE_LONG_SQL}
+SELECT id, feature, round(coef * (x - mean), 6) + 0.0 AS contribution FROM long JOIN w USING (slot)
+UNION ALL SELECT NULL, feature, round(-coef * mean, 6) + 0.0 FROM w
+""")
+def q_linear_contributions_sparse(spark, sf_dir):
+    """Attributions of a wide declared model: a row for each stored entry and, with a NULL id, one
+    for each slot that holds for all rows without an entry there."""
+    stored, baseline, _ = _wide_contributions(spark, sf_dir)
+    both = stored.unionByName(baseline.drop("n_stored"), allowMissingColumns=True)
+    return both.select("id", "feature", (F.round("contribution", 6) + 0.0).alias("contribution"))
+
+
+@register("mean_abs_attribution_sparse", f"""
+WITH {_WIDE_SQL}, {_WIDE_LONG_SQL}, own AS (SELECT slot, sum(abs(coef * (x - mean))) AS t, count(*) AS k
+  FROM long JOIN w USING (slot) GROUP BY slot)
+SELECT feature, round((coalesce(t, 0) + (n - coalesce(k, 0)) * abs(coef * mean)) / n, 6) + 0.0 AS mean_abs
+FROM w LEFT JOIN own USING (slot) JOIN st ON TRUE
+""")
+def q_mean_abs_attribution_sparse(spark, sf_dir):
+    """Mean absolute attribution of every slot of the wide model."""
+    g = WIDE.mean_abs_attribution(*_wide_contributions(spark, sf_dir))
+    return g.select("feature", F.round("mean_abs", 6).alias("mean_abs"))
 
 
 # ---------------------------------------------------------------------------------------------

@@ -27,7 +27,7 @@ from tabflow.plans import runlog as RL
 from tabflow.plans import train as TR
 from tabflow.plans import treeshap as TS
 from tabflow.session import checkpoint_dir
-from tabflow.sources.io import materialize, save_model, write_table
+from tabflow.sources.io import cached, fingerprint, materialize, save_model, write_table
 from tabflow.spec import FeatureSpec, GridSpec, SourceSpec, StackSpec
 
 # The preset search grids of the original modular workflow.
@@ -69,10 +69,24 @@ def row_identity(df: DataFrame, spec: FeatureSpec, out: str = "row_id", hot_rows
             .withColumn(out, F.concat_ws("#", "_name", F.col("_nth").cast("string"))).drop("_name", "_nth"))
 
 
+def combined_rows(sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec, cache_dir: str | None = None) -> DataFrame:
+    """The harmonised, cleaned rows of all sources with ``row_id`` and ``label``. With ``cache_dir`` they are
+    stored there by a fingerprint of the plan, the specification and the input files: as long as none of
+    them changes, a later run reads the stored rows and does no work on the sources."""
+    cleaned = C.clean(H.combine(sources, spec), spec)
+
+    def identified() -> DataFrame:
+        return row_identity(cleaned, spec).withColumn("label", F.col(spec.target).cast("double"))
+
+    if cache_dir is None:
+        return identified()
+    return cached(cleaned.sparkSession, cache_dir, fingerprint(cleaned, repr(spec)), identified)
+
+
 def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec: FeatureSpec,
         grids=DEFAULT_GRIDS, k: int = 5, test_frac: float = 0.2, seed: int = 42,
         stack: StackSpec | None = StackSpec(), out_dir: str | None = None, profile: bool = True,
-        parallelism: int = 4, mode: str = "local") -> RunResult:
+        parallelism: int = 4, mode: str = "local", cache_dir: str | None = None) -> RunResult:
     if not spec.key:
         raise ValueError("FeatureSpec.key is required: splits and folds are placed by key hash")
     timer = RL.StageTimer()
@@ -81,14 +95,13 @@ def run(spark: SparkSession, sources: list[tuple[DataFrame, SourceSpec]], spec:
     key = ([spec.lineage] if spec.lineage else []) + list(spec.key)
 
     with timer.stage("combine"):
-        combined = row_identity(C.clean(H.combine(sources, spec), spec), spec)
-        combined = combined.withColumn("label", F.col(spec.target).cast("double"))
+        combined = combined_rows(sources, spec, cache_dir)
         # The combined table is written once (partitioned by source when an output folder is
         # given); profiling and splitting read it instead of re-deriving it from the sources
         if out_dir:
             write_table(combined, f"{out_dir.rstrip('/')}/combined")
             combined = spark.read.parquet(f"{out_dir.rstrip('/')}/combined")
-        else:
+        elif cache_dir is None:
             combined = materialize(combined, "combined")
     profiles = {}
     if profile:

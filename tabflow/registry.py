@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabflow.sources import io
 from tabflow.sources.io import materialize, read_table, run_path
 from tabflow.operators import clean as C
 from tabflow.operators import harmonize as H
@@ -1241,6 +1242,40 @@ def q_tree_contributions_deep(spark, sf_dir):
             .select("row_id", (F.abs(F.coalesce("s", F.lit(0.0)) + base - F.col("score")) < 1e-6).alias("additive")))
 
 
+@register("missing_source", """
+SELECT 'customer' AS source, TRUE AS found, CAST(count(*) AS BIGINT) AS n_rows FROM customer
+UNION ALL SELECT 'absent', FALSE, CAST(0 AS BIGINT)
+""")
+def q_missing_source(spark, sf_dir):
+    """A source whose path does not exist counts as none, the others are read."""
+    folder = run_path(spark, "sources")
+    io.write_table(table(spark, sf_dir, "customer"), f"{folder}/customer", fmt="csv")
+    read = {n: io.read_raw(spark, f"{folder}/{n}", missing_ok=True) for n in ("customer", "absent")}
+    rows = spark.createDataFrame([(n, df is not None) for n, df in read.items()], "source string, found boolean")
+    counts = reduce(lambda a, b: a.unionByName(b), [df.agg(F.count("*").alias("n_rows")).withColumn("source", F.lit(n))
+                                                    for n, df in read.items() if df is not None])
+    return rows.join(counts, "source", "left").fillna(0, ["n_rows"])
+
+
+@register("combine_cached", """
+SELECT 'customer' AS source, CAST(count(*) AS BIGINT) AS n_rows, CAST(sum(CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END) AS BIGINT)
+  AS n_positive FROM customer
+UNION ALL SELECT 'supplier', count(*), sum(CASE WHEN s_acctbal > 0 THEN 1 ELSE 0 END) FROM supplier
+""")
+def q_combine_cached(spark, sf_dir):
+    """The combined rows of two sources, stored by the first call and read again by the second."""
+    from tabflow.plans import workflow as WF
+    spec = FeatureSpec(numeric=("acctbal",), categorical=("segment",), target="label", lineage="source", key=("id",))
+    folder = run_path(spark, "stage-cache")
+
+    def rows():
+        customer = table(spark, sf_dir, "customer").withColumn("label", (F.col("c_acctbal") > 0).cast("int"))
+        supplier = table(spark, sf_dir, "supplier").withColumn("label", (F.col("s_acctbal") > 0).cast("int"))
+        return WF.combined_rows([(customer, CUSTOMER_SRC), (supplier, SUPPLIER_SRC)], spec, folder)
+    rows()
+    return rows().groupBy("source").agg(F.count("*").alias("n_rows"), F.sum("label").cast("bigint").alias("n_positive"))
+
+
 @register("csv_round_trip", """
 SELECT c_custkey, c_name, round(c_acctbal, 2) AS c_acctbal, CASE WHEN c_mktsegment <> 'BUILDING' THEN c_mktsegment END AS c_mktsegment
 FROM customer

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -151,12 +152,15 @@ def checkpointed(df: DataFrame, base_path: str, key: str | None = None) -> DataF
     The written table lives in the shared checkpoint folder, so it also cuts lineage and survives
     lost executors; a second call with the same fingerprint reuses it.
     """
-    spark = df.sparkSession
-    key = key or fingerprint(df)
+    return cached(df.sparkSession, base_path, key or fingerprint(df), lambda: df)
+
+
+def cached(spark: SparkSession, base_path: str, key: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """S7 for frames whose making itself runs jobs: ``make`` is called only when no committed table
+    stands under ``base_path/key``."""
     path = f"{base_path.rstrip('/')}/{key}"
-    if _complete(spark, path):
-        return spark.read.parquet(path)
-    df.write.mode("overwrite").parquet(path)
+    if not _complete(spark, path):
+        make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

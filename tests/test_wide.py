@@ -61,3 +61,21 @@ def test_no_category_in_the_plan_and_empty_table(spark):
     wide = W.fit(SPEC, empty)
     assert wide.encode(empty, "id").count() == 0
     assert wide.slots.filter("_at IS NOT NULL").count() == 0
+
+
+def test_second_run_reads_the_stored_rows(spark, tmp_dir, monkeypatch):
+    from tabflow.plans import workflow as WF
+    from tabflow.spec import SourceSpec
+    spec = FeatureSpec(numeric=("x",), categorical=(), target="y", lineage="source", key=("id",))
+    path, cache = f"{tmp_dir}/rows", f"{tmp_dir}/stages"
+    calls = []
+    plain = WF.row_identity
+    monkeypatch.setattr(WF, "row_identity", lambda *a: calls.append(1) or plain(*a))
+
+    def rows():
+        return WF.combined_rows([(spark.read.parquet(path), SourceSpec(name="one"))], spec, cache).count()
+
+    spark.range(20).selectExpr("id", "id / 2 AS x", "id % 2 AS y").write.parquet(path)
+    assert rows() == rows() == 20 and len(calls) == 1
+    spark.range(30).selectExpr("id", "id / 2 AS x", "id % 2 AS y").write.mode("overwrite").parquet(path)
+    assert rows() == 30 and len(calls) == 2

@@ -1012,6 +1012,23 @@ def q_model_lr_gradient(spark, sf_dir):
     return sums.join(slots, "pos").select("slot", (F.abs(F.col("g") + F.col("w")) / n < 1e-4).alias("stationary"))
 
 
+@register("model_lr_coefficients_stationary", f"""
+SELECT 'n_chars' AS feature, TRUE AS stationary UNION ALL SELECT 'toxic', TRUE
+UNION ALL SELECT DISTINCT 'lang_' || coalesce(lang, 'missing'), TRUE FROM {_DOC_TRAIN_SQL}
+UNION ALL SELECT DISTINCT 'source_' || coalesce(source, 'missing'), TRUE FROM {_DOC_TRAIN_SQL}
+""")
+def q_model_lr_coefficients_stationary(spark, sf_dir):
+    """The reported coefficients, by their names, are the weights at which the gradient vanishes."""
+    train, _, names = doc_model_frames(spark, sf_dir)
+    m = TR.PenalizedLogit(C=1.0, tol=1e-8).fit(train)
+    scored = TR.positive_score(m.transform(train)).withColumn("err", F.col("score") - F.col("label"))
+    sums = (FE.features_long(scored, names, ["err"]).groupBy(F.col("slot").alias("feature"))
+            .agg(F.sum(F.col("err") * F.col("value")).alias("g")))
+    return (X.coefficients(m, names).join(sums, "feature", "left")
+            .select("feature", (F.abs(F.coalesce("g", F.lit(0.0)) + F.col("coefficient")) / train.count() < 1e-4)
+                    .alias("stationary")))
+
+
 PRESET_C = [0.0001, 0.001, 0.01, 0.1, 1.0, 10.0, 100.0, 1000.0, 10000.0, 20000.0, 50000.0]
 _LINE_FOLD_SQL = """(SELECT CAST(l_returnflag = 'R' AS INTEGER) AS label, l_orderkey % 5 AS fold,
   l_quantity AS score FROM lineitem)"""

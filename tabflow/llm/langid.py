@@ -78,15 +78,20 @@ class Model:
     """Nyström features of landmarks and one-versus-rest ridge weights."""
 
     def __init__(self, x: np.ndarray, labels: list[str]):
-        """``x``: presence of each n-gram in the labelled texts, in the order of the sample."""
+        """``x``: presence of each n-gram in the labelled texts (one or eight to a byte), in the order of
+        the sample. The driver unpacks a few texts at a time: all of them at once, and as the floats
+        of a product, would be hundreds of MB."""
+        packed = x if x.shape[1] < 1 << FEATURE_BITS else np.packbits(x, axis=1)
         self.languages = sorted(set(labels))
         y = np.array([self.languages.index(v) for v in labels])
         marks = np.concatenate([np.flatnonzero(y == c)[:LANDMARKS] for c in range(len(self.languages))])
-        size = x.sum(1, dtype=np.float64)
-        self.columns = np.flatnonzero(x[marks].any(0))  # other n-grams are in no landmark
-        self.landmarks = np.ascontiguousarray(
-            (x[marks][:, self.columns] / np.sqrt(size[marks])[:, None]).T.astype(np.float32))
-        k = self.kernel(x)
+        # other n-grams are in no landmark
+        self.columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(packed[marks], axis=0)))
+        self.landmarks = np.empty((len(self.columns), len(marks)), np.float32)
+        for i, mark in enumerate(marks):
+            x = np.unpackbits(packed[mark])
+            self.landmarks[:, i] = x[self.columns] / np.sqrt(x.sum(dtype=np.float64))
+        k = np.concatenate([self.kernel(np.unpackbits(packed[lo:lo + _BATCH], axis=1)) for lo in range(0, len(packed), _BATCH)])
         values, vectors = np.linalg.eigh((k[marks] + k[marks].T) / 2)
         kept = values > 1e-6 * values[-1]
         root = vectors[:, kept] / np.sqrt(values[kept])
@@ -135,8 +140,7 @@ def fit(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str =
     found = sorted({(r["_lang"], r["_h"]): bytes(r["_x"]) for r in sample}.items())
     if not found:
         return None
-    x = np.stack([np.unpackbits(np.frombuffer(v, np.uint8)) for _, v in found])
-    return Model(x, [k[0] for k, _ in found])
+    return Model(np.stack([np.frombuffer(v, np.uint8) for _, v in found]), [k[0] for k, _ in found])
 
 
 def predict(docs: DataFrame, model: Model | None, text_col: str = "text", keep_text: bool = True) -> DataFrame:

@@ -213,3 +213,19 @@ def test_fine_parts_bound_the_intersection():
         assert 185 * most < 85 * (len(a) + len(b))  # sets that share half are told from similar ones
     assert jaccard._fine(np.arange(256, dtype=np.uint64)) is None
     assert jaccard._fine(np.arange(2000, dtype=np.uint64) * 1024) is None  # more than a byte holds in one part
+
+
+def test_fit_holds_few_texts_at_a_time():
+    import tracemalloc
+    rnd = np.random.default_rng(3)
+    x = (rnd.random((800, 1 << langid.FEATURE_BITS)) < 0.05).astype(np.uint8)
+    labels = ["a", "b"] * 400
+    x[::2, :4000] = 1
+    tracemalloc.start()
+    model = langid.Model(x, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64e6  # all rows as floats are 105 MB
+    assert model.predict(x[:6])[0] == labels[:6]
+    again = langid.Model(np.packbits(x, axis=1), labels)
+    assert np.array_equal(model.weights, again.weights) and np.array_equal(model.landmarks, again.landmarks)

@@ -139,6 +139,24 @@ def split(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return code, starts, counts
 
 
+def split_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same for words with the blanks before them; a text's last word has those after it too."""
+    code = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends = np.cumsum(sizes)
+    begins = (ends - sizes)[sizes > 0]
+    blank = code == 0x20
+    start = blank.copy()
+    start[1:] &= ~blank[:-1]
+    start[begins] = True
+    starts = np.flatnonzero(start)
+    last = ends[sizes > 0] - 1
+    closing = starts[np.searchsorted(starts, last, "right") - 1]  # each text's last start
+    start[closing[blank[last] & (closing != begins)]] = False
+    starts = np.flatnonzero(start)
+    return code, starts, np.searchsorted(starts, ends) - np.searchsorted(starts, ends - sizes)
+
+
 def piece_hashes(code: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each piece from prefix sums of a polynomial over its code points."""
     up, down = _powers(1 << max(20, int(len(code)).bit_length()))
@@ -158,14 +176,15 @@ def spread(offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class PieceCoder:
-    """ids of texts, by pieces. ``encode`` gives the ids of each of a list of distinct pieces.
+    """ids of texts, by pieces as ``split`` cuts them. ``encode`` gives the ids of each of a list of
+    distinct pieces: a list for each, or (all ids in a row, number of ids of each).
 
     The cache holds at most ``limit`` pieces and is emptied when full: its memory is bounded and
     its state never changes a result."""
 
-    def __init__(self, encode: Callable[[list[str]], list], limit: int = 1 << 19, whole: Callable | None = None,
-                 special: str | None = None):
-        self.encode, self.limit, self.whole, self.special = encode, limit, whole, special
+    def __init__(self, encode: Callable[[list[str]], list | tuple], limit: int = 1 << 19, whole: Callable | None = None,
+                 special: str | None = None, split: Callable = split):
+        self.encode, self.limit, self.whole, self.special, self.split = encode, limit, whole, special, split
         self._clear()
 
     def _clear(self):
@@ -186,15 +205,19 @@ class PieceCoder:
     def _store(self, pieces: list[str]) -> np.ndarray:
         """Encode pieces and keep their ids; their slots."""
         got = self.encode(pieces)
-        lengths = np.fromiter(map(len, got), np.int64, len(got))
-        n, total = self.used + len(got), self.filled + int(lengths.sum())
+        if isinstance(got, tuple):
+            ids, lengths = got
+        else:
+            lengths = np.fromiter(map(len, got), np.int64, len(got))
+            ids = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
+        n, total = self.used + len(lengths), self.filled + len(ids)
         if n > len(self.offsets):
             self.offsets, self.lengths = (np.resize(x, max(n, 2 * len(x))) for x in (self.offsets, self.lengths))
         if total > len(self.ids):
             self.ids = np.resize(self.ids, max(total, 2 * len(self.ids)))
         self.offsets[self.used:n] = self.filled + np.cumsum(lengths) - lengths
         self.lengths[self.used:n] = lengths
-        self.ids[self.filled:total] = np.fromiter((i for x in got for i in x), np.uint32, total - self.filled)
+        self.ids[self.filled:total] = ids
         slots = np.arange(self.used, n)
         self.used, self.filled = n, total
         return slots
@@ -231,7 +254,7 @@ class PieceCoder:
             return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
         if self.used > self.limit:
             self._clear()
-        code, starts, counts = split(texts)
+        code, starts, counts = self.split(texts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(code))

@@ -5,10 +5,14 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
+import re
 
 import numpy as np
 
-from tabflow.llm.pretokens import PieceCoder
+from tabflow.llm.pretokens import PieceCoder, spread
+
+#: A piece without white space but a blank in front.
+_PLAIN = re.compile(r" ?\S+")
 
 
 def version_digest(path: str) -> str:
@@ -24,6 +28,51 @@ def version_digest(path: str) -> str:
     return h.hexdigest()
 
 
+def piece_encoder(tokenizer):
+    """A function from distinct pieces of a byte-level vocabulary, which splits texts before it merges, to
+    (ids of all pieces in a row, number of ids of each), as the library encodes each piece alone.
+
+    A call of the library for each piece costs more than its merges, so pieces of no white space but a
+    blank in front go as one text: what the pattern takes of them does not depend on what follows, and
+    a line feed before those without a blank is a piece of its own. Where each one's tokens end is
+    found by their bytes; should a piece not end with a token, all are encoded alone."""
+    # a byte-level token has a character for each byte
+    sizes = np.array([len(tokenizer.id_to_token(i) or "") for i in range(tokenizer.get_vocab_size())], np.int64)
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def alone(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+
+    def joined(pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        text = "".join([p if p[0] == " " else "\n" + p for p in pieces])
+        if any(s in text for s in special):
+            return None
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        length = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
+        ends = np.cumsum(length + np.fromiter((p[0] != " " for p in pieces), np.int64, len(pieces)))
+        at = np.append(0, np.cumsum(sizes[ids]))
+        first, stop = np.searchsorted(at, ends - length), np.searchsorted(at, ends)
+        if at[-1] != ends[-1] or (at[first] != ends - length).any() or (at[stop] != ends).any():
+            return None
+        return ids[spread(first, stop - first)], stop - first
+
+    def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain = np.fromiter((_PLAIN.fullmatch(p) is not None for p in pieces), bool, len(pieces))
+        found = joined([p for p, ok in zip(pieces, plain.tolist(), strict=True) if ok]) if plain.any() else None
+        if found is None:
+            return alone(pieces)
+        if plain.all():
+            return found
+        ids, counts = alone([p for p, ok in zip(pieces, plain.tolist(), strict=True) if not ok])
+        lengths, offsets = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        lengths[plain], lengths[~plain] = found[1], counts
+        offsets[plain] = np.cumsum(found[1]) - found[1]
+        offsets[~plain] = len(found[0]) + np.cumsum(counts) - counts
+        return np.concatenate([found[0], ids])[spread(offsets, lengths)], lengths
+
+    return encode
+
+
 @functools.lru_cache(4)
 def text_coder(path: str):
     """A function from texts to (ids of all texts in a row, number of ids of each), as the library
@@ -50,7 +99,7 @@ def text_coder(path: str):
     splitter = tokenizer.pre_tokenizer
     if (tokenizer.normalizer is None and isinstance(splitter, ByteLevel) and not splitter.add_prefix_space
             and splitter.use_regex and len(special) <= 1):
-        return PieceCoder(whole, whole=whole, special=special[0] if special else None)
+        return PieceCoder(piece_encoder(tokenizer), whole=whole, special=special[0] if special else None)
     return lambda texts: _flat(whole(texts))
 
 

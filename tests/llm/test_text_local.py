@@ -215,6 +215,27 @@ def test_fine_parts_bound_the_intersection():
     assert jaccard._fine(np.arange(2000, dtype=np.uint64) * 1024) is None  # more than a byte holds in one part
 
 
+def test_pieces_go_to_the_library_as_one_text():
+    from tokenizers import Tokenizer
+
+    from tabflow.llm.tokenizers import piece_encoder
+    tokenizer, sent = Tokenizer.from_file(JSON), []
+
+    class Recorder:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, texts, **options):
+            sent.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **options)
+
+    pieces = [" house", "house", "'s", ",", " !?", "١٢", " 日本", "é", "\n\n", "  ", "\u180e", " " + "x" * 300]
+    ids, counts = piece_encoder(Recorder())(pieces)
+    alone = [e.ids for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    assert counts.tolist() == list(map(len, alone)) and ids.tolist() == [i for x in alone for i in x]
+    assert len(sent) == 3  # one text, and the two pieces of white space
+
+
 def test_fit_holds_few_texts_at_a_time():
     import tracemalloc
     rnd = np.random.default_rng(3)

@@ -24,7 +24,7 @@ import functools
 import hashlib
 import os
 from collections.abc import Iterator
-from itertools import chain, zip_longest
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabflow.llm.common import text_of
-from tabflow.llm.pretokens import PieceCoder, column_batches, spread
+from tabflow.llm.pretokens import PieceCoder, column_batches, split_words, spread
+from tabflow.llm.tokenizers import piece_encoder
 from tabflow.llm.transducer import vocabulary
 from tabflow.sources.io import materialize
 
@@ -97,7 +98,7 @@ class ByteSide:
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True
         # the vocabulary splits before it merges, so a batch's distinct pieces are encoded once
-        self.encode = PieceCoder(lambda pieces: [e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        self.encode = PieceCoder(piece_encoder(tokenizer))
         self._table(vocabulary(path).bytes)
 
     def _table(self, tokens: list[bytes]) -> None:
@@ -120,21 +121,48 @@ class PieceSide(ByteSide):
         self.model = SentencePieceProcessor(model_file=path)
         self._table([bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode()
                      for i in range(self.model.get_piece_size()) for p in [self.model.id_to_piece(i)]])
+        if word_by_word(self.model):
+            # a batch's distinct words are encoded once; the model puts a word's first blank before it itself
+            self.encode = PieceCoder(lambda words: self._whole([w[1:] for w in words]), split=split_words)
 
-    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    def _whole(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = self.model.encode(texts, num_threads=1)
         counts = np.fromiter(map(len, found), np.int64, len(found))
-        ids = np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum()))
+        return np.fromiter(chain.from_iterable(found), np.int64, int(counts.sum())), counts
+
+    def tokens(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+        ids, counts = self.encode([" " + t for t in texts]) if hasattr(self, "encode") else self._whole(texts)
         sizes = self.sizes[ids]
         return ids, counts, sizes, self.bytes[spread(self.offsets[ids], sizes)].tobytes()
 
 
+def word_by_word(model) -> bool:
+    """Whether a sentencepiece model merges within words only: it merges pairs, takes texts as they are
+    with one blank put before them, and no token holds a blank behind another character. Then merges
+    in a word, with the blanks before it, know nothing of other words."""
+    from sentencepiece import sentencepiece_model_pb2
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model.serialized_model_proto())
+    norm, n = proto.normalizer_spec, model.get_piece_size()
+    return (proto.trainer_spec.model_type == proto.trainer_spec.BPE and not norm.precompiled_charsmap
+            and norm.add_dummy_prefix and norm.escape_whitespaces and not norm.remove_extra_whitespaces
+            and not proto.trainer_spec.treat_whitespace_as_suffix and not proto.trainer_spec.user_defined_symbols
+            and sum(map(model.is_byte, range(n))) == 256  # else unknown characters in a row would be one token
+            and not any("▁" in model.id_to_piece(i).lstrip("▁") for i in range(n)))
+
+
 @functools.lru_cache(4)
 def side(path: str) -> ByteSide:
     """One per Python worker and file."""
     return PieceSide(path) if path.endswith(".model") else ByteSide(path)
 
 
+@functools.lru_cache(4)
+def _decimals(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The digits of 0 to ``n - 1``, a row each, and how many there are."""
+    written = np.array([b"%d" % i for i in range(n)])
+    return written.view(np.uint8).reshape(len(written), -1), np.char.str_len(written)
+
+
 class Aligned:
     """The tokens, groups and links of a batch of texts."""
 
@@ -147,7 +175,8 @@ class Aligned:
         n = len(texts)
         self.n_a, self.n_b, self.n_groups = (np.zeros(n, np.int64) for _ in range(3))
         self.spans, self.groups = [(0, 0, 0, 0)] * n, [([], [])] * n
-        stretches, links_a, links_b = [], [], []
+        stretches, odds, links_a, links_b = [], [], [], []
+        self.n_tokens = [np.diff(s) for s in stops]
         self.n_links, self.n_odd = np.zeros(n, np.int64), np.zeros(n, np.int64)
         for k, text in enumerate(texts):
             spans = [(int(s[k]), int(s[k + 1])) for s in stops]
@@ -161,34 +190,48 @@ class Aligned:
             self.n_groups[k] = sum(s for _, _, s in one) + len(odd)
             self.spans[k], self.groups[k] = (a0, a1, b0, b1), (one, odd)
             stretches.append(np.array(one, np.int64) + (a0, b0, 0))
+            odds.append(np.array(odd, np.int64).reshape(-1, 4)[:, ::2] + (a0, b0))
             links_a.append(np.array(met_a, np.int64) + a0)
             links_b.append(np.array(met_b, np.int64) + b0)
             self.n_odd[k] = len(met_a)
             self.n_links[k] = len(met_a) + sum(s for _, _, s in one)
         runs = np.concatenate(stretches) if stretches else np.zeros((0, 3), np.int64)
-        none = [np.zeros(0, np.int64)]
+        single = [spread(runs[:, x], runs[:, 2]) for x in (0, 1)]
+        #: The first tokens of all groups, of A and of B.
+        self.firsts = [np.concatenate([single[x], *[o[:, x] for o in odds]]).astype(np.int64) for x in (0, 1)]
         # links of all stretches, text by text, then those of irregular groups
-        keys = ((self.ids[0][np.concatenate([spread(runs[:, 0], runs[:, 2]), *links_a, *none])].astype(np.int64) << 32)
-                | self.ids[1][np.concatenate([spread(runs[:, 1], runs[:, 2]), *links_b, *none])].astype(np.int64))
+        keys = ((self.ids[0][np.concatenate([single[0], *links_a])].astype(np.int64) << 32)
+                | self.ids[1][np.concatenate([single[1], *links_b])].astype(np.int64))
         self.pairs, self.place, self.times = np.unique(keys, return_inverse=True, return_counts=True)
 
     def written(self) -> list[str]:
-        """The groups of each text as ``a1,a2|b1;a3|b2,b3``."""
-        decimal = [f"{p >> 32}|{p & 0xFFFFFFFF}" for p in self.pairs.tolist()]
-        out, done = [], 0
-        for (a0, a1, b0, b1), (one, odd) in zip(self.spans, self.groups, strict=True):
-            here = sum(s for _, _, s in one)
-            singles = [decimal[p] for p in self.place[done:done + here].tolist()]
-            a, b = self.ids[0][a0:a1].tolist(), self.ids[1][b0:b1].tolist()
-            done, at, parts = done + here, 0, []
-            for (_, _, s), group in zip_longest(one, odd):
-                parts += singles[at:at + s]
-                at += s
-                if group is not None:
-                    i, i2, j, j2 = group
-                    parts.append(",".join(map(str, a[i:i2])) + "|" + ",".join(map(str, b[j:j2])))
-            out.append(";".join(parts))
-        return out
+        """The groups of each text as ``a1,a2|b1;a3|b2,b3``, all tokens of the batch at once."""
+        ids, first, before = [], [], []
+        for x, n in enumerate((self.n_a, self.n_b)):
+            mark = np.zeros(len(self.ids[x]), bool)
+            mark[self.firsts[x]] = True
+            kept = np.repeat(n > 0, self.n_tokens[x])  # texts without groups have no tokens
+            ids.append(self.ids[x][kept].astype(np.int64))
+            first.append(mark[kept])
+            before.append(np.append(0, np.cumsum(n)))
+        # a group's tokens of A, then those of B: behind the tokens of both in the groups before it
+        begin = [np.append(np.flatnonzero(f), len(f)) for f in first]
+        group = [np.cumsum(f) - 1 for f in first]
+        place_a = np.arange(len(ids[0])) + begin[1][group[0]]
+        place_b = np.arange(len(ids[1])) + begin[0][group[1] + 1]
+        token, close = np.zeros(len(ids[0]) + len(ids[1]), np.int64), np.full(len(ids[0]) + len(ids[1]), ord(","), np.uint8)
+        token[place_a], token[place_b] = ids
+        close[place_a[begin[0][1:] - 1]], close[place_b[begin[1][1:] - 1]] = ord("|"), ord(";")
+        digits, sizes = _decimals(max(len(side.sizes) for side in self.sides))
+        size = sizes[token]
+        at = np.append(0, np.cumsum(size + 1))
+        out = np.empty(at[-1], np.uint8)
+        for k in range(digits.shape[1]):
+            has = np.flatnonzero(size > k)
+            out[at[has] + k] = digits[token[has], k]
+        out[at[1:] - 1] = close
+        stops, joined = at[before[0] + before[1]].tolist(), out.tobytes()
+        return [joined[lo:max(lo, hi - 1)].decode() for lo, hi in zip(stops, stops[1:], strict=False)]
 
     def places(self) -> Iterator[np.ndarray]:
         """The pairs of each text's links, as places in ``pairs``."""

@@ -241,3 +241,28 @@ def test_planted_period():
             p = 1 + (50 - a) // (3 + h // 10 % 8)
             assert got == [words[k] if k < a else words[a + (k - a) % p] for k in range(50)]
     assert with_period(None, words) == words and with_period(5, []) == []
+
+
+def test_words_are_encoded_once():
+    words = alignment.PieceSide(P.path("piece_bpe_32k.model"))
+    assert alignment.word_by_word(words.model)
+    sent, encode = [], words.encode.encode
+    words.encode.encode = lambda found: sent.extend(found) or encode(found)
+    texts = ["the tree  and the\ttree ", "", " ", "   x", "a\u2581b <s> \x00 日本", "the tree  and", "y" * 200 + " the"]
+    whole = words.model.encode(texts)
+    ids, counts, *_ = words.tokens(texts)
+    assert counts.tolist() == list(map(len, whole)) and ids.tolist() == [i for t in whole for i in t]
+    assert sent.count(" tree") == 1 and "  and" in sent
+
+
+def test_groups_are_written_in_order():
+    sides = [alignment.side(P.path(f)) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    texts = ["Anblewh sttible of the", "", "x\u2581y", "1234567 unthinkable\n\n things "]
+    found = alignment.Aligned(texts, *sides)
+    for k, (text, got) in enumerate(zip(texts, found.written(), strict=True)):
+        a0, a1, b0, b1 = found.spans[k]
+        ends = list(zip(*found.bounds(k), strict=True))
+        a, b = found.ids[0][a0:a1].tolist(), found.ids[1][b0:b1].tolist()
+        said = [",".join(map(str, a[i:i2])) + "|" + ",".join(map(str, b[j:j2]))
+                for (i, j), (i2, j2) in zip([(0, 0), *ends], ends, strict=False)]
+        assert got == ";".join(said) and bool(got) == (text in (texts[0], texts[3]))

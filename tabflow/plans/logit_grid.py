@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 
 #: Slots up to which Hessians are formed.
 MAX_SLOTS = 256
-#: Numbers of a block of rows' products at a time (a row has (slots + 1)² / 2).
+#: Numbers of a block of rows' products at a time (a row has (slots + 1)² / 2), and its rows at most: with
+#: 64 pairs they stay in a core's cache, and a product of so many factors up to 2 is a double.
 BLOCK_NUMBERS = 1 << 22
+BLOCK_ROWS = 512
 
 
 @dataclass
@@ -60,10 +62,6 @@ def _in_fold(x: np.ndarray, f: int, shifts, scales) -> np.ndarray:
     return np.concatenate([np.ones((len(z), 1)), z], axis=1)
 
 
-def _softplus(m: np.ndarray) -> np.ndarray:
-    return np.maximum(m, 0) + np.log1p(np.exp(-np.abs(m)))
-
-
 def _block_sums(x, y, fold, folds_of, weights, shifts, scales, out) -> None:
     """Add loss, gradient and the Hessian's upper triangle of a block to ``out`` (a row a pair)."""
     d = weights.shape[1]
@@ -77,8 +75,13 @@ def _block_sums(x, y, fold, folds_of, weights, shifts, scales, out) -> None:
             part = pairs[lo:lo + 64]
             m = z @ weights[part].T
             seen = fold[:, None] != folds_of[part][None, :]
-            p = 1 / (1 + np.exp(-np.clip(m, -700, 700)))
-            out[part, 0] += np.where(seen, _softplus(m) - y[:, None] * m, 0).sum(axis=0)
+            # one exponential serves the loss and the probability; the logarithms of 1 + e, which is 2 at
+            # most, add up as one of their product
+            e = np.exp(-np.abs(m))
+            one = 1 + e
+            p = np.where(m >= 0, 1, e) / one
+            out[part, 0] += (np.where(seen, np.maximum(m, 0) - y[:, None] * m, 0).sum(axis=0)
+                             + np.log(np.where(seen, one, 1).prod(axis=0)))
             out[part, 1:1 + d] += (np.where(seen, p - y[:, None], 0).T @ z)
             out[part, 1 + d:] += (np.where(seen, p * (1 - p), 0).T @ products)
 
@@ -87,7 +90,7 @@ def _sums(rows: DataFrame, pairs: np.ndarray, folds_of: np.ndarray, weights: np.
     """One data pass: the sums of every pair in ``pairs``, in their order."""
     d = weights.shape[1]
     width = 1 + d + d * (d + 1) // 2
-    step = max(64, BLOCK_NUMBERS // (d * (d + 1) // 2))
+    step = min(BLOCK_ROWS, max(64, BLOCK_NUMBERS // (d * (d + 1) // 2)))
 
     def run(blocks: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(pairs), width))

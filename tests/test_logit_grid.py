@@ -138,3 +138,24 @@ def test_shared_fits_of_the_nested_stack(dense):
         scored = EN.stacked_scores(meta, {n: m.fit(rest) for n, m in models.items()}, held)
         aucs.append(roc_auc(scored).first()["roc_auc"])
     assert abs(mean - np.mean(aucs)) < 1e-6 and abs(std - np.std(aucs)) < 1e-6
+
+
+def test_block_sums_take_one_exponential(monkeypatch):
+    rnd = np.random.default_rng(4)
+    n = LG.BLOCK_ROWS
+    x, y, fold = rnd.normal(size=(n, 2)) * 30, (rnd.random(n) < 0.5) * 1.0, rnd.integers(0, 3, n)
+    w, folds_of = rnd.normal(size=(6, 3)), np.tile(np.arange(3), 2)
+    calls, exp = [], np.exp
+    out = np.zeros((6, 1 + 3 + 6))
+    with monkeypatch.context() as m:
+        m.setattr(LG.np, "exp", lambda *a, **b: calls.append(1) or exp(*a, **b))
+        LG._block_sums(x, y, fold, folds_of, w, None, None, out)
+    assert len(calls) == 1
+    z = np.c_[np.ones(n), x]
+    for p in range(6):
+        seen = fold != folds_of[p]
+        margin = z[seen] @ w[p]
+        prob = 1 / (1 + np.exp(-margin))
+        assert out[p, 0] == pytest.approx(np.sum(np.logaddexp(0, margin) - y[seen] * margin), rel=1e-12)
+        assert out[p, 1:4] == pytest.approx((prob - y[seen]) @ z[seen], rel=1e-9, abs=1e-9)
+        assert out[p, 4:] == pytest.approx((z[seen].T * prob * (1 - prob) @ z[seen])[np.triu_indices(3)], rel=1e-9, abs=1e-9)

@@ -175,12 +175,24 @@ def spread(offsets: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(offsets - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
 
 
+def distinct_of(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``np.unique`` gives with index and inverse; only distinct values are sorted."""
+    found = pa.array(h).dictionary_encode()
+    values, at = found.dictionary.to_numpy(), found.indices.to_numpy()
+    first = np.empty(len(values), np.int64)
+    first[at[::-1]] = np.arange(len(at) - 1, -1, -1)
+    order = np.argsort(values)
+    place = np.empty(len(values), np.int64)
+    place[order] = np.arange(len(values))
+    return values[order], first[order], place[at]
+
+
 class PieceCoder:
     """ids of texts, by pieces as ``split`` cuts them. ``encode`` gives the ids of each of a list of
     distinct pieces: a list for each, or (all ids in a row, number of ids of each).
 
-    The cache holds at most ``limit`` pieces and is emptied when full: its memory is bounded and
-    its state never changes a result."""
+    The cache holds about ``limit`` pieces. When it is full, those met in most batches stay, half of
+    ``limit`` at most: its memory is bounded and its state never changes a result."""
 
     def __init__(self, encode: Callable[[list[str]], list | tuple], limit: int = 1 << 19, whole: Callable | None = None,
                  special: str | None = None, split: Callable = split):
@@ -191,6 +203,7 @@ class PieceCoder:
         self.keys = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
         self.slots = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
         self.offsets, self.lengths, self.used = np.zeros(1024, np.int64), np.zeros(1024, np.int64), 0
+        self.met = np.zeros(1024, np.int32)  # batches that found the piece
         self.ids, self.filled = np.zeros(4096, np.uint32), 0
 
     def _find(self, h: np.ndarray) -> np.ndarray:
@@ -210,18 +223,39 @@ class PieceCoder:
         else:
             lengths = np.fromiter(map(len, got), np.int64, len(got))
             ids = np.fromiter((i for x in got for i in x), np.uint32, int(lengths.sum()))
+        return self._keep(ids, lengths)
+
+    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         n, total = self.used + len(lengths), self.filled + len(ids)
         if n > len(self.offsets):
-            self.offsets, self.lengths = (np.resize(x, max(n, 2 * len(x))) for x in (self.offsets, self.lengths))
+            self.offsets, self.lengths, self.met = (np.resize(x, max(n, 2 * len(x)))
+                                                    for x in (self.offsets, self.lengths, self.met))
         if total > len(self.ids):
             self.ids = np.resize(self.ids, max(total, 2 * len(self.ids)))
         self.offsets[self.used:n] = self.filled + np.cumsum(lengths) - lengths
         self.lengths[self.used:n] = lengths
+        self.met[self.used:n] = 0
         self.ids[self.filled:total] = ids
         slots = np.arange(self.used, n)
         self.used, self.filled = n, total
         return slots
 
+    def _thin(self) -> None:
+        """Forget pieces that no batch met again, and the rarer ones beyond half of the limit."""
+        keys, slots = np.concatenate(self.keys), np.concatenate(self.slots)
+        met, room = self.met[slots], max(1, self.limit // 2)
+        kept = np.flatnonzero(met)
+        if len(kept) > room:
+            kept = kept[np.argpartition(met[kept], len(kept) - room)[len(kept) - room:]]
+        kept = kept[np.argsort(keys[kept])]
+        keys, met, slots = keys[kept], met[kept], slots[kept]
+        lengths = self.lengths[slots]
+        ids = self.ids[spread(self.offsets[slots], lengths)]
+        self._clear()
+        slots = self._keep(ids, lengths)
+        self.met[slots] = met >> 1  # what was met long ago counts less
+        self.keys[0], self.slots[0] = keys, slots
+
     def _remember(self, h: np.ndarray, slots: np.ndarray) -> None:
         for level in (1, 0):  # new pieces go to a small table, which now and then joins the large one
             keys, kept = np.concatenate([self.keys[level], h]), np.concatenate([self.slots[level], slots])
@@ -253,13 +287,13 @@ class PieceCoder:
             out = [found[i] for i in range(len(texts))]
             return np.concatenate(out), np.fromiter(map(len, out), np.int64, len(out))
         if self.used > self.limit:
-            self._clear()
+            self._thin()
         code, starts, counts = self.split(texts)
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         ends = np.append(starts[1:], len(code))
         h = piece_hashes(code, starts, ends)
-        distinct, first, back = np.unique(h, return_index=True, return_inverse=True)
+        distinct, first, back = distinct_of(h)
         long = np.flatnonzero(ends - starts > LONG_PIECE)
         if len(long):  # every long piece stands for itself
             back = back.copy()
@@ -271,6 +305,7 @@ class PieceCoder:
             used = np.ones(len(distinct), bool)
         slots = np.full(len(used), -1, np.int64)
         slots[:len(distinct)] = self._find(distinct)
+        self.met[slots[slots >= 0]] += 1
         missing = np.flatnonzero((slots < 0) & used)
         if len(missing):
             at = first[missing]

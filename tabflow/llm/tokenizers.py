@@ -5,14 +5,13 @@ from __future__ import annotations
 import functools
 import hashlib
 import os
-import re
 
 import numpy as np
 
 from tabflow.llm.pretokens import PieceCoder, spread
 
-#: A piece without white space but a blank in front.
-_PLAIN = re.compile(r" ?\S+")
+#: White space by code point; the last entry stands for all above.
+_SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
 
 
 def version_digest(path: str) -> str:
@@ -43,13 +42,12 @@ def piece_encoder(tokenizer):
     def alone(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return _flat([e.ids for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
 
-    def joined(pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        text = "".join([p if p[0] == " " else "\n" + p for p in pieces])
+    def joined(pieces: list[str], blank: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        text = "".join([p if b else "\n" + p for p, b in zip(pieces, blank.tolist(), strict=True)])
         if any(s in text for s in special):
             return None
         ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-        length = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
-        ends = np.cumsum(length + np.fromiter((p[0] != " " for p in pieces), np.int64, len(pieces)))
+        ends = np.cumsum(length + ~blank)
         at = np.append(0, np.cumsum(sizes[ids]))
         first, stop = np.searchsorted(at, ends - length), np.searchsorted(at, ends)
         if at[-1] != ends[-1] or (at[first] != ends - length).any() or (at[stop] != ends).any():
@@ -57,8 +55,19 @@ def piece_encoder(tokenizer):
         return ids[spread(first, stop - first)], stop - first
 
     def encode(pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        plain = np.fromiter((_PLAIN.fullmatch(p) is not None for p in pieces), bool, len(pieces))
-        found = joined([p for p, ok in zip(pieces, plain.tolist(), strict=True) if ok]) if plain.any() else None
+        if not pieces or "" in pieces:
+            return alone(pieces)
+        code = np.frombuffer("".join(pieces).encode("utf-32-le"), np.uint32)
+        chars = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        begins = np.cumsum(chars) - chars
+        blank = code[begins] == 0x20
+        space = _SPACE[np.minimum(code, len(_SPACE) - 1)]
+        # no white space but a blank in front
+        plain = (np.add.reduceat(space, begins, dtype=np.int64) == blank) & (chars > blank)
+        more = (code > 0x7F).astype(np.uint8) + (code > 0x7FF) + (code > 0xFFFF)
+        length = chars + np.add.reduceat(more, begins, dtype=np.int64)
+        fit = pieces if plain.all() else [p for p, ok in zip(pieces, plain.tolist(), strict=True) if ok]
+        found = joined(fit, blank[plain], length[plain]) if fit else None
         if found is None:
             return alone(pieces)
         if plain.all():
@@ -99,7 +108,7 @@ def text_coder(path: str):
     splitter = tokenizer.pre_tokenizer
     if (tokenizer.normalizer is None and isinstance(splitter, ByteLevel) and not splitter.add_prefix_space
             and splitter.use_regex and len(special) <= 1):
-        return PieceCoder(piece_encoder(tokenizer), whole=whole, special=special[0] if special else None)
+        return PieceCoder(piece_encoder(tokenizer), limit=1 << 20, whole=whole, special=special[0] if special else None)
     return lambda texts: _flat(whole(texts))
 
 

@@ -69,6 +69,33 @@ def test_cache_that_overflows_changes_nothing():
     assert ids.tolist() == PieceCoder(pairs.encode)(texts)[0].tolist()
 
 
+def test_full_cache_keeps_what_is_met_often():
+    from tabflow.llm.pretokens import PieceCoder
+    pairs, _ = coder(RANKS)
+    sent = []
+
+    def encode(pieces):
+        sent.extend(pieces)
+        return pairs.encode(pieces)
+
+    texts = [f"a common word x{i}y z{i}w" for i in range(60)]
+    small = PieceCoder(encode, limit=20)
+    ids = np.concatenate([small([t])[0] for t in texts])
+    assert ids.tolist() == PieceCoder(pairs.encode)(texts)[0].tolist()
+    assert sent.count(" common") == 1
+    assert small.used <= 20 + 9  # the limit and a text's pieces
+    one = PieceCoder(pairs.encode, limit=1)
+    assert np.concatenate([one([t])[0] for t in texts]).tolist() == ids.tolist()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 2 ** 64 - 1) | st.integers(0, 3), min_size=1, max_size=40))
+def test_distinct_values(values):
+    from tabflow.llm.pretokens import distinct_of
+    h = np.array(values, np.uint64)
+    assert [x.tolist() for x in distinct_of(h)] == [x.tolist() for x in np.unique(h, return_index=True, return_inverse=True)]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
 def test_library_ids(name):
     rnd = random.Random(4)
@@ -236,6 +263,18 @@ def test_pieces_go_to_the_library_as_one_text():
     assert len(sent) == 3  # one text, and the two pieces of white space
 
 
+def test_pieces_of_any_width_and_white_space():
+    from tokenizers import Tokenizer
+
+    from tabflow.llm.tokenizers import piece_encoder
+    tokenizer = Tokenizer.from_file(JSON)
+    pieces = ["a", " ", " é", "日本", " 😀", "\x85", "\u3000", " \u2003", "\x1c", "\U0001F9FF", "a b", "\ta", " <|", "|>", "ß" * 200]
+    for some in (pieces, pieces[::-1], [" "], ["😀"], []):
+        ids, counts = piece_encoder(tokenizer)(some)
+        alone = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert counts.tolist() == list(map(len, alone)) and ids.tolist() == [i for x in alone for i in x]
+
+
 def test_fit_holds_few_texts_at_a_time():
     import tracemalloc
     rnd = np.random.default_rng(3)
